@@ -326,7 +326,7 @@ SELECT
   p_size % 8 + 1 AS accommodates,
   p_size % 4 + 1 AS bedrooms,
   p_size % 3 + 1 AS bathrooms,
-  CAST(p_retailprice AS DECIMAL(10,2)) * 0.25 AS price_per_night,
+  CAST(p_retailprice AS DECIMAL(10,2)) * (0.05 + 0.01 * (p_partkey % 10)) AS price_per_night,
   {d.day_ts('1997-01-01', 'p_partkey % 700')} AS created_at
 FROM part
 """
