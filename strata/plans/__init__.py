@@ -4,7 +4,7 @@ Importing this package registers every query key in ``registry.QUERIES`` and its
 DuckDB oracle (where one exists) in ``registry.ORACLES``.
 """
 
-from strata.plans import logs, medallion, playlist, rentals, sales  # noqa: F401
+from strata.plans import api, logs, medallion, olympics, playlist, rentals, sales, warehouse  # noqa: F401
 from strata.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

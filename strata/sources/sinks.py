@@ -39,13 +39,13 @@ def publish_csv(df: DataFrame, path: str, single_file: bool = False, header: boo
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def dated_path(base: str, name: str, run_date: str) -> str:
-    """``<base>/<name>/<name>_<YYYY-MM-DD>`` (run date is a parameter, never the clock)."""
-    return f"{base.rstrip('/')}/{name}/{name}_{run_date}"
+def dated_path(base: str, name: str, run_date: str, stem: str | None = None) -> str:
+    """``<base>/<name>/<stem>_<YYYY-MM-DD>`` (run date is a parameter, never the clock)."""
+    return f"{base.rstrip('/')}/{name}/{stem or name}_{run_date}"
 
 
-def publish_csv_dated(df: DataFrame, base: str, name: str, run_date: str, **kw) -> str:
-    path = dated_path(base, name, run_date)
+def publish_csv_dated(df: DataFrame, base: str, name: str, run_date: str, stem: str | None = None, **kw) -> str:
+    path = dated_path(base, name, run_date, stem)
     publish_csv(df, path, **kw)
     return path
 
