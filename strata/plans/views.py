@@ -371,11 +371,24 @@ GROUP BY n.n_nationkey, n.n_name
 """
 
 
+# ---------------------------------------------------------------- hierarchy
+
+def v_tree(d: Dialect) -> str:
+    """Customers as a binary tree: the parent of k is (k - 1) div 2, the root is 0."""
+    return """
+SELECT c_custkey AS node,
+  CASE WHEN c_custkey = 0 THEN NULL
+       ELSE CAST((c_custkey - 1 - (c_custkey - 1) % 2) / 2 AS BIGINT) END AS parent,
+  c_nationkey AS nationkey
+FROM customer
+"""
+
+
 VIEWS = {
     "v_users": v_users, "v_buyers": v_buyers, "v_sellers": v_sellers, "v_countries": v_countries,
     "v_raw_sales": v_raw_sales, "v_logs": v_logs, "v_source": v_source, "v_api": v_api,
     "v_bookings": v_bookings, "v_listings": v_listings, "v_hosts": v_hosts,
-    "v_medals": v_medals, "v_entries": v_entries,
+    "v_medals": v_medals, "v_entries": v_entries, "v_tree": v_tree,
 }
 
 
