@@ -4,7 +4,9 @@ Importing this package registers every query key in ``registry.QUERIES`` and its
 DuckDB oracle (where one exists) in ``registry.ORACLES``.
 """
 
-from strata.plans import api, curriculum, logs, medallion, olympics, playlist, rentals, sales, warehouse  # noqa: F401
+from strata.plans import (  # noqa: F401
+    api, curriculum, logs, medallion, olympics, playlist, rentals, sales, streams, warehouse,
+)
 from strata.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
