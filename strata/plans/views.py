@@ -13,6 +13,7 @@ modulo rules on keys so that both engines produce them identically.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -394,20 +395,46 @@ VIEWS = {
 
 # ---------------------------------------------------------------- access
 
+_REGISTERED: dict[tuple[str, str], str] = {}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that has fewer partitions than the session can run at once.
+
+    A small fixture (one file, one row group) would otherwise run every map-side
+    step in a single task.  Inputs that already have enough partitions, as any
+    large table does, are returned untouched: no extra shuffle at scale.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        # hash on the leading (key) column: deterministic on retry, no pre-sort needed
+        return df.repartition(slots, df.columns[0])
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
-    """Expose the driver parquet files as temp views for the stand-in SQL."""
+    """Expose driver parquet files as temp views for the stand-in SQL (once per session and folder)."""
+    app = spark.sparkContext.applicationId
     for t in names:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
+        if _REGISTERED.get((app, t)) == sf_dir:
+            continue
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
+        _REGISTERED[(app, t)] = sf_dir
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def tables_in(sql: str) -> list[str]:
+    return [t for t in DRIVER_TABLES if re.search(rf"\b{t}\b", sql)]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stand-in input as a (lazy) Spark DataFrame."""
-    register_tables(spark, sf_dir)
-    return spark.sql(VIEWS[name](SPARK))
+    sql = VIEWS[name](SPARK)
+    register_tables(spark, sf_dir, tables_in(sql))
+    return spark.sql(sql)
 
 
 def with_views(body: str, *names: str, extra: dict | None = None) -> str:

@@ -35,13 +35,15 @@ PATTERNS = {"album": ".*album_transformed.*[.]csv", "artist": ".*artist_transfor
             "songs": ".*song_transformed.*[.]csv"}
 
 
-def publish_playlist(spark: SparkSession, sf: str) -> str:
+def publish_playlist(spark: SparkSession, sf: str, tables=("album", "artist", "songs")) -> str:
     """albums / artists / songs as CSV under ``<root>/<table>/<name>_transformed_<date>/``."""
     root = scratch_path(spark, "transformed_data")
     docs = P.load_docs(spark, sf)
-    publish_csv_dated(P.albums(docs), root, "album", RUN_DATE, stem="album_transformed")
-    publish_csv_dated(P.artists(docs), root, "artist", RUN_DATE, stem="artist_transformed")
-    publish_csv_dated(P.songs(docs), root, "songs", RUN_DATE, stem="song_transformed")
+    builders = {"album": (P.albums, "album_transformed"), "artist": (P.artists, "artist_transformed"),
+                "songs": (P.songs, "song_transformed")}
+    for name in tables:
+        build, stem = builders[name]
+        publish_csv_dated(build(docs), root, name, RUN_DATE, stem=stem)
     return root
 
 
@@ -85,7 +87,8 @@ SQL_ALBUM_LOADED = P.SQL_ALBUMS.replace(
 @query("scan_by_path_regex", SQL_ALBUM_LOADED)
 def q_scan_by_path_regex(spark, sf):
     """Only the album files are picked from the published folder (pattern on the full path)."""
-    return load_by_pattern(spark, publish_playlist(spark, sf), PATTERNS["album"], ALBUM_DDL)
+    root = publish_playlist(spark, sf, tables=("album", "artist"))
+    return load_by_pattern(spark, root, PATTERNS["album"], ALBUM_DDL)
 
 
 def _count_sql() -> str:
@@ -130,7 +133,7 @@ def q_bulk_load_csv(spark, sf):
 @query("truncate_reload", SQL_ALBUM_LOADED)
 def q_truncate_reload(spark, sf):
     """Load albums into a table, truncate it (schema kept, zero rows), load again."""
-    root = publish_playlist(spark, sf)
+    root = publish_playlist(spark, sf, tables=("album",))
     target = scratch_path(spark, "tbl_album")
     loaded = load_by_pattern(spark, root, PATTERNS["album"], ALBUM_DDL)
     write_overwrite(loaded, target)
