@@ -126,7 +126,7 @@ _AUDIT_RULES = {
 
 @query("quality_audit", with_views(f"""
 SELECT rule, violations, checked_rows FROM (
-  {" UNION ALL ".join(f"SELECT '{k}' AS rule, count_if(coalesce({v}, false)) AS violations, count(*) AS checked_rows FROM a"
+  {" UNION ALL ".join(f"SELECT '{k}' AS rule, CAST(count_if(coalesce({v}, false)) AS BIGINT) AS violations, count(*) AS checked_rows FROM a"
                       for k, v in _AUDIT_RULES.items())}
   UNION ALL SELECT 'duplicate_key', count(*) - count(DISTINCT booking_id), count(*) FROM a) r
 """, "v_bookings", extra={"a": "SELECT *, CAST(round(nights_booked * booking_amount, 2) + cleaning_fee + service_fee AS DOUBLE) AS total_amount FROM v_bookings"}))

@@ -85,10 +85,10 @@ FROM v_raw_sales WHERE {_LINE} IS NOT NULL GROUP BY date ORDER BY date
 
 SQL_QUALITY = with_views(f"""
 SELECT count(*) AS total_rows,
-       count_if({_LINE} IS NOT NULL) AS revenue_valid_rows,
-       count_if({_LINE} IS NULL) AS revenue_rejected_rows,
-       count_if({_AMOUNT} IS NOT NULL AND {_DATE} IS NOT NULL) AS tax_valid_rows,
-       count_if({_AMOUNT} IS NULL OR {_DATE} IS NULL) AS tax_rejected_rows
+       CAST(count_if({_LINE} IS NOT NULL) AS BIGINT) AS revenue_valid_rows,
+       CAST(count_if({_LINE} IS NULL) AS BIGINT) AS revenue_rejected_rows,
+       CAST(count_if({_AMOUNT} IS NOT NULL AND {_DATE} IS NOT NULL) AS BIGINT) AS tax_valid_rows,
+       CAST(count_if({_AMOUNT} IS NULL OR {_DATE} IS NULL) AS BIGINT) AS tax_rejected_rows
 FROM v_raw_sales
 """, "v_raw_sales")
 

@@ -351,9 +351,9 @@ FROM supplier
 def v_medals(d: Dialect) -> str:
     return """
 SELECT n.n_name AS TeamCountry,
-  sum(CASE WHEN o.o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS Gold,
-  sum(CASE WHEN o.o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END) AS Silver,
-  sum(CASE WHEN o.o_orderpriority = '3-MEDIUM' THEN 1 ELSE 0 END) AS Bronze,
+  CAST(sum(CASE WHEN o.o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS BIGINT) AS Gold,
+  CAST(sum(CASE WHEN o.o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END) AS BIGINT) AS Silver,
+  CAST(sum(CASE WHEN o.o_orderpriority = '3-MEDIUM' THEN 1 ELSE 0 END) AS BIGINT) AS Bronze,
   count(*) AS Total
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
