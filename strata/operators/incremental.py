@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.dedup import latest_per_key
+from strata.operators.windows import neighbours
 from strata.sources.sinks import commit_version, read_current, write_append
 
 FIRST_MARK = "1900-01-01 00:00:00"
@@ -32,6 +33,24 @@ def _typed_literal(value, dtype: T.DataType):
     return F.lit(value).cast(dtype)
 
 
+def typed_source(df: DataFrame, col: str, pattern: str = "yyyy-M-d H:m:s",
+                 on_bad: str = "fail") -> tuple[DataFrame, DataFrame | None]:
+    """Parse the incremental column from text.
+
+    ``on_bad="fail"``: a malformed value fails the whole batch (strict parse under
+    ANSI), as the source job did.  ``on_bad="reject"``: malformed rows are split
+    off as rejects and the rest loads.
+    """
+    from strata.functions.parse import parse_ts, parse_ts_strict
+
+    if on_bad == "fail":
+        return df.withColumn(col, parse_ts_strict(col, pattern)), None
+    parsed = df.withColumn("_parsed", parse_ts(col, pattern))
+    good = parsed.where(F.col("_parsed").isNotNull()).drop(col).withColumnRenamed("_parsed", col)
+    bad = parsed.where(F.col("_parsed").isNull()).drop("_parsed")
+    return good.select(*df.columns), bad
+
+
 def high_water_mark(target: DataFrame | None, col: str, default: str = FIRST_MARK):
     """``coalesce(max(col), default)`` of the target: one scalar."""
     if target is None:
@@ -73,15 +92,16 @@ def upsert_latest(spark: SparkSession, table: str, batch: DataFrame, keys: Seque
 
 
 def scd2(history: DataFrame, keys: Sequence[str], valid_from: str,
-         tie_break: Sequence[str] = ()) -> DataFrame:
+         tie_break: Sequence[str] = (), bucket=None) -> DataFrame:
     """Type-2 history: each version valid from its own time until the next version of its key.
 
     Adds ``valid_to`` (NULL for the current version) and ``is_current``.  Versions
     of a key are ordered by ``valid_from`` then ``tie_break`` (default: all other
-    columns), so equal timestamps get a deterministic order.
+    columns), so equal timestamps get a deterministic order.  ``bucket`` (a
+    coarsening of ``valid_from``, e.g. its month) spreads a key with very many
+    versions over many tasks (see ``operators.windows``).
     """
     keys = list(keys)
     tb = list(tie_break) or [c for c in history.columns if c not in keys and c != valid_from]
-    w = Window.partitionBy(*keys).orderBy(F.col(valid_from), *[F.col(c) for c in tb])
-    nxt = F.lead(valid_from).over(w)
-    return history.withColumns({"valid_to": nxt}).withColumn("is_current", F.col("valid_to").isNull())
+    out = neighbours(history, keys, [valid_from, *tb], valid_from, "_prev", "valid_to", bucket=bucket)
+    return out.drop("_prev").withColumn("is_current", F.col("valid_to").isNull())

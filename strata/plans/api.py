@@ -15,6 +15,8 @@ from strata.functions.parse import url_last_segment
 from strata.operators.nested import is_json_null, json_field
 from strata.plans.registry import query
 from strata.plans.views import table, view, with_views
+from strata.session import scratch_path
+from strata.sources.readers import read_json_records
 
 # fixed values of the source job
 DEFAULTS = {"full_name": "N/A", "email": "N/A", "city": "Remote", "signup_date": "2026-01-01"}
@@ -22,18 +24,36 @@ PATHS = {"full_name": "$.user.name", "email": "$.user.contact.email", "city": "$
          "signup_date": "$.user.meta.signup_date"}
 
 
-def flatten_users(df: DataFrame, json_col: str = "json") -> tuple[DataFrame, DataFrame]:
-    """(flat rows, rejects).  Unparsable JSON and ``"user": null`` are rejects."""
-    parsed = df.withColumn("_v", F.try_parse_json(json_col))
-    bad = parsed.where(F.col("_v").isNull() | is_json_null(F.col("_v"), "$.user"))
-    good = parsed.where(F.col("_v").isNotNull() & ~is_json_null(F.col("_v"), "$.user"))
-    flat = good.select(
-        json_field(F.col("_v"), "$.id", None, "bigint").alias("user_id"),
-        *[json_field(F.col("_v"), PATHS[k], DEFAULTS[k]).alias(k) for k in PATHS])
-    rejects = bad.select(json_col, F.lit("null_user_or_bad_json").alias("reason"))
+def flatten_records(records: DataFrame, vcol: str = "v") -> tuple[DataFrame, DataFrame]:
+    """(flat rows, rejects) from variant records.  Unparsable records and
+    ``"user": null`` are rejects."""
+    v = F.col(vcol)
+    bad = records.where(v.isNull() | is_json_null(v, "$.user"))
+    good = records.where(v.isNotNull() & ~is_json_null(v, "$.user"))
+    flat = good.select(json_field(v, "$.id", None, "bigint").alias("user_id"),
+                       *[json_field(v, PATHS[k], DEFAULTS[k]).alias(k) for k in PATHS])
+    rejects = bad.select(F.to_json(v).alias("record"), F.lit("null_user_or_bad_json").alias("reason"))
     return flat, rejects
 
 
+def flatten_users(df: DataFrame, json_col: str = "json") -> tuple[DataFrame, DataFrame]:
+    """Same, from a column of JSON text."""
+    return flatten_records(df.select(F.try_parse_json(json_col).alias("v")))
+
+
+ARRAY_CHUNK = 100
+
+
+def land_api_files(spark, sf: str) -> str:
+    """API responses as files: each line a JSON array of up to 100 records."""
+    path = scratch_path(spark, "api_responses")
+    api = view(spark, sf, "v_api")
+    (api.groupBy(F.floor(F.col("api_row") / ARRAY_CHUNK).alias("chunk"))
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("json"), ", "), F.lit("]")).alias("value"))
+        .select("value").write.text(path))
+    return path
+
+
 def _get(path: str, default: str) -> str:
     return (f"CASE WHEN json_extract(json, '{path}') IS NULL THEN '{default}' "
             f"ELSE json_extract_string(json, '{path}') END")
@@ -48,7 +68,7 @@ FROM v_api WHERE coalesce(json_type(json_extract(json, '$.user')), '') <> 'NULL'
 
 @query("flatten_json_defaults", SQL_FLATTEN)
 def q_flatten_json_defaults(spark, sf):
-    return flatten_users(view(spark, sf, "v_api"))[0]
+    return flatten_records(read_json_records(spark, land_api_files(spark, sf)))[0]
 
 
 @query("url_last_segment", """

@@ -48,8 +48,8 @@ def fields(d: Dialect) -> dict[str, str]:
         "duration_ms": "p_size * 4000 + p_partkey % 1000",
         "popularity": "p_partkey % 100",
         "track_url": "'https://open.example/track/' || CAST(l_partkey AS STRING)",
-        "artist1_id": "'art_' || CAST(p_partkey % 97 AS STRING)",
-        "artist2_id": "'art_' || CAST(p_partkey % 89 + 100 AS STRING)",
+        "artist1_num": "CAST(p_partkey % 97 AS STRING)",
+        "artist2_num": "CAST(p_partkey % 89 + 100 AS STRING)",
         "n_artists": "CASE WHEN p_partkey % 10 = 0 THEN 0 WHEN p_partkey % 3 = 0 THEN 2 ELSE 1 END",
         "album_id": "'alb_' || CAST(s_suppkey AS STRING)",
         "album_name": "'Album ' || s_name",
@@ -62,9 +62,9 @@ def fields(d: Dialect) -> dict[str, str]:
     }
 
 
-def _artist(id_expr: str):
-    num = F.regexp_extract(F.expr(id_expr), "([0-9]+)$", 1)
-    return F.struct(F.expr(id_expr).alias("id"), F.concat(F.lit("Artist "), num).alias("name"),
+def _artist(num_expr: str):
+    num = F.expr(num_expr)
+    return F.struct(F.concat(F.lit("art_"), num).alias("id"), F.concat(F.lit("Artist "), num).alias("name"),
                     F.concat(F.lit("https://api.example/artists/"), num).alias("href"))
 
 
@@ -75,7 +75,7 @@ def playlist_docs(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
     supp = table(spark, sf, "supplier").select("s_suppkey", "s_name")
     rows = li.join(part, li.l_partkey == part.p_partkey).join(supp, li.l_suppkey == supp.s_suppkey)
-    artists = F.slice(F.array(_artist(fields(SPARK)["artist1_id"]), _artist(fields(SPARK)["artist2_id"])),
+    artists = F.slice(F.array(_artist(fields(SPARK)["artist1_num"]), _artist(fields(SPARK)["artist2_num"])),
                       1, f["n_artists"])
     album = F.struct(
         f["album_id"].alias("id"), f["album_name"].alias("name"), f["release_date"].alias("release_date"),
@@ -98,15 +98,19 @@ def land_docs(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def load_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze: raw JSON parsed once with the explicit schema into nested parquet.
+def load_docs(spark: SparkSession, sf: str, bronze: bool = False) -> DataFrame:
+    """The landed documents, read with the explicit schema.
 
-    Every table derived afterwards reads only the nested fields it needs
-    (nested column pruning) instead of parsing the JSON text again.
+    ``bronze=True`` parses the JSON once into nested parquet first; worth it
+    when several tables are derived from the same documents, each then
+    reading columnar data instead of parsing the text again.
     """
-    bronze = scratch_path(spark, "playlists_bronze")
-    read_json_docs(spark, land_docs(spark, sf), PLAYLIST_SCHEMA).write.parquet(bronze)
-    return spark.read.parquet(bronze)
+    docs = read_json_docs(spark, land_docs(spark, sf), PLAYLIST_SCHEMA)
+    if not bronze:
+        return docs
+    path = scratch_path(spark, "playlists_bronze")
+    docs.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- transforms
@@ -151,7 +155,8 @@ _FLAT = f"""
 SELECT l_orderkey AS playlist_id, {_F['added_at']} AS added_at, CAST(l_shipdate AS DATE) AS added_day,
   {_F['track_id']} AS track_id, {_F['track_name']} AS track_name, {_F['duration_ms']} AS duration_ms,
   {_F['popularity']} AS popularity, {_F['track_url']} AS track_url,
-  {_F['artist1_id']} AS artist1_id, {_F['artist2_id']} AS artist2_id, {_F['n_artists']} AS n_artists,
+  'art_' || {_F['artist1_num']} AS artist1_id, 'art_' || {_F['artist2_num']} AS artist2_id,
+  {_F['n_artists']} AS n_artists,
   {_F['album_id']} AS album_id, {_F['album_name']} AS album_name, {_F['release_date']} AS release_date,
   {_F['total_tracks']} AS total_tracks, {_F['album_url']} AS album_url,
   CASE WHEN {_F['n_album_artists']} = 1 THEN {_F['album_artist_id']} END AS album_artist
@@ -186,8 +191,7 @@ WHERE rn = 1
 
 @query("scan_json_nested", SQL_ITEMS)
 def q_scan_json_nested(spark, sf):
-    docs = read_json_docs(spark, land_docs(spark, sf), PLAYLIST_SCHEMA)
-    return items(docs).select(
+    return items(load_docs(spark, sf)).select(
         "playlist_id", F.col("item.track.id").alias("track_id"), F.col("item.added_at").alias("added_at"))
 
 

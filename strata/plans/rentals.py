@@ -147,7 +147,8 @@ SELECT *, valid_to IS NULL AS is_current FROM (
   FROM sb) t
 """, *_ALL, extra=_SILVER))
 def q_scd2_history(spark, sf):
-    return scd2(bookings_silver(view(spark, sf, "v_bookings")), ["booking_id"], "created_at")
+    return scd2(bookings_silver(view(spark, sf, "v_bookings")), ["booking_id"], "created_at",
+                bucket=F.date_trunc("month", "created_at"))
 
 
 @query("quality_referential", with_views("""

@@ -87,6 +87,18 @@ def read_json_docs(spark: SparkSession, path: str, schema: T.StructType | str,
     return reader.json(path)
 
 
+def read_json_records(spark: SparkSession, path: str, multi_line: bool = False,
+                      out: str = "v") -> DataFrame:
+    """JSON records as ``variant`` values (JSON null and a missing key stay different).
+
+    A line (or, with ``multi_line``, a whole file) may hold one object or an
+    array of objects; arrays yield one row per element.
+    """
+    docs = spark.read.option("singleVariantColumn", "_doc").option("multiLine", multi_line).json(path)
+    elems = F.coalesce(F.try_variant_get("_doc", "$", "array<variant>"), F.array(F.col("_doc")))
+    return docs.select(F.explode(elems).alias(out))
+
+
 def read_text_lines(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
     """Text lines as ``value``; optionally the source file of each line."""
     df = spark.read.text(path)

@@ -136,3 +136,26 @@ def test_users_rule_order(spark):
     assert b.civilitytitle_clean == "Msx Miss" and b.flag_long_title is False
     assert (b.gender, b.language_full, b.user_descriptor) == ("Other", "Other", "Other_FR_Msx_Other")
     assert b.socialnbfollowers is None and b.hasanyapp is None
+
+
+def test_bad_timestamp_fails_or_rejects(spark):
+    import pytest
+
+    from strata.operators.incremental import typed_source
+
+    src = spark.createDataFrame([(1, "2026-03-01 10:00:00"), (2, "yesterday")], "id INT, updated_at STRING")
+    good, bad = typed_source(src, "updated_at", on_bad="reject")
+    assert [r.id for r in good.collect()] == [1] and [r.id for r in bad.collect()] == [2]
+    strict, _ = typed_source(src, "updated_at", on_bad="fail")
+    with pytest.raises(Exception):
+        strict.collect()
+
+
+def test_json_array_file(spark, tmp_path):
+    from strata.plans.api import flatten_records
+    from strata.sources.readers import read_json_records
+
+    p = tmp_path / "api_response.json"
+    p.write_text(json.dumps(API, indent=2))
+    flat, _ = flatten_records(read_json_records(spark, str(p), multi_line=True))
+    assert sorted(r.user_id for r in flat.collect()) == [101, 102, 103]
