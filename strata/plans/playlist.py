@@ -22,17 +22,20 @@ from strata.sources.readers import read_json_docs
 
 DOC_ITEMS = 50
 
+# fixed value of the document format: the key under ``external_urls`` holding the public URL
+URL_KEY = "spotify"
+
 PLAYLIST_SCHEMA = """
 playlist_id BIGINT, chunk BIGINT,
 items ARRAY<STRUCT<
   added_at: STRING,
   track: STRUCT<
     id: STRING, name: STRING, duration_ms: BIGINT, popularity: BIGINT,
-    external_urls: STRUCT<spotify: STRING>,
+    external_urls: STRUCT<{URL_KEY}: STRING>,
     artists: ARRAY<STRUCT<id: STRING, name: STRING, href: STRING>>,
     album: STRUCT<id: STRING, name: STRING, release_date: STRING, total_tracks: BIGINT,
-                  external_urls: STRUCT<spotify: STRING>, artists: ARRAY<STRUCT<id: STRING>>>>>>
-"""
+                  external_urls: STRUCT<{URL_KEY}: STRING>, artists: ARRAY<STRUCT<id: STRING>>>>>>
+""".replace("{URL_KEY}", URL_KEY)
 
 
 def fields(d: Dialect) -> dict[str, str]:
@@ -79,11 +82,11 @@ def playlist_docs(spark: SparkSession, sf: str) -> DataFrame:
                       1, f["n_artists"])
     album = F.struct(
         f["album_id"].alias("id"), f["album_name"].alias("name"), f["release_date"].alias("release_date"),
-        f["total_tracks"].alias("total_tracks"), F.struct(f["album_url"].alias("spotify")).alias("external_urls"),
+        f["total_tracks"].alias("total_tracks"), F.struct(f["album_url"].alias(URL_KEY)).alias("external_urls"),
         F.slice(F.array(F.struct(f["album_artist_id"].alias("id"))), 1, f["n_album_artists"]).alias("artists"))
     track = F.struct(
         f["track_id"].alias("id"), f["track_name"].alias("name"), f["duration_ms"].alias("duration_ms"),
-        f["popularity"].alias("popularity"), F.struct(f["track_url"].alias("spotify")).alias("external_urls"),
+        f["popularity"].alias("popularity"), F.struct(f["track_url"].alias(URL_KEY)).alias("external_urls"),
         artists.alias("artists"), album.alias("album"))
     item = F.struct(f["added_at"].alias("added_at"), track.alias("track"))
     return (rows.groupBy(F.col("l_orderkey").alias("playlist_id"),
@@ -123,7 +126,7 @@ def albums(docs: DataFrame) -> DataFrame:
     out = project(items(docs), {
         "album_id": "item.track.album.id", "name": "item.track.album.name",
         "release_date": "item.track.album.release_date", "total_tracks": "item.track.album.total_tracks",
-        "url": "item.track.album.external_urls.spotify"})
+        "url": f"item.track.album.external_urls.{URL_KEY}"})
     # dedup on the raw text first, then parse the (few) surviving dates
     return keep_one(out, ["album_id"]).withColumn("release_date", parse_date_lenient("release_date"))
 
@@ -140,7 +143,7 @@ def songs(docs: DataFrame) -> DataFrame:
     out = it.select(
         F.col("item.track.id").alias("song_id"), F.col("item.track.name").alias("song_name"),
         F.col("item.track.duration_ms").alias("duration_ms"),
-        F.col("item.track.external_urls.spotify").alias("url"),
+        F.col(f"item.track.external_urls.{URL_KEY}").alias("url"),
         F.col("item.track.popularity").alias("popularity"),
         iso_date(F.col("item.added_at")).alias("song_added"),
         F.col("item.track.album.id").alias("album_id"),

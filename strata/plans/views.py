@@ -1,6 +1,6 @@
 """Stand-in inputs derived from the driver tables.
 
-The reference jobs read e-commerce, sales, log, rental, API and Olympics data that
+The source jobs read e-commerce, sales, log, rental, API and Olympics data that
 the driver does not ship.  Each stand-in below is a SQL view over the driver
 tables, written once in the dialect subset Spark and DuckDB share, with a few
 hooks where they differ.  Spark builds its inputs from these texts; the DuckDB
@@ -412,8 +412,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+# dimension-sized driver tables (tens to thousands of rows per scale unit): never spread
+SMALL_TABLES = {"region", "nation", "supplier"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in SMALL_TABLES else spread(df)
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
