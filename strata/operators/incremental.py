@@ -87,8 +87,8 @@ def upsert_latest(spark: SparkSession, table: str, batch: DataFrame, keys: Seque
     (ties broken on all columns) wins.  Writes a new version, then returns it."""
     current = read_current(spark, table)
     merged = batch if current is None else current.unionByName(batch)
-    commit_version(spark, latest_per_key(merged, keys, order), table)
-    return read_current(spark, table)
+    v = commit_version(spark, latest_per_key(merged, keys, order), table)
+    return spark.read.parquet(f"{table}/v={v}")
 
 
 def scd2(history: DataFrame, keys: Sequence[str], valid_from: str,

@@ -38,7 +38,7 @@ PATTERNS = {"album": ".*album_transformed.*[.]csv", "artist": ".*artist_transfor
 def publish_playlist(spark: SparkSession, sf: str, tables=("album", "artist", "songs")) -> str:
     """albums / artists / songs as CSV under ``<root>/<table>/<name>_transformed_<date>/``."""
     root = scratch_path(spark, "transformed_data")
-    docs = P.load_docs(spark, sf, bronze=len(tables) > 1)
+    docs = P.load_docs(spark, sf, bronze=len(tables) > 2)
     builders = {"album": (P.albums, "album_transformed"), "artist": (P.artists, "artist_transformed"),
                 "songs": (P.songs, "song_transformed")}
     for name in tables:

@@ -1,9 +1,10 @@
 """Sinks: overwrite, append, CSV publishing, truncate, and versioned (staged) tables.
 
 A table is never overwritten while it is an input of the same job.  Versioned
-tables write each new state to ``<table>/v=<n>`` and then move a one-row
-pointer (``<table>/_pointer``); readers resolve the pointer, so a failed write
-never exposes a half-written state and the previous version stays readable.
+tables write each new state to ``<table>/v=<n>`` and then append ``n`` to an
+append-only pointer (``<table>/_pointer``); readers take the highest committed
+version, so a failed write never exposes a half-written state and the previous
+version stays readable.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.obt import fits_broadcast
@@ -58,12 +60,12 @@ def truncate(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "p
 # ---------------------------------------------------------------- versioned tables
 
 def current_version(spark: SparkSession, table: str) -> int | None:
-    """The committed version number (one scalar), or None for a new table."""
+    """The highest committed version number (one scalar), or None for a new table."""
     try:
-        row = spark.read.parquet(f"{table}/_pointer").first()
+        row = spark.read.parquet(f"{table}/_pointer").agg(F.max("version")).first()
     except Exception:  # no pointer yet
         return None
-    return None if row is None else int(row[0])
+    return None if row is None or row[0] is None else int(row[0])
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame | None:
@@ -73,8 +75,14 @@ def read_current(spark: SparkSession, table: str) -> DataFrame | None:
 
 def commit_version(spark: SparkSession, df: DataFrame, table: str,
                    partition_by: Sequence[str] | None = None) -> int:
-    """Write ``df`` as the next version, then move the pointer to it."""
+    """Write ``df`` as the next version, then record it in the pointer.
+
+    The pointer is append-only (one tiny file per commit; the current version is
+    the highest recorded), so no crash can leave it missing or half-written.  A
+    version folder left by a crashed write is never referenced and is simply
+    overwritten by the next commit.
+    """
     v = (current_version(spark, table) or 0) + 1
     write_overwrite(df, f"{table}/v={v}", partition_by=partition_by)
-    spark.createDataFrame([(v,)], "version INT").write.mode("overwrite").parquet(f"{table}/_pointer")
+    spark.createDataFrame([(v,)], "version INT").coalesce(1).write.mode("append").parquet(f"{table}/_pointer")
     return v
