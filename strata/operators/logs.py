@@ -9,7 +9,7 @@ holding a third of all lines costs one row per task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.parse import parse_ts, split_trim
@@ -57,14 +57,25 @@ def peak_hour(parsed: DataFrame) -> DataFrame:
 
 
 def summary(lines: DataFrame, col: str = "value") -> DataFrame:
-    """One row: total errors, days with errors, rejected lines, peak hour and its count."""
-    tagged = error_lines(lines, col)
-    totals = tagged.agg(
-        F.count_if(F.col("ts").isNotNull()).alias("total_errors"),
-        F.count_distinct(F.when(F.col("ts").isNotNull(), F.to_date("ts"))).alias("error_days"),
-        F.count_if(F.col("ts").isNull()).alias("rejected_lines"),
+    """One row: total errors, days with errors, rejected lines, peak hour and its count.
+
+    One scan: the lines are aggregated per (day, hour) (rejects form the NULL
+    slot); per-hour totals are a window over that small aggregate (at most
+    days x 24 rows), and a single global aggregate derives every figure; the
+    peak hour is the ``max_by`` of (errors, earliest first sighting, lowest hour).
+    """
+    by_slot = (error_lines(lines, col)
+               .groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hour"))
+               .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_seen")))
+    w = Window.partitionBy("hour")
+    slots = by_slot.withColumns({"hour_n": F.sum("n").over(w), "hour_first": F.min("first_seen").over(w)})
+    ok = F.col("day").isNotNull()
+    rank_key = F.when(ok, F.struct(F.col("hour_n"), -F.unix_micros(F.col("hour_first").cast("timestamp")),
+                                   -F.col("hour")))
+    return slots.agg(
+        F.coalesce(F.sum(F.when(ok, F.col("n"))), F.lit(0)).alias("total_errors"),
+        F.count_distinct(F.col("day")).alias("error_days"),
+        F.coalesce(F.sum(F.when(~ok, F.col("n"))), F.lit(0)).alias("rejected_lines"),
+        F.max_by(F.col("hour"), rank_key).alias("peak_hour"),
+        F.max(F.when(ok, F.col("hour_n"))).alias("peak_count"),
     )
-    peak = peak_hour(tagged.where(F.col("ts").isNotNull()))
-    # the top-1 row enters as two scalar subqueries (NULL when there are no errors)
-    return totals.withColumns({"peak_hour": peak.select("peak_hour").scalar(),
-                               "peak_count": peak.select("peak_count").scalar()})

@@ -25,7 +25,12 @@ def tax_checks(raw: DataFrame):
 
 
 def clean_with_tax(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean rows with ``date`` as a date and ``total_with_tax``, rejects with a reason)."""
+    """(clean rows with ``date`` as a date and ``total_with_tax``, rejects with a reason).
+
+    A missing ``amount`` or ``date`` column rejects every row (the tax job reads
+    fields with defaults); the revenue job, in contrast, fails on a missing column.
+    """
+    raw = raw.withColumns({c: F.lit(None).cast("string") for c in ("id", "amount", "date") if c not in raw.columns})
     clean, rejects = split_valid(raw, tax_checks(raw))
     clean = clean.withColumns({
         "date": parse_date("date"),

@@ -159,3 +159,13 @@ def test_json_array_file(spark, tmp_path):
     p.write_text(json.dumps(API, indent=2))
     flat, _ = flatten_records(read_json_records(spark, str(p), multi_line=True))
     assert sorted(r.user_id for r in flat.collect()) == [101, 102, 103]
+
+
+def test_missing_column_rejects_rows_in_tax_job_but_fails_revenue_job(spark):
+    import pytest
+
+    raw = _strings(spark, ["id", "date", "item"], [("1", "2026-03-01", "Laptop")])
+    clean, rejects = clean_with_tax(raw)
+    assert clean.count() == 0 and [r.reason for r in rejects.collect()] == ["bad_amount"]
+    with pytest.raises(Exception):
+        daily_revenue(raw).collect()
