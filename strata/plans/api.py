@@ -50,7 +50,7 @@ def land_api_files(spark, sf: str) -> str:
     api = view(spark, sf, "v_api")
     (api.groupBy(F.floor(F.col("api_row") / ARRAY_CHUNK).alias("chunk"))
         .agg(F.concat(F.lit("["), F.array_join(F.collect_list("json"), ", "), F.lit("]")).alias("value"))
-        .select("value").write.text(path))
+        .select("value").write.option("compression", "gzip").text(path))
     return path
 
 

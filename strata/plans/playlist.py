@@ -97,7 +97,7 @@ def playlist_docs(spark: SparkSession, sf: str) -> DataFrame:
 def land_docs(spark: SparkSession, sf: str) -> str:
     """Raw arrival: the documents as JSON Lines files; returns their folder."""
     path = scratch_path(spark, "playlists_raw")
-    playlist_docs(spark, sf).write.json(path)
+    playlist_docs(spark, sf).write.option("compression", "lz4").json(path)
     return path
 
 

@@ -83,7 +83,8 @@ def read_json_docs(spark: SparkSession, path: str, schema: T.StructType | str,
     """JSON documents below ``path``: one per line (splittable) or one per file (``multi_line``)."""
     reader = spark.read.schema(schema).option("multiLine", multi_line)
     if suffix:
-        reader = reader.option("pathGlobFilter", f"*{suffix}")
+        # plain or compressed (``part-….json.gz``) files
+        reader = reader.option("pathGlobFilter", f"*{suffix}{{,.gz,.bz2,.deflate,.lz4,.snappy}}")
     return reader.json(path)
 
 
