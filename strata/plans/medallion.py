@@ -268,42 +268,44 @@ FULL OUTER JOIN sellers_s s ON coalesce(u.country, c.country, b.country) = s.cou
 """, "v_users", "v_countries", "v_buyers", "v_sellers", extra=_SILVER_CTES)
 
 
-@query("users_silver", with_views(SQL_USERS_SILVER, "v_users"))
+@query("users_silver", with_views(SQL_USERS_SILVER, "v_users"), USER_DEC_COLS)
 def q_users_silver(spark, sf):
     return users_silver(view(spark, sf, "v_users"))
 
 
-@query("buyers_silver", with_views(SQL_BUYERS_SILVER, "v_buyers"))
+@query("buyers_silver", with_views(SQL_BUYERS_SILVER, "v_buyers"), BUYER_DEC_COLS)
 def q_buyers_silver(spark, sf):
     return buyers_silver(view(spark, sf, "v_buyers"))
 
 
 @query("sellers_silver", with_views("SELECT * FROM sellers_s", "v_sellers",
-                                    extra={"sellers_typed": SQL_SELLERS_TYPED, "sellers_s": SQL_SELLERS_SILVER}))
+                                    extra={"sellers_typed": SQL_SELLERS_TYPED, "sellers_s": SQL_SELLERS_SILVER}),
+       SELLER_DEC_COLS)
 def q_sellers_silver(spark, sf):
     return sellers_silver(view(spark, sf, "v_sellers"))
 
 
-@query("countries_silver", with_views(SQL_COUNTRIES_SILVER, "v_countries"))
+@query("countries_silver", with_views(SQL_COUNTRIES_SILVER, "v_countries"), COUNTRY_DEC_COLS)
 def q_countries_silver(spark, sf):
     return countries_silver(view(spark, sf, "v_countries"))
 
 
 @query("cast_by_spec", with_views(
-    f"SELECT country, {_typed(COUNTRY_INT_COLS, COUNTRY_DEC_COLS, False)} FROM v_countries", "v_countries"))
+    f"SELECT country, {_typed(COUNTRY_INT_COLS, COUNTRY_DEC_COLS, False)} FROM v_countries", "v_countries"),
+    COUNTRY_DEC_COLS)
 def q_cast_by_spec(spark, sf):
     return cast_by_spec(view(spark, sf, "v_countries"), {"int": COUNTRY_INT_COLS, DEC: COUNTRY_DEC_COLS})
 
 
 @query("impute_mean", with_views(
     "SELECT country, sex, meansellerpassrate FROM sellers_s", "v_sellers",
-    extra={"sellers_typed": SQL_SELLERS_TYPED, "sellers_s": SQL_SELLERS_SILVER}))
+    extra={"sellers_typed": SQL_SELLERS_TYPED, "sellers_s": SQL_SELLERS_SILVER}), ["meansellerpassrate"])
 def q_impute_mean(spark, sf):
     typed = cast_by_spec(view(spark, sf, "v_sellers"), {DEC: ["meansellerpassrate"]})
     typed = typed.withColumns({"country": F.initcap("country"), "sex": F.upper("sex")})
     return impute_mean(typed, ["meansellerpassrate"]).select("country", "sex", "meansellerpassrate")
 
 
-@query("gold_user_obt", SQL_GOLD)
+@query("gold_user_obt", SQL_GOLD, ["Sellers_MeanProductsSold", "Sellers_MeanProductsListed"])
 def q_gold_user_obt(spark, sf):
     return gold_user_obt(*silver_tables(spark, sf))

@@ -121,7 +121,7 @@ def q_ingest_ledger(spark, sf):
     return ledger(s.read(), label=r"/day=([0-9-]+)/").withColumnRenamed("source", "day")
 
 
-@query("stream_users_medallion", with_views(M.SQL_USERS_SILVER, "v_users"))
+@query("stream_users_medallion", with_views(M.SQL_USERS_SILVER, "v_users"), M.USER_DEC_COLS)
 def q_stream_users_medallion(spark, sf):
     """Users files -> stream into bronze -> silver rules -> gold copy (schema replaced)."""
     users = view(spark, sf, "v_users")
