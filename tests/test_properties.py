@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedup import keep_one
 from strata.operators.incremental import new_rows, upsert_latest
-from strata.operators.obt import outer_chain
 from strata.operators.validate import split_valid
 from strata.operators.windows import neighbours, running_sum
 from strata.plans import medallion as M
@@ -77,3 +76,12 @@ def test_bucketed_neighbours_equal_plain(spark):
     plain = neighbours(o, ["o_custkey"], order, "o_orderkey", "p", "n")
     split = neighbours(o, ["o_custkey"], order, "o_orderkey", "p", "n", bucket=F.year("o_orderdate"))
     assert same(plain, split)
+
+
+def test_outer_chain_with_a_hot_key(spark):
+    """A third of the users in one country: the broadcast rewrite still equals the plain chain."""
+    users, countries, buyers, sellers = M.silver_tables(spark, SF_CHECK)
+    hot = users.withColumn("country", F.when(F.col("user_id") % 3 == 0, F.lit("Nation_1"))
+                           .otherwise(F.col("country")))
+    plain = M.gold_user_obt(hot, countries, buyers, sellers, force="plain")
+    assert same(M.gold_user_obt(hot, countries, buyers, sellers), plain)
