@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import materialize
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -69,6 +71,8 @@ def outer_chain(base: DataFrame, dims: Sequence[DataFrame], key: str,
     dim = dims[0]
     for d in dims[1:]:
         dim = dim.join(d, on=key, how="full_outer")
+    if force is None:
+        dim = materialize(dim)  # computed once for both the size check and the join
     use_broadcast = force == "broadcast" or (force is None and fits_broadcast(dim, max_broadcast_bytes))
     side = F.broadcast(dim) if use_broadcast else dim
     left = base.join(side, on=key, how="left")
