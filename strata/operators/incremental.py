@@ -9,6 +9,7 @@ the comparison reach the Parquet scan as a pushed filter.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from strata.operators.dedup import latest_per_key
 from strata.operators.windows import neighbours
-from strata.sources.sinks import commit_version, read_current, write_append
+from strata.sources.sinks import write_append
 
 FIRST_MARK = "1900-01-01 00:00:00"
 
@@ -81,14 +82,65 @@ def append_new(spark: SparkSession, source: DataFrame, target_path: str, col: st
     write_append(new_rows(source, target, col), target_path)
 
 
+DEFAULT_BUCKETS = 16
+
+
+def read_merged(spark: SparkSession, table: str) -> DataFrame | None:
+    """The live rows of a keyed table written by ``upsert_latest`` (None before the first merge).
+
+    The live ``(bucket, version)`` pairs come from the append-only pointer: at most
+    ``buckets`` small values, read once and turned into a filter on the partition
+    columns, so Spark lists and reads only live folders (static partition pruning).
+    """
+    try:
+        pointer = spark.read.parquet(f"{table}/_pointer")
+        data = spark.read.parquet(f"{table}/data")
+    except Exception:  # nothing committed yet
+        return None
+    live = [f"{r.kb}:{r.v}" for r in pointer.groupBy("kb").agg(F.max("v").alias("v")).collect()]
+    tag = F.concat_ws(":", F.col("kb").cast("string"), F.col("v").cast("string"))
+    cols = [c for c in data.columns if c not in ("kb", "v")]
+    return data.where(tag.isin(live)).select(*cols)
+
+
 def upsert_latest(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
-                  order: Sequence[str]) -> DataFrame:
-    """Merge ``batch`` into the versioned table ``table``: per key the latest row by ``order``
-    (ties broken on all columns) wins.  Writes a new version, then returns it."""
-    current = read_current(spark, table)
-    merged = batch if current is None else current.unionByName(batch)
-    v = commit_version(spark, latest_per_key(merged, keys, order), table)
-    return spark.read.parquet(f"{table}/v={v}")
+                  order: Sequence[str], buckets: int = DEFAULT_BUCKETS, bucket_by=None) -> DataFrame:
+    """Merge ``batch`` into ``table``: per key the latest row by ``order`` (ties broken on
+    all columns) wins.  Returns the live table afterwards.
+
+    Only the key buckets the batch touches are read and rewritten: rows live under
+    ``data/kb=<bucket>/v=<version>``; the merge keeps one row per key over the
+    touched buckets' live rows plus the batch, writes each touched bucket as one
+    new version folder (one task per bucket), and only then appends
+    ``(bucket, version)`` to the pointer.  A crash before that leaves an
+    unreferenced folder; readers never see a half-written merge.
+
+    Buckets are a hash of the key by default: a batch with fewer keys than
+    buckets rewrites only their buckets.  ``bucket_by`` may name a column that
+    never changes for a key (a booking date, a region) so that time-clustered
+    batches touch few buckets whatever their size.  ``buckets`` is a per-table
+    constant; size it so a bucket holds about a file's worth of data.
+    """
+    keys = list(keys)
+    basis = [F.col(bucket_by)] if bucket_by else [F.col(k) for k in keys]
+    kb = F.pmod(F.xxhash64(*basis), F.lit(buckets)).cast("int")
+    incoming = batch.withColumn("kb", kb)
+    touched = incoming.select("kb").distinct()
+    current = read_merged(spark, table)
+    if current is not None:
+        current_touched = current.withColumn("kb", kb).join(F.broadcast(touched), "kb", "left_semi")
+        incoming = current_touched.unionByName(incoming)
+    merged = latest_per_key(incoming, keys, order)
+    try:
+        last = spark.read.parquet(f"{table}/_pointer").agg(F.max("v")).first()[0] or 0
+    except Exception:
+        last = 0
+    version = max(int(time.time() * 1000), int(last) + 1)
+    (merged.repartition(buckets, "kb").withColumn("v", F.lit(version))
+        .write.mode("append").partitionBy("kb", "v").parquet(f"{table}/data"))
+    (touched.withColumn("v", F.lit(version)).coalesce(1)
+        .write.mode("append").parquet(f"{table}/_pointer"))
+    return read_merged(spark, table)
 
 
 def scd2(history: DataFrame, keys: Sequence[str], valid_from: str,

@@ -41,8 +41,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set only where unset."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:  # no shared folder configured (a laptop, a test): a fresh local one
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
+    if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(a machine-local temporary folder would not survive executor loss)")
+        root = tempfile.mkdtemp(prefix="strata-ckpt-")  # local session without one (a laptop, a test)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -85,3 +85,16 @@ def test_outer_chain_with_a_hot_key(spark):
                            .otherwise(F.col("country")))
     plain = M.gold_user_obt(hot, countries, buyers, sellers, force="plain")
     assert same(M.gold_user_obt(hot, countries, buyers, sellers), plain)
+
+
+def test_upsert_rewrites_only_touched_buckets(spark):
+    b = bookings_silver(view(spark, SF_SMALL, "v_bookings"))
+    t = scratch_path(spark, "prop_upsert_buckets")
+    upsert_latest(spark, t, b, ["booking_id"], ["created_at"], buckets=16)
+    one = b.orderBy("booking_id").limit(1).withColumn("booking_status", F.lit("changed")) \
+        .withColumn("created_at", F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'"))
+    after = upsert_latest(spark, t, one, ["booking_id"], ["created_at"], buckets=16)
+    pointer = spark.read.parquet(f"{t}/_pointer")
+    assert pointer.count() == 16 + 1                      # only one bucket got a new version
+    assert after.where(F.col("booking_status") == "changed").count() == 1
+    assert after.count() == b.select("booking_id").distinct().count()
