@@ -19,8 +19,7 @@ from strata.plans.registry import query
 from strata.plans.views import table, with_views
 from strata.session import scratch_path
 from strata.sources.readers import (
-    bulk_load_csv, file_manifest, length_violations, read_by_path_regex, read_csv_strings,
-    read_csv_typed, read_parquet,
+    bulk_load_csv, file_manifest, length_violations, read_csv_strings, read_csv_typed, read_parquet,
 )
 from strata.sources.sinks import publish_csv_dated, truncate, write_overwrite
 
@@ -49,22 +48,7 @@ def publish_playlist(spark: SparkSession, sf: str, tables=("album", "artist", "s
 
 def load_by_pattern(spark: SparkSession, root: str, pattern: str, ddl: str) -> DataFrame:
     """Bulk load: files below ``root`` matching ``pattern`` into the typed layout ``ddl``."""
-    schema = T.StructType.fromDDL(ddl)
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    matching = read_by_path_regex(spark, root, pattern, "csv", text_schema, header=True, enforceSchema=True)
-    return _typed_from_text(matching, schema)
-
-
-def _typed_from_text(raw: DataFrame, schema: T.StructType,
-                     null_tokens=("NULL", "null")) -> DataFrame:
-    exprs = {}
-    for f in schema.fields:
-        c = F.col(f.name)
-        is_null = c.isin(*null_tokens) | (c == F.lit(""))
-        target = T.StringType() if isinstance(f.dataType, (T.VarcharType, T.CharType)) else f.dataType
-        value = c if isinstance(target, T.StringType) else c.try_cast(target)
-        exprs[f.name] = F.when(is_null, F.lit(None).cast(target)).otherwise(value)
-    return raw.withColumns(exprs)
+    return bulk_load_csv(spark, root, ddl, pattern=pattern)
 
 
 def load_counts(spark: SparkSession, root: str) -> DataFrame:

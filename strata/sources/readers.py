@@ -43,27 +43,34 @@ def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | No
     return reader.csv(path)
 
 
-def bulk_load_csv(spark: SparkSession, path: str, schema: T.StructType,
+def bulk_load_csv(spark: SparkSession, path: str, schema: T.StructType | str,
                   null_tokens: Sequence[str] = ("NULL", "null"), empty_as_null: bool = True,
-                  skip_header: bool = True, **options) -> DataFrame:
+                  skip_header: bool = True, pattern: str | None = None, **options) -> DataFrame:
     """Load CSV into a typed table, columns matched **by position**.
 
     Fields equal to a null token (and empty fields) become NULL; every other
     field is converted with ``try_cast`` to the declared type (NULL if it does
-    not convert).  Over-length text is checked separately (see ``length_violations``).
+    not convert; VARCHAR(n) stays text, see ``length_violations``).  With
+    ``pattern``, only files below ``path`` whose full path matches are loaded.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.options(header=skip_header, enforceSchema=True, **options)
-           .schema(text_schema).csv(path))
+    opts = dict(header=skip_header, enforceSchema=True, **options)
+    if pattern:
+        raw = read_by_path_regex(spark, path, pattern, "csv", text_schema, **opts)
+    else:
+        raw = spark.read.options(**opts).schema(text_schema).csv(path)
     exprs = {}
     for f in schema.fields:
         c = F.col(f.name)
         is_null = c.isin(*null_tokens) if null_tokens else F.lit(False)
         if empty_as_null:
             is_null = is_null | (c == F.lit(""))
-        value = c if isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType)) \
-            else c.try_cast(f.dataType)
-        exprs[f.name] = F.when(is_null, F.lit(None).cast(f.dataType)).otherwise(value)
+        text = isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType))
+        target = T.StringType() if text else f.dataType
+        value = c if text else c.try_cast(target)
+        exprs[f.name] = F.when(is_null, F.lit(None).cast(target)).otherwise(value)
     return raw.withColumns(exprs)
 
 
