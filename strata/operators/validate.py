@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REASON = "_reject_reason"
@@ -33,10 +33,16 @@ def split_valid(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> tuple[Da
     return clean, rejects
 
 
-def write_split(tagged: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One job writes ``status=clean`` and ``status=reject`` folders."""
-    (tagged.withColumn("status", F.when(F.col(REASON).isNull(), "clean").otherwise("reject"))
-        .write.mode("overwrite").partitionBy("status").format(fmt).save(path))
+def write_split(tagged: DataFrame, path: str, fmt: str = "parquet") -> dict:
+    """One job writes ``status=clean`` and ``status=reject`` folders and returns the
+    row counts, observed while writing (no second pass over the input)."""
+    obs = Observation("split_counts")
+    out = tagged.withColumn("status", F.when(F.col(REASON).isNull(), "clean").otherwise("reject"))
+    out = out.observe(obs, F.count(F.lit(1)).alias("total_rows"),
+                      F.count_if(F.col(REASON).isNull()).alias("valid_rows"),
+                      F.count_if(F.col(REASON).isNotNull()).alias("rejected_rows"))
+    out.write.mode("overwrite").partitionBy("status").format(fmt).save(path)
+    return obs.get
 
 
 def counters(tagged: DataFrame) -> DataFrame:

@@ -118,7 +118,8 @@ def q_ingest_ledger(spark, sf):
     s = Landing(spark, "events_ledger")
     s.land(ev, by_day="ts")
     s.run(ev.schema, source_file=True)
-    return ledger(s.read(), label=r"/day=([0-9-]+)/").withColumnRenamed("source", "day")
+    return (ledger(s.read(), label=r"/day=([0-9-]+)/")
+            .select(F.col("source").alias("day"), "row_count"))  # first_seen is a wall-clock time
 
 
 @query("stream_users_medallion", with_views(M.SQL_USERS_SILVER, "v_users"), M.USER_DEC_COLS)

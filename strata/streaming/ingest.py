@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SOURCE_FILE = "_source_file"
+INGESTED_AT = "_ingested_at"
 DEFAULT_TIMEOUT_S = 1800
 
 
@@ -46,7 +47,9 @@ def ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(source_dir)
     if source_file:
-        stream = stream.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        # the micro-batch's timestamp, so the ledger can tell when each file was taken
+        stream = stream.withColumns({SOURCE_FILE: F.col("_metadata.file_path"),
+                                     INGESTED_AT: F.current_timestamp()})
     query = (stream.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
@@ -64,10 +67,12 @@ def read_ingested(spark: SparkSession, table_dir: str, merge_schema: bool = Fals
 
 
 def ledger(ingested: DataFrame, label: str | None = None) -> DataFrame:
-    """Per source file (or per ``label`` regex group of its path): rows ingested.
+    """Per source file (or per ``label`` regex group of its path): rows ingested and
+    when the first of them was taken.
 
     The file path travels with the rows, so the ledger is an aggregate of the
     table itself: it cannot disagree with what was loaded.
     """
     key = F.col(SOURCE_FILE) if label is None else F.regexp_extract(SOURCE_FILE, label, 1)
-    return ingested.groupBy(key.alias("source")).agg(F.count(F.lit(1)).alias("row_count"))
+    return ingested.groupBy(key.alias("source")).agg(F.count(F.lit(1)).alias("row_count"),
+                                                     F.min(INGESTED_AT).alias("first_seen"))

@@ -98,3 +98,13 @@ def test_upsert_rewrites_only_touched_buckets(spark):
     assert pointer.count() == 16 + 1                      # only one bucket got a new version
     assert after.where(F.col("booking_status") == "changed").count() == 1
     assert after.count() == b.select("booking_id").distinct().count()
+
+
+def test_split_write_observes_counts_in_the_same_job(spark):
+    from strata.operators.validate import tag_rejects, write_split
+
+    raw = view(spark, SF_SMALL, "v_raw_sales")
+    path = scratch_path(spark, "split")
+    counts = write_split(tag_rejects(raw, tax_checks(raw)), path)
+    assert counts["total_rows"] == raw.count() == counts["valid_rows"] + counts["rejected_rows"]
+    assert spark.read.parquet(path).where("status = 'reject'").count() == counts["rejected_rows"]
