@@ -405,11 +405,13 @@ def spread(df: DataFrame) -> DataFrame:
     step in a single task.  Inputs that already have enough partitions, as any
     large table does, are returned untouched: no extra shuffle at scale.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        # hash on the leading (key) column: deterministic on retry, no pre-sort needed
-        return df.repartition(slots, df.columns[0])
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        few = df.rdd.getNumPartitions() < slots
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave it
+        return df
+    # hash on the leading (key) column: deterministic on retry, no pre-sort needed
+    return df.repartition(slots, df.columns[0]) if few else df
 
 
 # dimension-sized driver tables (tens to thousands of rows per scale unit): never spread
@@ -423,7 +425,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
     """Expose driver parquet files as temp views for the stand-in SQL (once per session and folder)."""
-    app = spark.sparkContext.applicationId
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: key by the session object
+        app = str(id(spark))
     for t in names:
         if _REGISTERED.get((app, t)) == sf_dir:
             continue

@@ -39,8 +39,14 @@ def get_session(master: str | None = None, app: str = "strata", conf: dict | Non
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set only where unset."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the context; the setting must exist
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return root.rstrip("/")
+    root = root or sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
