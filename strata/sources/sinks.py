@@ -41,6 +41,16 @@ def publish_csv(df: DataFrame, path: str, single_file: bool = False, header: boo
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
+def publish_sorted_csv(df: DataFrame, path: str, order: Sequence[str], header: bool = True,
+                       max_single_file_bytes: int = SINGLE_FILE_MAX_BYTES) -> None:
+    """A summary CSV sorted by ``order``: one file when small, otherwise range-partitioned
+    part files whose names follow the sort order (no single task sorts everything)."""
+    sorted_df = df.orderBy(*order)
+    if fits_broadcast(df, max_single_file_bytes):
+        sorted_df = sorted_df.coalesce(1)
+    sorted_df.write.mode("overwrite").option("header", header).csv(path)
+
+
 def dated_path(base: str, name: str, run_date: str, stem: str | None = None) -> str:
     """``<base>/<name>/<stem>_<YYYY-MM-DD>`` (run date is a parameter, never the clock)."""
     return f"{base.rstrip('/')}/{name}/{stem or name}_{run_date}"

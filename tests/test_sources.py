@@ -66,3 +66,14 @@ def test_versioned_table_pointer(spark):
     commit_version(spark, spark.range(3), t)
     commit_version(spark, spark.range(5), t)
     assert current_version(spark, t) == 2 and read_current(spark, t).count() == 5
+
+
+def test_sorted_summary_csv(spark):
+    from strata.sources.sinks import publish_sorted_csv
+
+    df = spark.createDataFrame([("2026-03-04", 300.0), ("2026-03-03", 401.0)], "Date STRING, Total DOUBLE")
+    path = scratch_path(spark, "summary")
+    publish_sorted_csv(df, path, ["Date"])
+    files = sorted(glob.glob(os.path.join(local_path(path), "part-*.csv")))
+    lines = open(files[0]).read().splitlines()
+    assert len(files) == 1 and lines == ["Date,Total", "2026-03-03,401.0", "2026-03-04,300.0"]
