@@ -53,15 +53,28 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> b
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+DEFAULT_MAX_FANOUT = 64
+
+
+def max_rows_per_key(df: DataFrame, key: str) -> int:
+    """Largest number of rows sharing one non-NULL ``key`` (0 for none)."""
+    row = df.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
 def outer_chain(base: DataFrame, dims: Sequence[DataFrame], key: str,
                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                max_fanout: int = DEFAULT_MAX_FANOUT,
                 force: str | None = None) -> DataFrame:
     """``base ⟗ dims[0] ⟗ dims[1] … USING (key)`` with the output ``key`` coalesced.
 
     Column names other than ``key`` must be unique across inputs (project and
-    alias before calling; that also prunes the scans).  ``force`` = "plain"
-    runs the literal chain (for comparison tests), "broadcast"/"shuffle" pin
-    the strategy of the rewrite.
+    alias before calling; that also prunes the scans).  Each base row meets
+    every dimension row of its key, so the dimension side must be at (near)
+    key grain: above ``max_fanout`` rows per key the join would emit all pairs
+    within a key and is refused (aggregate the dimension first).  ``force`` =
+    "plain" runs the literal chain (for comparison tests), "broadcast" /
+    "shuffle" pin the strategy of the rewrite.
     """
     if force == "plain":
         out = base
@@ -72,7 +85,11 @@ def outer_chain(base: DataFrame, dims: Sequence[DataFrame], key: str,
     for d in dims[1:]:
         dim = dim.join(d, on=key, how="full_outer")
     if force is None:
-        dim = materialize(dim)  # computed once for both the size check and the join
+        dim = materialize(dim)  # computed once for the checks and the join
+        fanout = max_rows_per_key(dim, key)
+        if fanout > max_fanout:
+            raise ValueError(f"{fanout} dimension rows share one {key}; aggregate the dimension "
+                             f"to key grain first (limit {max_fanout})")
     use_broadcast = force == "broadcast" or (force is None and fits_broadcast(dim, max_broadcast_bytes))
     side = F.broadcast(dim) if use_broadcast else dim
     left = base.join(side, on=key, how="left")

@@ -147,13 +147,25 @@ def _side(df: DataFrame, mapping: dict, keep_country: bool = False) -> DataFrame
     return df.select(*cols, *[F.col(k).alias(v) for k, v in mapping.items()])
 
 
+def sellers_by_country_sex(sellers: DataFrame) -> DataFrame:
+    """Sellers at (country, sex) grain: counts summed, means averaged (per-seller input)."""
+    return sellers.groupBy("country", "sex").agg(
+        F.sum("nbsellers").cast("int").alias("nbsellers"),
+        F.avg("meanproductssold").cast(DEC).alias("meanproductssold"),
+        F.avg("meanproductslisted").cast(DEC).alias("meanproductslisted"))
+
+
 def gold_user_obt(users: DataFrame, countries: DataFrame, buyers: DataFrame, sellers: DataFrame,
-                  force: str | None = None) -> DataFrame:
+                  force: str | None = None, pre_aggregate: bool = False) -> DataFrame:
     """users ⟗ countries ⟗ buyers ⟗ sellers USING (country).
 
     ``Country`` is the users' key (NULL for rows only the other tables have, as
-    in the source); ``country_key`` is the coalesced join key.
+    in the source); ``country_key`` is the coalesced join key.  Each user row
+    repeats once per seller row of its country (the source's grain: one per
+    sex); ``pre_aggregate`` first brings finer seller rows to that grain.
     """
+    if pre_aggregate:
+        sellers = sellers_by_country_sex(sellers)
     return outer_chain(
         _side(users, GOLD_USERS, keep_country=True),
         [_side(countries, GOLD_COUNTRIES), _side(buyers, GOLD_BUYERS), _side(sellers, GOLD_SELLERS)],

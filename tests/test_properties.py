@@ -108,3 +108,21 @@ def test_split_write_observes_counts_in_the_same_job(spark):
     counts = write_split(tag_rejects(raw, tax_checks(raw)), path)
     assert counts["total_rows"] == raw.count() == counts["valid_rows"] + counts["rejected_rows"]
     assert spark.read.parquet(path).where("status = 'reject'").count() == counts["rejected_rows"]
+
+
+def test_outer_chain_refuses_all_pairs_fanout(spark):
+    import pytest
+
+    from strata.operators.obt import outer_chain
+
+    base = spark.range(100).selectExpr("id % 2 AS k", "id AS b")
+    dim = spark.range(1000).selectExpr("id % 2 AS k", "id AS d")      # 500 rows per key
+    with pytest.raises(ValueError):
+        outer_chain(base, [dim], "k", max_fanout=64)
+
+
+def test_pre_aggregated_sellers_keep_the_grain(spark):
+    users, countries, buyers, sellers = M.silver_tables(spark, SF_CHECK)
+    per_seller = sellers.unionByName(sellers)            # twice as many rows per (country, sex)
+    gold = M.gold_user_obt(users, countries, buyers, per_seller, pre_aggregate=True)
+    assert gold.count() == M.gold_user_obt(users, countries, buyers, sellers).count()
