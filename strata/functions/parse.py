@@ -6,6 +6,8 @@ and ``2026-3-1``), like Python's ``strptime`` that the source jobs used.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,9 +21,28 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# ``yyyy-M-d H:m:s`` and ``yyyy-M-d`` as anchored patterns: 1-2 digit parts, nothing around them
+_TS_RE = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) ([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$"
+_DATE_RE = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$"
+_MONTH_RE = r"^([0-9]{4})-([0-9]{1,2})$"
+_YEAR_RE = r"^([0-9]{4})$"
+
+
+def _parts(c: Column, regex: str, n: int) -> list[Column]:
+    return [F.regexp_extract(c, regex, i).try_cast("int") for i in range(1, n + 1)]
+
+
 def parse_ts(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
-    """Text -> timestamp_ntz; malformed text -> NULL."""
-    return F.try_to_timestamp(_c(c), F.lit(pattern)).cast("timestamp_ntz")
+    """Text -> timestamp_ntz; malformed text (or an impossible date) -> NULL.
+
+    The default pattern is read by parts, which is independent of the session
+    time zone; other patterns go through ``try_to_timestamp`` in that zone.
+    """
+    c = _c(c)
+    if pattern != TS_PATTERN:
+        return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+    y, mo, d, h, mi, s = _parts(c, _TS_RE, 6)
+    return F.when(c.rlike(_TS_RE), F.try_make_timestamp_ntz(y, mo, d, h, mi, s))
 
 
 def parse_ts_strict(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
@@ -29,9 +50,23 @@ def parse_ts_strict(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
     return F.to_timestamp_ntz(_c(c), F.lit(pattern))
 
 
+def _date_by_parts(c: Column, regex: str, n: int) -> Column:
+    parts = _parts(c, regex, n) + [F.lit(1)] * (3 - n)   # missing month / day -> 1
+    zero = F.lit(0)
+    return F.to_date(F.when(c.rlike(regex), F.try_make_timestamp_ntz(*parts, zero, zero, zero)))
+
+
 def parse_date(c: ColumnOrName, pattern: str = DATE_PATTERN) -> Column:
-    """Text -> date; malformed text -> NULL."""
-    return F.to_date(F.try_to_timestamp(_c(c), F.lit(pattern)))
+    """Text -> date; malformed text (or an impossible date) -> NULL.
+
+    ``yyyy-M-d``, ``yyyy-M`` and ``yyyy`` are read by parts (independent of the
+    session time zone); other patterns go through ``try_to_timestamp``.
+    """
+    c = _c(c)
+    by_parts = {DATE_PATTERN: (_DATE_RE, 3), "yyyy-M": (_MONTH_RE, 2), "yyyy": (_YEAR_RE, 1)}
+    if pattern in by_parts:
+        return _date_by_parts(c, *by_parts[pattern])
+    return F.to_date(F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz"))
 
 
 def parse_date_lenient(c: ColumnOrName) -> Column:
@@ -41,15 +76,12 @@ def parse_date_lenient(c: ColumnOrName) -> Column:
 
 
 def iso_date(c: ColumnOrName) -> Column:
-    """ISO-8601 date or timestamp text (``2024-01-03T10:00:00Z``) -> date."""
-    c = _c(c)
-    return F.coalesce(F.to_date(F.try_to_timestamp(c)), parse_date(F.substring(c, 1, 10)))
+    """ISO-8601 date or timestamp text (``2024-01-03T10:00:00Z``) -> the date as written."""
+    return _c(c).try_cast("date")
 
 
 def split_trim(c: ColumnOrName, sep: str = "|") -> Column:
     """Split on a literal separator and trim every part."""
-    import re
-
     return F.transform(F.split(_c(c), re.escape(sep)), lambda p: F.trim(p))
 
 

@@ -169,3 +169,17 @@ def test_missing_column_rejects_rows_in_tax_job_but_fails_revenue_job(spark):
     assert clean.count() == 0 and [r.reason for r in rejects.collect()] == ["bad_amount"]
     with pytest.raises(Exception):
         daily_revenue(raw).collect()
+
+
+def test_parsing_does_not_depend_on_the_session_time_zone(spark):
+    from strata.functions.parse import iso_date, parse_date, parse_date_lenient, parse_ts
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00", "2026-3-1", "2000-04-04T00:00:00Z", "1998-05")],
+                                   "a STRING, b STRING, c STRING, d STRING")
+        r = df.select(parse_ts("a"), parse_date("b"), iso_date("c"), parse_date_lenient("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert tuple(r) == (dt.datetime(2024, 3, 10, 2, 30), dt.date(2026, 3, 1), dt.date(2000, 4, 4), dt.date(1998, 5, 1))
