@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 
 import duckdb
@@ -24,15 +25,18 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.10g}")
+        return v if EXACT else float(f"{v:.10g}")
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.10g}")
+        return float(v) if EXACT else float(f"{float(v):.10g}")
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (list, tuple)):
