@@ -13,6 +13,7 @@ modulo rules on keys so that both engines produce them identically.
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass
 
@@ -399,19 +400,38 @@ _REGISTERED: dict[tuple[str, str], str] = {}
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that has fewer partitions than the session can run at once.
+    """Spread a local input file that has fewer partitions than the session can run at once.
 
-    A small fixture (one file, one row group) would otherwise run every map-side
-    step in a single task.  Inputs that already have enough partitions, as any
-    large table does, are returned untouched: no extra shuffle at scale.
+    A fixture file of several MB in one row group would otherwise run every
+    map-side step in a single task.  Inputs that already have enough partitions
+    (any large table), tiny inputs (under 1 MB) and remote inputs are returned
+    untouched: no extra shuffle at scale.
     """
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         few = df.rdd.getNumPartitions() < slots
     except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave it
         return df
+    if not few or _local_bytes(df) < SPREAD_MIN_BYTES:
+        return df
     # hash on the leading (key) column: deterministic on retry, no pre-sort needed
-    return df.repartition(slots, df.columns[0]) if few else df
+    return df.repartition(slots, df.columns[0])
+
+
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _local_bytes(df: DataFrame) -> int:
+    """Size of a local input (0 when any file is remote or unknown: then it is left as is)."""
+    total = 0
+    for f in df.inputFiles():
+        if not f.startswith("file:"):
+            return 0
+        try:
+            total += os.path.getsize(f[len("file:"):])
+        except OSError:
+            return 0
+    return total
 
 
 # dimension-sized driver tables (tens to thousands of rows per scale unit): never spread
