@@ -9,6 +9,7 @@ version stays readable.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,25 @@ from strata.operators.obt import fits_broadcast
 SINGLE_FILE_MAX_BYTES = 256 * 1024 * 1024
 
 
+def _norm_path(p: str) -> str:
+    return re.sub(r"^file:/*", "/", p).rstrip("/")
+
+
+def _reads_from(df: DataFrame, path: str) -> bool:
+    target = _norm_path(path) + "/"
+    try:
+        inputs = df.inputFiles()
+    except Exception:
+        return False
+    return any(_norm_path(f).startswith(target) for f in inputs)
+
+
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
                     partition_by: Sequence[str] | None = None, **options) -> None:
+    """Replace the table at ``path``.  A job may not overwrite a table it reads
+    (the old files would vanish mid-read): use ``commit_version`` for that."""
+    if _reads_from(df, path):
+        raise ValueError(f"{path} is an input of this write; commit a new version instead")
     w = df.write.mode("overwrite").format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)

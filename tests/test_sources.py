@@ -77,3 +77,15 @@ def test_sorted_summary_csv(spark):
     files = sorted(glob.glob(os.path.join(local_path(path), "part-*.csv")))
     lines = open(files[0]).read().splitlines()
     assert len(files) == 1 and lines == ["Date,Total", "2026-03-03,401.0", "2026-03-04,300.0"]
+
+
+def test_overwrite_of_an_input_is_refused(spark):
+    import pytest
+
+    from strata.sources.sinks import write_overwrite
+
+    path = scratch_path(spark, "self_overwrite")
+    write_overwrite(spark.range(3), path)
+    with pytest.raises(ValueError):
+        write_overwrite(spark.read.parquet(path).where("id > 0"), path)
+    assert spark.read.parquet(path).count() == 3
