@@ -156,16 +156,22 @@ def sellers_by_country_sex(sellers: DataFrame) -> DataFrame:
 
 
 def gold_user_obt(users: DataFrame, countries: DataFrame, buyers: DataFrame, sellers: DataFrame,
-                  force: str | None = None, pre_aggregate: bool = False) -> DataFrame:
+                  force: str | None = None, pre_aggregate: bool = False,
+                  normalize_key: bool = False) -> DataFrame:
     """users ⟗ countries ⟗ buyers ⟗ sellers USING (country).
 
     ``Country`` is the users' key (NULL for rows only the other tables have, as
     in the source); ``country_key`` is the coalesced join key.  Each user row
     repeats once per seller row of its country (the source's grain: one per
     sex); ``pre_aggregate`` first brings finer seller rows to that grain.
+    ``normalize_key`` title-cases the users' country for the join as the other
+    three tables already are (off by default, as in the source, where users
+    spelled differently stay unmatched).
     """
     if pre_aggregate:
         sellers = sellers_by_country_sex(sellers)
+    if normalize_key:
+        users = users.withColumn("country", F.initcap("country"))
     return outer_chain(
         _side(users, GOLD_USERS, keep_country=True),
         [_side(countries, GOLD_COUNTRIES), _side(buyers, GOLD_BUYERS), _side(sellers, GOLD_SELLERS)],

@@ -126,3 +126,10 @@ def test_pre_aggregated_sellers_keep_the_grain(spark):
     per_seller = sellers.unionByName(sellers)            # twice as many rows per (country, sex)
     gold = M.gold_user_obt(users, countries, buyers, per_seller, pre_aggregate=True)
     assert gold.count() == M.gold_user_obt(users, countries, buyers, sellers).count()
+
+
+def test_normalized_country_key_matches_more_users(spark):
+    tables = M.silver_tables(spark, SF_CHECK)
+    unmatched = lambda df: df.where(F.col("Country").isNotNull() & F.col("Countries_Sellers").isNull() &
+                                    F.col("Buyers_Total").isNull() & F.col("Sellers_Total").isNull()).count()
+    assert unmatched(M.gold_user_obt(*tables, normalize_key=True)) < unmatched(M.gold_user_obt(*tables))
