@@ -83,7 +83,15 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or list(QUERIES)
-    spark = get_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    if os.environ.get("PLAIN_SESSION") == "1":   # a bare session, as another harness might build it
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        if os.environ.get("SESSION_TZ"):
+            spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+    else:
+        spark = get_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     con = duck(sf)
     bad = 0
     for k in keys:
