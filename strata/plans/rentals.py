@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.rules import bucketize, round_product
 from strata.operators.dedup import keep_one
-from strata.operators.incremental import append_new, new_rows, scd2, upsert_latest
+from strata.operators.incremental import append_new, new_rows, scd2, typed_source, upsert_latest
 from strata.operators.obt import JoinSpec, metadata_chain
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
@@ -188,3 +188,20 @@ def q_incremental_append(spark, sf):
     append_new(spark, source, target, "updated_at")
     append_new(spark, source, target, "updated_at")  # a re-run adds nothing
     return spark.read.parquet(target)
+
+
+_PARSED = "try_strptime(updated_at, '%Y-%m-%d %H:%M:%S')"
+
+
+@query("incremental_text_source", with_views(f"""
+SELECT id, data, {_PARSED} AS updated_at FROM v_source_text
+WHERE {_PARSED} > (SELECT coalesce(max({_PARSED}), TIMESTAMP '1900-01-01 00:00:00') FROM v_source_text
+                   WHERE {_PARSED} < {_CUT})
+""", "v_source_text"))
+def q_incremental_text_source(spark, sf):
+    """A text export with malformed timestamps: those rows go to rejects (``on_bad="reject"``),
+    the rest is typed and filtered by the high-water mark of the existing history."""
+    good, _rejects = typed_source(view(spark, sf, "v_source_text"), "updated_at", on_bad="reject")
+    target = scratch_path(spark, "history_text")
+    write_overwrite(good.where(F.col("updated_at") < F.expr("TIMESTAMP_NTZ'2000-01-01 00:00:00'")), target)
+    return new_rows(good, spark.read.parquet(target), "updated_at")

@@ -275,6 +275,17 @@ FROM orders
 """
 
 
+def v_source_text(d: Dialect) -> str:
+    """The incremental source as a text export: ``yyyy-MM-dd HH:mm:ss`` strings, a few malformed."""
+    return f"""
+SELECT o_orderkey AS id, o_orderpriority AS data,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'not-a-time'
+       WHEN o_orderkey % 89 = 0 THEN {d.ts_text('o_orderdate')} || 'Z'
+       ELSE {d.ts_text('o_orderdate')} END AS updated_at
+FROM orders
+"""
+
+
 def v_api(d: Dialect) -> str:
     ck = "c_custkey"
     contact = f"""CASE WHEN {ck} % 7 = 0 THEN 'null'
@@ -388,7 +399,8 @@ FROM customer
 
 VIEWS = {
     "v_users": v_users, "v_buyers": v_buyers, "v_sellers": v_sellers, "v_countries": v_countries,
-    "v_raw_sales": v_raw_sales, "v_logs": v_logs, "v_source": v_source, "v_api": v_api,
+    "v_raw_sales": v_raw_sales, "v_logs": v_logs, "v_source": v_source, "v_source_text": v_source_text,
+    "v_api": v_api,
     "v_bookings": v_bookings, "v_listings": v_listings, "v_hosts": v_hosts,
     "v_medals": v_medals, "v_entries": v_entries, "v_tree": v_tree,
 }
