@@ -18,6 +18,7 @@ from strata.operators.obt import JoinSpec, metadata_chain
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
 from strata.session import scratch_path
+from strata.sources.readers import read_csv_strings
 from strata.sources.sinks import write_overwrite
 
 # fixed values of the source models
@@ -199,9 +200,12 @@ WHERE {_PARSED} > (SELECT coalesce(max({_PARSED}), TIMESTAMP '1900-01-01 00:00:0
                    WHERE {_PARSED} < {_CUT})
 """, "v_source_text"))
 def q_incremental_text_source(spark, sf):
-    """A text export with malformed timestamps: those rows go to rejects (``on_bad="reject"``),
+    """A CSV export with malformed timestamps: those rows go to rejects (``on_bad="reject"``),
     the rest is typed and filtered by the high-water mark of the existing history."""
-    good, _rejects = typed_source(view(spark, sf, "v_source_text"), "updated_at", on_bad="reject")
+    export = scratch_path(spark, "source_db_csv")
+    view(spark, sf, "v_source_text").write.option("header", True).csv(export)
+    source = read_csv_strings(spark, export, ["id", "data", "updated_at"]).withColumn("id", F.col("id").cast("bigint"))
+    good, _rejects = typed_source(source, "updated_at", on_bad="reject")
     target = scratch_path(spark, "history_text")
     write_overwrite(good.where(F.col("updated_at") < F.expr("TIMESTAMP_NTZ'2000-01-01 00:00:00'")), target)
     return new_rows(good, spark.read.parquet(target), "updated_at")
