@@ -411,26 +411,8 @@ VIEWS = {
 _REGISTERED: dict[tuple[str, str], str] = {}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a local input file that has fewer partitions than the session can run at once.
-
-    A fixture file of several MB in one row group would otherwise run every
-    map-side step in a single task.  Inputs that already have enough partitions
-    (any large table), tiny inputs (under 1 MB) and remote inputs are returned
-    untouched: no extra shuffle at scale.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        few = df.rdd.getNumPartitions() < slots
-    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave it
-        return df
-    if not few or _local_bytes(df) < SPREAD_MIN_BYTES:
-        return df
-    # hash on the leading (key) column: deterministic on retry, no pre-sort needed
-    return df.repartition(slots, df.columns[0])
-
-
 SPREAD_MIN_BYTES = 1 << 20
+_STAGED: dict[tuple[str, str], str | None] = {}
 
 
 def _local_bytes(df: DataFrame) -> int:
@@ -440,27 +422,58 @@ def _local_bytes(df: DataFrame) -> int:
         if not f.startswith("file:"):
             return 0
         try:
-            total += os.path.getsize(f[len("file:"):])
+            total += os.path.getsize(re.sub(r"^file:/*", "/", f))
         except OSError:
             return 0
     return total
 
 
+def _app(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: key by the session object
+        return str(id(spark))
+
+
+def spread(spark: SparkSession, path: str) -> DataFrame:
+    """Read ``path``; a local file with fewer partitions than the session's task slots
+    is first copied once (per session) into as many files under the scratch area.
+
+    A fixture file of several MB in one row group would otherwise be scanned by
+    one task, together with every filter Spark pushes into that scan.  Inputs
+    that already have enough partitions (any large table), small inputs (under
+    1 MB) and remote inputs are read as they are: nothing changes at scale.
+    """
+    key = (_app(spark), path)
+    if key not in _STAGED:
+        df = spark.read.parquet(path)
+        _STAGED[key] = None
+        try:
+            slots = spark.sparkContext.defaultParallelism
+            few = df.rdd.getNumPartitions() < slots
+        except Exception:  # no RDD view of the plan (e.g. a Spark Connect session)
+            few = False
+        if few and _local_bytes(df) >= SPREAD_MIN_BYTES:
+            from strata.session import scratch_path
+
+            copy = scratch_path(spark, "staged_input")
+            df.repartition(slots, df.columns[0]).write.parquet(copy)
+            _STAGED[key] = copy
+    return spark.read.parquet(_STAGED[key] or path)
+
+
 # dimension-sized driver tables (tens to thousands of rows per scale unit): never spread
 SMALL_TABLES = {"region", "nation", "supplier"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in SMALL_TABLES else spread(df)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.parquet(path) if name in SMALL_TABLES else spread(spark, path)
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
     """Expose driver parquet files as temp views for the stand-in SQL (once per session and folder)."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # Spark Connect: key by the session object
-        app = str(id(spark))
+    app = _app(spark)
     for t in names:
         if _REGISTERED.get((app, t)) == sf_dir:
             continue
