@@ -133,3 +133,14 @@ def test_normalized_country_key_matches_more_users(spark):
     unmatched = lambda df: df.where(F.col("Country").isNotNull() & F.col("Countries_Sellers").isNull() &
                                     F.col("Buyers_Total").isNull() & F.col("Sellers_Total").isNull()).count()
     assert unmatched(M.gold_user_obt(*tables, normalize_key=True)) < unmatched(M.gold_user_obt(*tables))
+
+
+def test_bucketed_windows_keep_null_keys_as_a_group(spark):
+    o = table(spark, SF_SMALL, "orders").select(
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("k"),
+        "o_orderkey", "o_orderdate", F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    order = ["o_orderdate", "o_orderkey"]
+    month = F.date_trunc("month", "o_orderdate")
+    assert same(running_sum(o, ["k"], order, "v", "rt"), running_sum(o, ["k"], order, "v", "rt", bucket=month))
+    assert same(neighbours(o, ["k"], order, "o_orderkey", "p", "n"),
+                neighbours(o, ["k"], order, "o_orderkey", "p", "n", bucket=month))
