@@ -195,8 +195,11 @@ def q_write_overwrite_schema(spark, sf):
 
 @query("file_manifest")
 def q_file_manifest(spark, sf):
-    """Per published table: number of CSV files and bytes, from a listing (contents never read)."""
-    root = publish_playlist(spark, sf, tables=("album", "artist"))
-    files = file_manifest(spark, root, glob="*.csv")
-    return (files.withColumn("table_name", F.regexp_extract("path", r"/([a-z]+)_transformed_", 1))
-            .groupBy("table_name").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+    """Per landing folder (the stage): number of files and bytes, from a listing (contents never read)."""
+    from strata.plans.api import land_api_files
+
+    stages = {"playlists": P.land_docs(spark, sf), "api_responses": land_api_files(spark, sf)}
+    parts = [file_manifest(spark, path).where(~F.col("path").contains("/_"))
+             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+             .select(F.lit(name).alias("stage"), "files", "bytes") for name, path in stages.items()]
+    return parts[0].unionByName(parts[1])
