@@ -183,3 +183,14 @@ def test_parsing_does_not_depend_on_the_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert tuple(r) == (dt.datetime(2024, 3, 10, 2, 30), dt.date(2026, 3, 1), dt.date(2000, 4, 4), dt.date(1998, 5, 1))
+
+
+def test_top_gold_and_gender_shares(spark):
+    from strata.plans.olympics import gender_shares, top_gold
+
+    medals = spark.createDataFrame([("B", 3), ("A", 3), ("C", 9), ("D", 1)], "TeamCountry STRING, Gold BIGINT")
+    assert [tuple(r) for r in top_gold(medals, k=3).collect()] == [("C", 9), ("A", 3), ("B", 3)]
+    entries = spark.createDataFrame([("x", "1", "3", "4"), ("y", "0", "0", "0"), ("z", "2", "2", "n/a")],
+                                    "Discipline STRING, Female STRING, Male STRING, Total STRING")
+    got = {r.Discipline: (r.Avg_Female, r.Avg_Male) for r in gender_shares(entries).collect()}
+    assert got == {"x": (0.25, 0.75), "y": (None, None), "z": (None, None)}
