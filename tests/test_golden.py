@@ -194,3 +194,27 @@ def test_top_gold_and_gender_shares(spark):
                                     "Discipline STRING, Female STRING, Male STRING, Total STRING")
     got = {r.Discipline: (r.Avg_Female, r.Avg_Male) for r in gender_shares(entries).collect()}
     assert got == {"x": (0.25, 0.75), "y": (None, None), "z": (None, None)}
+
+
+def test_rental_rules(spark):
+    from strata.plans.rentals import bookings_silver, hosts_silver, listings_silver
+
+    hosts = spark.createDataFrame([(1, "Ann Lee Jr", 96), (2, "Bo", 80), (3, "Cy", 59), (4, "Di", None)],
+                                  "host_id INT, host_name STRING, response_rate INT") \
+        .selectExpr("*", "DATE'2020-01-01' AS host_since", "true AS is_superhost",
+                    "TIMESTAMP_NTZ'2020-01-01 00:00:00' AS created_at")
+    got = {r.host_id: (r.host_name, r.response_rate_quality) for r in hosts_silver(hosts).collect()}
+    assert got == {1: ("Ann_Lee_Jr", "VERY GOOD"), 2: ("Bo", "GOOD"), 3: ("Cy", "POOR"), 4: ("Di", "POOR")}
+    listings = spark.createDataFrame([(1, 99.99), (2, 100.0), (3, 250.5)], "listing_id INT, p DOUBLE").selectExpr(
+        "listing_id", "1 AS host_id", "'t' AS property_type", "'r' AS room_type", "'c' AS city", "'k' AS country",
+        "1 AS accommodates", "1 AS bedrooms", "1 AS bathrooms", "CAST(p AS DECIMAL(10,2)) AS price_per_night",
+        "TIMESTAMP_NTZ'2020-01-01 00:00:00' AS created_at")
+    assert [r.price_per_night_tag for r in listings_silver(listings).orderBy("listing_id").collect()] == \
+        ["low", "medium", "high"]
+    bookings = spark.createDataFrame([(1, 3, "33.335", "10.00", "5.00")],
+                                     "booking_id INT, nights_booked INT, a STRING, c STRING, s STRING").selectExpr(
+        "booking_id", "7 AS listing_id", "DATE'2020-01-01' AS booking_date", "nights_booked",
+        "CAST(a AS DECIMAL(12,4)) AS booking_amount", "CAST(c AS DECIMAL(10,2)) AS cleaning_fee",
+        "CAST(s AS DECIMAL(10,2)) AS service_fee", "'confirmed' AS booking_status",
+        "TIMESTAMP_NTZ'2020-01-01 00:00:00' AS created_at")
+    assert bookings_silver(bookings).first().total_amount == 115.01   # round(3 * 33.335, 2) + 10 + 5
