@@ -72,3 +72,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                             ""), 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+@_query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.toxicity import score
+
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")) \
+        .select("doc_id", "held_out", "score", "predicted")
