@@ -80,3 +80,28 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")) \
         .select("doc_id", "held_out", "score", "predicted")
+
+
+@_query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pii import BASE, find_pii
+
+    found = find_pii(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@_query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.byte_bpe import round_trip
+
+    return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
