@@ -105,3 +105,80 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                       public_tokenizers.PATTERN)
+
+
+@_query("op5_topk", """
+WITH v AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings
+           WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     w AS (SELECT vec_id, d, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM v),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+           FROM w q JOIN w c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) r WHERE rank <= 10
+""")
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.topk import top_k
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), 10).drop("query_row")
+
+
+#: weights by path (domain, language, source); "*" matches any value, the rest weigh 1
+MIX_WEIGHTS = {("web",): 2, ("curated",): 1, ("*", "en"): 3, ("*", "*", "src0"): 2}
+MIX_SEED, MIX_EPOCHS, MIX_FRACTION = 7, 3, (4, 5)
+
+
+def mix_levels():
+    """The tree: a source whose name ends in an even digit belongs to the web, any other is curated."""
+    return {"domain": F.when(F.coalesce(F.col("source"), F.lit("")).rlike("[02468]$"), "web").otherwise("curated"),
+            "lang": F.col("lang"), "source": F.col("source")}
+
+
+def mix_oracle(docs: str, epochs: int, fraction: tuple[int, int], select: str) -> str:
+    """DuckDB text of the mix over ``docs`` (a table name), ending in ``select`` over ``picked``."""
+    def level(name, path, parent, weight):
+        keys = ", ".join(path)
+        part = "PARTITION BY " + ", ".join(path[:-1]) if len(path) > 1 else ""
+        up = f"JOIN {parent} USING ({', '.join(path[:-1])})" if len(path) > 1 else f"CROSS JOIN {parent}"
+        return f"""
+  {name}_a AS (SELECT {keys}, CAST(sum(tokens) * {epochs} AS HUGEINT) AS cap, CAST({weight} AS HUGEINT) AS w
+               FROM leaves GROUP BY {keys}),
+  {name}_b AS (SELECT a.*, budget AS b FROM {name}_a a {up} WHERE w > 0),
+  {name}_c AS (SELECT *, cap * CAST(sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS HUGEINT)
+      <= (b - CAST(coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS HUGEINT)) * w AS is_full
+      FROM {name}_b WINDOW o AS ({part} ORDER BY cap::DOUBLE / w::DOUBLE, {path[-1]})),
+  {name} AS (SELECT {keys}, CASE WHEN is_full THEN cap ELSE
+      ((b - CAST(coalesce(sum(CASE WHEN is_full THEN cap END) OVER ({part}), 0) AS HUGEINT)) * w)
+      // CAST(sum(CASE WHEN NOT is_full THEN w END) OVER ({part}) AS HUGEINT) END AS budget FROM {name}_c)"""
+
+    return f"""
+WITH docs AS (SELECT *, CASE WHEN regexp_matches(coalesce(source, ''), '[02468]$') THEN 'web' ELSE 'curated' END AS l0,
+                     coalesce(lang, '') AS l1, coalesce(source, '') AS l2,
+                     CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f\x0B]+')) AS BIGINT) AS n_tokens
+              FROM {docs}),
+  leaves AS (SELECT l0, l1, l2, sum(n_tokens) AS tokens FROM docs GROUP BY ALL),
+  root AS (SELECT CAST(sum(tokens) AS HUGEINT) * {fraction[0]} // {fraction[1]} AS budget FROM leaves),
+  {level('d0', ['l0'], 'root', "CASE WHEN l0 = 'web' THEN 2 ELSE 1 END")},
+  {level('d1', ['l0', 'l1'], 'd0', "CASE WHEN l1 = 'en' THEN 3 ELSE 1 END")},
+  {level('d2', ['l0', 'l1', 'l2'], 'd1', "CASE WHEN l2 = 'src0' THEN 2 ELSE 1 END")},
+  plan AS (SELECT l0, l1, l2, CAST(CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS BIGINT) AS whole,
+                  CASE WHEN tokens > 0 THEN budget % CAST(tokens AS HUGEINT) ELSE 0 END AS rest
+           FROM d2 JOIN leaves USING (l0, l1, l2)),
+  placed AS (SELECT *, md5('{MIX_SEED}:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+             FROM docs JOIN plan USING (l0, l1, l2)),
+  picked AS (
+    SELECT *, whole AS epoch FROM (SELECT *, sum(n_tokens) OVER (PARTITION BY l0, l1, l2 ORDER BY place) AS upto FROM placed)
+    WHERE upto <= rest
+    UNION ALL
+    SELECT *, 0 AS upto, unnest(range(whole)) AS epoch FROM placed WHERE whole > 0)
+{select}"""
+
+
+@_query("op9_mixing", mix_oracle("documents", MIX_EPOCHS, MIX_FRACTION,
+                                 "SELECT doc_id, epoch, l0 AS domain, l1 AS lang, l2 AS source, n_tokens FROM picked"))
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, fraction=MIX_FRACTION,
+               max_epochs=MIX_EPOCHS, seed=MIX_SEED).drop("rid")
