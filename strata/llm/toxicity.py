@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import fresh, staged
+from strata.llm.common import byte_views, fresh, staged
 from strata.llm.textscan import LETTER, lower_latin, prefix_hash, slices, span_hash, words
 
 BUCKETS = 1 << 20
@@ -57,19 +57,30 @@ def _tokens(raw, off):
     return row, (span_hash(prefix_hash(text), start, end) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
+def _word_sets(batches):
+    """Every document's distinct buckets, as packed 32-bit numbers."""
+    for b in batches:
+        sets = []
+        for at, end, raw, off in slices(b.column("text")):
+            row, bucket = _tokens(raw, off)
+            once = np.unique(row.astype(np.int64) * BUCKETS + bucket)
+            cut = np.searchsorted(once, np.arange(end - at + 1) * BUCKETS)
+            packed = (once % BUCKETS).astype("<u4")
+            sets += [packed[cut[i]:cut[i + 1]].tobytes() for i in range(end - at)]
+        yield pa.record_batch([b.column("k"), b.column("fold"), pa.array(sets, pa.binary())], names=["k", "fold", "words"])
+
+
 def _count(batches):
     """Per task: in how many documents each bucket occurs, by fold (0, 2) and label."""
-    counts = np.zeros((4, BUCKETS), dtype=np.int64)
+    counts = np.zeros(4 * BUCKETS, dtype=np.int64)
     docs = np.zeros(4, dtype=np.int64)
     for b in batches:
         kind = (b.column("fold").to_numpy(zero_copy_only=False) // 2) * 2 + b.column("toxic").to_numpy(zero_copy_only=False)
         docs += np.bincount(kind, minlength=4)
-        for at, end, raw, off in slices(b.column("text")):
-            row, bucket = _tokens(raw, off)
-            once = np.unique(row.astype(np.int64) * BUCKETS + bucket)
-            k = kind[at:end][once // BUCKETS]
-            for j in range(4):
-                np.add.at(counts[j], once[k == j] % BUCKETS, 1)
+        raw, off = byte_views(b.column("words"))
+        bucket = np.frombuffer(raw.tobytes(), dtype="<u4").astype(np.int64)
+        np.add.at(counts, np.repeat(kind.astype(np.int64), np.diff(off) // 4) * BUCKETS + bucket, 1)
+    counts = counts.reshape(4, BUCKETS)
     used = np.flatnonzero(counts.any(axis=0))
     yield pa.record_batch([pa.array(np.append(used, -1))] + [pa.array(np.append(counts[j][used], docs[j])) for j in range(4)],
                           names=["bucket", "c0", "c1", "c2", "c3"])
@@ -80,9 +91,11 @@ def lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     marks = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()) \
         .groupBy(F.col(id_col).alias("k")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     rows = docs.select(F.col(id_col).alias("k"), fold(id_col).cast("int").alias("fold"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")) \
-        .where(F.col("fold") != HELD_OUT).join(marks.where(fold("k") != HELD_OUT), "k").select("fold", "toxic", "text")
-    got = rows.mapInArrow(_count, "bucket long, c0 long, c1 long, c2 long, c3 long") \
+                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).where(F.col("fold") != HELD_OUT)
+    # only the word sets meet the labels, not the texts
+    sets = rows.mapInArrow(_word_sets, f"k {rows.schema['k'].dataType.simpleString()}, fold int, words binary")
+    got = sets.join(marks.where(fold("k") != HELD_OUT), "k").select("fold", "toxic", "words").mapInArrow(
+        _count, "bucket long, c0 long, c1 long, c2 long, c3 long") \
         .groupBy("bucket").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(4)]).toArrow()
     n = np.zeros((4, BUCKETS + 1), dtype=np.float64)  # the last place holds the numbers of documents
     at = got.column("bucket").to_numpy()
