@@ -89,11 +89,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
 
+    def of_kind(kind):
+        return lambda s: s["kind"] == kind
+
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     return found.select(
-        "doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE],
+        "doc_id", *[F.size(F.filter("spans", of_kind(k))).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
