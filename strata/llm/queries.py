@@ -185,3 +185,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return mix(_table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, fraction=MIX_FRACTION,
                max_epochs=MIX_EPOCHS, seed=MIX_SEED).drop("rid")
+
+
+@_query("op6_jaccard_join")
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.jaccard_join import join_similar
+
+    return join_similar(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
