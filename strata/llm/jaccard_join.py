@@ -17,14 +17,17 @@ sets form a class; classes are joined.
    forwards a key once however many of its documents have it, so a very common key is as
    small as the number of tasks.  The result is every (key, class) whose key two
    classes share.
-4. Rounds.  In the first, every class is verified against one neighbour: of the
-   classes that are least in one of its keys, the one with which it shares most.  Then
-   keys whose classes are all in one component are done.  In the other keys, all
-   pairs across components whose whole 512-bit sketches are near enough (their Hamming
-   distance bounds the symmetric difference too) are verified.  Links within a component
-   that is already joined change nothing and are not looked for.
-
-Verification compares the shingle sets of the whole texts.
+4. Rounds.  Every class is verified against one neighbour: of the classes that stand
+   for the least component in one of its keys, the one with which it shares most keys.
+   Components grow, and this is done again.  Large groups of near copies are joined here,
+   with one verification for each class and round.
+5. The rest.  Keys whose classes are all in one component are done.  In the other keys,
+   all pairs across components are tried.  Links within a component that is
+   already joined change nothing and are not looked for.
+
+Before a pair is verified, its whole parity sketches (two to four bits an element; one
+bit an element flips) are compared: their Hamming distance bounds the symmetric
+difference too.  Verification compares the shingle sets of the whole texts.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing;
 fewer than five words make one shingle; null ids are larger than none (a component's id is
@@ -48,6 +51,8 @@ from strata.llm.textscan import ASCII_LOWER, WHITE, mix, prefix_hash, slices, sp
 WIDTH = 5
 SKETCH_BITS = 512
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+#: rounds of the fourth step; what they leave, the fifth finds
+ROUNDS = 4
 #: shared keys that a task of the third step should hold at most, on average
 GROUP_KEYS = 400_000
 _WIDTH_BASE = np.uint64(0x9FB21C651E98DF25)
@@ -109,11 +114,17 @@ def signature(u: np.ndarray) -> np.ndarray:
 
 
 def parity(u: np.ndarray) -> np.ndarray:
-    """512 parity bits as 64-bit numbers."""
-    bits = (np.bincount((u & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    """Parity bits of a set, two to four for each element and 512 at least, as 64-bit numbers."""
+    size = max(SKETCH_BITS, 1 << (2 * len(u) - 1).bit_length()) if len(u) else SKETCH_BITS
+    bits = (np.bincount((u & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+def folded(sketch: np.ndarray, length: int) -> np.ndarray:
+    """The same set's sketch at a smaller power of two of 64-bit numbers."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, length), axis=0)
+
+
 def class_of(u: np.ndarray) -> int:
     """A set's 64-bit identifier."""
     return int.from_bytes(hashlib.blake2b(u.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -121,14 +132,15 @@ def class_of(u: np.ndarray) -> int:
 
 def _describe(batches):
     for b in batches:
-        n, node, sketch = [], [], []
+        n, node, sketch, short = [], [], [], []
         for _, _, raw, off in slices(b.column("_text")):
             for u in shingle_rows(raw, off):
-                n.append(len(u)), node.append(class_of(u)), sketch.append(parity(u))
-        bits = np.array(sketch, dtype=np.int64).reshape(len(n), len(SKETCH))
-        yield pa.record_batch([b.column("doc_id"), b.column("rid"), pa.array(n, pa.int64()), pa.array(node, pa.int64())]
-                              + [pa.array(bits[:, i]) for i in range(len(SKETCH))],
-                              names=["doc_id", "rid", "n_shingles", "node", *SKETCH])
+                x = parity(u)
+                n.append(len(u)), node.append(class_of(u)), sketch.append(x.tobytes()), short.append(folded(x, len(SKETCH)))
+        bits = np.array(short, dtype=np.int64).reshape(len(n), len(SKETCH))
+        yield pa.record_batch([b.column("doc_id"), b.column("rid"), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
+                               pa.array(sketch, pa.binary())] + [pa.array(bits[:, i]) for i in range(len(SKETCH))],
+                              names=["doc_id", "rid", "n_shingles", "node", "sketch", *SKETCH])
 
 
 _BLOCK = "part int, keys binary, nodes binary, told binary, told_nodes binary"
@@ -198,6 +210,19 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"key": np.concatenate([keys, told]), "node": np.concatenate([nodes, told_nodes])})
 
 
+def _close(batches):
+    """Keep the pairs whose whole sketches differ in no more bits than similar sets can."""
+    for b in batches:
+        most = (b.column("na").to_numpy() + b.column("nb").to_numpy()) // 9
+        keep = np.zeros(b.num_rows, dtype=bool)
+        for i, (x, y) in enumerate(zip(b.column("sa"), b.column("sb"))):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            size = min(len(x), len(y))
+            keep[i] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum() <= most[i]
+        kept = pa.array(keep)
+        yield pa.record_batch([b.column(c).filter(kept) for c in ("a", "b", "n")], names=["a", "b", "n"])
+
+
 def _verify(batches):
     """Keep the pairs whose texts' sets are similar."""
     for b in batches:
@@ -207,11 +232,11 @@ def _verify(batches):
         for i, (u, v) in enumerate(zip(left, right)):
             both = len(np.intersect1d(u, v, assume_unique=True))
             keep[i] = 100 * both >= 80 * (len(u) + len(v) - both)
-        yield pa.record_batch([b.column("a").filter(pa.array(keep)), b.column("b").filter(pa.array(keep))], names=["u", "v"])
+        yield pa.record_batch([b.column("a").filter(pa.array(keep)), b.column("b").filter(pa.array(keep))], names=["a", "b"])
 
 
 def near(a: str, b: str):
-    """Whether two nodes' sizes and whole sketches allow them to be similar."""
+    """Whether two nodes' sizes and folded sketches allow them to be similar."""
     distance = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH[1:]),
                    F.bit_count(F.col(f"{a}.{SKETCH[0]}").bitwiseXOR(F.col(f"{b}.{SKETCH[0]}"))))
     na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
@@ -227,7 +252,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    about = staged(rows.mapInArrow(_describe, f"doc_id {kind}, rid long, n_shingles long, node long, "
+    about = staged(rows.mapInArrow(_describe, f"doc_id {kind}, rid long, n_shingles long, node long, sketch binary, "
                                    + ", ".join(f"{s} long" for s in SKETCH)), "sets")
     filled = about.where("n_shingles > 0")
     total = filled.agg(F.sum("n_shingles")).first()[0] or 0
@@ -235,34 +260,66 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     blocks = rows.select("_text").mapInArrow(_deal(groups), _BLOCK)
     shared = staged(blocks.groupBy("part").applyInArrow(_shared, "key long, node long"), "shared")
 
-    nodes = staged(filled.groupBy("node").agg(F.min("rid").alias("rid"), *[
-        F.first(c).alias(c) for c in ("n_shingles", *SKETCH)]), "classes")
-    texts = staged(nodes.select("node", "rid").join(shared.select("node").distinct(), "node", "left_semi")
-                   .join(rows.select("rid", "_text"), "rid").select("node", "_text"), "texts")
+    rep = filled.groupBy("node").agg(F.min("rid").alias("rid"))
+    nodes = staged(shared.select("node").distinct().join(rep, "node").join(
+        filled.drop("doc_id", "node"), "rid"), "classes")
+    sizes, sketches = nodes.drop("rid", "sketch"), nodes.select("node", "n_shingles", "sketch")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs ``a, b, n`` whose whole sketches are near enough."""
+        both = pairs.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b")
+        return staged(both.select("a", "b", "n", "na", "nb", "sa", "sb").mapInArrow(_close, "a long, b long, n long"), "close")
+
+    def star(member: DataFrame, turn: int) -> DataFrame:
+        """Every class with one class of the least component in each of its keys; another one every turn."""
+        least = staged(member.groupBy("key").agg(F.min(F.struct("label", F.xxhash64("node", F.lit(turn)), "node")).alias("top"))
+                       .select("key", F.col("top.label").alias("to"), F.col("top.node").alias("a")), "least")
+        tried = member.join(least, "key").where("label <> to").groupBy("a", F.col("node").alias("b")) \
+            .agg(F.count("*").alias("n"))
+        return close(tried.join(sizes.alias("x"), F.col("a") == F.col("x.node"))
+                     .join(sizes.alias("y"), F.col("b") == F.col("y.node")).where(near("x", "y")).select("a", "b", "n"))
+
+    def across(member: DataFrame) -> DataFrame:
+        """All pairs of classes that share a key and are in different components."""
+        split = staged(member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                       .where("lo <> hi").select("key"), "open")
+        rows = staged(member.join(split, "key", "left_semi").join(sizes, "node"), "members")
+        x, y = rows.alias("x"), rows.alias("y")
+        return close(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
+                            & (F.col("x.label") != F.col("y.label")) & near("x", "y"))
+                     .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.lit(1).cast("long").alias("n")).distinct())
+
+    def labelled(member: DataFrame, links: DataFrame | None) -> DataFrame:
+        """Shared keys with every class's component so far."""
+        if links is None:
+            return member.withColumn("label", F.col("node"))
+        labels = staged(components(links.toDF("u", "v")), "labels")
+        return member.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+
+    # which classes have a near sketch at all: only their texts are needed
+    tried = star(labelled(shared, None), 0).select("a", "b")
+    tried = tried.unionByName(across(labelled(shared, tried)).select("a", "b"))
+    wanted = staged(tried.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    shared = staged(shared.join(wanted, "node", "left_semi"), "wanted-keys")
+    texts = staged(rows.select("rid", "_text").join(nodes.select("rid", "node").join(wanted, "node", "left_semi"), "rid")
+                   .select("node", "_text"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        got = pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("a_text")), "a") \
-            .join(texts.select(F.col("node").alias("b"), F.col("_text").alias("b_text")), "b")
-        return staged(got.select("a", "b", "a_text", "b_text").mapInArrow(_verify, "u long, v long"), "links")
-
-    about_node = nodes.drop("rid")
-    least = staged(shared.groupBy("key").agg(F.min("node").alias("a")), "least")
-    tried = shared.join(least, "key").where("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n"))
-    tried = tried.join(about_node.alias("x"), F.col("a") == F.col("x.node")) \
-        .join(about_node.alias("y"), F.col("b") == F.col("y.node")).where(near("x", "y")).select("a", "b", "n")
-    first = verified(tried.groupBy("b").agg(F.max(F.struct("n", "a")).alias("top")).select(F.col("top.a").alias("a"), "b"))
-
-    labels = staged(components(first), "labels")
-    member = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    split = staged(member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                   .where("lo <> hi").select("key"), "open")
-    open_rows = staged(member.join(split, "key", "left_semi").join(about_node, "node"), "members")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                   & (F.col("x.label") != F.col("y.label")) & near("x", "y")) \
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    second = verified(pairs)
-    joined = staged(components(first.unionByName(second)), "components")
+        """Texts meet their pairs once; then the two texts of a pair meet."""
+        sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")).join(texts, "node")
+        met = sides.groupBy("a", "b").agg(F.max(F.when(F.col("node") == F.col("a"), F.col("_text"))).alias("a_text"),
+                                          F.max(F.when(F.col("node") == F.col("b"), F.col("_text"))).alias("b_text"))
+        return staged(met.select("a", "b", "a_text", "b_text").mapInArrow(_verify, "a long, b long"), "links")
+
+    links = None
+    for turn in range(ROUNDS):
+        best = star(labelled(shared, links), turn).groupBy("b").agg(F.max(F.struct("n", "a")).alias("top"))
+        found = verified(best.select(F.col("top.a").alias("a"), "b"))
+        links = found if links is None else links.unionByName(found)
+        if found.isEmpty():
+            break
+    rest = verified(across(labelled(shared, links)).select("a", "b"))
+    joined = staged(components(links.unionByName(rest).toDF("u", "v")), "components")
 
     doc = about.select("doc_id", "rid", "n_shingles", "node").join(joined, "node", "left") \
         .withColumn("label", F.coalesce("label", "node"))
