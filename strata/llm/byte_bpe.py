@@ -26,6 +26,7 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_STEPS = 400_000
-MAX_PIECES = 400_000
+MAX_PIECES = 200_000
 #: longer pre-tokens are not kept whole
 KEEP_BYTES = 64
 
@@ -231,18 +232,23 @@ class Codec:
         self.merges = Merges(ranks)
         self.machine = Transducer(self.merges)
         self.split = regex.compile(pattern).findall
+        #: pre-tokens seen lately, and those seen before the last change of generations
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
         known, out = self.pieces, []
         for piece in self.split(text):
             ids = known.get(piece)
             if ids is None:
-                ids = self.machine.encode(piece.encode("utf-8"))
+                ids = self.older.get(piece)
+                if ids is None:
+                    ids = tuple(self.machine.encode(piece.encode("utf-8")))
                 if len(piece) <= KEEP_BYTES:
                     if len(known) >= MAX_PIECES:
-                        known.clear()
-                    known[piece] = tuple(ids)
+                        self.older, known = known, {}
+                        self.pieces = known
+                    known[piece] = ids
             out += ids
         return out
 
@@ -263,6 +269,8 @@ def codec(raw: bytes, pattern: str) -> Codec:
     """The worker's codec for a rank file's content and a pattern; made once."""
     key = (hashlib.sha256(raw).hexdigest(), pattern)
     if key not in _codecs:
+        # the tables below are many small objects without cycles: look for cycles seldom
+        gc.set_threshold(200_000, 50, 1000)
         _codecs[key] = Codec(load_ranks(raw), pattern)
     return _codecs[key]
 
