@@ -12,7 +12,7 @@ import numpy as np
 
 from strata.llm.common import byte_views
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _INV = pow(_BASE, -1, 1 << 64)

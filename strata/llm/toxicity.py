@@ -72,15 +72,16 @@ def _word_sets(batches):
 
 def _count(batches):
     """Per task: in how many documents each bucket occurs, by fold (0, 2) and label."""
-    counts = np.zeros(4 * BUCKETS, dtype=np.int64)
+    counts = np.zeros((4, BUCKETS), dtype=np.int64)
     docs = np.zeros(4, dtype=np.int64)
     for b in batches:
         kind = (b.column("fold").to_numpy(zero_copy_only=False) // 2) * 2 + b.column("toxic").to_numpy(zero_copy_only=False)
         docs += np.bincount(kind, minlength=4)
         raw, off = byte_views(b.column("words"))
-        bucket = np.frombuffer(raw.tobytes(), dtype="<u4").astype(np.int64)
-        np.add.at(counts, np.repeat(kind.astype(np.int64), np.diff(off) // 4) * BUCKETS + bucket, 1)
-    counts = counts.reshape(4, BUCKETS)
+        words = np.frombuffer(raw.tobytes(), dtype="<u4")
+        for k in range(4):
+            own = np.repeat(kind == k, np.diff(off) // 4)
+            np.add.at(counts[k], words[own], 1)
     used = np.flatnonzero(counts.any(axis=0))
     yield pa.record_batch([pa.array(np.append(used, -1))] + [pa.array(np.append(counts[j][used], docs[j])) for j in range(4)],
                           names=["bucket", "c0", "c1", "c2", "c3"])
