@@ -192,3 +192,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.jaccard_join import join_similar
 
     return join_similar(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@_query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
