@@ -199,3 +199,32 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+
+
+def clean_up_edits():
+    """Three edits of a clean-up pass, from the end of the text to its start: the last of several
+    lines goes, the first number before it becomes ``<num>``, and the language is put in front."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    size = F.char_length(text)
+    last = size - F.char_length(F.substring_index(text, "\n", -1))
+    at = F.regexp_instr(text, F.lit(r"[0-9]+"))
+    number = F.char_length(F.coalesce(F.regexp_substr(text, F.lit(r"[0-9]+")), F.lit("")))
+
+    def edit(start, end, new):
+        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), new.alias("text"))
+
+    return F.filter(F.array(
+        F.when(last > 0, edit(last - 1, size, F.lit(""))),
+        F.when((at > 0) & ((last == 0) | (at + number < last)), edit(at - 1, at - 1 + number, F.lit("<num>"))),
+        edit(F.lit(0), F.lit(0), F.concat(F.lit("["), F.coalesce("lang", F.lit("")), F.lit("] ")))),
+        lambda e: e.isNotNull())
+
+
+@_query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.token_counts import count_edited
+
+    docs = _table(spark, sf_dir, "documents").withColumn("edits", clean_up_edits())
+    return count_edited(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
