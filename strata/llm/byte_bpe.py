@@ -30,6 +30,7 @@ import gc
 import hashlib
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -281,30 +282,29 @@ def read_file(path: str) -> bytes:
         return f.read()
 
 
-def _encode(raw, pattern, digests: bool):
-    def run(batches):
-        import array
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return np.array(ids, dtype="<u4").tobytes()
+
 
+def _encode(raw, pattern, columns: tuple[str, ...]):
+    make = {
+        "ids": (pa.list_(pa.int32()), lambda c, ids: ids),
+        "n_tokens": (pa.int64(), lambda c, ids: len(ids)),
+        "ids_sha256": (pa.string(), lambda c, ids: hashlib.sha256(_packed(ids)).hexdigest()),
+        "decoded_sha256": (pa.string(), lambda c, ids: hashlib.sha256(c.decode(ids).encode("utf-8")).hexdigest()),
+    }
+
+    def run(batches):
         c = codec(raw.value, pattern)
         for b in batches:
-            keep = [n for n in b.schema.names if n != "_text"]
-            out = [[], [], []]
+            out: dict[str, list] = {n: [] for n in columns}
             for x in b.column("_text"):
                 ids = c.encode(x.as_py())
-                if digests:
-                    packed = array.array("I", ids)
-                    if packed.itemsize != 4 or array.array("H", [1]).tobytes() != b"\x01\x00":
-                        packed = b"".join(i.to_bytes(4, "little") for i in ids)
-                    back = c.decode(ids).encode("utf-8")
-                    out[0].append(len(ids))
-                    out[1].append(hashlib.sha256(packed).hexdigest())
-                    out[2].append(hashlib.sha256(back).hexdigest())
-                else:
-                    out[0].append(ids)
-            cols = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())] \
-                if digests else [pa.array(out[0], pa.list_(pa.int32()))]
-            yield pa.record_batch([b.column(n) for n in keep] + cols,
-                                  names=keep + (["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids"]))
+                for n in columns:
+                    out[n].append(make[n][1](c, ids))
+            yield pa.record_batch([b.column("doc_id")] + [pa.array(out[n], make[n][0]) for n in columns],
+                                  names=["doc_id", *columns])
     return run
 
 
@@ -313,11 +313,18 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     return rows, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}"
 
 
-def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, ids array<int>``."""
+_TYPES = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def _encoded(docs: DataFrame, vocab: str, pattern: str, id_col: str, text_col: str, columns: tuple[str, ...]) -> DataFrame:
     rows, kind = _rows(docs, id_col, text_col)
     raw = docs.sparkSession.sparkContext.broadcast(read_file(vocab))
-    return rows.mapInArrow(_encode(raw, pattern, False), f"{kind}, ids array<int>")
+    return rows.mapInArrow(_encode(raw, pattern, columns), ", ".join([kind, *(f"{n} {_TYPES[n]}" for n in columns)]))
+
+
+def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, ids array<int>``."""
+    return _encoded(docs, vocab, pattern, id_col, text_col, ("ids",))
 
 
 def decode(tokens: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -334,8 +341,8 @@ def decode(tokens: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def round_trip(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, ids_sha256`` (ids as little-endian 32-bit), ``decoded_sha256``."""
-    rows, kind = _rows(docs, id_col, text_col)
-    raw = docs.sparkSession.sparkContext.broadcast(read_file(vocab))
-    return rows.mapInArrow(_encode(raw, pattern, True), f"{kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def round_trip(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+               with_ids: bool = False) -> DataFrame:
+    """One row per document: ``doc_id, n_tokens, ids_sha256`` (ids as little-endian 32-bit), ``decoded_sha256``; ``ids`` if asked for."""
+    return _encoded(docs, vocab, pattern, id_col, text_col,
+                    ("n_tokens", "ids_sha256", "decoded_sha256") + ("ids",) * with_ids)
