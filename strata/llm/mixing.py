@@ -16,7 +16,7 @@ the first ``PREFIX`` hex digits of the md5 say which ranges are wholly in or out
 the one range per leaf where the budget ends is put in order.
 
 Defined cases: null level values count as empty strings, null texts have no tokens;
-documents without tokens belong to the prefix that ends with them; a null id has the md5
+documents without tokens belong to the prefix that ends with them, and an epoch of no tokens has no documents; a null id has the md5
 of an empty one; rows with equal ids in one leaf are taken together or not at all; weights
 below 0 count as 0, unnamed children weigh 1; an empty table gives an empty result;
 other columns are ignored.
@@ -117,12 +117,10 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[tuple[st
                               F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     placed = rows.join(plan, cols).withColumn("order", order).withColumn("range", F.substring("order", 1, PREFIX))
     running = Window.partitionBy(*cols).orderBy("range")
-    ranges = placed.groupBy(*cols, "range").agg(F.sum("n_tokens").alias("sum")) \
-        .withColumn("upto", F.sum("sum").over(running)).join(plan.select(*cols, "rest"), cols)
-    ranges = staged(ranges.select(*cols, "range", (F.col("upto") - F.col("sum")).alias("start"),
-                                  (F.col("upto") <= F.col("rest")).alias("inside"))
-                    .where(F.col("start") <= F.col("rest")).join(plan.select(*cols, "rest"), cols), "mix-ranges") \
-        .select(*cols, "range", "start", "inside")
+    ranges = placed.groupBy(*cols, "range", "rest").agg(F.sum("n_tokens").alias("sum")) \
+        .withColumn("upto", F.sum("sum").over(running)).withColumn("start", F.col("upto") - F.col("sum"))
+    ranges = staged(ranges.where("rest > 0 AND start <= rest")
+                    .select(*cols, "range", "start", (F.col("upto") <= F.col("rest")).alias("inside")), "mix-ranges")
     near = placed.join(ranges, [*cols, "range"])
     inside = near.where("inside").select(*rows.columns, F.col("whole").alias("epoch"))
     upto = F.col("start") + F.sum("n_tokens").over(Window.partitionBy(*cols, "range").orderBy("order"))

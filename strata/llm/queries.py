@@ -172,7 +172,7 @@ WITH docs AS (SELECT *, CASE WHEN regexp_matches(coalesce(source, ''), '[02468]$
              FROM docs JOIN plan USING (l0, l1, l2)),
   picked AS (
     SELECT *, whole AS epoch FROM (SELECT *, sum(n_tokens) OVER (PARTITION BY l0, l1, l2 ORDER BY place) AS upto FROM placed)
-    WHERE upto <= rest
+    WHERE rest > 0 AND upto <= rest
     UNION ALL
     SELECT *, 0 AS upto, unnest(range(whole)) AS epoch FROM placed WHERE whole > 0)
 {select}"""
