@@ -19,11 +19,12 @@ sets form a class; classes are joined.
    classes share.
 4. Rounds.  Every class is verified against one neighbour: of the classes that stand
    for the least component in one of its keys, the one with which it shares most keys.
-   Components grow, and this is done again.  Large groups of near copies are joined here,
-   with one verification for each class and round.
+   Components move to the least one they are linked to, and this is done again.  Large
+   groups of near copies are joined here, with one verification for each class and round.
 5. The rest.  Keys whose classes are all in one component are done.  In the other keys,
    all pairs across components are tried.  Links within a component that is
    already joined change nothing and are not looked for.
+6. Components of all links (``components``).
 
 Before a pair is verified, its whole parity sketches (two to four bits an element; one
 bit an element flips) are compared: their Hamming distance bounds the symmetric
@@ -50,9 +51,14 @@ from strata.llm.textscan import ASCII_LOWER, WHITE, mix, prefix_hash, slices, sp
 
 WIDTH = 5
 SKETCH_BITS = 512
+#: a pair of classes, the keys they share in a round, the component of ``b`` and the one of ``a``
+PAIR = ("a", "b", "n", "label", "to")
+_PAIR = ", ".join(f"{c} long" for c in PAIR)
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: rounds of the fourth step; what they leave, the fifth finds
-ROUNDS = 4
+ROUNDS = 3
+#: doublings of a component's way to its least one in a round
+HOPS = 2
 #: shared keys that a task of the third step should hold at most, on average
 GROUP_KEYS = 400_000
 _WIDTH_BASE = np.uint64(0x9FB21C651E98DF25)
@@ -210,6 +216,10 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"key": np.concatenate([keys, told]), "node": np.concatenate([nodes, told_nodes])})
 
 
+def _kept(b: pa.RecordBatch, keep: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([b.column(c).filter(pa.array(keep)) for c in PAIR], names=list(PAIR))
+
+
 def _close(batches):
     """Keep the pairs whose whole sketches differ in no more bits than similar sets can."""
     for b in batches:
@@ -219,20 +229,19 @@ def _close(batches):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             size = min(len(x), len(y))
             keep[i] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum() <= most[i]
-        kept = pa.array(keep)
-        yield pa.record_batch([b.column(c).filter(kept) for c in ("a", "b", "n")], names=["a", "b", "n"])
+        yield _kept(b, keep)
 
 
 def _verify(batches):
     """Keep the pairs whose texts' sets are similar."""
     for b in batches:
         keep = np.zeros(b.num_rows, dtype=bool)
-        left = [u for _, _, raw, off in slices(b.column("a_text")) for u in shingle_rows(raw, off)]
-        right = [u for _, _, raw, off in slices(b.column("b_text")) for u in shingle_rows(raw, off)]
+        left = (u for _, _, raw, off in slices(b.column("a_text")) for u in shingle_rows(raw, off))
+        right = (u for _, _, raw, off in slices(b.column("b_text")) for u in shingle_rows(raw, off))
         for i, (u, v) in enumerate(zip(left, right)):
             both = len(np.intersect1d(u, v, assume_unique=True))
             keep[i] = 100 * both >= 80 * (len(u) + len(v) - both)
-        yield pa.record_batch([b.column("a").filter(pa.array(keep)), b.column("b").filter(pa.array(keep))], names=["a", "b"])
+        yield _kept(b, keep)
 
 
 def near(a: str, b: str):
@@ -266,60 +275,63 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sizes, sketches = nodes.drop("rid", "sketch"), nodes.select("node", "n_shingles", "sketch")
 
     def close(pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b, n`` whose whole sketches are near enough."""
+        """Pairs whose whole sketches are near enough."""
         both = pairs.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b")
-        return staged(both.select("a", "b", "n", "na", "nb", "sa", "sb").mapInArrow(_close, "a long, b long, n long"), "close")
+        return staged(both.select(*PAIR, "na", "nb", "sa", "sb").mapInArrow(_close, _PAIR), "close")
 
     def star(member: DataFrame, turn: int) -> DataFrame:
-        """Every class with one class of the least component in each of its keys; another one every turn."""
+        """Every class with a class of the least component in each of its keys; another one every turn."""
         least = staged(member.groupBy("key").agg(F.min(F.struct("label", F.xxhash64("node", F.lit(turn)), "node")).alias("top"))
                        .select("key", F.col("top.label").alias("to"), F.col("top.node").alias("a")), "least")
         tried = member.join(least, "key").where("label <> to").groupBy("a", F.col("node").alias("b")) \
-            .agg(F.count("*").alias("n"))
+            .agg(F.count("*").alias("n"), F.min("label").alias("label"), F.min("to").alias("to"))
         return close(tried.join(sizes.alias("x"), F.col("a") == F.col("x.node"))
-                     .join(sizes.alias("y"), F.col("b") == F.col("y.node")).where(near("x", "y")).select("a", "b", "n"))
+                     .join(sizes.alias("y"), F.col("b") == F.col("y.node")).where(near("x", "y")).select(*PAIR))
+
+    def joined_on(member: DataFrame, links: DataFrame) -> DataFrame:
+        """Components move to the least component that they have a link to, and on to where that moves (labels only fall)."""
+        step = staged(links.groupBy("label").agg(F.min("to").alias("to")), "steps")
+        for _ in range(HOPS):
+            further = step.select(F.col("label").alias("to"), F.col("to").alias("next"))
+            step = staged(step.join(further, "to", "left").select("label", F.coalesce("next", "to").alias("to")), "steps")
+        return staged(member.join(step, "label", "left").select("key", "node", F.coalesce("to", "label").alias("label")), "member")
 
     def across(member: DataFrame) -> DataFrame:
-        """All pairs of classes that share a key and are in different components."""
+        """All pairs of classes that share a key and are not known to be in one component."""
         split = staged(member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
                        .where("lo <> hi").select("key"), "open")
         rows = staged(member.join(split, "key", "left_semi").join(sizes, "node"), "members")
         x, y = rows.alias("x"), rows.alias("y")
+        none = F.lit(0).cast("long")
         return close(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
                             & (F.col("x.label") != F.col("y.label")) & near("x", "y"))
-                     .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.lit(1).cast("long").alias("n")).distinct())
-
-    def labelled(member: DataFrame, links: DataFrame | None) -> DataFrame:
-        """Shared keys with every class's component so far."""
-        if links is None:
-            return member.withColumn("label", F.col("node"))
-        labels = staged(components(links.toDF("u", "v")), "labels")
-        return member.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+                     .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+                     .select("a", "b", *[none.alias(c) for c in PAIR[2:]]))
 
     # which classes have a near sketch at all: only their texts are needed
-    tried = star(labelled(shared, None), 0).select("a", "b")
-    tried = tried.unionByName(across(labelled(shared, tried)).select("a", "b"))
+    member = shared.withColumn("label", F.col("node"))
+    tried = star(member, 0)
+    tried = tried.unionByName(across(joined_on(member, tried)))
     wanted = staged(tried.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    shared = staged(shared.join(wanted, "node", "left_semi"), "wanted-keys")
     texts = staged(rows.select("rid", "_text").join(nodes.select("rid", "node").join(wanted, "node", "left_semi"), "rid")
                    .select("node", "_text"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Texts meet their pairs once; then the two texts of a pair meet."""
-        sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")).join(texts, "node")
-        met = sides.groupBy("a", "b").agg(F.max(F.when(F.col("node") == F.col("a"), F.col("_text"))).alias("a_text"),
-                                          F.max(F.when(F.col("node") == F.col("b"), F.col("_text"))).alias("b_text"))
-        return staged(met.select("a", "b", "a_text", "b_text").mapInArrow(_verify, "a long, b long"), "links")
+        sides = pairs.select(*PAIR, F.explode(F.array("a", "b")).alias("node")).join(texts, "node")
+        met = sides.groupBy(*PAIR).agg(F.max(F.when(F.col("node") == F.col("a"), F.col("_text"))).alias("a_text"),
+                                       F.max(F.when(F.col("node") == F.col("b"), F.col("_text"))).alias("b_text"))
+        return staged(met.mapInArrow(_verify, _PAIR), "links")
 
+    member = staged(member.join(wanted, "node", "left_semi"), "member")
     links = None
     for turn in range(ROUNDS):
-        best = star(labelled(shared, links), turn).groupBy("b").agg(F.max(F.struct("n", "a")).alias("top"))
-        found = verified(best.select(F.col("top.a").alias("a"), "b"))
+        best = star(member, turn).groupBy("b").agg(F.max(F.struct("n", "a", "label", "to")).alias("top")).select("b", "top.*")
+        found = verified(best.select(*PAIR))
+        member = joined_on(member, found)
         links = found if links is None else links.unionByName(found)
-        if found.isEmpty():
-            break
-    rest = verified(across(labelled(shared, links)).select("a", "b"))
-    joined = staged(components(links.unionByName(rest).toDF("u", "v")), "components")
+    links = links.unionByName(verified(across(member)))
+    joined = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
 
     doc = about.select("doc_id", "rid", "n_shingles", "node").join(joined, "node", "left") \
         .withColumn("label", F.coalesce("label", "node"))
