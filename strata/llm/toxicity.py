@@ -57,16 +57,40 @@ def _tokens(raw, off):
     return row, (span_hash(prefix_hash(text), start, end) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
+_FAR = 0xFFFF
+
+
+def pack(once: np.ndarray, cut: np.ndarray) -> list[bytes]:
+    """Sorted numbers of every row as 16-bit gaps; a gap of _FAR or more is led by marks worth _FAR each."""
+    first = np.zeros(len(once), dtype=bool)
+    first[cut[:-1][cut[:-1] < cut[1:]]] = True
+    gap = np.where(first, once, np.diff(once, prepend=0))
+    marks, rest = np.divmod(gap, _FAR)
+    at = np.cumsum(marks + 1) - 1
+    out = np.full(at[-1] + 1 if len(at) else 0, _FAR, dtype="<u2")
+    out[at] = rest
+    end = np.concatenate([[0], at + 1])
+    return [out[end[i]:end[j]].tobytes() for i, j in zip(cut[:-1], cut[1:])]
+
+
+def unpack(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and numbers of packed gaps."""
+    gap = np.frombuffer(raw.tobytes(), dtype="<u2").astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(gap)])
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off) // 2)
+    real = gap != _FAR
+    return row[real], (total[1:] - total[off[:-1] // 2][row])[real]
+
+
 def _word_sets(batches):
-    """Every document's distinct buckets, as packed 32-bit numbers."""
+    """Every document's distinct buckets, as packed gaps."""
     for b in batches:
         sets = []
         for at, end, raw, off in slices(b.column("text")):
             row, bucket = _tokens(raw, off)
             once = np.unique(row.astype(np.int64) * BUCKETS + bucket)
             cut = np.searchsorted(once, np.arange(end - at + 1) * BUCKETS)
-            packed = (once % BUCKETS).astype("<u4")
-            sets += [packed[cut[i]:cut[i + 1]].tobytes() for i in range(end - at)]
+            sets += pack(once % BUCKETS, cut)
         yield pa.record_batch([b.column("k"), b.column("fold"), pa.array(sets, pa.binary())], names=["k", "fold", "words"])
 
 
@@ -77,11 +101,9 @@ def _count(batches):
     for b in batches:
         kind = (b.column("fold").to_numpy(zero_copy_only=False) // 2) * 2 + b.column("toxic").to_numpy(zero_copy_only=False)
         docs += np.bincount(kind, minlength=4)
-        raw, off = byte_views(b.column("words"))
-        words = np.frombuffer(raw.tobytes(), dtype="<u4")
+        row, bucket = unpack(*byte_views(b.column("words")))
         for k in range(4):
-            own = np.repeat(kind == k, np.diff(off) // 4)
-            np.add.at(counts[k], words[own], 1)
+            np.add.at(counts[k], bucket[kind[row] == k], 1)
     used = np.flatnonzero(counts.any(axis=0))
     yield pa.record_batch([pa.array(np.append(used, -1))] + [pa.array(np.append(counts[j][used], docs[j])) for j in range(4)],
                           names=["bucket", "c0", "c1", "c2", "c3"])
