@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+#: what ``str.strip`` takes for white space
+_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 TS_PATTERN = "yyyy-M-d H:m:s"
 DATE_PATTERN = "yyyy-M-d"
 
@@ -26,10 +29,24 @@ _TS_RE = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) ([0-9]{1,2}):([0-9]{1,2}):([0-9
 _DATE_RE = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$"
 _MONTH_RE = r"^([0-9]{4})-([0-9]{1,2})$"
 _YEAR_RE = r"^([0-9]{4})$"
+_ANY_DATE_RE = r"^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2})?)?$"
+
+
+def _numbers(c: Column) -> Column:
+    """All digit groups of a text as integers: one pass over it."""
+    return F.regexp_extract_all(c, F.lit(r"([0-9]+)"), F.lit(1))
 
 
-def _parts(c: Column, regex: str, n: int) -> list[Column]:
-    return [F.regexp_extract(c, regex, i).try_cast("int") for i in range(1, n + 1)]
+def _by_parts(c: Column, regex: str, n: int) -> Column:
+    """Date and time parts in order (missing month and day are 1, missing times 0) -> timestamp_ntz or NULL.
+
+    Year 0000 and second 60 are not valid, as in the source jobs' parser.
+    """
+    got = _numbers(F.when(c.rlike(regex), c))
+    part = [F.try_element_at(got, F.lit(i)).try_cast("int") for i in range(1, n + 1)]
+    part += [F.lit(x) for x in (1, 1, 1, 0, 0, 0)[n:]]
+    made = F.try_make_timestamp_ntz(*part)
+    return F.when((part[0] > 0) & (part[5] < 60), made)
 
 
 def parse_ts(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
@@ -41,19 +58,18 @@ def parse_ts(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
     c = _c(c)
     if pattern != TS_PATTERN:
         return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
-    y, mo, d, h, mi, s = _parts(c, _TS_RE, 6)
-    return F.when(c.rlike(_TS_RE), F.try_make_timestamp_ntz(y, mo, d, h, mi, s))
+    return _by_parts(c, _TS_RE, 6)
 
 
 def parse_ts_strict(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
-    """Text -> timestamp_ntz; malformed text fails the job (ANSI)."""
-    return F.to_timestamp_ntz(_c(c), F.lit(pattern))
+    """The same parser; malformed text fails the job (NULL stays NULL)."""
+    c = _c(c)
+    bad = F.raise_error(F.concat(F.lit("bad timestamp: "), c)).cast("timestamp_ntz")
+    return F.when(c.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(F.coalesce(parse_ts(c, pattern), bad))
 
 
 def _date_by_parts(c: Column, regex: str, n: int) -> Column:
-    parts = _parts(c, regex, n) + [F.lit(1)] * (3 - n)   # missing month / day -> 1
-    zero = F.lit(0)
-    return F.to_date(F.when(c.rlike(regex), F.try_make_timestamp_ntz(*parts, zero, zero, zero)))
+    return F.to_date(_by_parts(c, regex, n))
 
 
 def parse_date(c: ColumnOrName, pattern: str = DATE_PATTERN) -> Column:
@@ -72,7 +88,10 @@ def parse_date(c: ColumnOrName, pattern: str = DATE_PATTERN) -> Column:
 def parse_date_lenient(c: ColumnOrName) -> Column:
     """Full, year-month or year-only dates (``2020-05-17``, ``2020-05``, ``2020``) -> date."""
     c = _c(c)
-    return F.coalesce(parse_date(c, "yyyy-M-d"), parse_date(c, "yyyy-M"), parse_date(c, "yyyy"))
+    got = _numbers(F.when(c.rlike(_ANY_DATE_RE), c))
+    y, mo, d = (F.coalesce(F.try_element_at(got, F.lit(i)), F.lit("1")).try_cast("int") for i in (1, 2, 3))
+    zero = F.lit(0)
+    return F.to_date(F.when(got.isNotNull() & (y > 0), F.try_make_timestamp_ntz(y, mo, d, zero, zero, zero)))
 
 
 def iso_date(c: ColumnOrName) -> Column:
@@ -80,9 +99,14 @@ def iso_date(c: ColumnOrName) -> Column:
     return _c(c).try_cast("date")
 
 
+def iso_timestamp(c: ColumnOrName) -> Column:
+    """ISO-8601 timestamp text -> the date and time as written (an offset or ``Z`` is dropped); a bare date is midnight."""
+    return F.regexp_replace(_c(c), r"(Z|[+-][0-9]{2}:?[0-9]{2})$", "").try_cast("timestamp_ntz")
+
+
 def split_trim(c: ColumnOrName, sep: str = "|") -> Column:
-    """Split on a literal separator and trim every part."""
-    return F.transform(F.split(_c(c), re.escape(sep)), lambda p: F.trim(p))
+    """Split on a literal separator and strip white space of every kind from every part."""
+    return F.transform(F.split(_c(c), re.escape(sep)), lambda p: F.trim(p, F.lit(_WHITE)))
 
 
 def url_last_segment(c: ColumnOrName) -> Column:

@@ -106,8 +106,11 @@ def descriptor(*parts: ColumnOrName, sep: str = "_") -> Column:
 # ---------------------------------------------------------------- arithmetic
 
 def round_half_up(x: Column, scale: int = 2) -> Column:
-    """Round a double through decimal(18,8) so the result is engine-independent; returns double."""
-    return F.round(x.try_cast("decimal(18,8)"), scale).cast("double")
+    """Round a double through decimal(38,8) so the result is engine-independent; returns double.
+
+    Thirty digits before the point hold every sum or ratio of the declared inputs.
+    """
+    return F.round(x.try_cast("decimal(38,8)"), scale).cast("double")
 
 
 def ratio(a: ColumnOrName, b: ColumnOrName, scale: int | None = 2) -> Column:
@@ -121,8 +124,12 @@ def smoothed_ratio(a: ColumnOrName, b: ColumnOrName, scale: int = 2) -> Column:
     return ratio(a, _c(b) + F.lit(1), scale)
 
 
-def money(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
-    """Text or number to decimal; NaN, infinity and junk -> NULL."""
+def money(c: ColumnOrName, precision: int = 38, scale: int = 6) -> Column:
+    """Text or number to decimal; NaN, infinity and junk -> NULL.
+
+    32 digits before the point and 6 after it: amounts keep the digits they came with,
+    so a product is rounded once.
+    """
     return _c(c).try_cast(f"decimal({precision},{scale})")
 
 

@@ -9,9 +9,9 @@ the comparison reach the Parquet scan as a pushed filter.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,9 +39,9 @@ def typed_source(df: DataFrame, col: str, pattern: str = "yyyy-M-d H:m:s",
                  on_bad: str = "fail") -> tuple[DataFrame, DataFrame | None]:
     """Parse the incremental column from text.
 
-    ``on_bad="fail"``: a malformed value fails the whole batch (strict parse under
-    ANSI), as the source job did.  ``on_bad="reject"``: malformed rows are split
-    off as rejects and the rest loads.
+    ``on_bad="fail"``: a malformed value fails the whole batch, as the source job
+    did.  ``on_bad="reject"``: malformed rows are split off as rejects and the rest
+    loads.  Both use one parser, so they agree on what is malformed.
     """
     if on_bad == "fail":
         return df.withColumn(col, parse_ts_strict(col, pattern)), None
@@ -69,90 +69,60 @@ def new_rows(source: DataFrame, target: DataFrame | None, col: str, inclusive: b
     return rows_after(source, col, high_water_mark(target, col), inclusive)
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if there is none yet. Any other failure to read it is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def append_new(spark: SparkSession, source: DataFrame, target_path: str, col: str) -> None:
     """Append rows newer than the target's mark to the target (first run: all rows).
 
     A re-run with no newer source rows appends nothing: the mark moved with the data.
     """
-    try:
-        target = spark.read.parquet(target_path)
-    except Exception:  # first run: no target yet
-        target = None
-    write_append(new_rows(source, target, col), target_path)
-
-
-DEFAULT_BUCKETS = 16
+    write_append(new_rows(source, read_if_exists(spark, target_path), col), target_path)
 
 
-def read_merged(spark: SparkSession, table: str) -> DataFrame | None:
-    """The live rows of a keyed table written by ``upsert_latest`` (None before the first merge).
+def upsert_latest(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  part: str | None = None) -> DataFrame:
+    """``target`` with ``batch`` merged in: per key the latest row by ``order`` (ties broken on all columns).
 
-    The live ``(bucket, version)`` pairs come from the append-only pointer: at most
-    ``buckets`` small values, read once and turned into a filter on the partition
-    columns, so Spark lists and reads only live folders (static partition pruning).
+    With ``part``, a column whose value never changes for a key and by which ``target``
+    is partitioned, only the partitions that the batch has rows for are merged (their
+    values, one for each partition, become a filter on the scan); the others are
+    passed on as they are, without a shuffle.
     """
-    try:
-        pointer = spark.read.parquet(f"{table}/_pointer")
-        data = spark.read.parquet(f"{table}/data")
-    except Exception:  # nothing committed yet
-        return None
-    live = [f"{r.kb}:{r.v}" for r in pointer.groupBy("kb").agg(F.max("v").alias("v")).collect()]
-    tag = F.concat_ws(":", F.col("kb").cast("string"), F.col("v").cast("string"))
-    cols = [c for c in data.columns if c not in ("kb", "v")]
-    return data.where(tag.isin(live)).select(*cols)
-
-
-def upsert_latest(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
-                  order: Sequence[str], buckets: int = DEFAULT_BUCKETS, bucket_by=None) -> DataFrame:
-    """Merge ``batch`` into ``table``: per key the latest row by ``order`` (ties broken on
-    all columns) wins.  Returns the live table afterwards.
-
-    Only the key buckets the batch touches are read and rewritten: rows live under
-    ``data/kb=<bucket>/v=<version>``; the merge keeps one row per key over the
-    touched buckets' live rows plus the batch, writes each touched bucket as one
-    new version folder (one task per bucket), and only then appends
-    ``(bucket, version)`` to the pointer.  A crash before that leaves an
-    unreferenced folder; readers never see a half-written merge.
-
-    Buckets are a hash of the key by default: a batch with fewer keys than
-    buckets rewrites only their buckets.  ``bucket_by`` may name a column that
-    never changes for a key (a booking date, a region) so that time-clustered
-    batches touch few buckets whatever their size.  ``buckets`` is a per-table
-    constant; size it so a bucket holds about a file's worth of data.
-    """
-    keys = list(keys)
-    basis = [F.col(bucket_by)] if bucket_by else [F.col(k) for k in keys]
-    kb = F.pmod(F.xxhash64(*basis), F.lit(buckets)).cast("int")
-    incoming = batch.withColumn("kb", kb)
-    touched = incoming.select("kb").distinct()
-    current = read_merged(spark, table)
-    if current is not None:
-        current_touched = current.withColumn("kb", kb).join(F.broadcast(touched), "kb", "left_semi")
-        incoming = current_touched.unionByName(incoming)
-    merged = latest_per_key(incoming, keys, order)
-    try:
-        last = spark.read.parquet(f"{table}/_pointer").agg(F.max("v")).first()[0] or 0
-    except Exception:
-        last = 0
-    version = max(int(time.time() * 1000), int(last) + 1)
-    (merged.repartition(buckets, "kb").withColumn("v", F.lit(version))
-        .write.mode("append").partitionBy("kb", "v").parquet(f"{table}/data"))
-    (touched.withColumn("v", F.lit(version)).coalesce(1)
-        .write.mode("append").parquet(f"{table}/_pointer"))
-    return read_merged(spark, table)
+    if target is None:
+        return latest_per_key(batch, keys, order)
+    if part is None:
+        return latest_per_key(target.unionByName(batch), keys, order)
+    touched = [r[0] for r in batch.select(part).distinct().collect()]
+    hit = F.col(part).isin([v for v in touched if v is not None])
+    if None in touched:
+        hit = hit | F.col(part).isNull()
+    hit = F.coalesce(hit, F.lit(False))
+    merged = latest_per_key(target.where(hit).unionByName(batch), keys, order)
+    return merged.unionByName(target.where(~hit))
 
 
 def scd2(history: DataFrame, keys: Sequence[str], valid_from: str,
          tie_break: Sequence[str] = (), bucket=None) -> DataFrame:
     """Type-2 history: each version valid from its own time until the next version of its key.
 
-    Adds ``valid_to`` (NULL for the current version) and ``is_current``.  Versions
+    Adds ``valid_to`` (NULL for the current version) and ``is_current``, true for the
+    last version of a key and no other, also where ``valid_from`` is NULL (such
+    versions come first).  Versions
     of a key are ordered by ``valid_from`` then ``tie_break`` (default: all other
-    columns), so equal timestamps get a deterministic order.  ``bucket`` (a
-    coarsening of ``valid_from``, e.g. its month) spreads a key with very many
-    versions over many tasks (see ``operators.windows``).
+    columns), so equal timestamps get a deterministic order.  ``bucket`` (ranges of
+    ``valid_from``, see ``windows.ranges``) spreads a key with very many
+    versions over many tasks.
     """
     keys = list(keys)
     tb = list(tie_break) or [c for c in history.columns if c not in keys and c != valid_from]
-    out = neighbours(history, keys, [valid_from, *tb], valid_from, "_prev", "valid_to", bucket=bucket)
-    return out.drop("_prev").withColumn("is_current", F.col("valid_to").isNull())
+    row = F.struct(F.col(valid_from).alias("at"))  # never NULL itself, so a missing one means the last version
+    out = neighbours(history.withColumn("_at", row), keys, [valid_from, *tb], "_at", "_prev", "_next", bucket=bucket)
+    return out.select(*history.columns, F.col("_next.at").alias("valid_to"), F.col("_next").isNull().alias("is_current"))

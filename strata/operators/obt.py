@@ -8,11 +8,11 @@ of full outer equi-joins on one key is associative, the result equals
     R = dim ▷ distinct(base.key)       (dim rows no base row matches, NULL keys too)
     L ∪ R
 
-The big ``base`` side is then never shuffled for the join when ``dim`` passes a
-size check and is broadcast; beyond the check the same rewrite runs as a shuffle
-left join, where adaptive execution can split a hot key of ``base`` (a plain
-full outer join cannot be split).  ``distinct(base.key)`` is a partial aggregate
-before its shuffle, so a key holding a third of the rows costs one row per task.
+Adaptive execution broadcasts ``dim`` if it measures it small enough, so that the big
+``base`` side is not shuffled; otherwise the left join is a shuffle join, in which
+it can split a hot key of ``base`` (a plain full outer join cannot be split).
+``distinct(base.key)`` is a partial aggregate before its shuffle, so a key holding a
+third of the rows costs one row per task.
 """
 
 from __future__ import annotations
@@ -22,59 +22,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strata.session import materialize
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    """Rough upper estimate of one row's in-memory width."""
-    width = 16
-    for f in schema.fields:
-        dt = f.dataType
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            width += 64
-        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            width += 256
-        else:
-            width += 16
-    return width
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` provably holds at most ``max_bytes`` (by a bounded row count).
-
-    ``limit(n + 1).count()`` stops reading once more than ``n`` rows are seen, so
-    the check costs at most the bound, not the table.
-    """
-    max_rows = max(1, max_bytes // estimated_row_bytes(df.schema))
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-DEFAULT_MAX_FANOUT = 64
-
-
-def max_rows_per_key(df: DataFrame, key: str) -> int:
-    """Largest number of rows sharing one non-NULL ``key`` (0 for none)."""
-    row = df.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
-
-
-def outer_chain(base: DataFrame, dims: Sequence[DataFrame], key: str,
-                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                max_fanout: int = DEFAULT_MAX_FANOUT,
-                force: str | None = None) -> DataFrame:
+def outer_chain(base: DataFrame, dims: Sequence[DataFrame], key: str, force: str | None = None) -> DataFrame:
     """``base ⟗ dims[0] ⟗ dims[1] … USING (key)`` with the output ``key`` coalesced.
 
     Column names other than ``key`` must be unique across inputs (project and
-    alias before calling; that also prunes the scans).  Each base row meets
-    every dimension row of its key, so the dimension side must be at (near)
-    key grain: above ``max_fanout`` rows per key the join would emit all pairs
-    within a key and is refused (aggregate the dimension first).  ``force`` =
-    "plain" runs the literal chain (for comparison tests), "broadcast" /
-    "shuffle" pin the strategy of the rewrite.
+    alias before calling; that also prunes the scans).  Each base row meets every
+    dimension row of its key, as in the literal chain; bring the dimensions to key
+    grain first where that is not wanted.  Join strategies are left to adaptive
+    execution, which measures the sides at run time.  ``force`` = "plain" runs the
+    literal chain (for comparison tests).
     """
     if force == "plain":
         out = base
@@ -84,23 +42,11 @@ def outer_chain(base: DataFrame, dims: Sequence[DataFrame], key: str,
     dim = dims[0]
     for d in dims[1:]:
         dim = dim.join(d, on=key, how="full_outer")
-    if force is None:
-        dim = materialize(dim)  # computed once for the checks and the join
-        fanout = max_rows_per_key(dim, key)
-        if fanout > max_fanout:
-            raise ValueError(f"{fanout} dimension rows share one {key}; aggregate the dimension "
-                             f"to key grain first (limit {max_fanout})")
-    use_broadcast = force == "broadcast" or (force is None and fits_broadcast(dim, max_broadcast_bytes))
-    side = F.broadcast(dim) if use_broadcast else dim
-    left = base.join(side, on=key, how="left")
+    left = base.join(dim, on=key, how="left")
     base_keys = base.select(key).where(F.col(key).isNotNull()).distinct()
-    if use_broadcast:
-        # keys of base that dim knows: bounded by the checked dim, so safe to broadcast
-        base_keys = base_keys.join(F.broadcast(dim.select(key)), on=key, how="left_semi")
-        right = dim.join(F.broadcast(base_keys), on=key, how="left_anti")
-    else:
-        right = dim.join(base_keys, on=key, how="left_anti")
-    return left.unionByName(right, allowMissingColumns=True)
+    right = dim.join(base_keys, on=key, how="left_anti")
+    own = [F.lit(None).cast(base.schema[c].dataType).alias(c) for c in base.columns if c != key]
+    return left.unionByName(right.select("*", *own))
 
 
 @dataclass(frozen=True)

@@ -41,7 +41,7 @@ def write_split(tagged: DataFrame, path: str, fmt: str = "parquet") -> dict:
     out = out.observe(obs, F.count(F.lit(1)).alias("total_rows"),
                       F.count_if(F.col(REASON).isNull()).alias("valid_rows"),
                       F.count_if(F.col(REASON).isNotNull()).alias("rejected_rows"))
-    out.write.mode("overwrite").partitionBy("status").format(fmt).save(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("status").format(fmt).save(path)
     return obs.get
 
 

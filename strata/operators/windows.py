@@ -3,12 +3,12 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a key
 holding a third of the table makes that task a third of the job.  The
 operators here take an optional ``bucket`` column, a monotone function of the
-leading order column (a month of a date, a range of ids), and work in two
+leading order column (``ranges`` makes one from its quantiles), and work in two
 levels:
 
 1. the window runs per ``(key, bucket)``, spreading a hot key over many tasks;
-2. a per-key window over *bucket summaries* (one row per bucket, partially
-   aggregated before the shuffle) supplies what crosses bucket borders: the
+2. a per-key window over *bucket summaries* (one row per bucket, taken from the
+   windowed rows, so the input is read once) supplies what crosses bucket borders: the
    running offset, or the neighbour row just before / after the bucket;
 3. the summaries join back on ``(key, bucket)``, the partitioning the big
    side already has after step 1.
@@ -28,6 +28,25 @@ from pyspark.sql import functions as F
 _B = "_bucket"
 
 
+def _same(local: DataFrame, side: DataFrame, keys: Sequence[str]) -> Column:
+    """Join condition on key and bucket; NULL keys and NULL buckets are groups like any other."""
+    return reduce(lambda a, c: a & local[c].eqNullSafe(side[f"_r{c}"]), keys, local[_B].eqNullSafe(side["_rb"]))
+
+
+def ranges(df: DataFrame, column: str, rows: int = 1_000_000) -> Column:
+    """Buckets for ``column``: ranges with about ``rows`` rows of ``df`` each, from its quantiles.
+
+    A key with a third of all rows is then spread over a third of the ranges, wherever its
+    rows lie.  The quantiles are one array on the driver, one value for each range.
+    """
+    n = -(-df.count() // rows)
+    if n <= 1:
+        return F.lit(0)
+    steps = [i / n for i in range(1, n)]
+    cuts = df.agg(F.percentile_approx(column, steps, max(10_000, 10 * n))).first()[0] or []
+    return F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: c <= F.col(column)))
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, out: str,
                 bucket: Column | None = None) -> DataFrame:
     """``sum(value) over (partition by keys order by order rows unbounded preceding)``."""
@@ -36,16 +55,17 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(w))
     b = df.withColumn(_B, bucket)
-    w_local = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                        Window.currentRow)
-    local = b.withColumn("_local", F.sum(value).over(w_local))
-    totals = b.groupBy(*keys, _B).agg(F.sum(value).alias("_bt"))
+    w = Window.partitionBy(*keys, _B).orderBy(*order)
+    local = b.withColumns({"_local": F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                           "_last": F.lead(F.lit(1)).over(w).isNull()})
+    # a bucket's total stands in its last row: the windowed rows are read again, not the input
+    totals = local.where("_last").select(*keys, _B, F.col("_local").alias("_bt"))
     w_prev = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.sum("_bt").over(w_prev)).drop("_bt")
-    offsets = offsets.select(*[F.col(c).alias(f"_r{c}") for c in keys], F.col(_B).alias("_rb"), "_off")
-    cond = reduce(lambda a, c: a & local[c].eqNullSafe(offsets[f"_r{c}"]), keys, local[_B] == offsets["_rb"])
-    joined = local.join(offsets, cond, "left")
-    total = F.when(F.col("_off").isNull(), F.col("_local")).otherwise(F.col("_local") + F.col("_off"))
+    offsets = totals.select(*[F.col(c).alias(f"_r{c}") for c in keys], F.col(_B).alias("_rb"),
+                            F.sum("_bt").over(w_prev).alias("_off"))
+    joined = local.join(offsets, _same(local, offsets, keys), "left")
+    total = F.when(F.col("_off").isNull(), F.col("_local")).otherwise(
+        F.coalesce(F.col("_local") + F.col("_off"), F.col("_off")))
     return joined.withColumn(out, total).select(*df.columns, out)
 
 
@@ -66,14 +86,15 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         "_lag": F.lag(value).over(w), "_lead": F.lead(value).over(w),
         "_first": F.lag(F.lit(1)).over(w).isNull(), "_last": F.lead(F.lit(1)).over(w).isNull(),
     })
-    pos = F.struct(*[F.col(c) for c in order])
-    summary = b.groupBy(*keys, _B).agg(F.min_by(value, pos).alias("_head"), F.max_by(value, pos).alias("_tail"))
+    # a bucket's border values stand in its first and last rows
+    ends = local.where("_first OR _last").groupBy(*keys, _B).agg(
+        F.max(F.when(F.col("_first"), F.col(value))).alias("_head"),
+        F.max(F.when(F.col("_last"), F.col(value))).alias("_tail"))
     wb = Window.partitionBy(*keys).orderBy(_B)
-    edges = summary.select(*[F.col(c).alias(f"_r{c}") for c in keys], F.col(_B).alias("_rb"),
-                           F.lag("_tail").over(wb).alias("_prev_tail"),
-                           F.lead("_head").over(wb).alias("_next_head"))
-    cond = reduce(lambda a, c: a & local[c].eqNullSafe(edges[f"_r{c}"]), keys, local[_B] == edges["_rb"])
-    joined = local.join(edges, cond, "left")
+    edges = ends.select(*[F.col(c).alias(f"_r{c}") for c in keys], F.col(_B).alias("_rb"),
+                        F.lag("_tail").over(wb).alias("_prev_tail"),
+                        F.lead("_head").over(wb).alias("_next_head"))
+    joined = local.join(edges, _same(local, edges, keys), "left")
     return joined.withColumns({
         prev_out: F.when(F.col("_first"), F.col("_prev_tail")).otherwise(F.col("_lag")),
         next_out: F.when(F.col("_last"), F.col("_next_head")).otherwise(F.col("_lead")),

@@ -71,6 +71,16 @@ def q_flatten_json_defaults(spark, sf):
     return flatten_records(read_json_records(spark, land_api_files(spark, sf)))[0]
 
 
+@query("flatten_json_rejects", with_views("""
+SELECT CAST(json_extract(json, '$.id') AS BIGINT) AS user_id, 'null_user_or_bad_json' AS reason
+FROM v_api WHERE coalesce(json_type(json_extract(json, '$.user')), '') = 'NULL'
+""", "v_api"))
+def q_flatten_json_rejects(spark, sf):
+    """Records whose user is an explicit null, kept with a reason."""
+    rejects = flatten_records(read_json_records(spark, land_api_files(spark, sf)))[1]
+    return rejects.select(F.get_json_object("record", "$.id").cast("bigint").alias("user_id"), "reason")
+
+
 @query("url_last_segment", """
 SELECT page_id, url, split_part(split_part(url, '/', -1), '?', 1) AS url_id FROM pages
 """)

@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.rules import round_half_up
 from strata.operators.validate import audit
-from strata.operators.windows import neighbours, running_sum, top_k_per_group
+from strata.operators.windows import neighbours, ranges, running_sum, top_k_per_group
 from strata.plans.registry import query
 from strata.plans.views import DUCK, VIEWS, register_tables, table, view, with_views
-
-def month_bucket():
-    return F.date_trunc("month", F.col("o_orderdate"))
-
+from strata.session import staged
 
 @query("curr_join_inner", """
 SELECT o.o_orderkey, c.c_name, c.c_mktsegment, o.o_totalprice
@@ -42,7 +39,7 @@ def q_curr_union(spark, sf):
 @query("curr_kpi_rollup", """
 SELECT c.c_mktsegment, count(*) AS orders,
   CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
-  CAST(round(CAST(CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS DECIMAL(18,8)), 2) AS DOUBLE) AS avg_order,
+  CAST(round(CAST(CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS DECIMAL(38,8)), 2) AS DOUBLE) AS avg_order,
   count(DISTINCT o.o_custkey) AS customers
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment
 """)
@@ -67,7 +64,7 @@ FROM orders
 def q_curr_running_total(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate",
                                           F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
-    out = running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "amount", "running_total", bucket=month_bucket())
+    out = running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "amount", "running_total", bucket=ranges(o, "o_orderdate"))
     return out.select("o_custkey", "o_orderkey", "o_orderdate", F.col("running_total").cast("double"))
 
 
@@ -79,7 +76,7 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 def q_curr_lag_lead(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     return neighbours(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate",
-                      "prev_order_date", "next_order_date", bucket=month_bucket())
+                      "prev_order_date", "next_order_date", bucket=ranges(o, "o_orderdate"))
 
 
 @query("curr_rank", """
@@ -110,10 +107,21 @@ _RECURSIVE_ORACLE = ("WITH RECURSIVE v_tree AS (" + VIEWS["v_tree"](DUCK) + "),
 
 @query("curr_recursive_cte", _RECURSIVE_ORACLE)
 def q_curr_recursive_cte(spark, sf):
-    """Depth of every customer in the referral tree (iterative join, one level per step)."""
+    """Depth of every customer in the referral tree (iterative join, one level per step).
+
+    Spark's default limits on rows and levels are lifted for this query only.
+    """
     register_tables(spark, sf, ["customer"])
     view(spark, sf, "v_tree").createOrReplaceTempView("v_tree")
-    return spark.sql(_RECURSIVE)
+    lifted = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": "-1"}
+    before = {k: spark.conf.get(k) for k in lifted}
+    try:
+        for k, v in lifted.items():
+            spark.conf.set(k, v)
+        return staged(spark.sql(_RECURSIVE), "walk")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 _AUDIT_RULES = {

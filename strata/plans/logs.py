@@ -8,9 +8,17 @@ from strata.operators import logs as L
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
 from strata.session import scratch_path
-from strata.sources.readers import read_text_lines
+from strata.sources.readers import read_csv_typed, read_text_lines
+from strata.sources.sinks import publish_sorted_csv
 
-_TS = "try_strptime(trim(split_part(value, '|', 1)), '%Y-%m-%d %H:%M:%S')"
+_STRIP = "' ' || chr(9)"  # the white space in the stand-in lines
+
+
+def _field(i: int) -> str:
+    return f"trim(split_part(value, '|', {i}), {_STRIP})"
+
+
+_TS = f"CASE WHEN NOT regexp_matches({_field(1)}, ':60$') THEN try_strptime({_field(1)}, '%Y-%m-%d %H:%M:%S') END"
 _ERR = f"SELECT value, line_no, {_TS} AS ts FROM v_logs WHERE contains(value, 'ERROR')"
 _EXTRA = {"err": _ERR, "ok": "SELECT * FROM err WHERE ts IS NOT NULL"}
 _HOURLY = "SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS errors, min(ts) AS first_seen FROM ok GROUP BY 1"
@@ -22,7 +30,7 @@ def _oracle(body: str) -> str:
 
 
 @query("log_parse", _oracle(
-    "SELECT ts, trim(split_part(value, '|', 2)) AS level, trim(split_part(value, '|', 3)) AS message FROM ok"))
+    f"SELECT ts, {_field(2)} AS level, {_field(3)} AS message FROM ok"))
 def q_log_parse(spark, sf):
     """Lines go through real text files: written once, scanned with the text source."""
     path = scratch_path(spark, "logs")
@@ -41,6 +49,15 @@ def q_log_errors_daily(spark, sf):
     return L.errors_daily(L.parsed_errors(view(spark, sf, "v_logs")))
 
 
+@query("log_errors_csv", _oracle(
+    "SELECT CAST(ts AS DATE) AS Date, count(*) AS Total_Errors FROM ok GROUP BY 1"))
+def q_log_errors_csv(spark, sf):
+    """The daily summary as a two-column CSV sorted by date, read back."""
+    path = scratch_path(spark, "log_summary")
+    publish_sorted_csv(L.errors_daily(L.parsed_errors(view(spark, sf, "v_logs"))), path, ["Date"])
+    return read_csv_typed(spark, path, "Date DATE, Total_Errors BIGINT")
+
+
 @query("log_errors_hourly", _oracle(_HOURLY))
 def q_log_errors_hourly(spark, sf):
     return L.errors_hourly(L.parsed_errors(view(spark, sf, "v_logs")))

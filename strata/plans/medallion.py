@@ -191,7 +191,7 @@ def _int(c: str) -> str:
 
 
 def _r2(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,8)), 2) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38,8)), 2) AS DOUBLE)"
 
 
 SQL_USERS_SILVER = f"""
@@ -245,7 +245,7 @@ SQL_SELLERS_TYPED = f"""
 SELECT {_INITCAP} AS country, upper(sex) AS sex, {_typed(SELLER_INT_COLS, SELLER_DEC_COLS, False)} FROM v_sellers
 """
 
-_MEAN = "(SELECT round(CAST(CAST(sum(meansellerpassrate) AS DOUBLE) / count(meansellerpassrate) AS DECIMAL(18,8)), 2) FROM sellers_typed)"
+_MEAN = "(SELECT round(CAST(CAST(sum(meansellerpassrate) AS DOUBLE) / count(meansellerpassrate) AS DECIMAL(38,8)), 2) FROM sellers_typed)"
 
 SQL_SELLERS_SILVER = f"""
 SELECT * REPLACE (CAST(coalesce(meansellerpassrate, {_MEAN}) AS DECIMAL(10,2)) AS meansellerpassrate),

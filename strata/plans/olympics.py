@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.rules import cast_by_spec, ratio
 from strata.plans.registry import query
-from strata.plans.views import view, with_views
+from strata.plans.views import register_tables, view, with_views
 from strata.session import scratch_path
 from strata.sources.readers import read_by_path_regex, read_csv_typed
 from strata.sources.sinks import publish_csv, publish_csv_dated
@@ -54,9 +54,9 @@ def q_share_by_gender(spark, sf):
 
 @query("publish_csv", with_views(_ENTRIES, "v_entries"))
 def q_publish_csv(spark, sf):
-    """A small table published as one CSV file with a header, then read back typed."""
+    """A table published as CSV with a header, then read back typed."""
     path = scratch_path(spark, "entriesgender")
-    publish_csv(typed_entries(view(spark, sf, "v_entries")), path, single_file=True)
+    publish_csv(typed_entries(view(spark, sf, "v_entries")), path)
     return read_csv_typed(spark, path, ENTRY_SCHEMA)
 
 
@@ -67,3 +67,51 @@ def q_publish_csv_dated(spark, sf):
     publish_csv_dated(view(spark, sf, "v_medals"), base, "medals", RUN_DATE)
     publish_csv_dated(view(spark, sf, "v_medals"), base, "medals", "2024-06-29")  # an older run
     return read_by_path_regex(spark, base, f".*medals_{RUN_DATE}.*", "csv", MEDAL_SCHEMA, header=True)
+
+
+#: the five published tables: stand-in for each, and its columns
+ATHLETES = ("SELECT c_name AS PersonName, n_name AS Country, c_mktsegment AS Discipline "
+            "FROM customer JOIN nation ON c_nationkey = n_nationkey")
+COACHES = ("SELECT s_name AS Name, n_name AS Country, CAST(s_suppkey % 9 AS STRING) AS Discipline, "
+           "CAST(s_suppkey % 4 AS STRING) AS Event FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+TEAMS = ("SELECT p_brand || ' ' || CAST(p_partkey AS STRING) AS TeamName, p_type AS Discipline, "
+         "CAST(p_size % 25 AS STRING) AS Country, CAST(p_size AS STRING) AS Event FROM part")
+PUBLISHED = {
+    "athletes": (ATHLETES, "PersonName STRING, Country STRING, Discipline STRING"),
+    "coaches": (COACHES, "Name STRING, Country STRING, Discipline STRING, Event STRING"),
+    "entriesgender": (None, ENTRY_SCHEMA),
+    "medals": (None, MEDAL_SCHEMA),
+    "teams": (TEAMS, "TeamName STRING, Discipline STRING, Country STRING, Event STRING"),
+}
+
+
+def publish_all(spark, sf: str, base: str) -> None:
+    """Every table of the job as CSV with a header, below its own folder."""
+    register_tables(spark, sf, ["customer", "nation", "supplier", "part"])
+    for name, (sql, _) in PUBLISHED.items():
+        if name == "entriesgender":
+            df = typed_entries(view(spark, sf, "v_entries"))
+        else:
+            df = view(spark, sf, "v_medals") if name == "medals" else spark.sql(sql)
+        publish_csv(df, f"{base}/{name}")
+
+
+def _count(name: str, source: str, column: str) -> str:
+    return f"SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT {column}) AS distinct_values FROM ({source}) t"
+
+
+@query("publish_all_tables", with_views(" UNION ALL ".join([
+    _count("athletes", ATHLETES, "PersonName"), _count("coaches", COACHES, "Name"),
+    _count("entriesgender", "SELECT * FROM v_entries", "Discipline"),
+    _count("medals", "SELECT * FROM v_medals", "TeamCountry"), _count("teams", TEAMS, "TeamName")]), "v_entries", "v_medals"))
+def q_publish_all_tables(spark, sf):
+    """All five tables published, read back typed, and counted."""
+    base = scratch_path(spark, "olympics")
+    publish_all(spark, sf, base)
+    out = None
+    for name, (_, schema) in PUBLISHED.items():
+        df = read_csv_typed(spark, f"{base}/{name}", schema)
+        row = df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(df.columns[0]).alias("distinct_values")) \
+            .select(F.lit(name).alias("table_name"), "row_count", "distinct_values")
+        out = row if out is None else out.unionByName(row)
+    return out

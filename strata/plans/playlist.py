@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.parse import iso_date, parse_date_lenient
+from strata.functions.parse import iso_timestamp, parse_date_lenient
 from strata.operators.dedup import keep_one
 from strata.operators.nested import explode_path, first_elem_field, project
 from strata.plans.registry import query
@@ -145,7 +145,7 @@ def songs(docs: DataFrame) -> DataFrame:
         F.col("item.track.duration_ms").alias("duration_ms"),
         F.col(f"item.track.external_urls.{URL_KEY}").alias("url"),
         F.col("item.track.popularity").alias("popularity"),
-        iso_date(F.col("item.added_at")).alias("song_added"),
+        iso_timestamp(F.col("item.added_at")).alias("song_added"),
         F.col("item.track.album.id").alias("album_id"),
         first_elem_field("item.track.album.artists", "id").alias("artist_id"))
     return keep_one(out, ["song_id"], ["song_added"], keep="first")
@@ -155,7 +155,7 @@ def songs(docs: DataFrame) -> DataFrame:
 
 _F = fields(DUCK)
 _FLAT = f"""
-SELECT l_orderkey AS playlist_id, {_F['added_at']} AS added_at, CAST(l_shipdate AS DATE) AS added_day,
+SELECT l_orderkey AS playlist_id, {_F['added_at']} AS added_at, CAST(date_trunc('second', l_shipdate) AS TIMESTAMP) AS added_time,
   {_F['track_id']} AS track_id, {_F['track_name']} AS track_name, {_F['duration_ms']} AS duration_ms,
   {_F['popularity']} AS popularity, {_F['track_url']} AS track_url,
   'art_' || {_F['artist1_num']} AS artist1_id, 'art_' || {_F['artist2_num']} AS artist2_id,
@@ -187,7 +187,7 @@ SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY
      {", ".join(c + " ASC NULLS FIRST" for c in _SONG_COLS)}) AS rn
   FROM (SELECT track_id AS song_id, track_name AS song_name, duration_ms, track_url AS url, popularity,
-               added_day AS song_added, album_id, album_artist AS artist_id FROM flat) s) r
+               added_time AS song_added, album_id, album_artist AS artist_id FROM flat) s) r
 WHERE rn = 1
 """, extra=_EXTRA)
 

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.rules import bucketize, round_product
 from strata.operators.dedup import keep_one
-from strata.operators.incremental import append_new, new_rows, scd2, typed_source, upsert_latest
+from strata.operators.incremental import append_new, new_rows, read_if_exists, scd2, typed_source, upsert_latest
 from strata.operators.obt import JoinSpec, metadata_chain
+from strata.operators.windows import ranges
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
 from strata.session import scratch_path
-from strata.sources.readers import read_csv_strings
+from strata.sources.readers import read_csv_strings, read_table
 from strata.sources.sinks import write_overwrite
 
 # fixed values of the source models
@@ -115,24 +116,69 @@ def q_listings_silver(spark, sf):
     return listings_silver(view(spark, sf, "v_listings"))
 
 
+CUT = "2000-01-01 00:00:00"
+KEYS_PER_PART = 100_000
+
+
+def with_part(silver: DataFrame, key: str) -> DataFrame:
+    """A partition column that never changes for a key: its range of ids."""
+    return silver.withColumn("part", F.floor(F.col(key) / KEYS_PER_PART).cast("int"))
+
+
+#: the three tables of the medallion: stand-in view, silver model, unique key
+LAYERS = {"bookings": ("v_bookings", bookings_silver, "booking_id"),
+          "listings": ("v_listings", listings_silver, "listing_id"),
+          "hosts": ("v_hosts", hosts_silver, "host_id")}
+
+
+def run_layers(spark, sources: dict[str, DataFrame], root: str, run: int) -> dict[str, DataFrame]:
+    """One run of the medallion: bronze appends what is newer than it holds, silver merges bronze rows
+    newer than itself on the unique key. Returns the silver tables. Silver of run n lies in ``silver_n``."""
+    out = {}
+    for name, (_, model, key) in LAYERS.items():
+        bronze, silver = f"{root}/bronze/{name}", f"{root}/silver_{run}/{name}"
+        append_new(spark, sources[name], bronze, "created_at")
+        before = read_if_exists(spark, f"{root}/silver_{run - 1}/{name}")
+        batch = model(new_rows(read_table(spark, bronze), before, "created_at"))
+        merged = upsert_latest(before, with_part(batch, key), [key], ["created_at"], "part")
+        write_overwrite(merged, silver, partition_by=["part"])
+        out[name] = read_table(spark, silver).drop("part")
+    return out
+
+
+def _latest(cte: str, key: str) -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY created_at DESC) AS rn "
+            f"FROM {cte}) r WHERE rn = 1")
+
+
 @query("obt_metadata", with_views(f"""
-SELECT sb.*, {", ".join("sl." + c for c in LISTING_COLS)}, {", ".join("sh." + c for c in HOST_COLS)}
-FROM sb LEFT JOIN sl ON sb.listing_id = sl.listing_id LEFT JOIN sh ON sl.host_id = sh.host_id
+SELECT b.*, {", ".join("l." + c for c in LISTING_COLS)}, {", ".join("h." + c for c in HOST_COLS)}
+FROM (SELECT * EXCLUDE (rn) FROM ({_ranked('DESC', 'LAST')}) r WHERE rn = 1) b
+LEFT JOIN ({_latest('sl', 'listing_id')}) l ON b.listing_id = l.listing_id
+LEFT JOIN ({_latest('sh', 'host_id')}) h ON l.host_id = h.host_id
 """, *_ALL, extra=_SILVER))
 def q_obt_metadata(spark, sf):
-    return obt(bookings_silver(view(spark, sf, "v_bookings")), listings_silver(view(spark, sf, "v_listings")),
-               hosts_silver(view(spark, sf, "v_hosts")))
+    """Two runs (rows before 2000, then everything), bronze to silver to gold on the merged silver."""
+    root = scratch_path(spark, "rentals")
+    whole = {name: view(spark, sf, v) for name, (v, _, _) in LAYERS.items()}
+    early = {name: df.where(F.col("created_at") < F.expr(f"TIMESTAMP_NTZ'{CUT}'")) for name, df in whole.items()}
+    run_layers(spark, early, root, 1)
+    silver = run_layers(spark, whole, root, 2)
+    return obt(silver["bookings"], silver["listings"], silver["hosts"])
 
 
 @query("upsert_latest", with_views(
     f"SELECT * EXCLUDE (rn) FROM ({_ranked('DESC', 'LAST')}) r WHERE rn = 1", *_ALL, extra=_SILVER))
 def q_upsert_latest(spark, sf):
     """First load: bookings created before 2000; then merge all later ones on booking_id."""
-    silver = bookings_silver(view(spark, sf, "v_bookings"))
-    cut = F.col("created_at") < F.expr("TIMESTAMP_NTZ'2000-01-01 00:00:00'")
-    table = scratch_path(spark, "silver_bookings")
-    upsert_latest(spark, table, silver.where(cut), ["booking_id"], ["created_at"])
-    return upsert_latest(spark, table, silver.where(~cut), ["booking_id"], ["created_at"])
+    silver = with_part(bookings_silver(view(spark, sf, "v_bookings")), "booking_id")
+    cut = F.col("created_at") < F.expr(f"TIMESTAMP_NTZ'{CUT}'")
+    first, second = scratch_path(spark, "silver_bookings"), scratch_path(spark, "silver_bookings")
+    keys, order = ["booking_id"], ["created_at"]
+    write_overwrite(upsert_latest(None, silver.where(cut), keys, order, "part"), first, partition_by=["part"])
+    merged = upsert_latest(spark.read.parquet(first), silver.where(~cut), keys, order, "part")
+    write_overwrite(merged, second, partition_by=["part"])
+    return spark.read.parquet(second).drop("part")
 
 
 @query("dedup_key", with_views(
@@ -141,15 +187,21 @@ def q_dedup_key(spark, sf):
     return keep_one(bookings_silver(view(spark, sf, "v_bookings")), ["booking_id"], ["created_at"], keep="first")
 
 
+def undated(bookings: DataFrame) -> DataFrame:
+    """Some versions whose time is not known (they come before all others of their key)."""
+    return bookings.withColumn("created_at", F.when(F.col("booking_id") % 53 != 0, F.col("created_at")))
+
+
 @query("scd2_history", with_views(f"""
-SELECT *, valid_to IS NULL AS is_current FROM (
-  SELECT *, lead(created_at) OVER (PARTITION BY booking_id ORDER BY
-    {", ".join(f"{c} ASC NULLS FIRST" for c in ["created_at"] + _BOOKING_REST.split(", "))}) AS valid_to
-  FROM sb) t
-""", *_ALL, extra=_SILVER))
+SELECT *, n = versions AS is_current FROM (
+  SELECT *, lead(created_at) OVER w AS valid_to, row_number() OVER w AS n, count(*) OVER (PARTITION BY booking_id) AS versions
+  FROM (SELECT * REPLACE (CASE WHEN booking_id % 53 <> 0 THEN created_at END AS created_at) FROM sb) u
+  WINDOW w AS (PARTITION BY booking_id ORDER BY
+    {", ".join(f"{c} ASC NULLS FIRST" for c in ["created_at"] + _BOOKING_REST.split(", "))})) t
+""", *_ALL, extra=_SILVER).replace("SELECT *, n = versions AS is_current FROM", "SELECT * EXCLUDE (n, versions), n = versions AS is_current FROM"))
 def q_scd2_history(spark, sf):
-    return scd2(bookings_silver(view(spark, sf, "v_bookings")), ["booking_id"], "created_at",
-                bucket=F.date_trunc("month", "created_at"))
+    return scd2(undated(bookings_silver(view(spark, sf, "v_bookings"))), ["booking_id"], "created_at", bucket=ranges(
+        view(spark, sf, "v_bookings"), "created_at"))
 
 
 @query("quality_referential", with_views("""
@@ -191,7 +243,7 @@ def q_incremental_append(spark, sf):
     return spark.read.parquet(target)
 
 
-_PARSED = "try_strptime(updated_at, '%Y-%m-%d %H:%M:%S')"
+_PARSED = "CASE WHEN updated_at NOT LIKE '%:60' THEN try_strptime(updated_at, '%Y-%m-%d %H:%M:%S') END"
 
 
 @query("incremental_text_source", with_views(f"""
@@ -205,7 +257,22 @@ def q_incremental_text_source(spark, sf):
     export = scratch_path(spark, "source_db_csv")
     view(spark, sf, "v_source_text").write.option("header", True).csv(export)
     source = read_csv_strings(spark, export, ["id", "data", "updated_at"]).withColumn("id", F.col("id").cast("bigint"))
-    good, _rejects = typed_source(source, "updated_at", on_bad="reject")
+    good, _ = typed_source(source, "updated_at", on_bad="reject")
     target = scratch_path(spark, "history_text")
     write_overwrite(good.where(F.col("updated_at") < F.expr("TIMESTAMP_NTZ'2000-01-01 00:00:00'")), target)
     return new_rows(good, spark.read.parquet(target), "updated_at")
+
+
+@query("incremental_text_rejects", with_views(f"SELECT id, data, updated_at FROM v_source_text WHERE {_PARSED} IS NULL",
+                                              "v_source_text"))
+def q_incremental_text_rejects(spark, sf):
+    """The rows of the text export whose timestamp is malformed, as they came."""
+    return typed_source(view(spark, sf, "v_source_text"), "updated_at", on_bad="reject")[1]
+
+
+@query("incremental_text_strict", with_views(
+    f"SELECT id, data, {_PARSED} AS updated_at FROM v_source_text WHERE {_PARSED} IS NOT NULL", "v_source_text"))
+def q_incremental_text_strict(spark, sf):
+    """A clean batch in fail mode: every row is typed (one malformed row would fail the job)."""
+    good = ((F.col("id") % 97 != 0) & (F.col("id") % 89 != 0) & (F.col("id") % 83 != 0))
+    return typed_source(view(spark, sf, "v_source_text").where(good), "updated_at", on_bad="fail")[0]

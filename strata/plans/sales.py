@@ -14,6 +14,9 @@ from strata.functions.rules import money, strict_int
 from strata.operators.validate import REASON, split_valid
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
+from strata.session import scratch_path
+from strata.sources.readers import read_csv_typed
+from strata.sources.sinks import publish_sorted_csv
 
 # fixed values of the source jobs
 TAX_RATE = "1.18"
@@ -34,14 +37,14 @@ def clean_with_tax(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     clean, rejects = split_valid(raw, tax_checks(raw))
     clean = clean.withColumns({
         "date": parse_date("date"),
-        "total_with_tax": F.round(money("amount") * F.lit(TAX_RATE).cast("decimal(3,2)"), 2).cast("double"),
+        "total_with_tax": F.round(money("amount", 34, 6) * F.lit(TAX_RATE).cast("decimal(3,2)"), 2).cast("double"),
     })
     return clean, rejects.select("id", F.col(REASON).alias("reason"))
 
 
 def line_total(raw: DataFrame) -> DataFrame:
     """price (any decimal text) x quantity (integer text only); NULL when either is bad."""
-    return raw.withColumn("line_total", F.col("price").try_cast("decimal(20,6)") * strict_int("quantity"))
+    return raw.withColumn("line_total", F.col("price").try_cast("decimal(27,6)") * strict_int("quantity"))
 
 
 def daily_revenue(raw: DataFrame) -> DataFrame:
@@ -54,7 +57,7 @@ def daily_revenue(raw: DataFrame) -> DataFrame:
 
 def quality_counts(raw: DataFrame) -> DataFrame:
     """Both jobs' valid/total counters in one aggregate pass (partial per task)."""
-    line_ok = (F.col("price").try_cast("decimal(20,6)") * strict_int("quantity")).isNotNull()
+    line_ok = (F.col("price").try_cast("decimal(27,6)") * strict_int("quantity")).isNotNull()
     tax_ok = money("amount").isNotNull() & parse_date("date").isNotNull()
     return raw.agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -67,14 +70,16 @@ def quality_counts(raw: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- oracles
 
-_AMOUNT = "TRY_CAST(amount AS DECIMAL(18,2))"
+_AMOUNT = "TRY_CAST(amount AS DECIMAL(30,6))"
+# the tax is reckoned apart from the amount: 18 hundredths of it, and rounded once by whole ten-thousandths
+_TAXED = f"(CAST({_AMOUNT} * 1000000 AS HUGEINT) * 118 + 500000) // 1000000"
 _DATE = "TRY_STRPTIME(date, '%Y-%m-%d')"
 _QTY = "CASE WHEN regexp_full_match(trim(quantity), '[+-]?[0-9]+') THEN TRY_CAST(quantity AS INTEGER) END"
-_LINE = f"TRY_CAST(price AS DECIMAL(20,6)) * ({_QTY})"
+_LINE = f"TRY_CAST(price AS DECIMAL(27,6)) * ({_QTY})"
 
 SQL_SALES_CLEAN = with_views(f"""
 SELECT id, CAST({_DATE} AS DATE) AS date, amount, price, quantity, item,
-       CAST(round({_AMOUNT} * 1.18, 2) AS DOUBLE) AS total_with_tax
+       CAST({_TAXED} AS DOUBLE) / 100 AS total_with_tax
 FROM v_raw_sales WHERE {_AMOUNT} IS NOT NULL AND {_DATE} IS NOT NULL
 """, "v_raw_sales")
 
@@ -116,3 +121,11 @@ def q_daily_revenue(spark, sf):
 @query("sales_quality_counts", SQL_QUALITY)
 def q_sales_quality_counts(spark, sf):
     return quality_counts(view(spark, sf, "v_raw_sales"))
+
+
+@query("daily_revenue_csv", SQL_DAILY_REVENUE)
+def q_daily_revenue_csv(spark, sf):
+    """The daily revenue as a two-column CSV sorted by date, read back."""
+    path = scratch_path(spark, "daily_revenue")
+    publish_sorted_csv(daily_revenue(view(spark, sf, "v_raw_sales")), path, ["Date"])
+    return read_csv_typed(spark, path, "Date STRING, Total_Daily_Revenue DOUBLE")

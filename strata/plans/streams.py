@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.plans import medallion as M
+from strata.plans import playlist as P
+from strata.plans import warehouse as W
 from strata.plans.registry import query
 from strata.plans.views import table, view, with_views
 from strata.session import scratch_path
+from strata.sources.readers import typed_text
 from strata.sources.sinks import write_overwrite
 from strata.streaming.ingest import ingest, ledger, read_ingested
 
@@ -82,6 +86,44 @@ def q_stream_ingest_csv(spark, sf):
     return s.read()
 
 
+def _loaded(name: str, sql: str) -> str:
+    return f"SELECT '{name}' AS table_name, count(*) AS row_count, count(nullif(url, '')) AS with_url FROM ({sql}) t"
+
+
+def _body(sql: str, start: str) -> str:
+    return sql[sql.index("\n" + start):]
+
+
+@query("stream_ingest_playlists", with_views(" UNION ALL ".join([
+    _loaded("album", f"SELECT CASE WHEN album_id LIKE '%7' THEN NULL ELSE url END AS url FROM ({_body(P.SQL_ALBUMS, 'SELECT DISTINCT')}) a"),
+    _loaded("artist", f"SELECT CASE WHEN artist_id LIKE '%7' THEN NULL ELSE external_url END AS url FROM ({_body(P.SQL_ARTISTS, 'SELECT DISTINCT')}) a"),
+    _loaded("songs", f"SELECT CASE WHEN song_id LIKE '%7' THEN NULL ELSE url END AS url FROM ({_body(P.SQL_SONGS, 'SELECT * EXCLUDE')}) a")]),
+    extra=P._EXTRA))
+def q_stream_ingest_playlists(spark, sf):
+    """Three CSV exports in one landing folder; three streams pick theirs by file pattern, read columns by
+    position and take ``NULL``, ``null`` and empty fields for NULL."""
+    root = scratch_path(spark, "playlist_stream")
+    docs = P.load_docs(spark, sf, bronze=True)
+    out = None
+    for name, build, key, url, ddl in (
+            ("album", P.albums, "album_id", "url", W.ALBUM_DDL), ("artist", P.artists, "artist_id", "external_url", W.ARTIST_DDL),
+            ("songs", P.songs, "song_id", "url", W.SONG_DDL)):
+        last = F.substring(F.col(key), -1, 1)
+        token = F.when(F.length(key) % 3 == 0, "NULL").when(F.length(key) % 3 == 1, "null").otherwise("")
+        dirty = build(docs).withColumn(url, F.when(last == "7", token).otherwise(F.col(url)))
+        dirty.write.option("header", True).csv(f"{root}/inbox/{name}_transformed")
+    for name, url, ddl in (("album", "url", W.ALBUM_DDL), ("artist", "external_url", W.ARTIST_DDL), ("songs", "url", W.SONG_DDL)):
+        target = f"{root}/{name}"
+        text = ", ".join(f"{f.name} STRING" for f in T.StructType.fromDDL(ddl).fields)
+        ingest(spark, f"{root}/inbox/{name}_transformed*", target, f"{root}/_checkpoint/{name}", text, fmt="csv",
+               options={"header": True, "enforceSchema": True, "pathGlobFilter": "*.csv"})
+        loaded = typed_text(read_ingested(spark, target), ddl)
+        row = loaded.agg(F.count(F.lit(1)).alias("row_count"), F.count(url).alias("with_url")) \
+            .select(F.lit(name).alias("table_name"), "row_count", "with_url")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("stream_schema_evolution", """
 SELECT event_id, ts, user_id, event_type, value, CASE WHEN event_id % 2 = 0 THEN NULL ELSE props END AS props
 FROM events

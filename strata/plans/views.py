@@ -45,6 +45,9 @@ class Dialect:
             return f"date_add(DATE'{base}', CAST({days} AS INT))"
         return f"(DATE '{base}' + CAST({days} AS INTEGER))"
 
+    def tab(self) -> str:
+        return "chr(9)"
+
     def title(self, x: str) -> str:
         # initcap of a single word; DuckDB has no initcap
         return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
@@ -138,7 +141,6 @@ FROM (
            sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS n_pending
     FROM orders GROUP BY o_custkey) co ON co.o_custkey = c.c_custkey
 ) cb JOIN nation n ON cb.c_nationkey = n.n_nationkey
-WHERE n.n_nationkey % 5 <> 4
 GROUP BY n.n_nationkey, n.n_name
 """
 
@@ -173,7 +175,6 @@ def v_sellers(d: Dialect) -> str:
 SELECT lower(n.n_name) AS country, {sex} AS sex,
   {cols}
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
-WHERE n.n_nationkey % 7 <> 5
 GROUP BY n.n_nationkey, n.n_name, {sex}
 """
 
@@ -217,7 +218,6 @@ def v_countries(d: Dialect) -> str:
 SELECT lower(n.n_name) AS country,
   {cols}
 FROM nation n LEFT JOIN supplier s ON s.s_nationkey = n.n_nationkey
-WHERE n.n_nationkey % 4 <> 2
 GROUP BY n.n_nationkey, n.n_name
 """
 
@@ -236,6 +236,7 @@ SELECT
        ELSE CAST({day} AS STRING) END AS date,
   CASE WHEN l_partkey % 11 = 0 THEN NULL
        WHEN l_partkey % 17 = 0 THEN 'not_a_number'
+       WHEN l_partkey % 3 = 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(12,2)) + l_orderkey % 100 * 0.0001 AS STRING)
        ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END AS amount,
   CASE WHEN l_suppkey % 23 = 0 THEN 'invalid'
        ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.01 AS STRING) END AS price,
@@ -258,7 +259,9 @@ SELECT event_id AS line_no,
   CASE
     WHEN event_id % 37 = 0 THEN {d.ts_text('ts')} || ' ERROR missing separators'
     WHEN event_id % 31 = 0 THEN 'bad-ts | ERROR | garbled'
+    WHEN event_id % 41 = 0 THEN substr({d.ts_text('ts')}, 1, 17) || '60 | ' || {level} || ' | ' || {msg}
     WHEN event_id % 43 = 0 THEN {unpadded} || ' | ' || {level} || ' | ' || {msg}
+    WHEN event_id % 17 = 0 THEN {d.ts_text('ts')} || {d.tab()} || '| ' || {level} || {d.tab()} || '|' || {d.tab()} || {msg}
     ELSE {d.ts_text('ts')} || ' | ' || {level} || ' | ' || {msg}
   END AS value
 FROM events
@@ -281,6 +284,7 @@ def v_source_text(d: Dialect) -> str:
 SELECT o_orderkey AS id, o_orderpriority AS data,
   CASE WHEN o_orderkey % 97 = 0 THEN 'not-a-time'
        WHEN o_orderkey % 89 = 0 THEN {d.ts_text('o_orderdate')} || 'Z'
+       WHEN o_orderkey % 83 = 0 THEN substr({d.ts_text('o_orderdate')}, 1, 17) || '60'
        ELSE {d.ts_text('o_orderdate')} END AS updated_at
 FROM orders
 """
@@ -411,23 +415,6 @@ VIEWS = {
 _REGISTERED: dict[tuple[str, str], str] = {}
 
 
-SPREAD_MIN_BYTES = 1 << 20
-_STAGED: dict[tuple[str, str], str | None] = {}
-
-
-def _local_bytes(df: DataFrame) -> int:
-    """Size of a local input (0 when any file is remote or unknown: then it is left as is)."""
-    total = 0
-    for f in df.inputFiles():
-        if not f.startswith("file:"):
-            return 0
-        try:
-            total += os.path.getsize(re.sub(r"^file:/*", "/", f))
-        except OSError:
-            return 0
-    return total
-
-
 def _app(spark: SparkSession) -> str:
     try:
         return spark.sparkContext.applicationId
@@ -435,40 +422,8 @@ def _app(spark: SparkSession) -> str:
         return str(id(spark))
 
 
-def spread(spark: SparkSession, path: str) -> DataFrame:
-    """Read ``path``; a local file with fewer partitions than the session's task slots
-    is first copied once (per session) into as many files under the scratch area.
-
-    A fixture file of several MB in one row group would otherwise be scanned by
-    one task, together with every filter Spark pushes into that scan.  Inputs
-    that already have enough partitions (any large table), small inputs (under
-    1 MB) and remote inputs are read as they are: nothing changes at scale.
-    """
-    key = (_app(spark), path)
-    if key not in _STAGED:
-        df = spark.read.parquet(path)
-        _STAGED[key] = None
-        try:
-            slots = spark.sparkContext.defaultParallelism
-            few = df.rdd.getNumPartitions() < slots
-        except Exception:  # no RDD view of the plan (e.g. a Spark Connect session)
-            few = False
-        if few and _local_bytes(df) >= SPREAD_MIN_BYTES:
-            from strata.session import scratch_path
-
-            copy = scratch_path(spark, "staged_input")
-            df.repartition(slots, df.columns[0]).write.parquet(copy)
-            _STAGED[key] = copy
-    return spark.read.parquet(_STAGED[key] or path)
-
-
-# dimension-sized driver tables (tens to thousands of rows per scale unit): never spread
-SMALL_TABLES = {"region", "nation", "supplier"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spark.read.parquet(path) if name in SMALL_TABLES else spread(spark, path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.validate import split_valid
+from strata.operators.validate import REASON, split_valid
 from strata.plans import playlist as P
 from strata.plans.registry import query
 from strata.plans.views import table, with_views
@@ -30,8 +30,8 @@ ALBUM_DDL = "album_id VARCHAR(100), name VARCHAR(100), release_date DATE, total_
 ARTIST_DDL = "artist_id VARCHAR(100), artist_name VARCHAR(100), external_url VARCHAR(200)"
 SONG_DDL = ("song_id VARCHAR(100), song_name VARCHAR(100), duration_ms INT, url VARCHAR(200), popularity INT, "
             "song_added TIMESTAMP_NTZ, album_id VARCHAR(100), artist_id VARCHAR(100)")
-PATTERNS = {"album": ".*album_transformed.*[.]csv", "artist": ".*artist_transformed.*[.]csv",
-            "songs": ".*song_transformed.*[.]csv"}
+PATTERNS = {"album": ".*album_transformed.*.csv", "artist": ".*artist_transformed.*.csv",
+            "songs": ".*song_transformed.*.csv"}
 
 
 def publish_playlist(spark: SparkSession, sf: str, tables=("album", "artist", "songs")) -> str:
@@ -129,18 +129,31 @@ def q_truncate_reload(spark, sf):
 URL_LIMIT = 40  # declared VARCHAR length of the typed page table (ours)
 
 
+def split_lengths(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = pages.select("page_id", "url")
+    return split_valid(rows, [("over_length", length_violations(rows, {"url": URL_LIMIT}))])
+
+
 @query("typed_load_with_length_check", f"SELECT page_id, url FROM pages WHERE length(url) <= {URL_LIMIT}")
 def q_typed_load_with_length_check(spark, sf):
     """Over-length values go to rejects first; the rest is inserted into a VARCHAR(n) table,
     whose own length check would otherwise fail the whole insert."""
-    pages = table(spark, sf, "pages").select("page_id", "url")
-    clean, _rejects = split_valid(pages, [("over_length", length_violations(pages, {"url": URL_LIMIT}))])
+    clean = split_lengths(table(spark, sf, "pages"))[0]
     location = scratch_path(spark, "tbl_pages")
     name = "pages_typed_" + location.rsplit("-", 1)[-1]
     spark.sql(f"CREATE TABLE {name} (page_id BIGINT, url VARCHAR({URL_LIMIT})) USING parquet "
               f"LOCATION '{location}'")
-    clean.write.insertInto(name)
-    return spark.table(name)
+    try:
+        clean.write.insertInto(name)
+        return spark.read.schema("page_id BIGINT, url STRING").parquet(location)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+
+
+@query("typed_load_rejects", f"SELECT page_id, url, 'over_length' AS reason FROM pages WHERE length(url) > {URL_LIMIT}")
+def q_typed_load_rejects(spark, sf):
+    """The over-length rows, with the reason."""
+    return split_lengths(table(spark, sf, "pages"))[1].withColumnRenamed(REASON, "reason")
 
 
 @query("scan_parquet", """
@@ -193,13 +206,28 @@ def q_write_overwrite_schema(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("file_manifest")
+@query("file_manifest", """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, 1 AS files FROM events GROUP BY 1
+""")
 def q_file_manifest(spark, sf):
-    """Per landing folder (the stage): number of files and bytes, from a listing (contents never read)."""
-    from strata.plans.api import land_api_files
-
-    stages = {"playlists": P.land_docs(spark, sf), "api_responses": land_api_files(spark, sf)}
-    parts = [file_manifest(spark, path).where(~F.col("path").contains("/_"))
-             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-             .select(F.lit(name).alias("stage"), "files", "bytes") for name, path in stages.items()]
-    return parts[0].unionByName(parts[1])
+    """Events land as one file in each day's folder; the report counts files by folder, from a listing
+    alone (contents never read)."""
+    path = scratch_path(spark, "events_by_day")
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    events.repartition("day").write.partitionBy("day").parquet(path)
+    folder = F.regexp_extract("path", "/day=([0-9-]+)/", 1)
+    return file_manifest(spark, path).where(folder != "").groupBy(folder.alias("day")) \
+        .agg(F.count(F.lit(1)).cast("int").alias("files"))
+
+
+@query("publish_provenance", with_views(f"""
+SELECT *, 'album_transformed_{RUN_DATE}' AS source_file FROM ({P.SQL_ALBUMS[P.SQL_ALBUMS.index(chr(10) + "SELECT DISTINCT"):]}) a
+""", extra=P._EXTRA))
+def q_publish_provenance(spark, sf):
+    """Published rows carry the dated file they belong to, so a load can be traced to its publication."""
+    root = scratch_path(spark, "provenance")
+    albums = P.albums(P.load_docs(spark, sf))
+    stamped = albums.withColumn("source_file", F.lit(f"album_transformed_{RUN_DATE}"))
+    publish_csv_dated(stamped, root, "album", RUN_DATE, stem="album_transformed")
+    return bulk_load_csv(spark, root, "album_id STRING, name STRING, release_date DATE, total_tracks BIGINT, url STRING, "
+                         "source_file STRING", pattern=PATTERNS["album"])

@@ -8,7 +8,6 @@ given a machine-local folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -21,7 +20,6 @@ _DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -69,11 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that must touch the local filesystem (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
-
-def ensure_dir(path: str) -> None:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(local_path(path), exist_ok=True)

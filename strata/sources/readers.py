@@ -61,6 +61,14 @@ def bulk_load_csv(spark: SparkSession, path: str, schema: T.StructType | str,
         raw = read_by_path_regex(spark, path, pattern, "csv", text_schema, **opts)
     else:
         raw = spark.read.options(**opts).schema(text_schema).csv(path)
+    return typed_text(raw, schema, null_tokens, empty_as_null)
+
+
+def typed_text(raw: DataFrame, schema: T.StructType | str, null_tokens: Sequence[str] = ("NULL", "null"),
+               empty_as_null: bool = True) -> DataFrame:
+    """Text columns to the declared types; null tokens (and empty fields) become NULL."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     exprs = {}
     for f in schema.fields:
         c = F.col(f.name)

@@ -1,10 +1,8 @@
-"""Sinks: overwrite, append, CSV publishing, truncate, and versioned (staged) tables.
+"""Sinks: overwrite, append, CSV publishing and truncate.
 
-A table is never overwritten while it is an input of the same job.  Versioned
-tables write each new state to ``<table>/v=<n>`` and then append ``n`` to an
-append-only pointer (``<table>/_pointer``); readers take the highest committed
-version, so a failed write never exposes a half-written state and the previous
-version stays readable.
+A table is never overwritten while it is an input of the same job.  Every output is
+written by as many tasks as its data needs; a sorted output is partitioned by range,
+so its part files follow the order.
 """
 
 from __future__ import annotations
@@ -16,10 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.obt import fits_broadcast
-
-SINGLE_FILE_MAX_BYTES = 256 * 1024 * 1024
-
 
 def _norm_path(p: str) -> str:
     return re.sub(r"^file:/*", "/", p).rstrip("/")
@@ -27,20 +21,16 @@ def _norm_path(p: str) -> str:
 
 def _reads_from(df: DataFrame, path: str) -> bool:
     target = _norm_path(path) + "/"
-    try:
-        inputs = df.inputFiles()
-    except Exception:
-        return False
-    return any(_norm_path(f).startswith(target) for f in inputs)
+    return any(_norm_path(f).startswith(target) for f in df.inputFiles())
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
                     partition_by: Sequence[str] | None = None, **options) -> None:
-    """Replace the table at ``path``.  A job may not overwrite a table it reads
-    (the old files would vanish mid-read): use ``commit_version`` for that."""
+    """Replace the whole table at ``path``, all its partitions too.  A job may not overwrite
+    a table it reads (the old files would vanish mid-read): write to a new path for that."""
     if _reads_from(df, path):
-        raise ValueError(f"{path} is an input of this write; commit a new version instead")
-    w = df.write.mode("overwrite").format(fmt).options(**options)
+        raise ValueError(f"{path} is an input of this write; write to a new path instead")
+    w = df.write.mode("overwrite").format(fmt).options(**{"partitionOverwriteMode": "static", **options})
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -50,23 +40,14 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> N
     df.write.mode("append").format(fmt).options(**options).save(path)
 
 
-def publish_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True,
-                max_single_file_bytes: int = SINGLE_FILE_MAX_BYTES) -> None:
-    """CSV with a header.  ``single_file`` only after a bounded size check; larger
-    outputs keep one file per task instead of funnelling through one task."""
-    if single_file and fits_broadcast(df, max_single_file_bytes):
-        df = df.coalesce(1)
+def publish_csv(df: DataFrame, path: str, header: bool = True) -> None:
+    """CSV with a header, one file for each task."""
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def publish_sorted_csv(df: DataFrame, path: str, order: Sequence[str], header: bool = True,
-                       max_single_file_bytes: int = SINGLE_FILE_MAX_BYTES) -> None:
-    """A summary CSV sorted by ``order``: one file when small, otherwise range-partitioned
-    part files whose names follow the sort order (no single task sorts everything)."""
-    sorted_df = df.orderBy(*order)
-    if fits_broadcast(df, max_single_file_bytes):
-        sorted_df = sorted_df.coalesce(1)
-    sorted_df.write.mode("overwrite").option("header", header).csv(path)
+def publish_sorted_csv(df: DataFrame, path: str, order: Sequence[str], header: bool = True) -> None:
+    """A summary CSV sorted by ``order``: partitioned by range, so the part files' names follow the order."""
+    publish_csv(df.orderBy(*order), path, header)
 
 
 def dated_path(base: str, name: str, run_date: str, stem: str | None = None) -> str:
@@ -83,34 +64,3 @@ def publish_csv_dated(df: DataFrame, base: str, name: str, run_date: str, stem:
 def truncate(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
     """Empty the table at ``path`` but keep its schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").format(fmt).save(path)
-
-
-# ---------------------------------------------------------------- versioned tables
-
-def current_version(spark: SparkSession, table: str) -> int | None:
-    """The highest committed version number (one scalar), or None for a new table."""
-    try:
-        row = spark.read.parquet(f"{table}/_pointer").agg(F.max("version")).first()
-    except Exception:  # no pointer yet
-        return None
-    return None if row is None or row[0] is None else int(row[0])
-
-
-def read_current(spark: SparkSession, table: str) -> DataFrame | None:
-    v = current_version(spark, table)
-    return None if v is None else spark.read.parquet(f"{table}/v={v}")
-
-
-def commit_version(spark: SparkSession, df: DataFrame, table: str,
-                   partition_by: Sequence[str] | None = None) -> int:
-    """Write ``df`` as the next version, then record it in the pointer.
-
-    The pointer is append-only (one tiny file per commit; the current version is
-    the highest recorded), so no crash can leave it missing or half-written.  A
-    version folder left by a crashed write is never referenced and is simply
-    overwritten by the next commit.
-    """
-    v = (current_version(spark, table) or 0) + 1
-    write_overwrite(df, f"{table}/v={v}", partition_by=partition_by)
-    spark.createDataFrame([(v,)], "version INT").coalesce(1).write.mode("append").parquet(f"{table}/_pointer")
-    return v

@@ -17,15 +17,17 @@ checkpoint; reading the table with ``mergeSchema`` shows NULL for older rows.
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
-DEFAULT_TIMEOUT_S = 1800
 
 
 @dataclass
@@ -34,11 +36,45 @@ class IngestResult:
     rows: int
 
 
+class _Totals(StreamingQueryListener):
+    """Batches and rows of one query run; its events arrive in order, the end of the run last."""
+
+    def __init__(self):
+        self.by_run: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+        self.run = ""
+
+    def follow(self, run: str) -> None:
+        self.run = run
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        seen = self.by_run[str(event.progress.runId)]
+        seen[0] += 1
+        seen[1] += int(event.progress.numInputRows)
+
+    def onQueryTerminated(self, event):
+        self.ended[str(event.runId)].set()
+
+    def result(self) -> IngestResult:
+        self.ended[self.run].wait()
+        return IngestResult(*self.by_run[self.run])
+
+
 def ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
            schema: T.StructType | str, fmt: str = "parquet", archive_dir: str | None = None,
            source_file: bool = False, max_files_per_trigger: int = 1000,
-           timeout_s: int = DEFAULT_TIMEOUT_S, options: dict | None = None) -> IngestResult:
-    """Take every file not yet ingested from ``source_dir`` into ``table_dir`` and stop."""
+           timeout_s: int | None = None, options: dict | None = None) -> IngestResult:
+    """Take every file not yet ingested from ``source_dir`` into ``table_dir`` and stop.
+
+    Runs until everything present is taken; ``timeout_s`` sets a limit.  The totals
+    come from the progress of every micro-batch, not from the few that Spark keeps.
+    """
     reader = (spark.readStream.format(fmt).schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("recursiveFileLookup", True)
@@ -50,15 +86,22 @@ def ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str
         # the micro-batch's timestamp, so the ledger can tell when each file was taken
         stream = stream.withColumns({SOURCE_FILE: F.col("_metadata.file_path"),
                                      INGESTED_AT: F.current_timestamp()})
-    query = (stream.writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start(table_dir))
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"stream into {table_dir} did not finish within {timeout_s}s")
-    progress = [p for p in query.recentProgress if p.get("numInputRows") is not None]
-    return IngestResult(batches=len(progress), rows=sum(int(p["numInputRows"]) for p in progress))
+    totals = _Totals()
+    spark.streams.addListener(totals)
+    try:
+        query = (stream.writeStream.format("parquet")
+                 .option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True)
+                 .start(table_dir))
+        totals.follow(str(query.runId))
+        if timeout_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_s):
+            query.stop()
+            raise TimeoutError(f"stream into {table_dir} did not finish within {timeout_s}s")
+        return totals.result()
+    finally:
+        spark.streams.removeListener(totals)
 
 
 def read_ingested(spark: SparkSession, table_dir: str, merge_schema: bool = False) -> DataFrame:

@@ -9,10 +9,11 @@ from strata.operators.incremental import new_rows, upsert_latest
 from strata.operators.validate import split_valid
 from strata.operators.windows import neighbours, running_sum
 from strata.plans import medallion as M
-from strata.plans.rentals import bookings_silver
+from strata.plans.rentals import bookings_silver, with_part
 from strata.plans.sales import tax_checks
 from strata.plans.views import table, view
 from strata.session import scratch_path
+from strata.sources.sinks import write_overwrite
 from tests.conftest import SF_CHECK, SF_SMALL
 
 
@@ -30,10 +31,8 @@ def test_dedup_idempotent_and_order_free(spark):
 
 def test_upsert_idempotent(spark):
     b = bookings_silver(view(spark, SF_SMALL, "v_bookings"))
-    t = scratch_path(spark, "prop_upsert")
-    first = upsert_latest(spark, t, b, ["booking_id"], ["created_at"])
-    again = upsert_latest(spark, t, b, ["booking_id"], ["created_at"])
-    assert same(first, again)
+    first = upsert_latest(None, b, ["booking_id"], ["created_at"])
+    assert same(first, upsert_latest(first, b, ["booking_id"], ["created_at"]))
 
 
 def test_clean_and_rejects_partition_the_input(spark):
@@ -51,8 +50,7 @@ def test_high_water_mark_rerun_is_empty(spark):
 def test_outer_chain_rewrite_equals_plain_chain(spark):
     tables = M.silver_tables(spark, SF_CHECK)
     plain = M.gold_user_obt(*tables, force="plain")
-    for mode in ("broadcast", "shuffle"):
-        assert same(M.gold_user_obt(*tables, force=mode), plain)
+    assert same(M.gold_user_obt(*tables), plain)
 
 
 def _hot_orders(spark):
@@ -87,19 +85,112 @@ def test_outer_chain_with_a_hot_key(spark):
     assert same(M.gold_user_obt(hot, countries, buyers, sellers), plain)
 
 
-def test_upsert_rewrites_only_touched_buckets(spark):
-    b = bookings_silver(view(spark, SF_SMALL, "v_bookings"))
-    t = scratch_path(spark, "prop_upsert_buckets")
-    upsert_latest(spark, t, b, ["booking_id"], ["created_at"], buckets=16)
+def test_upsert_merges_only_touched_partitions(spark):
+    b = with_part(bookings_silver(view(spark, SF_SMALL, "v_bookings")), "booking_id") \
+        .withColumn("part", F.pmod(F.col("booking_id"), F.lit(16)).cast("int"))
+    path = scratch_path(spark, "merged")
+    write_overwrite(upsert_latest(None, b, ["booking_id"], ["created_at"], "part"), path, partition_by=["part"])
     one = b.orderBy("booking_id").limit(1).withColumn("booking_status", F.lit("changed")) \
         .withColumn("created_at", F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'"))
-    after = upsert_latest(spark, t, one, ["booking_id"], ["created_at"], buckets=16)
-    pointer = spark.read.parquet(f"{t}/_pointer")
-    assert pointer.count() == 16 + 1                      # only one bucket got a new version
+    after = upsert_latest(spark.read.parquet(path), one, ["booking_id"], ["created_at"], "part")
+    text = after._jdf.queryExecution().executedPlan().toString()
+    value = one.first()["part"]
+    assert f"PartitionFilters: [coalesce((part#" in text or f"(part#" in text and f"= {value})" in text
     assert after.where(F.col("booking_status") == "changed").count() == 1
     assert after.count() == b.select("booking_id").distinct().count()
 
 
+def test_unreadable_target_is_not_a_first_run(spark):
+    import os
+
+    import pytest
+
+    from strata.operators.incremental import append_new
+    from strata.session import local_path
+
+    path = scratch_path(spark, "broken")
+    src = spark.range(5).selectExpr("id", "CAST(id AS INT) AS at")
+    append_new(spark, src, path, "at")
+    for f in os.listdir(local_path(path)):
+        if f.endswith(".parquet"):
+            with open(os.path.join(local_path(path), f), "wb") as out:
+                out.write(b"not parquet")
+    files = sorted(os.listdir(local_path(path)))
+    with pytest.raises(Exception):
+        append_new(spark, src, path, "at")
+    assert sorted(os.listdir(local_path(path))) == files
+
+
+def test_split_write_twice_keeps_the_second_run_only(spark):
+    from strata.operators.validate import tag_rejects, write_split
+
+    df = spark.range(10)
+    path = scratch_path(spark, "split_twice")
+    write_split(tag_rejects(df, [("odd", F.col("id") % 2 == 1)]), path)
+    write_split(tag_rejects(df, [("none", F.lit(False))]), path)
+    assert spark.read.parquet(path).where("status = 'reject'").count() == 0
+
+
+def test_big_values_survive_rounding(spark):
+    from strata.functions.rules import money, ratio
+
+    row = spark.sql("SELECT 3e12 AS a, 2.0D AS b, '12345678901234567890.25' AS m").select(
+        ratio("a", "b").alias("r"), money("m").cast("string").alias("m")).first()
+    assert row.r == 1.5e12 and row.m.startswith("12345678901234567890.25")
+
+
+def test_tax_is_rounded_once(spark):
+    from strata.plans.sales import clean_with_tax
+
+    raw = spark.createDataFrame([("1", "1.0049", "2024-01-01")], "id STRING, amount STRING, date STRING")
+    assert clean_with_tax(raw)[0].first()["total_with_tax"] == 1.19
+
+
+def test_timestamp_parts_are_bounded_the_same_in_both_modes(spark):
+    import pytest
+
+    from strata.functions.parse import parse_ts, parse_ts_strict
+
+    bad = ["2024-01-01 10:00:60", "0000-01-01 00:00:00", "2024-02-30 00:00:00", "2024-1-1 24:0:0"]
+    df = spark.createDataFrame([(b,) for b in bad], "t STRING")
+    assert [r[0] for r in df.select(parse_ts("t")).collect()] == [None] * 4
+    for b in bad:
+        with pytest.raises(Exception):
+            df.where(F.col("t") == b).select(parse_ts_strict("t")).collect()
+    assert str(spark.sql("SELECT '2024-1-2 3:4:5' AS t").select(parse_ts_strict("t")).first()[0]) == "2024-01-02 03:04:05"
+
+
+def test_split_trim_strips_tabs(spark):
+    from strata.functions.parse import split_trim
+
+    assert spark.sql("SELECT 'a\t| b \t|\tc' AS v").select(split_trim("v")).first()[0] == ["a", "b", "c"]
+
+
+def test_scd2_with_unknown_start_has_one_current_row(spark):
+    from strata.operators.incremental import scd2
+
+    df = spark.sql("SELECT 1 AS k, CAST(NULL AS TIMESTAMP_NTZ) AS at, 'a' AS v UNION ALL SELECT 1, NULL, 'b' "
+                   "UNION ALL SELECT 1, TIMESTAMP_NTZ'2024-01-01 00:00:00', 'c' UNION ALL SELECT 2, NULL, 'd'")
+    for bucket in (None, F.date_trunc("month", "at")):
+        rows = scd2(df, ["k"], "at", bucket=bucket).where("is_current").collect()
+        assert sorted((r.k, r.v) for r in rows) == [(1, "c"), (2, "d")]
+
+
+def test_ranges_split_a_hot_month(spark):
+    from strata.operators.windows import ranges
+
+    o = _hot_orders(spark).select("o_custkey", "o_orderkey", F.expr(
+        "CASE WHEN o_custkey = 7 THEN timestampadd(MINUTE, CAST(o_orderkey % 40000 AS INT), TIMESTAMP_NTZ'1997-03-01 00:00:00') "
+        "ELSE o_orderdate END").alias("o_orderdate"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    bucket = ranges(o, "o_orderdate", 1000)
+    hot = o.where("o_custkey = 7").groupBy(bucket.alias("b")).count().collect()
+    assert len(hot) > 3 and max(r["count"] for r in hot) < 3000
+    order = ["o_orderdate", "o_orderkey"]
+    assert same(running_sum(o, ["o_custkey"], order, "v", "rt"), running_sum(o, ["o_custkey"], order, "v", "rt", bucket=bucket))
+    assert same(neighbours(o, ["o_custkey"], order, "o_orderkey", "p", "n"),
+                neighbours(o, ["o_custkey"], order, "o_orderkey", "p", "n", bucket=bucket))
+
+
 def test_split_write_observes_counts_in_the_same_job(spark):
     from strata.operators.validate import tag_rejects, write_split
 
@@ -110,15 +201,13 @@ def test_split_write_observes_counts_in_the_same_job(spark):
     assert spark.read.parquet(path).where("status = 'reject'").count() == counts["rejected_rows"]
 
 
-def test_outer_chain_refuses_all_pairs_fanout(spark):
-    import pytest
-
+def test_outer_chain_has_no_limit_on_rows_per_key(spark):
     from strata.operators.obt import outer_chain
 
-    base = spark.range(100).selectExpr("id % 2 AS k", "id AS b")
-    dim = spark.range(1000).selectExpr("id % 2 AS k", "id AS d")      # 500 rows per key
-    with pytest.raises(ValueError):
-        outer_chain(base, [dim], "k", max_fanout=64)
+    base = spark.range(4).selectExpr("id % 2 AS k", "id AS b")
+    dim = spark.range(1000).selectExpr("id % 3 AS k", "id AS d")
+    assert same(outer_chain(base, [dim], "k").select("k", "b", "d"),
+                outer_chain(base, [dim], "k", force="plain").select("k", "b", "d"))
 
 
 def test_pre_aggregated_sellers_keep_the_grain(spark):
