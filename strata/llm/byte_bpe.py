@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STEPS = 400_000
+MAX_STEPS = 1_000_000
 MAX_PIECES = 200_000
 #: longer pre-tokens are not kept whole
 KEEP_BYTES = 64
@@ -142,22 +142,29 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Move every reading on: (place in the trie, token before it, tokens not emitted)."""
-        live = []
+        child, token, adjacent = self.child, self.token, self.m.adjacent
+        live, end = [], None
         for node, before, held in self.readings[state]:
-            nxt = self.child[node].get(byte)
+            nxt = child[node].get(byte)
             if nxt is None:
                 continue
-            t = self.token[nxt]
-            if t is not None and (before < 0 or self.m.adjacent(before, t)):
-                live.append((0, t, held + (t,)))
-            if self.child[nxt]:
+            if child[nxt]:
                 live.append((nxt, before, held))
-        live.sort()  # the reading at a token's end (place 0) comes first; there is exactly one
-        first, last = min(r[2] for r in live), max(r[2] for r in live)
-        k = 0
-        while k < len(first) and k < len(last) and first[k] == last[k]:
+            t = token[nxt]
+            if end is None and t is not None and (before < 0 or adjacent(before, t)):
+                end = (0, t, held + (t,))  # exactly one reading is at a token's end
+        live.sort()
+        live.insert(0, end)
+        first = last = end[2]
+        for _, _, held in live:
+            if held < first:
+                first = held
+            elif held > last:
+                last = held
+        k, most = 0, min(len(first), len(last))
+        while k < most and first[k] == last[k]:
             k += 1
-        key = tuple((n, b, h[k:]) for n, b, h in live)
+        key = tuple([(n, b, h[k:]) for n, b, h in live]) if k else tuple(live)
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.readings)
@@ -165,7 +172,7 @@ class Transducer:
             self.steps.append({})
             self.rest.append(key[0][2])
         self.made += 1
-        got = self.steps[state][byte] = (to, first[:k])
+        got = self.steps[state][byte] = (to, end[2][:k])
         return got
 
     def encode(self, piece: bytes) -> list[int]:
