@@ -75,8 +75,9 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bits: int = 64) -> DataFrame:
     """One row per document: ``doc_id, rid, keep_id, group_size, kept, text_sha256``."""
     rec = recipes(docs, id_col, text_col, key_bits)
-    groups = rec.groupBy("recipe").agg(F.max(F.struct("doc_id", "rid")).alias("top"),
-                                       F.count("*").alias("group_size"))
+    # written, so that the join below has plain exchanges on both sides and can split a large group
+    groups = staged(rec.groupBy("recipe").agg(F.max(F.struct("doc_id", "rid")).alias("top"),
+                                              F.count("*").alias("group_size")), "groups")
     return rec.join(groups, "recipe").select(
         "doc_id", "rid", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("top.rid")).alias("kept"), "text_sha256")
