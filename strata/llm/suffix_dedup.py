@@ -43,7 +43,7 @@ SPAN = LENGTH - GRAM + 1
 #: different runs of one key in a task, and in a group, from which on windows meet by hash
 HOT, MANY = 64, 4096
 PIECE = 1 << 20
-GROUP_RUNS, GROUP_BYTES = 400_000, 3 << 20
+GROUP_RUNS, GROUP_BYTES = 400_000, 1 << 19
 WHOLE, INDEX, WINDOWS = 0, 1, 2
 _PLACE = np.uint64((1 << 21) - 1)
 
