@@ -109,7 +109,7 @@ def test_unreadable_target_is_not_a_first_run(spark):
     from strata.session import local_path
 
     path = scratch_path(spark, "broken")
-    src = spark.range(5).selectExpr("id", "CAST(id AS INT) AS at")
+    src = spark.range(5).selectExpr("id", "timestampadd(DAY, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00') AS at")
     append_new(spark, src, path, "at")
     for f in os.listdir(local_path(path)):
         if f.endswith(".parquet"):
