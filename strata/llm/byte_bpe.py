@@ -36,8 +36,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STEPS = 1_000_000
-MAX_PIECES = 200_000
+MAX_STEPS = 500_000
+MAX_PIECES = 120_000
+#: rows encoded at a time
+ROWS = 256
 #: longer pre-tokens are not kept whole
 KEEP_BYTES = 64
 
@@ -296,7 +298,7 @@ def _packed(ids: list[int]) -> bytes:
 
 def _encode(raw, pattern, columns: tuple[str, ...]):
     make = {
-        "ids": (pa.list_(pa.int32()), lambda c, ids: ids),
+        "ids": (pa.list_(pa.int32()), lambda c, ids: np.array(ids, dtype=np.int32)),
         "n_tokens": (pa.int64(), lambda c, ids: len(ids)),
         "ids_sha256": (pa.string(), lambda c, ids: hashlib.sha256(_packed(ids)).hexdigest()),
         "decoded_sha256": (pa.string(), lambda c, ids: hashlib.sha256(c.decode(ids).encode("utf-8")).hexdigest()),
@@ -304,14 +306,16 @@ def _encode(raw, pattern, columns: tuple[str, ...]):
 
     def run(batches):
         c = codec(raw.value, pattern)
-        for b in batches:
-            out: dict[str, list] = {n: [] for n in columns}
-            for x in b.column("_text"):
-                ids = c.encode(x.as_py())
-                for n in columns:
-                    out[n].append(make[n][1](c, ids))
-            yield pa.record_batch([b.column("doc_id")] + [pa.array(out[n], make[n][0]) for n in columns],
-                                  names=["doc_id", *columns])
+        for whole in batches:
+            for k in range(0, whole.num_rows, ROWS):  # ids take more room than texts: hold few at a time
+                b = whole.slice(k, ROWS)
+                out: dict[str, list] = {n: [] for n in columns}
+                for x in b.column("_text"):
+                    ids = c.encode(x.as_py())
+                    for n in columns:
+                        out[n].append(make[n][1](c, ids))
+                yield pa.record_batch([b.column("doc_id")] + [pa.array(out[n], make[n][0]) for n in columns],
+                                      names=["doc_id", *columns])
     return run
 
 

@@ -25,7 +25,7 @@ from strata.llm.byte_bpe import KEEP_BYTES, Codec, codec, read_file
 
 LEAF = 32
 AHEAD = 2
-MAX_COUNTS = 300_000
+MAX_COUNTS = 200_000
 EDITS = "array<struct<start:int,end:int,text:string>>"
 
 
