@@ -9,7 +9,7 @@ back with an explicit schema.  The oracles compute the same tables flat from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.parse import iso_timestamp, parse_date_lenient
@@ -72,7 +72,8 @@ def _artist(num_expr: str):
 
 
 def playlist_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested documents built on the cluster (bounded arrays: <= 50 items each)."""
+    """Nested documents built on the cluster, 50 items each at most: an order's lines are numbered first
+    (line numbers repeat within an order, so they are no bound themselves)."""
     f = {k: F.expr(v) for k, v in fields(SPARK).items()}
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
     part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
@@ -89,8 +90,11 @@ def playlist_docs(spark: SparkSession, sf: str) -> DataFrame:
         f["popularity"].alias("popularity"), F.struct(f["track_url"].alias(URL_KEY)).alias("external_urls"),
         artists.alias("artists"), album.alias("album"))
     item = F.struct(f["added_at"].alias("added_at"), track.alias("track"))
-    return (rows.groupBy(F.col("l_orderkey").alias("playlist_id"),
-                         F.floor(F.col("l_linenumber") / DOC_ITEMS).alias("chunk"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
+    # grouping by order and chunk needs no other exchange than the window's
+    return (rows.withColumn("chunk", F.floor((place - 1) / DOC_ITEMS))
+            .groupBy(F.col("l_orderkey").alias("playlist_id"), "chunk")
             .agg(F.collect_list(item).alias("items")))
 
 

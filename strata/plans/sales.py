@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.parse import parse_date
 from strata.functions.rules import money, strict_int
-from strata.operators.validate import REASON, split_valid
+from strata.operators.validate import REASON, split_valid, tag_rejects, write_split
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
 from strata.session import scratch_path
@@ -129,3 +129,17 @@ def q_daily_revenue_csv(spark, sf):
     path = scratch_path(spark, "daily_revenue")
     publish_sorted_csv(daily_revenue(view(spark, sf, "v_raw_sales")), path, ["Date"])
     return read_csv_typed(spark, path, "Date STRING, Total_Daily_Revenue DOUBLE")
+
+
+@query("sales_split_written", with_views(f"""
+SELECT CASE WHEN reason IS NULL THEN 'clean' ELSE 'reject' END AS status, reason, count(*) AS row_count FROM (
+  SELECT CASE WHEN {_AMOUNT} IS NULL THEN 'bad_amount' WHEN {_DATE} IS NULL THEN 'bad_date' END AS reason FROM v_raw_sales) t
+GROUP BY ALL
+""", "v_raw_sales"))
+def q_sales_split_written(spark, sf):
+    """Clean rows and rejects written in one pass, partitioned by status; a second run replaces both."""
+    raw = view(spark, sf, "v_raw_sales")
+    path = scratch_path(spark, "sales_split")
+    for _ in range(2):
+        write_split(tag_rejects(raw, tax_checks(raw)), path)
+    return spark.read.parquet(path).groupBy("status", F.col(REASON).alias("reason")).agg(F.count(F.lit(1)).alias("row_count"))
