@@ -100,7 +100,8 @@ def runs(column):
         count = np.diff(np.append(first, len(window)))
         start, place = window[first], least[first]
         row = np.searchsorted(border, start, side="right") - 1
-        yield (rows[row], start - border[row] + shift[row], count, span_hash(prefix, place, place + GRAM),
+        # a least hash is a small number; mixed, keys spread over the groups
+        yield (rows[row], start - border[row] + shift[row], count, mix(span_hash(prefix, place, place + GRAM)),
                span_hash(prefix, start, start + count + LENGTH - 1), raw, prefix, start)
 
 
