@@ -36,8 +36,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STEPS = 500_000
-MAX_PIECES = 120_000
+from strata.llm.common import few_rows, worker_tables
+
+MAX_STEPS = 700_000
+MAX_PIECES = 250_000
 #: rows encoded at a time
 ROWS = 256
 #: longer pre-tokens are not kept whole
@@ -272,17 +274,15 @@ class Codec:
         return "".join(out) + stream.close()
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(raw: bytes, pattern: str) -> Codec:
-    """The worker's codec for a rank file's content and a pattern; made once."""
-    key = (hashlib.sha256(raw).hexdigest(), pattern)
-    if key not in _codecs:
+    """The worker's codec for a rank file's content and a pattern; kept between tasks."""
+    kept, key = worker_tables("byte_bpe"), (hashlib.sha256(raw).hexdigest(), pattern)
+    if key not in kept:
         # the tables below are many small objects without cycles: look for cycles seldom
         gc.set_threshold(200_000, 50, 1000)
-        _codecs[key] = Codec(load_ranks(raw), pattern)
-    return _codecs[key]
+        kept.clear()
+        kept[key] = Codec(load_ranks(raw), pattern)
+    return kept[key]
 
 
 def read_file(path: str) -> bytes:
@@ -306,16 +306,14 @@ def _encode(raw, pattern, columns: tuple[str, ...]):
 
     def run(batches):
         c = codec(raw.value, pattern)
-        for whole in batches:
-            for k in range(0, whole.num_rows, ROWS):  # ids take more room than texts: hold few at a time
-                b = whole.slice(k, ROWS)
-                out: dict[str, list] = {n: [] for n in columns}
-                for x in b.column("_text"):
-                    ids = c.encode(x.as_py())
-                    for n in columns:
-                        out[n].append(make[n][1](c, ids))
-                yield pa.record_batch([b.column("doc_id")] + [pa.array(out[n], make[n][0]) for n in columns],
-                                      names=["doc_id", *columns])
+        for b in few_rows(batches, ROWS):  # ids take more room than texts
+            out: dict[str, list] = {n: [] for n in columns}
+            for x in b.column("_text"):
+                ids = c.encode(x.as_py())
+                for n in columns:
+                    out[n].append(make[n][1](c, ids))
+            yield pa.record_batch([b.column("doc_id")] + [pa.array(out[n], make[n][0]) for n in columns],
+                                  names=["doc_id", *columns])
     return run
 
 
@@ -345,7 +343,7 @@ def decode(tokens: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches):
         c = codec(raw.value, pattern)
-        for b in batches:
+        for b in few_rows(batches, ROWS):
             yield pa.record_batch([b.column("doc_id"), pa.array([c.decode(x.as_py()) for x in b.column("_ids")], pa.string())],
                                   names=["doc_id", "text"])
 

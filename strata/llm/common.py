@@ -31,6 +31,27 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
+_kept: dict[str, dict] = {}
+
+
+def worker_tables(owner: str) -> dict:
+    """What a Python worker keeps between its tasks for one operator.
+
+    Workers are used again by later jobs, so an operator that starts gives up what
+    another one has kept.
+    """
+    for other in [k for k in _kept if k != owner]:
+        del _kept[other]
+    return _kept.setdefault(owner, {})
+
+
+def few_rows(batches, rows: int = 1000):
+    """Record batches of at most ``rows`` rows, to bound what a task holds at a time."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def byte_views(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A binary Arrow column as one byte buffer and row offsets (nulls have length 0)."""
     if isinstance(column, pa.ChunkedArray):

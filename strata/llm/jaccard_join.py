@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_views, fresh, staged
+from strata.llm.common import byte_views, few_rows, fresh, staged, worker_tables
 from strata.llm.components import components
 from strata.llm.textscan import ASCII_LOWER, WHITE, mix, prefix_hash, slices, span_hash, words
 
@@ -137,7 +137,8 @@ def class_of(u: np.ndarray) -> int:
 
 
 def _describe(batches):
-    for b in batches:
+    worker_tables("jaccard_join")
+    for b in few_rows(batches):
         n, node, sketch, short = [], [], [], []
         for _, _, raw, off in slices(b.column("_text")):
             for u in shingle_rows(raw, off):
@@ -157,6 +158,7 @@ def _deal(groups: int):
     shift = np.uint64(64 - (groups.bit_length() - 1))
 
     def run(batches):
+        worker_tables("jaccard_join")
         for b in batches:
             keys, nodes, seen = [], [], set()
             for _, _, raw, off in slices(b.column("_text")):

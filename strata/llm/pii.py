@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import few_rows, worker_tables
+
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
 MIN_SCORE = 0.5
@@ -151,7 +153,8 @@ SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 def _find(batches):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-    for b in batches:
+    worker_tables("pii")
+    for b in few_rows(batches):
         text = b.column("_text")
         found = [[dict(zip(("kind", "start", "end", "score"), s)) for s in scored(x.as_py())] for x in text]
         keep = [c for c in b.schema.names if c != "_text"]

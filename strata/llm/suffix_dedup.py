@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_views, staged
+from strata.llm.common import byte_views, few_rows, staged, worker_tables
 from strata.llm.run_index import RunIndex
 from strata.llm.textscan import mix, prefix_hash, span_hash
 
@@ -161,6 +161,7 @@ def _forward(e: np.ndarray, groups: int, most: int = HOT) -> pa.RecordBatch | No
 
 def _deal(groups: int, most: int):
     def run(batches):
+        worker_tables("suffix_dedup")
         for b in batches:
             block = _forward(_entries(b.column("_text"), b.column("rid").to_numpy()), groups, most)
             if block is not None:
@@ -206,7 +207,7 @@ def _cut(groups: int):
     shift = np.uint64(64 - (groups.bit_length() - 1))
 
     def run(batches):
-        for b in batches:
+        for b in few_rows(batches):
             by_part: dict[int, tuple[list[bytes], list[tuple]]] = {}
             for rid, text, items in zip(b.column("rid").to_pylist(), b.column("_text"), b.column("items").to_pylist()):
                 raw = text.as_buffer().to_pybytes()
@@ -263,7 +264,7 @@ def _windows(groups: int):
 
 def _remove(batches):
     """What is left of each text: bytes, removed bytes, maximal removed runs, digest, and the text itself."""
-    for b in batches:
+    for b in few_rows(batches):
         size, removed, spans, digest, left = [], [], [], [], []
         for text, marks in zip(b.column("_text"), b.column("marks").to_pylist()):
             raw = text.as_buffer().to_pybytes()

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.byte_bpe import KEEP_BYTES, Codec, codec, read_file
+from strata.llm.common import few_rows
 
 LEAF = 32
 AHEAD = 2
@@ -167,14 +168,13 @@ class PretokenTree:
             self._build([p for leaf in self.leaves for p in leaf])
 
 
-_counters: dict[tuple[int, str], Counter] = {}
-
-
 def _apply(raw, pattern: str):
     def run(batches):
         c = codec(raw.value, pattern)
-        counter = _counters.setdefault((id(c), pattern), Counter(c))
-        for b in batches:
+        if not hasattr(c, "counter"):
+            c.counter = Counter(c)
+        counter = c.counter
+        for b in few_rows(batches):
             out = [[], [], [], [], []]
             for text, edits in zip(b.column("_text").to_pylist(), b.column("edits").to_pylist()):
                 tree = PretokenTree(counter, text)

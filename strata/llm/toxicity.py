@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import byte_views, fresh, staged
+from strata.llm.common import byte_views, few_rows, fresh, staged, worker_tables
 from strata.llm.textscan import LETTER, lower_latin, prefix_hash, slices, span_hash, words
 
 BUCKETS = 1 << 20
@@ -84,7 +84,8 @@ def unpack(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_sets(batches):
     """Every document's distinct buckets, as packed gaps."""
-    for b in batches:
+    worker_tables("toxicity")
+    for b in few_rows(batches):
         sets = []
         for at, end, raw, off in slices(b.column("text")):
             row, bucket = _tokens(raw, off)
@@ -96,17 +97,21 @@ def _word_sets(batches):
 
 def _count(batches):
     """Per task: in how many documents each bucket occurs, by fold (0, 2) and label."""
-    counts = np.zeros((4, BUCKETS), dtype=np.int64)
+    worker_tables("toxicity")
+    counts = np.zeros((4, BUCKETS), dtype=np.int32)
     docs = np.zeros(4, dtype=np.int64)
-    for b in batches:
+    for b in few_rows(batches):
         kind = (b.column("fold").to_numpy(zero_copy_only=False) // 2) * 2 + b.column("toxic").to_numpy(zero_copy_only=False)
         docs += np.bincount(kind, minlength=4)
         row, bucket = unpack(*byte_views(b.column("words")))
         for k in range(4):
             np.add.at(counts[k], bucket[kind[row] == k], 1)
     used = np.flatnonzero(counts.any(axis=0))
-    yield pa.record_batch([pa.array(np.append(used, -1))] + [pa.array(np.append(counts[j][used], docs[j])) for j in range(4)],
-                          names=["bucket", "c0", "c1", "c2", "c3"])
+    names = ["bucket", "c0", "c1", "c2", "c3"]
+    yield pa.record_batch([pa.array([-1])] + [pa.array(docs[j:j + 1]) for j in range(4)], names=names)
+    for k in range(0, len(used), 50_000):
+        some = used[k:k + 50_000]
+        yield pa.record_batch([pa.array(some)] + [pa.array(counts[j][some].astype(np.int64)) for j in range(4)], names=names)
 
 
 def lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
@@ -170,8 +175,9 @@ def _scan(lex):
         return (max(s) if s else 0.0), s
 
     def run(batches):
+        worker_tables("toxicity")
         table = lex.value
-        for b in batches:
+        for b in few_rows(batches):
             folds = b.column("_fold").to_numpy(zero_copy_only=False)
             n, best, segs, fbest, fsegs = [], [], [], [], []
             for at, end, raw, off in slices(b.column("_text")):
