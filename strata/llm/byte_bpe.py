@@ -36,12 +36,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import few_rows, worker_tables
+from strata.llm.common import few_rows, tidied, worker_tables
 
 MAX_STEPS = 700_000
 MAX_PIECES = 250_000
 #: rows encoded at a time
 ROWS = 256
+#: closes a reading in a state
+END = -2
 #: longer pre-tokens are not kept whole
 KEEP_BYTES = 64
 
@@ -137,26 +139,30 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        start = ((0, -1, ()),)
+        # a state is one flat tuple: for each reading its place in the trie, the token before it, the tokens
+        # not emitted yet, and END; the reading at a token's end (place 0) comes first
+        start = (0, -1, END)
         self.number = {start: 0}
         self.readings = [start]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.rest: list[tuple[int, ...]] = [()]
-        self.made = 0
+        self.steps: dict[int, int] = {}  # state and byte -> next state and which output
+        self.emitted: dict[tuple[int, ...], int] = {(): 0}
+        self.outputs: list[tuple[int, ...]] = [()]
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Move every reading on: (place in the trie, token before it, tokens not emitted)."""
+    def _step(self, state: int, byte: int) -> int:
+        """Move every reading on by a byte; returns the packed step."""
         child, token, adjacent = self.child, self.token, self.m.adjacent
-        live, end = [], None
-        for node, before, held in self.readings[state]:
-            nxt = child[node].get(byte)
-            if nxt is None:
-                continue
-            if child[nxt]:
-                live.append((nxt, before, held))
-            t = token[nxt]
-            if end is None and t is not None and (before < 0 or adjacent(before, t)):
-                end = (0, t, held + (t,))  # exactly one reading is at a token's end
+        live, end, key, i = [], None, self.readings[state], 0
+        while i < len(key):
+            stop = key.index(END, i + 2)
+            nxt = child[key[i]].get(byte)
+            if nxt is not None:
+                before, held = key[i + 1], key[i + 2:stop]
+                if child[nxt]:
+                    live.append((nxt, before, held))
+                t = token[nxt]
+                if end is None and t is not None and (before < 0 or adjacent(before, t)):
+                    end = (0, t, held + (t,))  # exactly one reading is at a token's end
+            i = stop + 1
         live.sort()
         live.insert(0, end)
         first = last = end[2]
@@ -168,33 +174,39 @@ class Transducer:
         k, most = 0, min(len(first), len(last))
         while k < most and first[k] == last[k]:
             k += 1
-        key = tuple([(n, b, h[k:]) for n, b, h in live]) if k else tuple(live)
+        flat: list[int] = []
+        for node, before, held in live:
+            flat += (node, before, *held[k:], END)
+        key = tuple(flat)
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.readings)
             self.readings.append(key)
-            self.steps.append({})
-            self.rest.append(key[0][2])
-        self.made += 1
-        got = self.steps[state][byte] = (to, end[2][:k])
+        out = end[2][:k]
+        which = self.emitted.get(out)
+        if which is None:
+            which = self.emitted[out] = len(self.outputs)
+            self.outputs.append(out)
+        got = self.steps[state << 8 | byte] = to << 32 | which
         return got
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.m.rank.get(piece)
         if whole is not None:
             return [whole]
-        if self.made > MAX_STEPS:
+        if len(self.steps) > MAX_STEPS:
             self._reset()
         out: list[int] = []
-        state, steps = 0, self.steps
+        state, steps, outputs = 0, self.steps, self.outputs
         for byte in piece:
-            got = steps[state].get(byte)
+            got = steps.get(state << 8 | byte)
             if got is None:
                 got = self._step(state, byte)
-            state = got[0]
-            if got[1]:
-                out += got[1]
-        return out + list(self.rest[state])
+            state = got >> 32
+            if got & 0xFFFFFFFF:
+                out += outputs[got & 0xFFFFFFFF]
+        key = self.readings[state]
+        return out + list(key[2:key.index(END, 2)])
 
 
 class Utf8Stream:
@@ -328,7 +340,7 @@ _TYPES = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "deco
 def _encoded(docs: DataFrame, vocab: str, pattern: str, id_col: str, text_col: str, columns: tuple[str, ...]) -> DataFrame:
     rows, kind = _rows(docs, id_col, text_col)
     raw = docs.sparkSession.sparkContext.broadcast(read_file(vocab))
-    return rows.mapInArrow(_encode(raw, pattern, columns), ", ".join([kind, *(f"{n} {_TYPES[n]}" for n in columns)]))
+    return rows.mapInArrow(tidied(_encode(raw, pattern, columns)), ", ".join([kind, *(f"{n} {_TYPES[n]}" for n in columns)]))
 
 
 def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -347,7 +359,7 @@ def decode(tokens: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
             yield pa.record_batch([b.column("doc_id"), pa.array([c.decode(x.as_py()) for x in b.column("_ids")], pa.string())],
                                   names=["doc_id", "text"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(tidied(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def round_trip(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",

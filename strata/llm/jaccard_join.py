@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_views, few_rows, fresh, staged, worker_tables
+from strata.llm.common import byte_views, few_rows, fresh, staged, tidied, worker_tables
 from strata.llm.components import components
 from strata.llm.textscan import ASCII_LOWER, WHITE, mix, prefix_hash, slices, span_hash, words
 
@@ -263,12 +263,12 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    about = staged(rows.mapInArrow(_describe, f"doc_id {kind}, rid long, n_shingles long, node long, sketch binary, "
+    about = staged(rows.mapInArrow(tidied(_describe), f"doc_id {kind}, rid long, n_shingles long, node long, sketch binary, "
                                    + ", ".join(f"{s} long" for s in SKETCH)), "sets")
     filled = about.where("n_shingles > 0")
     total = filled.agg(F.sum("n_shingles")).first()[0] or 0
     groups = 1 << max(6, int(total * 0.3 / GROUP_KEYS)).bit_length()
-    blocks = rows.select("_text").mapInArrow(_deal(groups), _BLOCK)
+    blocks = rows.select("_text").mapInArrow(tidied(_deal(groups)), _BLOCK)
     shared = staged(blocks.groupBy("part").applyInArrow(_shared, "key long, node long"), "shared")
 
     rep = filled.groupBy("node").agg(F.min("rid").alias("rid"))
@@ -279,7 +279,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs whose whole sketches are near enough."""
         both = pairs.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b")
-        return staged(both.select(*PAIR, "na", "nb", "sa", "sb").mapInArrow(_close, _PAIR), "close")
+        return staged(both.select(*PAIR, "na", "nb", "sa", "sb").mapInArrow(tidied(_close), _PAIR), "close")
 
     def star(member: DataFrame, turn: int) -> DataFrame:
         """Every class with a class of the least component in each of its keys; another one every turn."""
@@ -323,7 +323,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         sides = pairs.select(*PAIR, F.explode(F.array("a", "b")).alias("node")).join(texts, "node")
         met = sides.groupBy(*PAIR).agg(F.max(F.when(F.col("node") == F.col("a"), F.col("_text"))).alias("a_text"),
                                        F.max(F.when(F.col("node") == F.col("b"), F.col("_text"))).alias("b_text"))
-        return staged(met.mapInArrow(_verify, _PAIR), "links")
+        return staged(met.mapInArrow(tidied(_verify), _PAIR), "links")
 
     member = staged(member.join(wanted, "node", "left_semi"), "member")
     links = None

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import few_rows, worker_tables
+from strata.llm.common import few_rows, tidied, worker_tables
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
@@ -164,7 +164,7 @@ def _find(batches):
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, spans`` (kind, start, end, score), by start and then kind."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return rows.mapInArrow(_find, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, spans {SPANS}")
+    return rows.mapInArrow(tidied(_find), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, spans {SPANS}")
 
 
 def redact(text: str) -> str:

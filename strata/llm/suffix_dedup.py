@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_views, few_rows, staged, worker_tables
+from strata.llm.common import byte_views, few_rows, staged, tidied, worker_tables
 from strata.llm.run_index import RunIndex
 from strata.llm.textscan import mix, prefix_hash, span_hash
 
@@ -310,18 +310,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                        (F.col("at") + F.col("n") + (LENGTH - 1)).cast("long").alias("hi"))
     if mode.get(INDEX):
         strings = texts.where(F.exists("items", lambda i: i["mode"] == INDEX)).select("rid", "_text", "items") \
-            .mapInArrow(_cut(parts(mode[INDEX] / GROUP_BYTES)), _STRINGS)
+            .mapInArrow(tidied(_cut(parts(mode[INDEX] / GROUP_BYTES))), _STRINGS)
         marks = marks.unionByName(strings.groupBy("part").applyInArrow(_match, "rid long, lo long, hi long"))
     if mode.get(WINDOWS):
         windows = texts.where(F.exists("items", lambda i: i["mode"] == WINDOWS)).select("rid", "_text", "items") \
-            .mapInArrow(_windows(parts(mode[WINDOWS] / 3 / GROUP_RUNS)), _BLOCK)
+            .mapInArrow(tidied(_windows(parts(mode[WINDOWS] / 3 / GROUP_RUNS))), _BLOCK)
         marks = marks.unionByName(windows.groupBy("part").applyInArrow(lambda t: _meet(t), _ITEM).where(F.col("mode") == WHOLE).select(
             "rid", F.col("at").cast("long").alias("lo"), (F.col("at") + LENGTH).cast("long").alias("hi")))
     marks = staged(marks.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("marks")), "marks")
     kind = rows.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
     cut = texts.select("doc_id", "rid", "_text").join(marks, "rid").drop("rid").mapInArrow(
-        _remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").select(*columns)
+        tidied(_remove), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").select(*columns)
     whole = rows.join(marks.select("rid"), "rid", "left_anti") if with_text else \
         rows.withColumns({"n_bytes": F.octet_length("_text").cast("long"), "kept_sha256": F.sha2("_text", 256)}) \
         .drop("_text").join(marks.select("rid"), "rid", "left_anti")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.byte_bpe import KEEP_BYTES, Codec, codec, read_file
-from strata.llm.common import few_rows
+from strata.llm.common import few_rows, tidied
 
 LEAF = 32
 AHEAD = 2
@@ -201,7 +201,7 @@ def count_edited(docs: DataFrame, vocab: str, pattern: str, edits_col: str = "ed
                        F.col(edits_col).cast(EDITS).alias("edits"))
     raw = docs.sparkSession.sparkContext.broadcast(read_file(vocab))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_apply(raw, pattern), f"doc_id {kind}, n_tokens_before long, n_tokens long, n_edits long, "
+    return rows.mapInArrow(tidied(_apply(raw, pattern)), f"doc_id {kind}, n_tokens_before long, n_tokens long, n_edits long, "
                                                  "n_reencoded long, n_chars long")
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import byte_views, few_rows, fresh, staged, worker_tables
+from strata.llm.common import byte_views, few_rows, fresh, staged, tidied, worker_tables
 from strata.llm.textscan import LETTER, lower_latin, prefix_hash, slices, span_hash, words
 
 BUCKETS = 1 << 20
@@ -121,9 +121,9 @@ def lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     rows = docs.select(F.col(id_col).alias("k"), fold(id_col).cast("int").alias("fold"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).where(F.col("fold") != HELD_OUT)
     # only the word sets meet the labels, not the texts
-    sets = rows.mapInArrow(_word_sets, f"k {rows.schema['k'].dataType.simpleString()}, fold int, words binary")
+    sets = rows.mapInArrow(tidied(_word_sets), f"k {rows.schema['k'].dataType.simpleString()}, fold int, words binary")
     got = sets.join(marks.where(fold("k") != HELD_OUT), "k").select("fold", "toxic", "words").mapInArrow(
-        _count, "bucket long, c0 long, c1 long, c2 long, c3 long") \
+        tidied(_count), "bucket long, c0 long, c1 long, c2 long, c3 long") \
         .groupBy("bucket").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(4)]).toArrow()
     n = np.zeros((4, BUCKETS + 1), dtype=np.float64)  # the last place holds the numbers of documents
     at = got.column("bucket").to_numpy()
@@ -247,7 +247,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                        F.coalesce(fold(id_col), F.lit(-1)).cast("int").alias("_fold"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     schema = T.StructType(rows.schema.fields[:2]).simpleString()[7:-1].replace(":", " ")
-    scanned = staged(rows.mapInArrow(_scan(lex), f"{schema}, {_SCANNED}"), "segments")
+    scanned = staged(rows.mapInArrow(tidied(_scan(lex)), f"{schema}, {_SCANNED}"), "segments")
     marks = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & (fold(id_col) != HELD_OUT)) \
         .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     train = staged(scanned.join(marks, "doc_id").select("toxic", "n_words", "fold_best", "fold_segments"), "calibration")
