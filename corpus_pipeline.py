@@ -17,6 +17,9 @@ from strata.llm.queries import MIX_SEED, MIX_WEIGHTS, mix_levels
 #: nine tenths of the tokens that are left, no document more than once
 MIX_FRACTION, MIX_EPOCHS = (9, 10), 1
 
+#: the encoder's tables in a worker (about 230 MB): here it shares an executor with what earlier stages left
+WORKER_STEPS, WORKER_PIECES = 250_000, 80_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
@@ -41,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with the digests of the ids and of the text decoded from them."""
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
-                               with_ids=True)
+                               with_ids=True, max_steps=WORKER_STEPS, max_pieces=WORKER_PIECES)
 
 
 STAGES = [

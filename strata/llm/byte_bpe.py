@@ -122,8 +122,8 @@ class Merges:
 class Transducer:
     """Deterministic steps over bytes, made on demand. ``encode`` gives the tokens of one piece."""
 
-    def __init__(self, merges: Merges):
-        self.m = merges
+    def __init__(self, merges: Merges, max_steps: int = MAX_STEPS):
+        self.m, self.max_steps = merges, max_steps
         self.child: list[dict[int, int]] = [{}]
         self.token: list[int | None] = [None]
         for t, r in merges.rank.items():
@@ -194,7 +194,7 @@ class Transducer:
         whole = self.m.rank.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.steps) > MAX_STEPS:
+        if len(self.steps) > self.max_steps:
             self._reset()
         out: list[int] = []
         state, steps, outputs = 0, self.steps, self.outputs
@@ -252,9 +252,10 @@ class Utf8Stream:
 class Codec:
     """Text to ids and back, with what one worker has learnt about the vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_steps: int = MAX_STEPS, max_pieces: int = MAX_PIECES):
         self.merges = Merges(ranks)
-        self.machine = Transducer(self.merges)
+        self.machine = Transducer(self.merges, max_steps)
+        self.max_pieces = max_pieces
         self.split = regex.compile(pattern).findall
         #: pre-tokens seen lately, and those seen before the last change of generations
         self.pieces: dict[str, tuple[int, ...]] = {}
@@ -269,7 +270,7 @@ class Codec:
                 if ids is None:
                     ids = tuple(self.machine.encode(piece.encode("utf-8")))
                 if len(piece) <= KEEP_BYTES:
-                    if len(known) >= MAX_PIECES:
+                    if len(known) >= self.max_pieces:
                         self.older, known = known, {}
                         self.pieces = known
                     known[piece] = ids
@@ -286,14 +287,14 @@ class Codec:
         return "".join(out) + stream.close()
 
 
-def codec(raw: bytes, pattern: str) -> Codec:
+def codec(raw: bytes, pattern: str, max_steps: int = MAX_STEPS, max_pieces: int = MAX_PIECES) -> Codec:
     """The worker's codec for a rank file's content and a pattern; kept between tasks."""
-    kept, key = worker_tables("byte_bpe"), (hashlib.sha256(raw).hexdigest(), pattern)
+    kept, key = worker_tables("byte_bpe"), (hashlib.sha256(raw).hexdigest(), pattern, max_steps, max_pieces)
     if key not in kept:
         # the tables below are many small objects without cycles: look for cycles seldom
         gc.set_threshold(200_000, 50, 1000)
         kept.clear()
-        kept[key] = Codec(load_ranks(raw), pattern)
+        kept[key] = Codec(load_ranks(raw), pattern, max_steps, max_pieces)
     return kept[key]
 
 
@@ -308,7 +309,7 @@ def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
-def _encode(raw, pattern, columns: tuple[str, ...]):
+def _encode(raw, pattern, columns: tuple[str, ...], max_steps: int, max_pieces: int):
     make = {
         "ids": (pa.list_(pa.int32()), lambda c, ids: np.array(ids, dtype=np.int32)),
         "n_tokens": (pa.int64(), lambda c, ids: len(ids)),
@@ -317,7 +318,7 @@ def _encode(raw, pattern, columns: tuple[str, ...]):
     }
 
     def run(batches):
-        c = codec(raw.value, pattern)
+        c = codec(raw.value, pattern, max_steps, max_pieces)
         for b in few_rows(batches, ROWS):  # ids take more room than texts
             out: dict[str, list] = {n: [] for n in columns}
             for x in b.column("_text"):
@@ -337,10 +338,11 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
 _TYPES = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
-def _encoded(docs: DataFrame, vocab: str, pattern: str, id_col: str, text_col: str, columns: tuple[str, ...]) -> DataFrame:
+def _encoded(docs: DataFrame, vocab: str, pattern: str, id_col: str, text_col: str, columns: tuple[str, ...],
+             max_steps: int = MAX_STEPS, max_pieces: int = MAX_PIECES) -> DataFrame:
     rows, kind = _rows(docs, id_col, text_col)
     raw = docs.sparkSession.sparkContext.broadcast(read_file(vocab))
-    return rows.mapInArrow(tidied(_encode(raw, pattern, columns)), ", ".join([kind, *(f"{n} {_TYPES[n]}" for n in columns)]))
+    return rows.mapInArrow(tidied(_encode(raw, pattern, columns, max_steps, max_pieces)), ", ".join([kind, *(f"{n} {_TYPES[n]}" for n in columns)]))
 
 
 def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -363,7 +365,10 @@ def decode(tokens: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
 
 
 def round_trip(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-               with_ids: bool = False) -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, ids_sha256`` (ids as little-endian 32-bit), ``decoded_sha256``; ``ids`` if asked for."""
+               with_ids: bool = False, max_steps: int = MAX_STEPS, max_pieces: int = MAX_PIECES) -> DataFrame:
+    """One row per document: ``doc_id, n_tokens, ids_sha256`` (ids as little-endian 32-bit), ``decoded_sha256``; ``ids`` if asked for.
+
+    ``max_steps`` and ``max_pieces`` bound what a worker keeps (about 400 MB as given); they change its speed only.
+    """
     return _encoded(docs, vocab, pattern, id_col, text_col,
-                    ("n_tokens", "ids_sha256", "decoded_sha256") + ("ids",) * with_ids)
+                    ("n_tokens", "ids_sha256", "decoded_sha256") + ("ids",) * with_ids, max_steps, max_pieces)

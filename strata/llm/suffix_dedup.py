@@ -301,7 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def parts(n: float) -> int:
         return 1 << max(6, int(n)).bit_length()
 
-    blocks = rows.select("rid", "_text").mapInArrow(_deal(parts(size / (SPAN / 2) / GROUP_RUNS), hot), _BLOCK)
+    blocks = rows.select("rid", "_text").mapInArrow(tidied(_deal(parts(size / (SPAN / 2) / GROUP_RUNS), hot)), _BLOCK)
     items = staged(blocks.groupBy("part").applyInArrow(lambda t: _meet(t, many), _ITEM), "runs")
     asked = items.groupBy("rid").agg(F.collect_list(F.struct("at", "n", "mode", "key", "single")).alias("items"))
     texts = staged(rows.join(asked, "rid"), "texts")

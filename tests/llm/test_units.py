@@ -95,12 +95,10 @@ def test_encoding_of_random_strings(codec):
         assert ids == tik.encode_ordinary(x) and codec.decode(ids, 3) == x
 
 
-def test_transducer_that_forgets_gives_the_same(codec, monkeypatch):
+def test_transducer_that_forgets_gives_the_same(codec):
     text = ("unbelievable antidisestablishmentarianism " * 3 + "thereupon inthewhole ") * 5
     want = codec.encode(text)
-    monkeypatch.setattr(byte_bpe, "MAX_STEPS", 5)
-    monkeypatch.setattr(byte_bpe, "MAX_PIECES", 2)
-    assert byte_bpe.Codec(codec.merges.rank, PATTERN).encode(text) == want
+    assert byte_bpe.Codec(codec.merges.rank, PATTERN, 5, 2).encode(text) == want
 
 
 def test_edits_keep_the_tree_equal_to_a_new_split(codec):
