@@ -17,8 +17,9 @@ from strata.llm.queries import MIX_SEED, MIX_WEIGHTS, mix_levels
 #: nine tenths of the tokens that are left, no document more than once
 MIX_FRACTION, MIX_EPOCHS = (9, 10), 1
 
-#: the encoder's tables in a worker (about 230 MB): here it shares an executor with what earlier stages left
-WORKER_STEPS, WORKER_PIECES = 250_000, 80_000
+#: the encoder's tables in a worker (its whole memory is about 220 MB): here it shares an executor with
+#: what earlier stages left
+WORKER_STEPS, WORKER_PIECES = 100_000, 40_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

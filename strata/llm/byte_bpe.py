@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import few_rows, tidied, worker_tables
+from strata.llm.common import few_rows, give_back, tidied, worker_tables
 
 MAX_STEPS = 700_000
 MAX_PIECES = 250_000
@@ -56,8 +56,8 @@ def load_ranks(raw: bytes) -> dict[bytes, int]:
 class Merges:
     """The rank table, each token's last merge, and which tokens may be neighbours."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.rank = ranks
+    def __init__(self, ranks: dict[bytes, int], max_pairs: int = MAX_STEPS):
+        self.rank, self.max_pairs = ranks, max_pairs
         self.bytes = {r: t for t, r in ranks.items()}
         self._halves: dict[int, tuple[int, int]] = {}
         self._adjacent: dict[tuple[int, int], bool] = {}
@@ -96,7 +96,7 @@ class Merges:
         got = self._adjacent.get(key)
         if got is None:
             got = self._adjacent[key] = self._check(left, right)
-            if len(self._adjacent) > 2_000_000:
+            if len(self._adjacent) > self.max_pairs:
                 self._adjacent.clear()
         return got
 
@@ -253,7 +253,7 @@ class Codec:
     """Text to ids and back, with what one worker has learnt about the vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_steps: int = MAX_STEPS, max_pieces: int = MAX_PIECES):
-        self.merges = Merges(ranks)
+        self.merges = Merges(ranks, max_steps)
         self.machine = Transducer(self.merges, max_steps)
         self.max_pieces = max_pieces
         self.split = regex.compile(pattern).findall
@@ -319,7 +319,9 @@ def _encode(raw, pattern, columns: tuple[str, ...], max_steps: int, max_pieces:
 
     def run(batches):
         c = codec(raw.value, pattern, max_steps, max_pieces)
-        for b in few_rows(batches, ROWS):  # ids take more room than texts
+        for turn, b in enumerate(few_rows(batches, ROWS), 1):  # ids take more room than texts
+            if turn % 16 == 0:
+                give_back()
             out: dict[str, list] = {n: [] for n in columns}
             for x in b.column("_text"):
                 ids = c.encode(x.as_py())
