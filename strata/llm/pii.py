@@ -7,8 +7,9 @@ Further kinds: ``iban`` (length and mod-97) and ``ssn`` (number ranges); they ar
 when their score, moved by words near the span, reaches ``MIN_SCORE``.
 
 Every text is read whole, in time linear in its length: no expression can start inside
-a run that it has already read.  Spans are in code points, end exclusive, and leftmost
-non-overlapping within a kind.
+a run that it has already read, but for ``iban``, which reads at most 34 characters (and
+the single spaces between them) from each start.  Spans are in code points, end
+exclusive, and leftmost non-overlapping within a kind.
 
 Defined cases: a null text counts as empty and has no spans; rows are independent, so
 null ids, repeated rows and ties need no rule; an empty table gives an empty result;
@@ -37,7 +38,9 @@ _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+#: the run is read ahead, so that the next start may lie inside it
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+))")
+_IN_WORD = re.compile(r"[A-Za-z0-9]")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 
 #: score of a confirmed span before its context, and the words that raise or lower it
@@ -102,17 +105,26 @@ def _digits(span: str) -> str:
     return "".join(filter(str.isdigit, span))
 
 
-def _iban_at(text: str, m: re.Match) -> tuple[int, int] | None:
-    """The longest end at a word border for which the checksum holds."""
-    span = m.group()
-    ends = [len(span)] + [i for i in range(len(span) - 1, 14, -1) if span[i] == " "]
+def _iban_end(text: str, start: int, stop: int) -> int | None:
+    """The longest end at a word border, up to ``stop``, for which the checksum holds."""
+    ends = [i for i in range(stop - 1, start + 14, -1) if text[i] == " "]
+    if not _IN_WORD.match(text, stop):
+        ends.insert(0, stop)
     for end in ends:
-        code = span[:end].replace(" ", "")
+        code = text[start:end].replace(" ", "")
         if 15 <= len(code) <= 34 and mod97(code):
-            return m.start(), m.start() + end
+            return end
     return None
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    done = 0
+    for m in _IBAN.finditer(text):
+        if m.start() >= done and (end := _iban_end(text, *m.span(1))):
+            yield m.start(), end
+            done = end
+
+
 def confirmed(text: str) -> list[tuple[str, int, int]]:
     """All confirmed spans (kind, start, end), by start and then kind."""
     out = []
@@ -127,7 +139,7 @@ def confirmed(text: str) -> list[tuple[str, int, int]]:
                 out.append(("card", *m.span()))
     if "+" in text:
         out += [("phone", *m.span()) for m in _PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
-    out += [("iban", *s) for m in _IBAN.finditer(text) if (s := _iban_at(text, m))]
+    out += [("iban", s, e) for s, e in _ibans(text)]
     out += [("ssn", *m.span()) for m in _SSN.finditer(text)
             if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000"]
     out.sort(key=lambda s: (s[1], KINDS.index(s[0])))

@@ -143,6 +143,48 @@ def test_further_pii_kinds_and_context():
     assert pii.redact("to a@b.cd now") == "to <email> now"
 
 
+def ibans(text):
+    return [text[s:e] for k, s, e in pii.confirmed(text) if k == "iban"]
+
+
+def test_an_iban_ends_before_the_next_word():
+    code, spaced = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    for x in (code, spaced):
+        for after in ("", " Bank", " BIC COBADEFFXXX", " X", ", Bank", " A1 bank", " THE ACCOUNT OF THE PAYEE", "\n"):
+            assert ibans(x + after) == [x]
+        for after in ("Bank", "x", "0"):
+            assert ibans(x + after) == []
+    assert ibans(f"{code} {spaced} {code} Ende") == [code, spaced, code]
+    assert ibans(f"AB12 {spaced} Ende") == [spaced]
+    assert pii.redact(f"to {code} Bank") == "to <iban> Bank"
+    assert ibans("AB12 " * 100_000 + code + " Bank")[-1].endswith(code)
+
+
+def test_ibans_on_random_pieces():
+    rng = random.Random(8)
+    pieces = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "GB82", " ", " ", " ", "A", "Bank", "BIC",
+              "COBADEFFXXX", "12", ".", "\n", "  ", "é", "x"]
+
+    def alnum(c):
+        return c.isascii() and c.isalnum()
+
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))
+        want, done = [], 0
+        for i in range(len(text)):
+            if i < done or i and alnum(text[i - 1]):
+                continue
+            for j in range(min(len(text), i + 70), i, -1):
+                code = text[i:j].replace(" ", "")
+                if (15 <= len(code) <= 34 and code.isascii() and code.isalnum() and code == code.upper() and "  " not in text[i:j]
+                        and text[j - 1] != " " and text[i:i + 2].isalpha() and text[i + 2:i + 4].isdigit()
+                        and not (j < len(text) and alnum(text[j])) and pii.mod97(code)):
+                    want.append(text[i:j])
+                    done = j
+                    break
+        assert ibans(text) == want
+
+
 def test_best_against_all_products():
     rng = np.random.default_rng(7)
     for _ in range(40):
