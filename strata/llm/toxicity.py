@@ -2,11 +2,14 @@
 
 1. Lexicon.  Every word's log-odds between toxic and other labelled documents, counted
    once per document, with a Dirichlet prior that holds ``PRIOR`` pseudo-documents plus
-   a share of the word's own count, split by the two classes' sizes.  Words are hashed
-   to ``BUCKETS`` places, which bounds the lexicon at any corpus size; the counts cover
-   every labelled training row.
+   a share of the word's own count, split by the two classes' sizes.  The counts cover
+   every labelled training row and are a table keyed by the word's 64-bit hash, which
+   grows with the vocabulary.
 2. Segments.  A word's score is its log-odds less ``DRIFT``, so ordinary text falls.
-   One linear scan finds all maximal-scoring segments of a document.
+   One linear scan finds all maximal-scoring segments of a document.  Tasks hold the
+   most frequent words, ``HELD`` at most, and join what they know of a document to
+   runs: no segment begins or ends inside words that all rise or all fall.  The other
+   words meet their counts by key, and then the segments are found in the runs.
 3. Calibration.  The best segment of an ordinary document of n words follows an extreme
    value law, S ~ Gumbel(ln(K n) / lambda, 1 / lambda).  lambda and K come from the
    moments over all ordinary training documents.  A segment's value is
@@ -37,7 +40,8 @@ from pyspark.sql import types as T
 from strata.llm.common import byte_views, few_rows, fresh, staged, tidied, worker_tables
 from strata.llm.textscan import LETTER, lower_latin, prefix_hash, slices, span_hash, words
 
-BUCKETS = 1 << 20
+#: the most that packed numbers reach; words that every task holds
+BUCKETS, HELD = 1 << 20, 1 << 18
 PRIOR, SHARE, DRIFT = 3.0, 0.02, 1.5
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
@@ -52,9 +56,10 @@ def fold(id_col):
 
 
 def _tokens(raw, off):
+    """Row, hash, start and end byte of every word."""
     text = lower_latin(raw)
     row, start, end = words(text, off, LETTER)
-    return row, (span_hash(prefix_hash(text), start, end) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return row, span_hash(prefix_hash(text), start, end), start, end
 
 
 _FAR = 0xFFFF
@@ -83,65 +88,108 @@ def unpack(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_sets(batches):
-    """Every document's distinct buckets, as packed gaps."""
+    """Every document's distinct words, as hashes of eight bytes."""
     worker_tables("toxicity")
     for b in few_rows(batches):
         sets = []
         for at, end, raw, off in slices(b.column("text")):
-            row, bucket = _tokens(raw, off)
-            once = np.unique(row.astype(np.int64) * BUCKETS + bucket)
-            cut = np.searchsorted(once, np.arange(end - at + 1) * BUCKETS)
-            sets += pack(once % BUCKETS, cut)
+            row, word, _, _ = _tokens(raw, off)
+            cut = np.searchsorted(row, np.arange(end - at + 1))
+            sets += [np.unique(word[i:j]).tobytes() for i, j in zip(cut[:-1], cut[1:])]
         yield pa.record_batch([b.column("k"), b.column("fold"), pa.array(sets, pa.binary())], names=["k", "fold", "words"])
 
 
+_COUNTS = ["c0", "c1", "c2", "c3"]
+#: words that a counting task holds before it hands on their sums
+_HELD = 1 << 21
+
+
+def _sums(word: np.ndarray, kind: np.ndarray):
+    order = np.argsort(word)
+    word, kind = word[order], kind[order]
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    sums = [np.add.reduceat((kind == j).astype(np.int64), first) for j in range(4)]
+    word = word[first].view(np.int64)
+    for k in range(0, len(word), 50_000):
+        yield pa.record_batch([pa.array(x[k:k + 50_000]) for x in (word, *sums)], names=["word", *_COUNTS])
+
+
 def _count(batches):
-    """Per task: in how many documents each bucket occurs, by fold (0, 2) and label."""
+    """Per task: in how many documents each word occurs, by fold (0, 2) and label; a null word counts the documents."""
     worker_tables("toxicity")
-    counts = np.zeros((4, BUCKETS), dtype=np.int32)
     docs = np.zeros(4, dtype=np.int64)
+    held, size = [], 0
     for b in few_rows(batches):
         kind = (b.column("fold").to_numpy(zero_copy_only=False) // 2) * 2 + b.column("toxic").to_numpy(zero_copy_only=False)
         docs += np.bincount(kind, minlength=4)
-        row, bucket = unpack(*byte_views(b.column("words")))
-        for k in range(4):
-            np.add.at(counts[k], bucket[kind[row] == k], 1)
-    used = np.flatnonzero(counts.any(axis=0))
-    names = ["bucket", "c0", "c1", "c2", "c3"]
-    yield pa.record_batch([pa.array([-1])] + [pa.array(docs[j:j + 1]) for j in range(4)], names=names)
-    for k in range(0, len(used), 50_000):
-        some = used[k:k + 50_000]
-        yield pa.record_batch([pa.array(some)] + [pa.array(counts[j][some].astype(np.int64)) for j in range(4)], names=names)
-
-
-def lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Word scores by bucket: row 0 learnt from fold 0, row 1 from fold 2, row 2 from both."""
+        raw, off = byte_views(b.column("words"))
+        word = np.frombuffer(raw.tobytes(), dtype=np.uint64)
+        held.append((word, np.repeat(kind, np.diff(off) // 8).astype(np.int8)))
+        size += len(word)
+        if size >= _HELD:
+            yield from _sums(*map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if size:
+        yield from _sums(*map(np.concatenate, zip(*held)))
+    yield pa.record_batch([pa.array([None], pa.int64())] + [pa.array(docs[j:j + 1]) for j in range(4)], names=["word", *_COUNTS])
+
+
+def lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, np.ndarray]:
+    """Counts of every word (``word, c0, c1, c2, c3, level``) in training documents, and the numbers of documents.
+
+    c0 and c1 count ordinary and toxic documents of fold 0, c2 and c3 those of fold 2;
+    ``level`` is eight times the logarithm to base 2 of their sum.
+    """
     marks = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()) \
         .groupBy(F.col(id_col).alias("k")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     rows = docs.select(F.col(id_col).alias("k"), fold(id_col).cast("int").alias("fold"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).where(F.col("fold") != HELD_OUT)
-    # only the word sets meet the labels, not the texts
+    # only the word sets meet the labels, not the texts; joins are planned alike at every size
     sets = rows.mapInArrow(tidied(_word_sets), f"k {rows.schema['k'].dataType.simpleString()}, fold int, words binary")
-    got = sets.join(marks.where(fold("k") != HELD_OUT), "k").select("fold", "toxic", "words").mapInArrow(
-        tidied(_count), "bucket long, c0 long, c1 long, c2 long, c3 long") \
-        .groupBy("bucket").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(4)]).toArrow()
-    n = np.zeros((4, BUCKETS + 1), dtype=np.float64)  # the last place holds the numbers of documents
-    at = got.column("bucket").to_numpy()
-    for j in range(4):
-        n[j, at] = got.column(f"c{j}").to_numpy()
-    out = np.zeros((3, BUCKETS), dtype=np.float32)
-    for j, (clean, toxic) in enumerate(((n[0], n[1]), (n[2], n[3]), (n[0] + n[2], n[1] + n[3]))):
-        nc, nt = clean[-1], toxic[-1]
+    counts = sets.join(marks.where(fold("k") != HELD_OUT).hint("merge"), "k").select("fold", "toxic", "words").mapInArrow(
+        tidied(_count), "word long, c0 long, c1 long, c2 long, c3 long") \
+        .groupBy("word").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    counts = staged(counts.withColumn("level", F.floor(8 * F.log2(sum(F.col(c) for c in _COUNTS))).cast("int")), "lexicon")
+    total = counts.where("word IS NULL").select(*_COUNTS).first()
+    return counts.where("word IS NOT NULL"), np.array(total or (0, 0, 0, 0), dtype=np.float64)
+
+
+def log_odds(counts, docs: np.ndarray) -> np.ndarray:
+    """Scores of words from their four counts: row 0 learnt from fold 0, row 1 from fold 2, row 2 from both."""
+    n = np.asarray(counts, dtype=np.float64)
+    out = np.zeros((3, n.shape[1]), dtype=np.float32)
+    for j, (c, t) in enumerate((([0], [1]), ([2], [3]), ([0, 2], [1, 3]))):
+        clean, toxic, nc, nt = n[c].sum(axis=0), n[t].sum(axis=0), docs[c].sum(), docs[t].sum()
         if not nc or not nt:
             out[j] = -DRIFT
             continue
         share = nt / (nt + nc)
-        prior = PRIOR + SHARE * (clean[:-1] + toxic[:-1])
-        out[j] = (np.log((toxic[:-1] + prior * share) / (nt + prior * share))
-                  - np.log((clean[:-1] + prior * (1 - share)) / (nc + prior * (1 - share))) - DRIFT)
+        prior = PRIOR + SHARE * (clean + toxic)
+        out[j] = (np.log((toxic + prior * share) / (nt + prior * share))
+                  - np.log((clean + prior * (1 - share)) / (nc + prior * (1 - share))) - DRIFT)
     return out
 
 
+def frequent(words: DataFrame, docs: np.ndarray, most: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The least level that no more than ``most`` words reach, those words' hashes in order, and their scores.
+
+    A last place, not below any hash, has no score.
+    """
+    levels = words.groupBy("level").count().collect()  # at most eight for each doubling of the documents
+    level, size = 1 + max((r["level"] for r in levels), default=0), 0
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        size += r["count"]
+        if size > most:
+            break
+        level = r["level"]
+    got = words.where(F.col("level") >= level).select("word", *_COUNTS).toArrow()
+    word = got.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(word)
+    table = log_odds([got.column(c).to_numpy()[order] for c in _COUNTS], docs)
+    last = np.full((3, 1), np.nan, dtype=np.float32)
+    return level, np.append(word[order], np.uint64(0xFFFFFFFFFFFFFFFF)), np.concatenate([table, last], axis=1)
+
+
 def maximal_segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first, end, score) of a score sequence, in order, in linear time.
 
@@ -166,40 +214,106 @@ def maximal_segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(f, e, a - b) for f, e, b, a, _ in out]
 
 
+_RUNS = "n_words long, runs binary, others array<long>"
+_RUN = np.dtype([("full", "<f8"), ("cross", "<f8")])
 _SCANNED = "n_words long, best float, segments array<float>, fold_best float, fold_segments array<float>"
 
 
+def _own(table: np.ndarray, folds: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Scores by the lexicon that a row's calibration uses: that of the other fold, or of both if it has none."""
+    return table[np.where(folds == 0, 1, np.where(folds == 2, 0, 2)), at]
+
+
 def _scan(lex):
+    """Documents as runs of known words and single others: the runs' scores by both lexicons, NaN for an other word."""
+    def run(batches):
+        worker_tables("toxicity")
+        known, table = lex.value
+        for b in few_rows(batches):
+            folds = b.column("_fold").to_numpy(zero_copy_only=False)
+            n, runs, others = [], [], []
+            for at, end, raw, off in slices(b.column("_text")):
+                row, word, _, _ = _tokens(raw, off)
+                cut = np.searchsorted(row, np.arange(end - at + 1))
+                place = np.searchsorted(known, word)
+                mine = known[place] == word
+                full = np.where(mine, table[2][place], np.nan).astype(np.float64)
+                cross = np.where(mine, _own(table, folds[at:end][row], place), np.nan).astype(np.float64)
+                other = np.isnan(full)
+                code = (full > 0) + 2 * (cross > 0)
+                new = np.ones(len(word), dtype=bool)
+                new[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1]) | other[1:] | other[:-1]
+                first = np.flatnonzero(new)
+                out = np.empty(len(first), dtype=_RUN)
+                if len(first):
+                    out["full"], out["cross"] = np.add.reduceat(full, first), np.add.reduceat(cross, first)
+                edge = np.searchsorted(first, cut)
+                single, edges = word[other].view(np.int64), np.searchsorted(np.flatnonzero(other), cut)
+                n.append(np.diff(cut))
+                runs += [out[i:j].tobytes() for i, j in zip(edge[:-1], edge[1:])]
+                others += [single[i:j] for i, j in zip(edges[:-1], edges[1:])]
+            keep = [c for c in b.schema.names if c != "_text"]
+            yield pa.record_batch([b.column(c) for c in keep] + [
+                pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(runs, pa.binary()),
+                pa.array(others, pa.list_(pa.int64()))], names=[*keep, "n_words", "runs", "others"])
+    return run
+
+
+def _segments(docs: np.ndarray):
+    """Segments of documents in runs, whose other words have ``found`` counts or none."""
     def one(score):
         s = [x[2] for x in maximal_segments(score)]
         return (max(s) if s else 0.0), s
 
     def run(batches):
         worker_tables("toxicity")
-        table = lex.value
+        unseen = log_odds(np.zeros((4, 1)), docs)
         for b in few_rows(batches):
             folds = b.column("_fold").to_numpy(zero_copy_only=False)
-            n, best, segs, fbest, fsegs = [], [], [], [], []
-            for at, end, raw, off in slices(b.column("_text")):
-                row, bucket = _tokens(raw, off)
-                cut = np.searchsorted(row, np.arange(end - at + 1))
-                full = table[2][bucket]
-                for i in range(end - at):
-                    lo, hi = cut[i], cut[i + 1]
-                    x, s = one(full[lo:hi])
-                    n.append(hi - lo), best.append(x), segs.append(s)
-                    f = folds[at + i]
-                    x, s = (0.0, []) if f == HELD_OUT or f < 0 else one(table[1 if f == 0 else 0][bucket[lo:hi]])
-                    fbest.append(x), fsegs.append(s)
-            keep = [b.column(c) for c in b.schema.names if c not in ("_text", "_fold")]
-            kept = [c for c in b.schema.names if c not in ("_text", "_fold")]
+            best, segs, fbest, fsegs = [], [], [], []
+            found = b.column("found")
+            for i in range(b.num_rows):
+                runs = np.frombuffer(b.column("runs")[i].as_py(), dtype=_RUN)
+                full, cross = runs["full"].astype(np.float64), runs["cross"].astype(np.float64)
+                others = b.column("others")[i].values.to_numpy()
+                if len(others):
+                    table, place = unseen, np.zeros(len(others), dtype=np.int64)
+                    if found[i].is_valid:
+                        got = found[i].values
+                        word = got.field("word").to_numpy()
+                        order = np.argsort(word)
+                        table = np.concatenate([log_odds([got.field(c).to_numpy()[order] for c in _COUNTS], docs), unseen], axis=1)
+                        place = np.searchsorted(word[order], others)
+                        place[np.append(word[order], 0)[place] != others] = len(word)
+                    hole = np.isnan(full)
+                    full[hole] = table[2][place]
+                    cross[hole] = _own(table, np.full(len(others), folds[i]), place)
+                x, s = one(full)
+                best.append(x), segs.append(s)
+                x, s = (0.0, []) if folds[i] == HELD_OUT or folds[i] < 0 else one(cross)
+                fbest.append(x), fsegs.append(s)
+            keep = [c for c in b.schema.names if c not in ("_fold", "runs", "others", "found")]
             lists = pa.list_(pa.float32())
-            yield pa.record_batch(keep + [pa.array(n, pa.int64()), pa.array(best, pa.float32()), pa.array(segs, lists),
-                                          pa.array(fbest, pa.float32()), pa.array(fsegs, lists)],
-                                  names=kept + ["n_words", "best", "segments", "fold_best", "fold_segments"])
+            yield pa.record_batch([b.column(c) for c in keep] + [
+                pa.array(best, pa.float32()), pa.array(segs, lists), pa.array(fbest, pa.float32()), pa.array(fsegs, lists)],
+                names=[*keep, "best", "segments", "fold_best", "fold_segments"])
     return run
 
 
+def scan(rows: DataFrame, words: DataFrame, docs: np.ndarray, held: int) -> DataFrame:
+    """``doc_id, rid`` and the segments of ``rows`` (``doc_id, rid, _fold, _text``); tasks hold ``held`` words at most."""
+    level, *table = frequent(words, docs, held)
+    lex = rows.sparkSession.sparkContext.broadcast(table)
+    head = T.StructType(rows.schema.fields[:3]).simpleString()[7:-1].replace(":", " ")
+    runs = staged(rows.mapInArrow(tidied(_scan(lex)), f"{head}, {_RUNS}"), "runs")
+    found = runs.select("rid", F.explode(F.array_distinct("others")).alias("word")) \
+        .join(words.where(F.col("level") < level).select("word", *_COUNTS).hint("merge"), "word") \
+        .groupBy("rid").agg(F.collect_list(F.struct("word", *_COUNTS)).alias("found"))
+    head = T.StructType(rows.schema.fields[:2]).simpleString()[7:-1].replace(":", " ")
+    return staged(runs.join(found.hint("merge"), "rid", "left").select("doc_id", "rid", "_fold", "n_words", "runs", "others", "found")
+                  .mapInArrow(tidied(_segments(docs)), f"{head}, {_SCANNED}"), "segments")
+
+
 def gumbel(moments) -> tuple[float, float]:
     """lambda and ln K from the moments of (best score, ln words) over ordinary documents."""
     ms, ml, vs, vl, cov = (float(x or 0.0) for x in moments)
@@ -222,32 +336,37 @@ def _value(best, segments, n_words, lam: float, ln_k: float):
 
 
 def logistic(x: np.ndarray, toxic: np.ndarray, total: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope of a logistic curve, by Newton steps with a slight ridge."""
+    """Intercept and slope of a logistic curve, by Newton steps with a slight ridge, halved until they gain."""
     w = np.zeros(2)
     design = np.stack([np.ones_like(x), x], axis=1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+
+    def loss(w):
+        z = design @ w
+        return (total * np.logaddexp(0, z) - toxic * z).sum() + 5e-4 * w @ w
+
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -500, 500)))
         grad = design.T @ (toxic - total * p) - 1e-3 * w
         hess = (design * (total * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w = w + np.clip(step, -2, 2)
+        step, now = np.linalg.solve(hess, grad), loss(w)
+        while loss(w + step) > now and np.abs(step).max() >= 1e-9:
+            step = step / 2
+        w = w + step
         if np.abs(step).max() < 1e-9:
             break
     return float(w[0]), max(0.0, float(w[1]))
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = HELD) -> DataFrame:
     """One row per document: ``doc_id, rid, held_out, score, predicted, n_words, segments``.
 
     ``rid`` numbers the rows of ``docs``; ``segments`` are the scores of the maximal segments.
+    Results do not depend on ``held``, the number of words that tasks hold, but for rounding.
     """
-    spark = docs.sparkSession
-    lex = spark.sparkContext.broadcast(lexicon(docs, labels, id_col, text_col))  # 3 x BUCKETS floats at any size
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
                        F.coalesce(fold(id_col), F.lit(-1)).cast("int").alias("_fold"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-    schema = T.StructType(rows.schema.fields[:2]).simpleString()[7:-1].replace(":", " ")
-    scanned = staged(rows.mapInArrow(tidied(_scan(lex)), f"{schema}, {_SCANNED}"), "segments")
+    scanned = scan(rows, *lexicon(docs, labels, id_col, text_col), held)
     marks = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & (fold(id_col) != HELD_OUT)) \
         .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     train = staged(scanned.join(marks, "doc_id").select("toxic", "n_words", "fold_best", "fold_segments"), "calibration")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -210,6 +211,46 @@ def test_packed_gaps_come_back():
         assert (back == once).all() and (row == np.repeat(np.arange(len(rows)), [len(r) for r in rows])).all()
 
 
+def test_words_keep_their_own_scores_whatever_tasks_hold(spark, tmp_path):
+    rng = random.Random(11)
+    clean, bad = [f"{a}{b}o" for a in "bcdfg" for b in "aeiou"], [f"{a}{b}x" for a in "klmnp" for b in "aeiou"]
+    data = []
+    for i in range(600):
+        toxic = int(i % 5 == 0)
+        data.append((i, " ".join(rng.choices(clean, k=40) + rng.choices(bad, k=6) * toxic), toxic))
+    data += [(900, " ".join(clean), None), (901, "never seen words", None), (902, "kax lex", None)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(data, "doc_id long, text string, toxic int").repartition(3).write.parquet(path)
+    rows = spark.read.parquet(path)
+    docs, labels = rows.drop("toxic"), rows.select("doc_id", "toxic")
+
+    def scored(**held):
+        return {r.doc_id: r for r in toxicity.score(docs, labels, **held).collect()}
+
+    few, none, all_held = scored(held=4), scored(held=0), scored(held=1 << 20)
+    assert all(few[i].predicted == t for i, _, t in data if t is not None)
+    for i in few:
+        for other in (none[i], all_held[i]):
+            assert few[i].score == pytest.approx(other.score, abs=1e-6) and few[i].n_words == other.n_words
+            assert few[i].segments == pytest.approx(other.segments, abs=1e-5)
+    counts, n = toxicity.lexicon(docs, labels)
+    trained = [(set(t.split()), toxic) for i, t, toxic in data if toxic is not None and zlib.crc32(str(i).encode()) % 3 != 1]
+    seen = Counter((w, toxic) for ws, toxic in trained for w in ws)
+    got = Counter((r.c0 + r.c2, r.c1 + r.c3) for r in counts.collect())
+    assert got == Counter((seen[w, 0], seen[w, 1]) for w in {w for w, _ in seen}) and n.sum() == len(trained)
+
+
+def test_logistic_curve_of_well_parted_classes_converges():
+    x = np.arange(-12, 24, 0.25) + 0.125
+    total = np.round(60_000 * np.exp(-0.5 * np.abs(x))) + 1
+    total[-1] = 7000
+    toxic = np.zeros_like(x)
+    toxic[-1] = 6950
+    a, b = toxicity.logistic(x, toxic, total)
+    p = 1 / (1 + np.exp(-(a + b * x)))
+    assert abs((toxic - total * p).sum()) < 1 and p[-1] > 0.9 and p[x < 12].max() < 0.1
+
+
 def test_shortage_goes_to_siblings_before_ancestors(spark):
     leaves = spark.createDataFrame([("a", "x", 10), ("a", "y", 100), ("b", "z", 1000)], "l0 string, l1 string, tokens long")
 
