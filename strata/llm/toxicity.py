@@ -11,8 +11,11 @@
    runs: no segment begins or ends inside words that all rise or all fall.  The other
    words meet their counts by key, and then the segments are found in the runs.
 3. Calibration.  The best segment of an ordinary document of n words follows an extreme
-   value law, S ~ Gumbel(ln(K n) / lambda, 1 / lambda).  lambda and K come from the
-   moments over all ordinary training documents.  A segment's value is
+   value law, S ~ Gumbel(ln(K n) / lambda, 1 / lambda).  lambda and K are fitted by
+   likelihood to all ordinary training documents, in cells of score and length.  The
+   best-scoring 2 % count as no more than being above the 98th percentile (censored), so
+   that one very long or mislabelled document does not set the scale; documents without
+   a rising word count as below the first cell.  A segment's value is
    lambda S - ln(K n); a document's is the sum over its significant segments (value
    above 0), or its best value if none is.  A logistic curve turns that into a
    probability.  So that a training document does not vouch for itself, the
@@ -47,7 +50,8 @@ FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: bins of the document value for the logistic fit: from, to, width
 LOW, HIGH, STEP = -12.0, 24.0, 0.25
-EULER = 0.5772156649015329
+#: cells of the best score, up to its 98th percentile, for the Gumbel fit
+CELLS = 64
 
 
 def fold(id_col):
@@ -314,17 +318,30 @@ def scan(rows: DataFrame, words: DataFrame, docs: np.ndarray, held: int) -> Data
                   .mapInArrow(tidied(_segments(docs)), f"{head}, {_SCANNED}"), "segments")
 
 
-def gumbel(moments) -> tuple[float, float]:
-    """lambda and ln K from the moments of (best score, ln words) over ordinary documents."""
-    ms, ml, vs, vl, cov = (float(x or 0.0) for x in moments)
-    if vs <= 1e-9:
-        return 1.0, ms - ml - EULER
-    a, b, c = vl - math.pi ** 2 / 6, -2 * cov, vs  # a u^2 + b u + c = 0 for u = 1 / lambda
-    disc = b * b - 4 * a * c
-    roots = [(-b + s * math.sqrt(disc)) / (2 * a) for s in (1, -1)] if disc >= 0 and abs(a) > 1e-9 else []
-    roots = [u for u in roots if u > 1e-6]
-    u = min(roots) if roots else math.sqrt(6 * vs) / math.pi
-    return 1 / u, ms / u - ml - EULER
+def gumbel(cell: np.ndarray, ln_n: np.ndarray, count: np.ndarray, width: float) -> tuple[float, float]:
+    """lambda and ln K by likelihood from numbers of documents by score cell and ln words.
+
+    Cell k reaches from k to k + 1 widths; the first is open below and the last (``CELLS``) above.
+    """
+    low = np.where(cell > 0, cell * width, -np.inf)
+    high = np.where(cell < CELLS, (cell + 1) * width, np.inf)
+
+    def loss(at):
+        lam, ln_k = math.exp(at[0]), at[1]
+        with np.errstate(over="ignore"):
+            below, above = (np.exp(-np.exp(np.minimum(ln_k + ln_n - lam * s, 700))) for s in (low, high))
+        return -(count * np.log(np.maximum(above - below, 1e-300))).sum()
+
+    at = np.array([math.log(4 / (CELLS * width)), 4 + math.log(0.02) - np.average(ln_n, weights=count)])
+    step, best = 1.0, loss(at)
+    while step > 1e-5:
+        moves = [at + step * np.array(d) for d in ((1, 0), (-1, 0), (0, 1), (0, -1), (1, 1), (-1, -1), (1, -1), (-1, 1))]
+        gains = [loss(m) for m in moves]
+        if min(gains) < best:
+            at, best = moves[int(np.argmin(gains))], min(gains)
+        else:
+            step /= 2
+    return math.exp(at[0]), float(at[1])
 
 
 def _value(best, segments, n_words, lam: float, ln_k: float):
@@ -371,11 +388,11 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     train = staged(scanned.join(marks, "doc_id").select("toxic", "n_words", "fold_best", "fold_segments"), "calibration")
     plain = train.where("toxic = 0").withColumn("ln_n", F.log(F.col("n_words") + 1))
-    cut = plain.agg(F.percentile_approx("fold_best", 0.98, 10000)).first()[0]
-    moments = plain.where(F.col("fold_best") <= F.lit(0.0 if cut is None else cut)).agg(
-        F.avg("fold_best"), F.avg("ln_n"), F.var_pop("fold_best"), F.var_pop("ln_n"),
-        F.covar_pop("fold_best", "ln_n")).first()
-    lam, ln_k = gumbel(moments)
+    cut = plain.agg(F.percentile_approx("fold_best", 0.98, 10000)).first()[0] or 1.0
+    cells = plain.groupBy(F.least(F.floor(F.col("fold_best") / (cut / CELLS)), F.lit(CELLS)).alias("cell"),
+                          F.floor(8 * F.col("ln_n")).alias("size")) \
+        .agg(F.count("*").alias("n"), F.avg("ln_n").alias("ln_n")).toPandas()  # CELLS + 1 by eight for each factor e of length
+    lam, ln_k = gumbel(*(cells[c].to_numpy(float) for c in ("cell", "ln_n", "n")), cut / CELLS) if len(cells) else (1.0, 0.0)
     bins = train.groupBy(F.floor(_value("fold_best", "fold_segments", "n_words", lam, ln_k) / STEP).alias("bin")) \
         .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).toPandas()  # at most (HIGH - LOW) / STEP + 1 rows
     toxic, n = bins["toxic"].to_numpy(float), bins["n"].to_numpy(float)

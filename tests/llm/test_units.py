@@ -240,6 +240,18 @@ def test_words_keep_their_own_scores_whatever_tasks_hold(spark, tmp_path):
     assert got == Counter((seen[w, 0], seen[w, 1]) for w in {w for w, _ in seen}) and n.sum() == len(trained)
 
 
+def test_gumbel_fit_counts_the_best_documents():
+    rng = np.random.default_rng(12)
+    lam, ln_k = 2.5, -5.5
+    ln_n = np.round(rng.uniform(4, 8, 60_000) * 8) / 8
+    best = np.maximum(0, (ln_k + ln_n - np.log(-np.log(rng.random(60_000)))) / lam)
+    best[:20] = 400.0  # a few documents that follow another law
+    width = np.quantile(best, 0.98) / toxicity.CELLS
+    cell = np.minimum(np.floor(best / width), toxicity.CELLS)
+    got = toxicity.gumbel(cell, ln_n, np.ones(60_000), width)
+    assert got == pytest.approx((lam, ln_k), abs=0.1)
+
+
 def test_logistic_curve_of_well_parted_classes_converges():
     x = np.arange(-12, 24, 0.25) + 0.125
     total = np.round(60_000 * np.exp(-0.5 * np.abs(x))) + 1
