@@ -228,3 +228,39 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").withColumn("edits", clean_up_edits())
     return count_edited(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.alignment import align
+
+    return align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model")).drop("rid")
+
+
+@_query("op12_secrets")
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.secrets import KINDS, BASE, find_secrets
+
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+
+    def of_kind(kind):
+        return lambda s: s["kind"] == kind
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *[F.size(F.filter("spans", of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(*BASE))), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("top_score"))
+
+
+@_query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
