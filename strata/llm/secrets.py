@@ -78,7 +78,9 @@ _TOKEN = re.compile(r"""
   | (?P<other>\S)
 """, re.X)
 _SETS = {"=", ":", ":=", "?=", "+=", "=>"}
-_STOPS = _SETS | {",", ";", ")", "]", "}", "&", "|", "?", "==", "!="}
+_STOPS = _SETS | {",", ";", ")", "[", "]", "}", "&", "|", "?", "==", "!="}
+#: what ends the search for the name before a type
+_PARTS = {",", ";", "(", ")", "{", "}", "?", "=", "&&"}
 _IDENT = re.compile(r"[A-Za-z_$][\w$.-]*\Z")
 _REF = re.compile(r"\$\{(\w+)\}|\$(\w+)|\{\{\s*(\w+)\s*\}\}|\{(\w+)\}|%\((\w+)\)s")
 _LOOKUP = re.compile(r"(?i)env|get|input|prompt|read|find|fetch|load")
@@ -97,7 +99,7 @@ def name_score(name: str) -> float:
         value = 0.6
     elif kinds & WEAK:
         value = 0.4
-    return value - 0.4 * bool(kinds & AGAINST)
+    return value - 0.6 * bool(kinds & AGAINST)
 
 
 def entropy(text: str) -> float:
@@ -181,11 +183,11 @@ def _target(tokens, at: int) -> str | None:
     if kind != "word":
         return None
     if tokens[at][1] == "=":  # x: T = v
-        j = i - 1
-        while j >= max(0, i - 3) and tokens[j][0] == "word" and not _IDENT.match(tokens[j][1]):
-            j -= 1
-        if j >= 1 and tokens[j][1] == ":" and tokens[j - 1][0] == "word":
-            return tokens[j - 1][1]
+        for j in range(i - 1, max(0, i - 4), -1):
+            if tokens[j][1] == ":" and tokens[j - 1][0] == "word":
+                return tokens[j - 1][1]
+            if tokens[j][1] in _PARTS:
+                break
     return text.lstrip("*&") if _IDENT.match(text.lstrip("*&")) else None
 
 
@@ -224,15 +226,23 @@ def _value(tokens, at: int, base: int, line: str):
         if text.lower() in _SCHEME:
             at += 1
             continue
+        ref = _REF.match(line, start)
+        if ref:
+            refs.append(next(filter(None, ref.groups())))
+            while at < len(tokens) and tokens[at][2] < ref.end():
+                at += 1
+            more = False
+            continue
         stop = at + 1  # a bare word goes on to the next white space or end sign
         while stop < len(tokens) and tokens[stop][2] == tokens[stop - 1][3] and tokens[stop][1] not in _STOPS and tokens[stop][0] != "tag":
             stop += 1
         if stop < len(tokens) and tokens[stop][1] in ("=", "==") and tokens[stop][2] == tokens[stop - 1][3] \
                 and (stop + 1 == len(tokens) or tokens[stop + 1][2] > tokens[stop][3]):
             stop += 1  # the padding of a coded value
+        if stop < len(tokens) and tokens[stop][1] == "[":
+            break  # a look-up
         last = tokens[stop - 1][3]
         word = line[start:last].rstrip(".,!?")
-        refs += [next(filter(None, r)) for r in _REF.findall(word)]
         if _IDENT.match(word):
             refs.append(word)
         literals.append((base + start, base + start + len(word), False))
@@ -247,7 +257,8 @@ def _line(line: str, base: int, values: _Values) -> None:
         if kind == "op" and text in _SETS:
             name = _target(tokens, at)
             if name and nxt:
-                if text == ":" and nxt[0] == "word" and at + 2 < len(tokens) and tokens[at + 2][1] == "=":
+                if text == ":" and nxt[0] != "str" and any(t[1] == "=" for t in tokens[at + 2:at + 5]) \
+                        and not any(t[1] in _PARTS - {"="} for t in tokens[at + 1:at + 4]):
                     continue  # x: T = v is read at its "="
                 values.assign(name, *_value(tokens, at + 1, base, line), text == "+=")
         elif kind == "flag" and nxt and nxt[0] in ("word", "str") and nxt[2] > end:
