@@ -28,9 +28,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
-from collections.abc import Iterable, Sequence
-from itertools import accumulate, count
+from collections.abc import Sequence
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.byte_bpe import read_file
-from strata.llm.common import byte_views, staged, tidied, worker_tables
+from strata.llm.common import byte_views, few_rows, staged, tidied, worker_tables
 
 #: pairs of ids whose counts a task holds
 HELD_PAIRS = 1 << 18
@@ -65,25 +64,28 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
-def slices_of(a_ends: Sequence[int], b_ends: Sequence[int]) -> list[tuple[int, int, int, int]]:
-    """Groups (first and end index on each side) between the byte ends that both sides have."""
+def common_ends(a_ends: Sequence[int], b_ends: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
+    """Byte ends that both sides have, in order, and the number of tokens up to each on either side."""
     a_at, b_at = dict(zip(a_ends, count(1))), dict(zip(b_ends, count(1)))
-    out, i, j = [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        k, m = a_at[end], b_at[end]
-        out.append((i, k, j, m))
-        i, j = k, m
-    return out
+    both = sorted(a_at.keys() & b_at.keys())
+    return both, [a_at[e] for e in both], [b_at[e] for e in both]
 
 
-def overlaps(a_ends: Sequence[int], b_ends: Sequence[int], group: tuple[int, int, int, int]) -> Iterable[tuple[int, int]]:
-    """Index pairs of one group whose byte ranges overlap."""
-    i, k, j, m = group
-    while i < k and j < m:
-        yield i, j
-        a, b = a_ends[i], b_ends[j]
-        i += a <= b
-        j += b <= a
+def links_of(a_ids: np.ndarray, b_ids: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed pairs of tokens that overlap, with the byte at which each pair's overlap starts.
+
+    Both sides cover the same bytes, so an overlap starts just where a token of either side does.
+    """
+    a_starts, b_starts = a_ends - sizes(a_ends), b_ends - sizes(b_ends)
+    start = np.union1d(a_starts, b_starts)
+    a = np.searchsorted(a_starts, start, side="right") - 1
+    b = np.searchsorted(b_starts, start, side="right") - 1
+    return a_ids[a] << shift | b_ids[b], start
+
+
+def sizes(ends: np.ndarray) -> np.ndarray:
+    """Token sizes from cumulative ends."""
+    return np.diff(ends, prepend=0)
 
 
 class Aligner:
@@ -102,7 +104,7 @@ class Aligner:
         self.a_bytes = [bytes(code[c] for c in w) if all(c in code for c in w) else w.encode() for w in words]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-        self.a_size, self.b_size = [list(map(len, x)) for x in (self.a_bytes, self.b_bytes)]
+        self.a_said, self.b_said = [list(map(str, range(len(x)))) for x in (self.a_bytes, self.b_bytes)]
         self.shift, self.kind = layout(len(self.a_bytes), len(self.b_bytes))
         about = json.loads(a_json)
         before = about.get("pre_tokenizer") or {}
@@ -140,19 +142,34 @@ class Aligner:
 
     def _entries(self, segments: list[str]) -> list[tuple]:
         """For each segment: whether its bytes come back, numbers of A and B tokens and groups, links, groups as text."""
-        out = []
-        for segment, b in zip(segments, self.b.encode(segments, num_threads=1)):
-            a, want = self.a_ids(segment), (" " + segment).encode()
-            if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
-                out.append((False, 0, 0, 0, b"", ""))
-                continue
-            a_ends = list(accumulate([self.a_size[i] for i in a]))
-            b_ends = list(accumulate([self.b_size[i] for i in b]))
-            groups = slices_of(a_ends, b_ends)
-            links = array("i" if self.kind.itemsize == 4 else "q",
-                          [a[x] << self.shift | b[y] for g in groups for x, y in overlaps(a_ends, b_ends, g)])
-            said = [f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:m]))}" for i, k, j, m in groups]
-            out.append((True, len(a), len(b), len(groups), links.tobytes(), ";".join(said)))
+        a_of, b_of = list(map(self.a_ids, segments)), self.b.encode(segments, num_threads=1)
+        a, b = list(chain.from_iterable(a_of)), list(chain.from_iterable(b_of))
+        a_raw, b_raw = [self.a_bytes[x] for x in a], [self.b_bytes[y] for y in b]
+        want = f" {' '.join(segments)}".encode()
+        if b"".join(a_raw) != want or b"".join(b_raw) != want:
+            if len(segments) == 1:
+                return [(False, 0, 0, 0, b"", "")]
+            return [e for s in segments for e in self._entries([s])]
+        # the segments lie one after the other, so their ends grow on both sides alike
+        a_ends, b_ends = list(accumulate(map(len, a_raw))), list(accumulate(map(len, b_raw)))
+        ends, k, m = common_ends(a_ends, b_ends)
+        a_said, b_said = [self.a_said[x] for x in a], [self.b_said[y] for y in b]
+        groups, i, j = [], 0, 0
+        for p, q in zip(k, m):
+            if p - i == 1 == q - j:
+                groups.append(a_said[i] + "|" + b_said[j])
+            else:
+                groups.append(",".join(a_said[i:p]) + "|" + ",".join(b_said[j:q]))
+            i, j = p, q
+        links, at = links_of(np.array(a), np.array(b), np.array(a_ends), np.array(b_ends), self.shift)
+        packed, width = links.astype(self.kind).tobytes(), self.kind.itemsize
+        last = np.cumsum([len(s.encode()) + 1 for s in segments]) if not want.isascii() else np.cumsum([len(s) + 1 for s in segments])
+        group_to = np.searchsorted(ends, last, side="right").tolist()
+        link_to = (np.searchsorted(at, last) * width).tolist()
+        out, g, n = [], 0, 0
+        for x, y, h, o in zip(a_of, b_of, group_to, link_to):
+            out.append((True, len(x), len(y), h - g, packed[n:o], ";".join(groups[g:h])))
+            g, n = h, o
         return out
 
     def align(self, text: str | None) -> tuple:
@@ -229,7 +246,7 @@ def _tally(kind: np.dtype):
     def run(batches):
         worker_tables("alignment")
         held, size = [], 0
-        for b in batches:
+        for b in few_rows(batches):
             links = np.frombuffer(byte_views(b.column("links"))[0].tobytes(), dtype=kind)
             held.append(links)
             size += len(links)
@@ -246,7 +263,7 @@ def _scored(table, shift: int, kind: np.dtype, names: list[str]):
     def run(batches):
         worker_tables("alignment")
         known, times, top = table.value
-        for b in batches:
+        for b in few_rows(batches, 500):
             raw, off = byte_views(b.column("links"))
             links = np.frombuffer(raw.tobytes(), dtype=kind).astype(np.int64)
             off = off // kind.itemsize
