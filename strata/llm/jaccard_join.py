@@ -9,18 +9,21 @@ sets form a class; classes are joined.
    the size of the symmetric difference.
 2. Pigeonhole.  Similar sets a, b with |a & b| >= 0.8 |a | b| differ in at most
    (|a| + |b|) / 9 elements, so of a's filled parts all but that many are in b as well.
-   Both sets put their filled parts in the order of their keys; the first
-   (most differences) + 1 of each must then have one in common.  A set near the top of
-   its band also joins the next band.  A set with too few filled parts for this also
-   joins by single shingles, for which the same counting holds.
+   Both sets put their filled parts in one order that holds
+   for all sets, rare keys first; the first (most differences) + 1 of each must then have
+   one in common.  For this order the most frequent keys (``FREQUENT`` at most, by counts of
+   tasks) are listed and put last; which keys are listed changes work, not links.  A set
+   near the top of its band also joins the next band.  A set with too few filled parts for
+   this also joins by single shingles, for which the same counting holds.
 3. Shared parts.  Keys are dealt to groups by their leading bits, in packed blocks.  A task
    forwards a key once however many of its documents have it, so a very common key is as
    small as the number of tasks.  The result is every (key, class) whose key two
    classes share.
 4. Rounds.  Every class is verified against one neighbour: of the classes that stand
    for the least component in one of its keys, the one with which it shares most keys.
-   Components move to the least one they are linked to, and this is done again.  Large
-   groups of near copies are joined here, with one verification for each class and round.
+   Components move to the least one they are linked to, and this is done again, until a
+   round brings few links.  Large groups of near copies are joined here, with one
+   verification for each class and round.
 5. The rest.  Keys whose classes are all in one component are done.  In the other keys,
    all pairs across components are tried.  Links within a component that is
    already joined change nothing and are not looked for.
@@ -39,6 +42,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +59,11 @@ SKETCH_BITS = 512
 PAIR = ("a", "b", "n", "label", "to")
 _PAIR = ", ".join(f"{c} long" for c in PAIR)
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
-#: rounds of the fourth step; what they leave, the fifth finds
-ROUNDS = 3
+#: rounds of the fourth step at most, and the part of the first round's links under which a round is the last one;
+#: what they leave, the fifth step finds
+MOST_ROUNDS, WORTH = 12, 20
+#: frequent keys that tasks hold; keys that a task counts together
+FREQUENT, COUNTED = 1 << 16, 1 << 22
 #: doublings of a component's way to its least one in a round
 HOPS = 2
 #: shared keys that a task of the third step should hold at most, on average
@@ -103,20 +110,65 @@ def _keys(u: np.ndarray, band: int) -> np.ndarray:
     return mix(value ^ mix(place[first] * np.uint64(64) + np.uint64(band + 1)))
 
 
-def signature(u: np.ndarray) -> np.ndarray:
-    """The keys by which a set meets every set similar to it."""
+def layouts(u: np.ndarray) -> list[np.ndarray]:
+    """Keys by which a set can meet similar ones: of its filled parts, in one band or two, and of single shingles if these are few."""
     n = len(u)
     if not n:
-        return u
+        return []
     band = (n.bit_length() - 1) // 2
-    d = most_differences(n)
     out = []
     for b in (band, band + 1) if 5 * n // 4 >= 4 << (2 * band) else (band,):
-        keys = _keys(u, b)
-        out.append(np.sort(keys)[:d + 1])
-        if len(keys) <= d:  # single shingles, in a layout of their own
-            out.append(np.sort(mix(u ^ np.uint64(0xA5A5A5A5A5A5A5A5)))[:d + 1])
-    return np.unique(np.concatenate(out))
+        out.append(_keys(u, b))
+        if len(out[-1]) <= most_differences(n):  # single shingles, in a layout of their own
+            out.append(mix(u ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+    return out
+
+
+#: no key is known to be frequent
+NONE = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+
+def signature(u: np.ndarray, frequent: tuple[np.ndarray, np.ndarray] = NONE) -> np.ndarray:
+    """The keys by which a set meets every set similar to it.
+
+    ``frequent`` has sorted keys and their places in order of frequency; they come after all others.
+    """
+    d, (known, rank) = most_differences(len(u)), frequent
+    out = []
+    for keys in layouts(u):
+        late = np.zeros(len(keys), dtype=np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            late = np.where(known[at] == keys, rank[at] + 1, 0)
+        out.append(keys[np.lexsort((keys, late))[:d + 1]])
+    return np.unique(np.concatenate(out)) if out else u
+
+
+def _repeated(batches):
+    """The most frequent keys of every few million that a task reads: ``key, n``."""
+    def most(held):
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        keys, n = keys[n > 1], n[n > 1]
+        if len(keys) > FREQUENT:
+            use = np.argpartition(-n, FREQUENT)[:FREQUENT]
+            keys, n = keys[use], n[use]
+        return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    worker_tables("jaccard_join")
+    held, size, seen = [], 0, set()
+    for b in few_rows(batches):
+        for _, _, raw, off in slices(b.column("_text")):
+            for u in shingle_rows(raw, off):
+                node = class_of(u)
+                if node not in seen:
+                    seen.add(node)
+                    held += layouts(u)
+                    size += 2 * len(u)
+                    if size >= COUNTED:
+                        yield most(held)
+                        held, size, seen = [], 0, set()
+    if size:
+        yield most(held)
 
 
 def parity(u: np.ndarray) -> np.ndarray:
@@ -153,7 +205,7 @@ def _describe(batches):
 _BLOCK = "part int, keys binary, nodes binary, told binary, told_nodes binary"
 
 
-def _deal(groups: int):
+def _deal(groups: int, frequent):
     """Packed (key, class) blocks by group; of keys that several classes of a batch have, one mark each."""
     shift = np.uint64(64 - (groups.bit_length() - 1))
 
@@ -166,7 +218,7 @@ def _deal(groups: int):
                     node = class_of(u)
                     if len(u) and node not in seen:
                         seen.add(node)
-                        s = signature(u)
+                        s = signature(u, frequent.value)
                         keys.append(s), nodes.append(np.full(len(s), node, dtype=np.int64))
             if not keys:
                 continue
@@ -268,7 +320,12 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     filled = about.where("n_shingles > 0")
     total = filled.agg(F.sum("n_shingles")).first()[0] or 0
     groups = 1 << max(6, int(total * 0.3 / GROUP_KEYS)).bit_length()
-    blocks = rows.select("_text").mapInArrow(tidied(_deal(groups)), _BLOCK)
+    often = rows.select("_text").mapInArrow(tidied(_repeated), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")) \
+        .orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    often = often.column("key").to_numpy().view(np.uint64)[::-1]
+    order = np.argsort(often)
+    frequent = docs.sparkSession.sparkContext.broadcast((often[order], order))
+    blocks = rows.select("_text").mapInArrow(tidied(_deal(groups, frequent)), _BLOCK)
     shared = staged(blocks.groupBy("part").applyInArrow(_shared, "key long, node long"), "shared")
 
     rep = filled.groupBy("node").agg(F.min("rid").alias("rid"))
@@ -287,8 +344,25 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        .select("key", F.col("top.label").alias("to"), F.col("top.node").alias("a")), "least")
         tried = member.join(least, "key").where("label <> to").groupBy("a", F.col("node").alias("b")) \
             .agg(F.count("*").alias("n"), F.min("label").alias("label"), F.min("to").alias("to"))
-        return close(tried.join(sizes.alias("x"), F.col("a") == F.col("x.node"))
-                     .join(sizes.alias("y"), F.col("b") == F.col("y.node")).where(near("x", "y")).select(*PAIR))
+        tried = tried.join(sizes.alias("x"), F.col("a") == F.col("x.node")) \
+            .join(sizes.alias("y"), F.col("b") == F.col("y.node")).where(near("x", "y")).select(*PAIR)
+        one = tried.groupBy("b").agg(F.max(F.struct("n", "a", "label", "to")).alias("top")).select("b", "top.*")
+        return close(one.select(*PAIR))
+
+    def rounds(member: DataFrame, linked) -> tuple[DataFrame, list[DataFrame]]:
+        """Star rounds; ``linked`` keeps pairs that are links."""
+        found, first = [], None
+        for turn in range(MOST_ROUNDS):
+            links = linked(star(member, turn))
+            found.append(links)
+            n = links.count()
+            first = first or n
+            if not n:
+                break
+            member = joined_on(member, links)
+            if WORTH * n < first:
+                break
+        return member, found
 
     def joined_on(member: DataFrame, links: DataFrame) -> DataFrame:
         """Components move to the least component that they have a link to, and on to where that moves (labels only fall)."""
@@ -311,9 +385,9 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      .select("a", "b", *[none.alias(c) for c in PAIR[2:]]))
 
     # which classes have a near sketch at all: only their texts are needed
-    member = shared.withColumn("label", F.col("node"))
-    tried = star(member, 0)
-    tried = tried.unionByName(across(joined_on(member, tried)))
+    start = shared.withColumn("label", F.col("node"))
+    joined, tried = rounds(start, lambda pairs: pairs)
+    tried = reduce(DataFrame.unionByName, tried).unionByName(across(joined))
     wanted = staged(tried.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
     texts = staged(rows.select("rid", "_text").join(nodes.select("rid", "node").join(wanted, "node", "left_semi"), "rid")
                    .select("node", "_text"), "texts")
@@ -325,14 +399,8 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                        F.max(F.when(F.col("node") == F.col("b"), F.col("_text"))).alias("b_text"))
         return staged(met.mapInArrow(tidied(_verify), _PAIR), "links")
 
-    member = staged(member.join(wanted, "node", "left_semi"), "member")
-    links = None
-    for turn in range(ROUNDS):
-        best = star(member, turn).groupBy("b").agg(F.max(F.struct("n", "a", "label", "to")).alias("top")).select("b", "top.*")
-        found = verified(best.select(*PAIR))
-        member = joined_on(member, found)
-        links = found if links is None else links.unionByName(found)
-    links = links.unionByName(verified(across(member)))
+    member, links = rounds(staged(start.join(wanted, "node", "left_semi"), "member"), verified)
+    links = reduce(DataFrame.unionByName, links).unionByName(verified(across(member)))
     joined = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
 
     doc = about.select("doc_id", "rid", "n_shingles", "node").join(joined, "node", "left") \

@@ -289,3 +289,50 @@ def test_mix_takes_the_epochs_it_should(spark, tmp_path):
     # 100 tokens: 50 each; s0 has 80 and gives five documents, s1 has 20: two whole epochs and one document more
     assert got == {("s0", 0): 5, ("s1", 0): 2, ("s1", 1): 2, ("s1", 2): 1}
     assert len({(r.doc_id, r.epoch) for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("kind", ["passage", "copies"])
+def test_signatures_meet_in_proportion(kind):
+    """One passage in many unlike documents makes no pairs, near copies share keys; both grow with the documents."""
+    import pyarrow as pa
+
+    from strata.llm import jaccard_join
+
+    rng = np.random.default_rng(4)
+    passage = " ".join(f"p{i}" for i in range(80))
+    made = []
+    for n in (400, 1600):
+        own = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 150)) for _ in range(n)] if kind == "passage" else []
+        texts = [f"{o} {passage}" for o in own] or [" ".join(f"w{x if i != k % 150 else -k}" for i, x in enumerate(range(150))) for k in range(n)]
+        column = pa.array([t.encode() for t in texts], pa.binary())
+        often = list(jaccard_join._repeated([pa.record_batch([column], names=["_text"])]))
+        keys = np.concatenate([b.column("key").to_numpy().view(np.uint64) for b in often])
+        times = np.concatenate([b.column("n").to_numpy() for b in often])
+        by_count = keys[np.lexsort((keys, times))]
+        order = np.argsort(by_count)
+        held = {}
+        for _, _, raw, off in jaccard_join.slices(column):
+            for u in jaccard_join.shingle_rows(raw, off):
+                for k in jaccard_join.signature(u, (by_count[order], order)).tolist():
+                    held[k] = held.get(k, 0) + 1
+        made.append(sum(c * (c - 1) // 2 for c in held.values()) if kind == "passage" else sum(c for c in held.values() if c > 1))
+    assert made[1] <= 6 * made[0] + n and (kind == "copies" or made[1] < n)
+
+
+def test_frequent_keys_change_no_links():
+    """Similar sets meet whatever keys are listed as frequent."""
+    from strata.llm import jaccard_join
+
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        n = int(rng.integers(1, 300))
+        u = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        change = int(rng.integers(0, max(1, len(u) // 9 + 1)))
+        v = np.unique(np.concatenate([u[change:], rng.integers(0, 1 << 63, int(rng.integers(0, change + 1))).astype(np.uint64)]))
+        both = len(np.intersect1d(u, v))
+        if not len(v) or 100 * both < 80 * (len(u) + len(v) - both):
+            continue
+        keys = np.unique(np.concatenate(jaccard_join.layouts(u) + jaccard_join.layouts(v)))
+        known = keys[rng.random(len(keys)) < 0.5]
+        frequent = known, rng.permutation(len(known))
+        assert len(np.intersect1d(jaccard_join.signature(u, frequent), jaccard_join.signature(v, frequent)))
