@@ -24,41 +24,32 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# ``yyyy-M-d H:m:s`` and ``yyyy-M-d`` as anchored patterns: 1-2 digit parts, nothing around them
-_TS_RE = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) ([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$"
-_DATE_RE = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$"
-_MONTH_RE = r"^([0-9]{4})-([0-9]{1,2})$"
-_YEAR_RE = r"^([0-9]{4})$"
-_ANY_DATE_RE = r"^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2})?)?$"
+# ``yyyy-M-d H:m:s`` and ``yyyy-M-d`` as anchored patterns: 1-2 digit parts, nothing around them, no year 0000
+_TS_RE = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
+_DATE_RE = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+_MONTH_RE = r"^(?!0000)[0-9]{4}-[0-9]{1,2}$"
+_YEAR_RE = r"^(?!0000)[0-9]{4}$"
+_ANY_DATE_RE = r"^(?!0000)[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2})?)?$"
 
 
-def _numbers(c: Column) -> Column:
-    """All digit groups of a text as integers: one pass over it."""
-    return F.regexp_extract_all(c, F.lit(r"([0-9]+)"), F.lit(1))
+def _matched(c: Column, regex: str, kind: str) -> Column:
+    """One match and one cast: NULL where the text has another form or is no date (second 60, day 31 of April).
 
-
-def _by_parts(c: Column, regex: str, n: int) -> Column:
-    """Date and time parts in order (missing month and day are 1, missing times 0) -> timestamp_ntz or NULL.
-
-    Year 0000 and second 60 are not valid, as in the source jobs' parser.
+    Casts to ``date`` and ``timestamp_ntz`` read unpadded parts and know no time zone; missing months and days are 1.
     """
-    got = _numbers(F.when(c.rlike(regex), c))
-    part = [F.try_element_at(got, F.lit(i)).try_cast("int") for i in range(1, n + 1)]
-    part += [F.lit(x) for x in (1, 1, 1, 0, 0, 0)[n:]]
-    made = F.try_make_timestamp_ntz(*part)
-    return F.when((part[0] > 0) & (part[5] < 60), made)
+    return F.when(c.rlike(regex), c.try_cast(kind))
 
 
 def parse_ts(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
     """Text -> timestamp_ntz; malformed text (or an impossible date) -> NULL.
 
-    The default pattern is read by parts, which is independent of the session
+    The default pattern is read without regard to the session
     time zone; other patterns go through ``try_to_timestamp`` in that zone.
     """
     c = _c(c)
     if pattern != TS_PATTERN:
         return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
-    return _by_parts(c, _TS_RE, 6)
+    return _matched(c, _TS_RE, "timestamp_ntz")
 
 
 def parse_ts_strict(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
@@ -68,30 +59,22 @@ def parse_ts_strict(c: ColumnOrName, pattern: str = TS_PATTERN) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(F.coalesce(parse_ts(c, pattern), bad))
 
 
-def _date_by_parts(c: Column, regex: str, n: int) -> Column:
-    return F.to_date(_by_parts(c, regex, n))
-
-
 def parse_date(c: ColumnOrName, pattern: str = DATE_PATTERN) -> Column:
     """Text -> date; malformed text (or an impossible date) -> NULL.
 
-    ``yyyy-M-d``, ``yyyy-M`` and ``yyyy`` are read by parts (independent of the
-    session time zone); other patterns go through ``try_to_timestamp``.
+    ``yyyy-M-d``, ``yyyy-M`` and ``yyyy`` are read without regard to the
+    session time zone; other patterns go through ``try_to_timestamp``.
     """
     c = _c(c)
-    by_parts = {DATE_PATTERN: (_DATE_RE, 3), "yyyy-M": (_MONTH_RE, 2), "yyyy": (_YEAR_RE, 1)}
-    if pattern in by_parts:
-        return _date_by_parts(c, *by_parts[pattern])
+    known = {DATE_PATTERN: _DATE_RE, "yyyy-M": _MONTH_RE, "yyyy": _YEAR_RE}
+    if pattern in known:
+        return _matched(c, known[pattern], "date")
     return F.to_date(F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz"))
 
 
 def parse_date_lenient(c: ColumnOrName) -> Column:
     """Full, year-month or year-only dates (``2020-05-17``, ``2020-05``, ``2020``) -> date."""
-    c = _c(c)
-    got = _numbers(F.when(c.rlike(_ANY_DATE_RE), c))
-    y, mo, d = (F.coalesce(F.try_element_at(got, F.lit(i)), F.lit("1")).try_cast("int") for i in (1, 2, 3))
-    zero = F.lit(0)
-    return F.to_date(F.when(got.isNotNull() & (y > 0), F.try_make_timestamp_ntz(y, mo, d, zero, zero, zero)))
+    return _matched(_c(c), _ANY_DATE_RE, "date")
 
 
 def iso_date(c: ColumnOrName) -> Column:

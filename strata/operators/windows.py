@@ -33,18 +33,28 @@ def _same(local: DataFrame, side: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, c: a & local[c].eqNullSafe(side[f"_r{c}"]), keys, local[_B].eqNullSafe(side["_rb"]))
 
 
+#: ranges that ``ranges`` makes at most, and how many of them one step of its look-up passes over
+MAX_RANGES, STRIDE = 1024, 32
+
+
 def ranges(df: DataFrame, column: str, rows: int = 1_000_000) -> Column:
-    """Buckets for ``column``: ranges with about ``rows`` rows of ``df`` each, from its quantiles.
+    """Buckets for ``column``: ranges with about ``rows`` rows of ``df`` each, at most ``MAX_RANGES``, from its quantiles.
 
     A key with a third of all rows is then spread over a third of the ranges, wherever its
-    rows lie.  The quantiles are one array on the driver, one value for each range.
+    rows lie.  One scan finds the row count and the quantiles, an array of fixed size.  A row's
+    range is looked up in two steps, among the cuts ``STRIDE`` apart and then between two of them.
     """
-    n = -(-df.count() // rows)
-    if n <= 1:
+    steps = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+    n, cuts = df.agg(F.count(F.lit(1)), F.percentile_approx(column, steps, 10 * MAX_RANGES)).first()
+    want = min(MAX_RANGES, -(-n // rows))
+    if want <= 1 or not cuts:
         return F.lit(0)
-    steps = [i / n for i in range(1, n)]
-    cuts = df.agg(F.percentile_approx(column, steps, max(10_000, 10 * n))).first()[0] or []
-    return F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: c <= F.col(column)))
+    cuts = sorted(set(cuts[i * MAX_RANGES // want - 1] for i in range(1, want)))
+    parts = [cuts[i:i + STRIDE] for i in range(0, len(cuts), STRIDE)]
+    heads = F.size(F.filter(F.lit([p[0] for p in parts]), lambda c: c <= F.col(column)))
+    inside = F.element_at(F.array(*[F.lit(p) for p in parts]), F.greatest(heads, F.lit(1)))
+    at = F.greatest(heads - 1, F.lit(0)) * STRIDE + F.size(F.filter(inside, lambda c: c <= F.col(column)))
+    return F.when(F.col(column).isNull(), -1).otherwise(at)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, out: str,
@@ -69,6 +79,51 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     return joined.withColumn(out, total).select(*df.columns, out)
 
 
+def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str,
+               bucket: Column | None = None) -> DataFrame:
+    """``row_number() over (partition by keys order by order)``: numbers within a bucket plus the rows before it."""
+    counted = running_sum(df.withColumn("_one", F.lit(1).cast("long")), keys, order, "_one", out, bucket)
+    return counted.drop("_one")
+
+
+def moving_avg(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, n: int, out: str,
+               bucket: Column | None = None) -> DataFrame:
+    """Mean of ``value`` (a decimal) over the current and the ``n - 1`` rows before it, as double; NULLs do not count.
+
+    With ``bucket``, the first ``n - 1`` rows of a bucket take what they lack from a halo: the last
+    ``n - 1`` values of the buckets before it, several if they are short.  A bucket
+    keeps that many values at most, so the per-key step is as small as buckets times ``n``.
+    """
+    keys = list(keys)
+    frame = (1 - n, Window.currentRow)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
+        return df.withColumn(out, F.try_divide(F.sum(value).over(w).cast("double"), F.count(value).over(w)))
+    w = Window.partitionBy(*keys, _B).orderBy(*order)
+    local = df.withColumn(_B, bucket).withColumns({
+        "_sum": F.sum(value).over(w.rowsBetween(*frame)), "_n": F.count(value).over(w.rowsBetween(*frame)),
+        "_at": F.row_number().over(w),
+        # a bucket's last values stand in its last row; a struct keeps NULLs in the list
+        "_tail": F.when(F.lead(F.lit(1)).over(w).isNull(),
+                        F.collect_list(F.struct(F.col(value).alias("v"))).over(w.rowsBetween(2 - n, Window.currentRow)))})
+    if n < 2:
+        return local.withColumn(out, F.try_divide(F.col("_sum").cast("double"), F.col("_n"))).select(*df.columns, out)
+    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(1 - n, -1)
+    halo = F.flatten(F.collect_list("_tail").over(before))
+    size = F.least(F.size(halo), F.lit(n - 1))
+    edges = local.where(F.col("_tail").isNotNull()).select(
+        *[F.col(c).alias(f"_r{c}") for c in keys], F.col(_B).alias("_rb"),
+        F.slice(halo, F.size(halo) - size + 1, size).alias("_halo"))
+    joined = local.join(edges, _same(local, edges, keys), "left")
+    # of the halo the last n - at values are in the frame
+    lack = F.greatest(F.least(F.lit(n) - F.col("_at"), F.size("_halo")), F.lit(0))
+    taken = F.filter(F.slice("_halo", F.size("_halo") - lack + 1, lack), lambda x: x["v"].isNotNull())
+    kind = local.schema["_sum"].dataType
+    more = F.aggregate(taken, F.lit(0).cast(kind), lambda a, x: (a + x["v"]).cast(kind))
+    total = F.when(F.size(taken) > 0, F.coalesce("_sum", F.lit(0).cast(kind)) + more).otherwise(F.col("_sum"))
+    return joined.withColumn(out, F.try_divide(total.cast("double"), F.col("_n") + F.size(taken))).select(*df.columns, out)
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                prev_out: str, next_out: str, bucket: Column | None = None) -> DataFrame:
     """``lag(value)`` and ``lead(value)`` over ``(partition by keys order by order)``.

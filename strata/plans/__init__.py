@@ -5,7 +5,7 @@ DuckDB oracle (where one exists) in ``registry.ORACLES``.
 """
 
 from strata.plans import (  # noqa: F401
-    api, curriculum, logs, medallion, olympics, playlist, rentals, sales, streams, warehouse,
+    api, curriculum, logs, medallion, olympics, playlist, rentals, sales, star, streams, warehouse,
 )
 from strata.plans.registry import ORACLES, QUERIES
 

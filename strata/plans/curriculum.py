@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.functions.parse import iso_date
 from strata.functions.rules import round_half_up
 from strata.operators.validate import audit
-from strata.operators.windows import neighbours, ranges, running_sum, top_k_per_group
+from strata.operators.windows import moving_avg, neighbours, ranges, row_number, running_sum, top_k_per_group
 from strata.plans.registry import query
 from strata.plans.views import DUCK, VIEWS, register_tables, table, view, with_views
 from strata.session import staged
@@ -79,6 +80,48 @@ def q_curr_lag_lead(spark, sf):
                       "prev_order_date", "next_order_date", bucket=ranges(o, "o_orderdate"))
 
 
+@query("curr_moving_avg", """
+SELECT o_custkey, o_orderkey, o_orderdate,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) / count(o_totalprice) OVER w AS moving_avg
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+""")
+def q_curr_moving_avg(spark, sf):
+    """Mean of a customer's last seven orders."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate",
+                                          F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
+    return moving_avg(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "amount", 7, "moving_avg",
+                      bucket=ranges(o, "o_orderdate")).drop("amount")
+
+
+@query("curr_row_number", """
+SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS n
+FROM orders
+""")
+def q_curr_row_number(spark, sf):
+    """Orders of a priority (few, large groups) numbered by date."""
+    o = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", "o_orderdate")
+    return row_number(o, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "n", bucket=ranges(o, "o_orderdate")).drop("o_orderdate")
+
+
+@query("curr_join_right", """
+SELECT o.o_orderkey, o.o_totalprice, c.c_custkey, c.c_name FROM orders o RIGHT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_curr_join_right(spark, sf):
+    """Every customer, also one without orders."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return o.join(c, o.o_custkey == c.c_custkey, "right").select("o_orderkey", "o_totalprice", "c_custkey", "c_name")
+
+
+@query("events_by_iso_day", """
+SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1
+""")
+def q_events_by_iso_day(spark, sf):
+    """Events a day, from their time as ISO-8601 text."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return table(spark, sf, "events").select(iso_date(text).alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query("curr_rank", """
 SELECT * FROM (
   SELECT c_nationkey, c_custkey, c_acctbal,

@@ -8,7 +8,7 @@ from strata.operators import logs as L
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
 from strata.session import scratch_path
-from strata.sources.readers import read_csv_typed, read_text_lines
+from strata.sources.readers import read_csv_typed, read_numbered_lines, read_text_lines
 from strata.sources.sinks import publish_sorted_csv
 
 _STRIP = "' ' || chr(9)"  # the white space in the stand-in lines
@@ -43,6 +43,22 @@ def q_log_rejects(spark, sf):
     return L.rejected_lines(view(spark, sf, "v_logs"))
 
 
+@query("log_rejects_numbered", with_views("""
+SELECT chunk, line_no, value, 'malformed_timestamp' AS reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY event_id) AS line_no FROM (
+    SELECT line_no AS event_id, value, CAST(line_no // 1000 AS INTEGER) AS chunk FROM v_logs) l) n
+WHERE contains(value, 'ERROR') AND (CASE WHEN NOT regexp_matches(trim(split_part(value, '|', 1), ' ' || chr(9)), ':60$')
+  THEN try_strptime(trim(split_part(value, '|', 1), ' ' || chr(9)), '%Y-%m-%d %H:%M:%S') END) IS NULL
+""", "v_logs"))
+def q_log_rejects_numbered(spark, sf):
+    """Log files of a thousand events; every rejected line with its file and its number there."""
+    path = scratch_path(spark, "log_files")
+    lines = view(spark, sf, "v_logs").withColumn("chunk", F.floor(F.col("line_no") / 1000).cast("int"))
+    lines.repartition("chunk").sortWithinPartitions("chunk", "line_no").select("value", "chunk").write.partitionBy("chunk").text(path)
+    bad = L.rejected_lines(read_numbered_lines(spark, path, F.col("value").contains(L.MARKER)))
+    return bad.select(F.regexp_extract("source_file", "chunk=([0-9]+)", 1).cast("int").alias("chunk"), "line_no", "value", "reason")
+
+
 @query("log_errors_daily", _oracle(
     "SELECT CAST(ts AS DATE) AS Date, count(*) AS Total_Errors FROM ok GROUP BY 1 ORDER BY 1"))
 def q_log_errors_daily(spark, sf):

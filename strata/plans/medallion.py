@@ -178,27 +178,29 @@ def gold_user_obt(users: DataFrame, countries: DataFrame, buyers: DataFrame, sel
         KEY, force=force)
 
 
-#: nations that one of gold's dimension inputs does not know (by the number in the name), so that the
-#: outer joins meet keys missing on each side; the silver keys have them all
-MISSING = {"countries": (4, 2), "buyers": (5, 4), "sellers": (7, 5)}
+#: countries that only some of gold's inputs know, so that the outer joins meet unmatched keys on each
+#: side: the rows of the first country come once more under each of these names
+STRANGERS = {"countries": ("Atlantis", "Erewhon"), "buyers": ("Atlantis", "Lilliput"), "sellers": ("Lilliput", "Utopia")}
 
 
-def known(df: DataFrame, side: str) -> DataFrame:
-    n, k = MISSING[side]
-    number = F.regexp_extract("country", "([0-9]+)$", 1).try_cast("int")
-    return df.where(F.coalesce(number % n != k, F.lit(True)))
+def with_strangers(df: DataFrame, side: str) -> DataFrame:
+    first = df.join(df.agg(F.min("country").alias("country")), "country", "left_semi")
+    more = first.withColumn("country", F.explode(F.array(*map(F.lit, STRANGERS[side]))))
+    return df.unionByName(more.select(*df.columns))
 
 
-def _known(cte: str, side: str) -> str:
-    n, k = MISSING[side]
-    return f"(SELECT * FROM {cte} WHERE coalesce(TRY_CAST(regexp_extract(country, '([0-9]+)$', 1) AS INTEGER) % {n} <> {k}, true))"
+def _with_strangers(cte: str, side: str) -> str:
+    names = ", ".join(f"'{n}'" for n in STRANGERS[side])
+    return (f"(SELECT * FROM {cte} UNION ALL SELECT * REPLACE (unnest([{names}]) AS country) FROM {cte} "
+            f"WHERE country = (SELECT min(country) FROM {cte}))")
 
 
 def silver_tables(spark, sf):
-    """Gold's inputs."""
-    return (users_silver(view(spark, sf, "v_users")), known(countries_silver(view(spark, sf, "v_countries")), "countries"),
-            known(buyers_silver(view(spark, sf, "v_buyers")), "buyers"),
-            known(sellers_silver(view(spark, sf, "v_sellers")), "sellers"))
+    """Gold's inputs: the whole silver tables, and rows of countries that not all of them know."""
+    return (users_silver(view(spark, sf, "v_users")),
+            with_strangers(countries_silver(view(spark, sf, "v_countries")), "countries"),
+            with_strangers(buyers_silver(view(spark, sf, "v_buyers")), "buyers"),
+            with_strangers(sellers_silver(view(spark, sf, "v_sellers")), "sellers"))
 
 
 # ---------------------------------------------------------------- oracles (DuckDB)
@@ -298,9 +300,9 @@ SELECT u.country AS Country,
   coalesce(u.country, c.country, b.country, s.country) AS country_key,
   {_sel('u', GOLD_USERS)}, {_sel('c', GOLD_COUNTRIES)}, {_sel('b', GOLD_BUYERS)}, {_sel('s', GOLD_SELLERS)}
 FROM users_s u
-FULL OUTER JOIN {_known('countries_s', 'countries')} c ON u.country = c.country
-FULL OUTER JOIN {_known('buyers_s', 'buyers')} b ON coalesce(u.country, c.country) = b.country
-FULL OUTER JOIN {_known('sellers_s', 'sellers')} s ON coalesce(u.country, c.country, b.country) = s.country
+FULL OUTER JOIN {_with_strangers('countries_s', 'countries')} c ON u.country = c.country
+FULL OUTER JOIN {_with_strangers('buyers_s', 'buyers')} b ON coalesce(u.country, c.country) = b.country
+FULL OUTER JOIN {_with_strangers('sellers_s', 'sellers')} s ON coalesce(u.country, c.country, b.country) = s.country
 """, "v_users", "v_countries", "v_buyers", "v_sellers", extra=_SILVER_CTES)
 
 

@@ -11,14 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.parse import parse_ts
 from strata.functions.rules import bucketize, round_product
 from strata.operators.dedup import keep_one
-from strata.operators.incremental import append_new, new_rows, read_if_exists, scd2, typed_source, upsert_latest
+from strata.operators.incremental import (append_new, new_rows, read_if_exists, scd2, scd2_merge, typed_source, upsert_in_place,
+                                          upsert_latest)
 from strata.operators.obt import JoinSpec, metadata_chain
 from strata.operators.windows import ranges
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
-from strata.session import scratch_path
+from strata.session import scratch_path, staged
 from strata.sources.readers import read_csv_strings, read_table
 from strata.sources.sinks import write_overwrite
 
@@ -181,6 +183,18 @@ def q_upsert_latest(spark, sf):
     return spark.read.parquet(second).drop("part")
 
 
+@query("upsert_in_place", with_views(
+    f"SELECT * EXCLUDE (rn) FROM ({_ranked('DESC', 'LAST')}) r WHERE rn = 1", *_ALL, extra=_SILVER))
+def q_upsert_in_place(spark, sf):
+    """Three batches into one live table: before 2000, all later ones, and the last again (a repeated run changes nothing)."""
+    silver = with_part(bookings_silver(view(spark, sf, "v_bookings")), "booking_id")
+    cut = F.col("created_at") < F.expr(f"TIMESTAMP_NTZ'{CUT}'")
+    live = scratch_path(spark, "live_bookings")
+    for batch in (silver.where(cut), silver.where(~cut), silver.where(~cut)):
+        upsert_in_place(spark, live, batch, ["booking_id"], ["created_at"], "part", scratch_path(spark, "batch"))
+    return spark.read.parquet(live).drop("part")
+
+
 @query("dedup_key", with_views(
     f"SELECT * EXCLUDE (rn) FROM ({_ranked('ASC', 'FIRST')}) r WHERE rn = 1", *_ALL, extra=_SILVER))
 def q_dedup_key(spark, sf):
@@ -204,6 +218,27 @@ def q_scd2_history(spark, sf):
         view(spark, sf, "v_bookings"), "created_at"))
 
 
+_VERSIONS = "listing_id, created_at, booking_status, total_amount"
+_VERSION_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in ("created_at", "booking_status", "total_amount"))
+
+
+@query("scd2_merge", with_views(f"""
+SELECT {_VERSIONS}, valid_to, n = versions AS is_current FROM (
+  SELECT *, lead(created_at) OVER w AS valid_to, row_number() OVER w AS n, count(*) OVER (PARTITION BY listing_id) AS versions
+  FROM (SELECT DISTINCT {_VERSIONS} FROM sb) u
+  WINDOW w AS (PARTITION BY listing_id ORDER BY {_VERSION_ORDER})) t
+""", *_ALL, extra=_SILVER))
+def q_scd2_merge(spark, sf):
+    """A listing's states by its bookings. History: what was confirmed or cancelled before 2000; the batch: all
+    that came later, all pending ones (late), and all cancelled ones once more (repeated)."""
+    states = bookings_silver(view(spark, sf, "v_bookings")).select(*_VERSIONS.split(", "))
+    pending, cancelled = F.col("booking_status") == "pending", F.col("booking_status") == "cancelled"
+    early = (F.col("created_at") < F.expr(f"TIMESTAMP_NTZ'{CUT}'")) & ~pending
+    keys, spread = ["listing_id"], ranges(states, "created_at")
+    history = staged(scd2(states.where(early).distinct(), keys, "created_at", bucket=spread), "history")
+    return scd2_merge(history, states.where(~early | cancelled), keys, "created_at", bucket=spread)
+
+
 @query("quality_referential", with_views("""
 SELECT listing_id, host_id FROM sl WHERE NOT EXISTS (SELECT 1 FROM sh WHERE sh.host_id = sl.host_id)
 """, *_ALL, extra=_SILVER))
@@ -243,6 +278,20 @@ def q_incremental_append(spark, sf):
     return spark.read.parquet(target)
 
 
+@query("incremental_inclusive", with_views("SELECT * FROM v_source", "v_source"))
+def q_incremental_inclusive(spark, sf):
+    """Some rows of the mark's own time come after the first load; they are taken up, and no row comes twice."""
+    source = view(spark, sf, "v_source")
+    target = scratch_path(spark, "history")
+    before = source.where(F.col("updated_at") < F.expr("TIMESTAMP_NTZ'2000-01-01 00:00:00'"))
+    last = before.agg(F.max("updated_at").alias("last"))
+    late = before.join(last, F.col("updated_at") == F.col("last"), "left_semi").agg(F.max("id").alias("late"))
+    write_overwrite(before.join(late, F.col("id") == F.col("late"), "left_anti"), target)
+    append_new(spark, source, target, "updated_at", inclusive_key=["id"])
+    append_new(spark, source, target, "updated_at", inclusive_key=["id"])
+    return spark.read.parquet(target)
+
+
 _PARSED = "CASE WHEN updated_at NOT LIKE '%:60' THEN try_strptime(updated_at, '%Y-%m-%d %H:%M:%S') END"
 
 
@@ -273,6 +322,6 @@ def q_incremental_text_rejects(spark, sf):
 @query("incremental_text_strict", with_views(
     f"SELECT id, data, {_PARSED} AS updated_at FROM v_source_text WHERE {_PARSED} IS NOT NULL", "v_source_text"))
 def q_incremental_text_strict(spark, sf):
-    """A clean batch in fail mode: every row is typed (one malformed row would fail the job)."""
-    good = ((F.col("id") % 97 != 0) & (F.col("id") % 89 != 0) & (F.col("id") % 83 != 0))
-    return typed_source(view(spark, sf, "v_source_text").where(good), "updated_at", on_bad="fail")[0]
+    """Fail mode on the original text of the rows that reject mode accepts (one malformed row would fail the job)."""
+    accepted = view(spark, sf, "v_source_text").where(parse_ts("updated_at").isNotNull())
+    return typed_source(accepted, "updated_at", on_bad="fail")[0]

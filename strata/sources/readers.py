@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import staged
+
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  where: Column | str | None = None) -> DataFrame:
@@ -121,6 +123,25 @@ def read_text_lines(spark: SparkSession, path: str, with_source: bool = False) -
     return df.withColumn("source_file", F.col("_metadata.file_path")) if with_source else df
 
 
+def read_numbered_lines(spark: SparkSession, path: str, keep: Column | None = None) -> DataFrame:
+    """Text lines with their file and place: ``value, source_file, line_no`` (from 1, as an editor shows them).
+
+    A file is read in blocks, each by one task from its first line to its last, so a line's place in
+    its block is a difference of row ids.  The lines are written once with their block; the
+    second pass adds up the line counts of a file's earlier blocks (one row for each block), and only
+    lines for which ``keep`` holds meet them.  No line is sorted and no file goes through one task.
+    """
+    lines = staged(spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id")), "lines")
+    blocks = lines.groupBy("source_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long"))).drop("_n")
+    kept = lines if keep is None else lines.where(keep)
+    return kept.join(starts, ["source_file", "_block"]).select(
+        "value", "source_file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"))
+
+
 def file_manifest(spark: SparkSession, path: str, glob: str | None = None,
                   recursive: bool = True) -> DataFrame:
     """Listing of files (path, length, modificationTime); file contents are never read."""

@@ -19,9 +19,26 @@ def _norm_path(p: str) -> str:
     return re.sub(r"^file:/*", "/", p).rstrip("/")
 
 
+def _roots(df: DataFrame) -> list[str]:
+    """Root folders of the file relations in the plan (not their files, which grow with the table)."""
+    try:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    except AttributeError:  # Spark Connect has no plan here
+        return df.inputFiles()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("LogicalRelation") or leaf.getClass().getSimpleName().startswith("LogicalRelation"):
+            relation = leaf.relation()
+            if hasattr(relation, "location") and relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                out += [paths.apply(k).toString() for k in range(paths.size())]
+    return out
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
     target = _norm_path(path) + "/"
-    return any(_norm_path(f).startswith(target) for f in df.inputFiles())
+    return any((_norm_path(f) + "/").startswith(target) or target.startswith(_norm_path(f) + "/") for f in _roots(df))
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",

@@ -7,7 +7,8 @@ import pytest
 from strata.plans import QUERIES
 from tests.conftest import SF_SMALL
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "FlatMapGroupsInArrow", "MapInPandas", "MapInArrow",
+                "PythonMapInArrow", "PythonUDF", "FlatMapCoGroupsInPandas")
 
 # keys whose result is computed eagerly (writes) are still plain DataFrames afterwards
 PLAN_KEYS = sorted(QUERIES)
