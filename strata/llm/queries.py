@@ -53,25 +53,27 @@ SELECT conv_id, count(*) AS n_turns,
                 + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'),
                                  chr(10), chr(92) || chr(10)))
                 + length(replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')))
-            AS BIGINT) AS formatted_chars
+            AS BIGINT) AS formatted_chars,
+       regexp_full_match(string_agg(replace(role, ',', '?'), ',' ORDER BY turn NULLS FIRST, role, text),
+                         '(system,)?user,assistant((,user|(,tool)+),assistant)*') AS valid
 FROM c GROUP BY conv_id
 """)
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strata.llm.chat_format import format_chats, loss_text, read_turns
+    from strata.llm.chat_format import CHATML, format_chats, read_turns
 
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                   F.lit(PROBE).alias("text"))
     rows = _table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(probe)
-    out = format_chats(rows).select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"),
-                                    loss_text(F.col("segments")).alias("loss"))
-    return out.select(
+    out = format_chats(rows).select("conv_id", "valid", "formatted", read_turns(F.col("formatted")).alias("turns"))
+    trained = F.filter("turns", lambda t: t["role"].isin(*CHATML.loss_roles))
+    return out.withColumn("loss", F.array_join(F.transform(trained, lambda t: t["text"]), "")).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))),
                             ""), 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-        F.char_length("formatted").cast("long").alias("formatted_chars"))
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
 @_query("op1_toxicity")

@@ -44,6 +44,13 @@ def test_sql(spark, key):
     assert got["ok"], got
 
 
+def test_chat_format_runs_its_machine(spark):
+    df = QUERIES["op10_chat_format"](spark, SF_SMALL)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in text and "array_contains" in text
+    assert {r.valid for r in df.collect()} == {True, False}
+
+
 def test_toxicity_holds_out_a_third_and_finds_the_toxic(spark):
     rows = QUERIES["op1_toxicity"](spark, "/root/testdata/sf0.1").collect()
     labels = dict(duckdb.sql("SELECT doc_id, toxic FROM '/root/testdata/sf0.1/labels.parquet'").fetchall())
