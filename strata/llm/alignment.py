@@ -42,7 +42,7 @@ from strata.llm.common import byte_views, few_rows, staged, tidied, worker_table
 #: pairs of ids whose counts a task holds
 HELD_PAIRS = 1 << 18
 #: segments that a worker keeps in each of two generations, and the longest one kept
-MAX_SEGMENTS, KEEP_CHARS = 120_000, 48
+MAX_SEGMENTS, KEEP_CHARS = 240_000, 48
 #: bytes of links that a task gathers before it hands rows on
 OUT_BYTES = 8 << 20
 #: links that a counting task gathers before it hands on their sums
@@ -132,6 +132,8 @@ class Aligner:
         return out
 
     def a_ids(self, segment: str) -> list[int]:
+        if self.byte_level and segment.isascii() and segment.isalpha():  # one pre-token
+            return [t.id for t in self.model.tokenize("Ġ" + segment)]
         if self.byte_level and _PLAIN.fullmatch(segment):
             ids = []
             for piece in _PIECE.findall(" " + segment):
