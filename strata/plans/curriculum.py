@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.parse import iso_date
 from strata.functions.rules import round_half_up
+from strata.operators.sketches import merged_count, sketches_by
 from strata.operators.validate import audit
 from strata.operators.windows import moving_avg, neighbours, ranges, row_number, running_sum, top_k_per_group
 from strata.plans.registry import query
@@ -56,6 +57,30 @@ def q_curr_kpi_rollup(spark, sf):
                     "customers"))
 
 
+@query("kpi_rollup_sets", """
+SELECT c.c_mktsegment, CAST(year(o.o_orderdate) AS INTEGER) AS order_year,
+  CAST(grouping(c.c_mktsegment, CAST(year(o.o_orderdate) AS INTEGER)) AS INTEGER) AS level, count(*) AS orders,
+  CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY ROLLUP (c.c_mktsegment, CAST(year(o.o_orderdate) AS INTEGER))
+""")
+def q_kpi_rollup_sets(spark, sf):
+    """Orders and revenue by segment and year, by segment, and in all: one scan, every row expanded to its three sets."""
+    o = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("order_year"),
+                                          F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey).rollup("c_mktsegment", "order_year").agg(
+        F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("orders"), F.sum("amount").cast("double").alias("revenue"))
+
+
+@query("kpi_distinct_merge")
+def q_kpi_distinct_merge(spark, sf):
+    """Customers with orders, a year: sketches of every day are stored, then united by year (an estimate, so without an oracle)."""
+    days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"), "o_custkey")
+    stored = staged(sketches_by(days, ["day"], "o_custkey"), "daily-sketches")
+    return merged_count(stored, [F.year("day").alias("order_year")], "customers")
+
+
 @query("curr_running_total", """
 SELECT o_custkey, o_orderkey, o_orderdate,
   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey

@@ -176,3 +176,11 @@ def test_a_table_that_is_read_is_not_overwritten(spark, tmp_path):
     with pytest.raises(ValueError):
         write_overwrite(spark.read.parquet(path).where("id > 1"), path)
     write_overwrite(spark.read.parquet(path), str(tmp_path / "other"))
+
+
+def test_merged_sketches_count_within_their_error(spark):
+    """Three standard errors of 0.8 % around the exact count."""
+    got = {r.order_year: r.customers for r in QUERIES["kpi_distinct_merge"](spark, "/root/testdata/sf0.1").collect()}
+    orders = spark.read.parquet("/root/testdata/sf0.1/orders.parquet")
+    want = {r.y: r.n for r in orders.groupBy(F.year("o_orderdate").alias("y")).agg(F.count_distinct("o_custkey").alias("n")).collect()}
+    assert set(got) == set(want) and all(abs(got[y] - want[y]) <= 0.024 * want[y] for y in want)
