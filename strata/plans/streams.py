@@ -21,6 +21,7 @@ from strata.session import scratch_path
 from strata.sources.readers import typed_text
 from strata.sources.sinks import write_overwrite
 from strata.streaming.ingest import ingest, ledger, read_ingested
+from strata.streaming.tracked import RESCUED, VERSION, ingest_tracked, read_tracked
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -177,4 +178,26 @@ def q_stream_users_medallion(spark, sf):
     return spark.read.parquet(gold)
 
 
-
+@query("stream_schema_tracked", """
+SELECT event_id, CASE WHEN event_id % 15 = 2 THEN NULL ELSE user_id END AS user_id,
+  CASE WHEN event_id % 3 = 0 THEN CAST(floor(value) AS DOUBLE) ELSE value END AS amount,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_type END AS event_type,
+  CASE WHEN event_id % 15 = 2 THEN '{"user_id":"u' || CAST(user_id AS VARCHAR) || '"}' END AS rescued,
+  CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS version
+FROM events
+""")
+def q_stream_schema_tracked(spark, sf):
+    """Three arrivals of JSON lines, no schema declared: whole amounts; then amounts with decimals and a new
+    field; then users whose id is a text."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", F.col("value").alias("amount"), "event_type")
+    s = Landing(spark, "events_tracked")
+    third = F.col("event_id") % 3
+    odd = F.col("event_id") % 15 == 2
+    as_json = F.to_json(F.struct("*"))
+    text_id = ev.withColumn("user_id", F.concat(F.lit("u"), F.col("user_id").cast("string"))).where(odd).select(as_json)
+    for lines in (ev.where(third == 0).withColumn("amount", F.floor("amount")).drop("event_type").select(as_json),
+                  ev.where(third == 1).select(as_json),
+                  ev.where((third == 2) & ~odd).select(as_json).union(text_id)):
+        s.land(lines, fmt="text")
+        ingest_tracked(spark, s.inbox, s.table, s.checkpoint)
+    return read_tracked(spark, s.table, s.checkpoint).withColumnsRenamed({RESCUED: "rescued", VERSION: "version"})

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import threading
 from collections import defaultdict
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,9 +70,13 @@ class _Totals(StreamingQueryListener):
 def ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
            schema: T.StructType | str, fmt: str = "parquet", archive_dir: str | None = None,
            source_file: bool = False, max_files_per_trigger: int = 1000,
-           timeout_s: int | None = None, options: dict | None = None) -> IngestResult:
+           timeout_s: int | None = None, options: dict | None = None,
+           transform: Callable[[DataFrame], DataFrame] | None = None,
+           partition_by: Sequence[str] = ()) -> IngestResult:
     """Take every file not yet ingested from ``source_dir`` into ``table_dir`` and stop.
 
+    ``transform`` (stateless) is applied to the rows read; ``partition_by`` lays out the table.
+
     Runs until everything present is taken; ``timeout_s`` sets a limit.  The totals
     come from the progress of every micro-batch, not from the few that Spark keeps.
     """
@@ -86,13 +91,13 @@ def ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str
         # the micro-batch's timestamp, so the ledger can tell when each file was taken
         stream = stream.withColumns({SOURCE_FILE: F.col("_metadata.file_path"),
                                      INGESTED_AT: F.current_timestamp()})
+    if transform:
+        stream = transform(stream)
     totals = _Totals()
     spark.streams.addListener(totals)
     try:
-        query = (stream.writeStream.format("parquet")
-                 .option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True)
-                 .start(table_dir))
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        query = (writer.partitionBy(*partition_by) if partition_by else writer).start(table_dir)
         totals.follow(str(query.runId))
         if timeout_s is None:
             query.awaitTermination()
