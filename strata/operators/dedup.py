@@ -34,3 +34,24 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     return keep_one(df, keys, order, keep="last")
+
+
+def keep_one_traced(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), document: Sequence[str] = (),
+                    place: Sequence[str] = (), out: str = "documents") -> DataFrame:
+    """``keep_one`` (first) whose row keeps its provenance, with the number of documents that had the key.
+
+    ``document`` names the columns that tell one source document from another, ``place`` those that say where in it
+    (and in which file) a row was.  They never decide between rows that differ otherwise: the order is ``order``,
+    the data columns, then document and place, so of equal rows the first document's counts.  Rows are combined
+    for each key and document before the documents are counted, both times on the tasks first: a key
+    that is in every document reaches the last step as one row for each task.  A NULL document counts as one.
+    """
+    keys, origin = list(keys), [*document, *place]
+    data = [c for c in df.columns if c not in keys and c not in origin]
+    ranked = [*order, *[c for c in data if c not in order], *origin]
+    pick = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(ranked)])
+    by_key, by_doc = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], [F.col(c).alias(f"_d{i}") for i, c in enumerate(document)]
+    once = df.groupBy(*by_key, *by_doc).agg(F.min(pick).alias(_PICK))
+    kept = once.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.min(_PICK).alias(_PICK), F.count(F.lit(1)).alias(out))
+    return kept.select(*[(F.col(f"_k{keys.index(c)}") if c in keys else F.col(f"{_PICK}._o{ranked.index(c)}")).alias(c)
+                         for c in df.columns], out)

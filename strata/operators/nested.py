@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def explode_path(df: DataFrame, path: str, alias: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per element of the array at ``path`` (rows with empty/NULL arrays drop out)."""
+def explode_path(df: DataFrame, path: str, alias: str, keep: tuple[str, ...] = (), place: str | None = None) -> DataFrame:
+    """One row per element of the array at ``path`` (rows with empty/NULL arrays drop out); ``place`` names
+    a column for its index, from 0."""
+    if place:
+        return df.select(*keep, F.posexplode(F.col(path)).alias(place, alias))
     return df.select(*keep, F.explode(F.col(path)).alias(alias))
 
 

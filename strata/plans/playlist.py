@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.parse import iso_timestamp, parse_date_lenient
-from strata.operators.dedup import keep_one
+from strata.operators.dedup import keep_one, keep_one_traced
 from strata.operators.nested import explode_path, first_elem_field, project
 from strata.plans.registry import query
 from strata.plans.views import DUCK, SPARK, Dialect, table, with_views
@@ -105,6 +105,24 @@ def land_docs(spark: SparkSession, sf: str) -> str:
     return path
 
 
+ARRIVAL_ORDERS = 1000
+
+
+def land_arrivals(spark: SparkSession, sf: str) -> str:
+    """The documents in arrival folders, a thousand orders each; items in the order of their lines."""
+    path = scratch_path(spark, "playlists_arrived")
+    in_order = F.array_sort("items", lambda a, b: F.when(_item_order(a) < _item_order(b), -1).when(
+        _item_order(a) > _item_order(b), 1).otherwise(0))
+    docs = playlist_docs(spark, sf).withColumns({
+        "items": in_order, "arrival": F.floor(F.col("playlist_id") / ARRIVAL_ORDERS).cast("int")})
+    docs.write.partitionBy("arrival").option("compression", "lz4").json(path)
+    return path
+
+
+def _item_order(item):
+    return F.struct(item["track"]["id"], item["track"]["album"]["id"], item["added_at"])
+
+
 def load_docs(spark: SparkSession, sf: str, bronze: bool = False) -> DataFrame:
     """The landed documents, read with the explicit schema.
 
@@ -126,11 +144,14 @@ def items(docs: DataFrame) -> DataFrame:
     return explode_path(docs, "items", "item", keep=("playlist_id",))
 
 
+ALBUM_FIELDS = {
+    "album_id": "item.track.album.id", "name": "item.track.album.name",
+    "release_date": "item.track.album.release_date", "total_tracks": "item.track.album.total_tracks",
+    "url": f"item.track.album.external_urls.{URL_KEY}"}
+
+
 def albums(docs: DataFrame) -> DataFrame:
-    out = project(items(docs), {
-        "album_id": "item.track.album.id", "name": "item.track.album.name",
-        "release_date": "item.track.album.release_date", "total_tracks": "item.track.album.total_tracks",
-        "url": f"item.track.album.external_urls.{URL_KEY}"})
+    out = project(items(docs), ALBUM_FIELDS)
     # dedup on the raw text first, then parse the (few) surviving dates
     return keep_one(out, ["album_id"]).withColumn("release_date", parse_date_lenient("release_date"))
 
@@ -142,9 +163,8 @@ def artists(docs: DataFrame) -> DataFrame:
     return keep_one(out, ["artist_id"])
 
 
-def songs(docs: DataFrame) -> DataFrame:
-    it = items(docs)
-    out = it.select(
+def song_fields():
+    return (
         F.col("item.track.id").alias("song_id"), F.col("item.track.name").alias("song_name"),
         F.col("item.track.duration_ms").alias("duration_ms"),
         F.col(f"item.track.external_urls.{URL_KEY}").alias("url"),
@@ -152,7 +172,34 @@ def songs(docs: DataFrame) -> DataFrame:
         iso_timestamp(F.col("item.added_at")).alias("song_added"),
         F.col("item.track.album.id").alias("album_id"),
         first_elem_field("item.track.album.artists", "id").alias("artist_id"))
-    return keep_one(out, ["song_id"], ["song_added"], keep="first")
+
+
+def songs(docs: DataFrame) -> DataFrame:
+    return keep_one(items(docs).select(*song_fields()), ["song_id"], ["song_added"], keep="first")
+
+
+#: what tells one document from another, and where in it an item was
+DOCUMENT, PLACE = ("playlist_id", "chunk"), ("item_no", "source_file")
+
+
+def traced_items(spark: SparkSession, path: str) -> DataFrame:
+    """Items of the landed documents with their document, their place in it and its file."""
+    docs = read_json_docs(spark, path, PLAYLIST_SCHEMA, with_source=True)
+    return explode_path(docs, "items", "item", keep=(*DOCUMENT, "source_file"), place="item_no")
+
+
+def traced_albums(items_: DataFrame) -> DataFrame:
+    """Albums, each with the document and file its row came from and the number of documents that had it."""
+    origin = {c: c for c in (*DOCUMENT, *PLACE)}
+    out = project(items_, {**ALBUM_FIELDS, **origin})
+    return keep_one_traced(out, ["album_id"], document=DOCUMENT, place=PLACE).withColumn(
+        "release_date", parse_date_lenient("release_date"))
+
+
+def traced_songs(items_: DataFrame) -> DataFrame:
+    """Songs as first added, traced likewise."""
+    out = items_.select(*song_fields(), *DOCUMENT, *PLACE)
+    return keep_one_traced(out, ["song_id"], ["song_added"], document=DOCUMENT, place=PLACE)
 
 
 # ---------------------------------------------------------------- oracles
@@ -215,3 +262,38 @@ def q_nested_artists(spark, sf):
 @query("nested_songs", SQL_SONGS)
 def q_nested_songs(spark, sf):
     return songs(load_docs(spark, sf))
+
+
+# documents as the stand-in cuts them, items in the order of ``land_arrivals``
+_PLACED = """
+SELECT *, row_number() OVER (PARTITION BY playlist_id, chunk ORDER BY track_id, album_id, added_at) - 1 AS item_no FROM (
+  SELECT *, (row_number() OVER (PARTITION BY playlist_id ORDER BY line, part, supp, shipped) - 1) // 50 AS chunk FROM flat_lines) n
+"""
+_LINES = _FLAT.replace("SELECT l_orderkey AS playlist_id,", "SELECT l_orderkey AS playlist_id, l_linenumber AS line, "
+                       "l_partkey AS part, l_suppkey AS supp, l_shipdate AS shipped,", 1)
+_TRACED = {"flat_lines": _LINES, "placed": _PLACED}
+_ORIGIN = "playlist_id, chunk, item_no"
+
+
+def _traced_sql(key: str, cols: str, order: str) -> str:
+    return with_views(f"""
+SELECT r.* EXCLUDE (rn), r.playlist_id // {ARRIVAL_ORDERS} AS arrival, d.documents FROM (
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM (SELECT {cols}, {_ORIGIN} FROM placed) s) r
+JOIN (SELECT {key}, count(DISTINCT playlist_id * 1000000 + chunk) AS documents FROM (SELECT {cols}, {_ORIGIN} FROM placed) s GROUP BY 1) d
+  USING ({key})
+WHERE rn = 1
+""", extra=_TRACED)
+
+
+def _arrival():
+    return F.regexp_extract("source_file", "/arrival=([0-9]+)/", 1).cast("int").alias("arrival")
+
+
+@query("nested_songs_traced", _traced_sql(
+    "song_id", "track_id AS song_id, track_name AS song_name, duration_ms, track_url AS url, popularity, added_time AS song_added, "
+    "album_id, album_artist AS artist_id",
+    ", ".join(c + " ASC NULLS FIRST" for c in [*_SONG_COLS, "playlist_id", "chunk", "item_no"])))
+def q_nested_songs_traced(spark, sf):
+    """Each song with the document (and its file's arrival folder) its row came from, and in how many it was."""
+    out = traced_songs(traced_items(spark, land_arrivals(spark, sf)))
+    return out.select("*", _arrival()).drop("source_file")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.operators.asof import asof_join, both_times
 from strata.operators.dimensions import at_version, load_dimension
+from strata.operators.windows import ranges
 from strata.plans.rentals import _ALL, _SILVER, bookings_silver, hosts_silver, listings_silver
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
@@ -51,3 +53,25 @@ def q_fact_booking(spark, sf):
     facts = bookings_silver(view(spark, sf, "v_bookings")).join(listings, "listing_id", "left")
     return at_version(facts, dim_host(spark, sf), "host_id", "created_at", "created_at", "host_sk").select(
         "booking_id", "listing_id", "host_sk", "booking_date", "total_amount", "booking_status")
+
+
+_PRICES = """SELECT listing_id, price_at, max(price) AS price FROM (
+    SELECT listing_id, created_at AS price_at, CAST(price_per_night AS DECIMAL(18,4)) AS price FROM v_listings
+    UNION ALL SELECT listing_id, created_at + INTERVAL 1 DAY, CAST(booking_amount AS DECIMAL(18,4)) FROM v_bookings) p
+  GROUP BY 1, 2"""
+
+
+@query("booking_price_asof", with_views("""
+SELECT b.booking_id, b.listing_id, b.created_at, p.price AS price, p.price_at
+FROM v_bookings b ASOF LEFT JOIN prices p ON b.listing_id = p.listing_id AND b.created_at >= p.price_at
+""", "v_bookings", "v_listings", extra={"prices": _PRICES}), ["price"])
+def q_booking_price_asof(spark, sf):
+    """Each booking with the price known when it was made: the listing's own, or what a booking agreed on the day before or earlier."""
+    bookings = view(spark, sf, "v_bookings")
+    day = F.expr("INTERVAL 1 DAY")
+    prices = view(spark, sf, "v_listings").select(
+        "listing_id", F.col("created_at").alias("price_at"), F.col("price_per_night").cast("decimal(18,4)").alias("price")).unionByName(
+        bookings.select("listing_id", (F.col("created_at") + day).alias("price_at"), F.col("booking_amount").cast("decimal(18,4)").alias("price")))
+    asked = bookings.select("booking_id", "listing_id", "created_at")
+    return asof_join(asked, prices, ["listing_id"], "created_at", "price_at", {"price": "price", "price_at": "price_at"},
+                     bucket=ranges(both_times(asked, prices, "created_at", "price_at"), "at"))

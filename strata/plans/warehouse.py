@@ -231,3 +231,16 @@ def q_publish_provenance(spark, sf):
     publish_csv_dated(stamped, root, "album", RUN_DATE, stem="album_transformed")
     return bulk_load_csv(spark, root, "album_id STRING, name STRING, release_date DATE, total_tracks BIGINT, url STRING, "
                          "source_file STRING", pattern=PATTERNS["album"])
+
+
+@query("publish_traced", P._traced_sql(
+    "album_id", f"album_id, album_name AS name, {P._RD} AS release_date, total_tracks, album_url AS url", "playlist_id, chunk, item_no"))
+def q_publish_traced(spark, sf):
+    """Published albums say which document, item and file they came from and how many documents had them."""
+    root = scratch_path(spark, "traced")
+    publish_csv_dated(P.traced_albums(P.traced_items(spark, P.land_arrivals(spark, sf))), root, "album", RUN_DATE,
+                      stem="album_transformed")
+    loaded = bulk_load_csv(spark, root, "album_id STRING, name STRING, release_date DATE, total_tracks BIGINT, url STRING, "
+                           "playlist_id BIGINT, chunk BIGINT, item_no INT, source_file STRING, documents BIGINT",
+                           pattern=PATTERNS["album"])
+    return loaded.select("*", P._arrival()).drop("source_file")

@@ -96,13 +96,15 @@ def read_by_path_regex(spark: SparkSession, root: str, pattern: str, fmt: str =
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: T.StructType | str,
-                   multi_line: bool = False, suffix: str | None = ".json") -> DataFrame:
-    """JSON documents below ``path``: one per line (splittable) or one per file (``multi_line``)."""
+                   multi_line: bool = False, suffix: str | None = ".json", with_source: bool = False) -> DataFrame:
+    """JSON documents below ``path``: one per line (splittable) or one per file (``multi_line``);
+    optionally the ``source_file`` of each."""
     reader = spark.read.schema(schema).option("multiLine", multi_line)
     if suffix:
         # plain or compressed (``part-….json.gz``) files
         reader = reader.option("pathGlobFilter", f"*{suffix}{{,.gz,.bz2,.deflate,.lz4,.snappy}}")
-    return reader.json(path)
+    docs = reader.json(path)
+    return docs.withColumn("source_file", F.col("_metadata.file_path")) if with_source else docs
 
 
 def read_json_records(spark: SparkSession, path: str, multi_line: bool = False,
