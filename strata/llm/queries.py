@@ -80,8 +80,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.toxicity import score
 
-    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")) \
-        .select("doc_id", "held_out", "score", "predicted")
+    # the significant passages' number, and where the one of the highest value is
+    top = F.array_max(F.transform("spans", lambda s: F.struct(s["value"], -s["start"], s["end"])))
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).withColumn("top", top).select(
+        "doc_id", "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"),
+        (-F.col("top.col2")).alias("top_start"), F.col("top.end").alias("top_end"))
 
 
 @_query("op2_pii")

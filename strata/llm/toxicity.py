@@ -43,15 +43,15 @@ from pyspark.sql import types as T
 from strata.llm.common import byte_views, few_rows, fresh, staged, tidied, worker_tables
 from strata.llm.textscan import LETTER, lower_latin, prefix_hash, slices, span_hash, words
 
-#: the most that packed numbers reach; words that every task holds
-BUCKETS, HELD = 1 << 20, 1 << 18
+#: words that every task holds
+HELD = 1 << 18
 PRIOR, SHARE, DRIFT = 3.0, 0.02, 1.5
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: bins of the document value for the logistic fit: from, to, width
 LOW, HIGH, STEP = -12.0, 24.0, 0.25
-#: cells of the best score, up to its 98th percentile, for the Gumbel fit
-CELLS = 64
+#: cells of the best score, up to its 98th percentile, for the Gumbel fit; cells for each factor e to find that percentile
+CELLS, FINE = 64, 256
 
 
 def fold(id_col):
@@ -66,31 +66,6 @@ def _tokens(raw, off):
     return row, span_hash(prefix_hash(text), start, end), start, end
 
 
-_FAR = 0xFFFF
-
-
-def pack(once: np.ndarray, cut: np.ndarray) -> list[bytes]:
-    """Sorted numbers of every row as 16-bit gaps; a gap of _FAR or more is led by marks worth _FAR each."""
-    first = np.zeros(len(once), dtype=bool)
-    first[cut[:-1][cut[:-1] < cut[1:]]] = True
-    gap = np.where(first, once, np.diff(once, prepend=0))
-    marks, rest = np.divmod(gap, _FAR)
-    at = np.cumsum(marks + 1) - 1
-    out = np.full(at[-1] + 1 if len(at) else 0, _FAR, dtype="<u2")
-    out[at] = rest
-    end = np.concatenate([[0], at + 1])
-    return [out[end[i]:end[j]].tobytes() for i, j in zip(cut[:-1], cut[1:])]
-
-
-def unpack(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and numbers of packed gaps."""
-    gap = np.frombuffer(raw.tobytes(), dtype="<u2").astype(np.int64)
-    total = np.concatenate([[0], np.cumsum(gap)])
-    row = np.repeat(np.arange(len(off) - 1), np.diff(off) // 2)
-    real = gap != _FAR
-    return row[real], (total[1:] - total[off[:-1] // 2][row])[real]
-
-
 def _word_sets(batches):
     """Every document's distinct words, as hashes of eight bytes."""
     worker_tables("toxicity")
@@ -219,8 +194,9 @@ def maximal_segments(score: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 _RUNS = "n_words long, runs binary, others array<long>"
-_RUN = np.dtype([("full", "<f8"), ("cross", "<f8")])
-_SCANNED = "n_words long, best float, segments array<float>, fold_best float, fold_segments array<float>"
+_RUN = np.dtype([("full", "<f8"), ("cross", "<f8"), ("start", "<i4"), ("end", "<i4")])
+_SCANNED = ("n_words long, best float, segments array<struct<start:int,end:int,score:float>>, fold_best float, "
+            "fold_segments array<float>")
 
 
 def _own(table: np.ndarray, folds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -229,7 +205,8 @@ def _own(table: np.ndarray, folds: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _scan(lex):
-    """Documents as runs of known words and single others: the runs' scores by both lexicons, NaN for an other word."""
+    """Documents as runs of known words and single others: the runs' scores by both lexicons, NaN for an other
+    word, and their places in code points."""
     def run(batches):
         worker_tables("toxicity")
         known, table = lex.value
@@ -237,7 +214,8 @@ def _scan(lex):
             folds = b.column("_fold").to_numpy(zero_copy_only=False)
             n, runs, others = [], [], []
             for at, end, raw, off in slices(b.column("_text")):
-                row, word, _, _ = _tokens(raw, off)
+                row, word, start, stop = _tokens(raw, off)
+                before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # characters that begin before a byte
                 cut = np.searchsorted(row, np.arange(end - at + 1))
                 place = np.searchsorted(known, word)
                 mine = known[place] == word
@@ -251,6 +229,9 @@ def _scan(lex):
                 out = np.empty(len(first), dtype=_RUN)
                 if len(first):
                     out["full"], out["cross"] = np.add.reduceat(full, first), np.add.reduceat(cross, first)
+                    base = before[off[row[first]]]
+                    out["start"] = before[start[first]] - base
+                    out["end"] = before[stop[np.append(first[1:], len(word)) - 1]] - base
                 edge = np.searchsorted(first, cut)
                 single, edges = word[other].view(np.int64), np.searchsorted(np.flatnonzero(other), cut)
                 n.append(np.diff(cut))
@@ -266,15 +247,15 @@ def _scan(lex):
 def _segments(docs: np.ndarray):
     """Segments of documents in runs, whose other words have ``found`` counts or none."""
     def one(score):
-        s = [x[2] for x in maximal_segments(score)]
-        return (max(s) if s else 0.0), s
+        s = maximal_segments(score)
+        return max((x[2] for x in s), default=0.0), s
 
     def run(batches):
         worker_tables("toxicity")
         unseen = log_odds(np.zeros((4, 1)), docs)
         for b in few_rows(batches):
             folds = b.column("_fold").to_numpy(zero_copy_only=False)
-            best, segs, fbest, fsegs = [], [], [], []
+            best, segs, many, fbest, fsegs = [], [], [0], [], []
             found = b.column("found")
             for i in range(b.num_rows):
                 runs = np.frombuffer(b.column("runs")[i].as_py(), dtype=_RUN)
@@ -293,13 +274,15 @@ def _segments(docs: np.ndarray):
                     full[hole] = table[2][place]
                     cross[hole] = _own(table, np.full(len(others), folds[i]), place)
                 x, s = one(full)
-                best.append(x), segs.append(s)
+                best.append(x), many.append(many[-1] + len(s))
+                segs += [(runs["start"][first], runs["end"][end - 1], score) for first, end, score in s]
                 x, s = (0.0, []) if folds[i] == HELD_OUT or folds[i] < 0 else one(cross)
-                fbest.append(x), fsegs.append(s)
+                fbest.append(x), fsegs.append([score for _, _, score in s])
             keep = [c for c in b.schema.names if c not in ("_fold", "runs", "others", "found")]
-            lists = pa.list_(pa.float32())
+            parts = [pa.array([x[j] for x in segs], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.float32()))]
+            spans = pa.ListArray.from_arrays(pa.array(many, pa.int32()), pa.StructArray.from_arrays(parts, ["start", "end", "score"]))
             yield pa.record_batch([b.column(c) for c in keep] + [
-                pa.array(best, pa.float32()), pa.array(segs, lists), pa.array(fbest, pa.float32()), pa.array(fsegs, lists)],
+                pa.array(best, pa.float32()), spans, pa.array(fbest, pa.float32()), pa.array(fsegs, pa.list_(pa.float32()))],
                 names=[*keep, "best", "segments", "fold_best", "fold_segments"])
     return run
 
@@ -344,9 +327,28 @@ def gumbel(cell: np.ndarray, ln_n: np.ndarray, count: np.ndarray, width: float)
     return math.exp(at[0]), float(at[1])
 
 
+def _base(n_words, ln_k: float):
+    return F.lit(ln_k) + F.log(F.col(n_words) + 1)
+
+
+def upper_cut(best: DataFrame, column: str, share: float = 0.98) -> float:
+    """The score that ``share`` of the rows stay below, rounded up to one of ``FINE`` cells for each factor e.
+
+    The cells' counts are exact, so the cut does not depend on how rows are partitioned.  1 if
+    that many rows have no positive score.
+    """
+    cells = best.groupBy(F.when(F.col(column) > 0, F.floor(F.log(column) * FINE)).alias("cell")).count().collect()
+    left = share * sum(r["count"] for r in cells)
+    for r in sorted(cells, key=lambda r: -math.inf if r["cell"] is None else r["cell"]):
+        left -= r["count"]
+        if left <= 0:
+            return 1.0 if r["cell"] is None else math.exp((r["cell"] + 1) / FINE)
+    return 1.0
+
+
 def _value(best, segments, n_words, lam: float, ln_k: float):
     """The document's calibrated value: sum of its significant segments, else that of its best."""
-    base = F.lit(ln_k) + F.log(F.col(n_words) + 1)
+    base = _base(n_words, ln_k)
     parts = F.aggregate(F.col(segments), F.lit(0.0), lambda acc, s: acc + F.greatest(F.lit(lam) * s - base, F.lit(0.0)))
     top = F.lit(lam) * F.col(best) - base
     return F.least(F.greatest(F.when(top > 0, parts).otherwise(top), F.lit(LOW)), F.lit(HIGH))
@@ -375,9 +377,11 @@ def logistic(x: np.ndarray, toxic: np.ndarray, total: np.ndarray) -> tuple[float
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = HELD) -> DataFrame:
-    """One row per document: ``doc_id, rid, held_out, score, predicted, n_words, segments``.
+    """One row per document: ``doc_id, rid, held_out, score, predicted, n_words, segments, spans``.
 
-    ``rid`` numbers the rows of ``docs``; ``segments`` are the scores of the maximal segments.
+    ``rid`` numbers the rows of ``docs``; ``segments`` are the maximal segments (start, end, score), ``spans`` the
+    significant ones with their calibrated value, both by place, in code points of the text, from the first
+    character of the first word to the end of the last.
     Results do not depend on ``held``, the number of words that tasks hold, but for rounding.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
@@ -388,7 +392,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     train = staged(scanned.join(marks, "doc_id").select("toxic", "n_words", "fold_best", "fold_segments"), "calibration")
     plain = train.where("toxic = 0").withColumn("ln_n", F.log(F.col("n_words") + 1))
-    cut = plain.agg(F.percentile_approx("fold_best", 0.98, 10000)).first()[0] or 1.0
+    cut = upper_cut(plain, "fold_best")
     cells = plain.groupBy(F.least(F.floor(F.col("fold_best") / (cut / CELLS)), F.lit(CELLS)).alias("cell"),
                           F.floor(8 * F.col("ln_n")).alias("size")) \
         .agg(F.count("*").alias("n"), F.avg("ln_n").alias("ln_n")).toPandas()  # CELLS + 1 by eight for each factor e of length
@@ -396,16 +400,20 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     bins = train.groupBy(F.floor(_value("fold_best", "fold_segments", "n_words", lam, ln_k) / STEP).alias("bin")) \
         .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).toPandas()  # at most (HIGH - LOW) / STEP + 1 rows
     toxic, n = bins["toxic"].to_numpy(float), bins["n"].to_numpy(float)
-    value = _value("best", "segments", "n_words", lam, ln_k)
+    value = _value("best", "segments.score", "n_words", lam, ln_k)
     if len(bins) and 0 < toxic.sum() < n.sum():
         a, b = logistic((bins["bin"].to_numpy(float) + 0.5) * STEP, toxic, n)
         prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * value)))
     else:
         prob = F.lit(0.0)
     held = F.coalesce(fold("doc_id") == HELD_OUT, F.lit(False))
+    base = _base("n_words", ln_k)
+    spans = F.filter(F.transform("segments", lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score"),
+        (F.lit(lam) * s["score"] - base).alias("value"))), lambda s: s["value"] > 0)
     return scanned.withColumn("score", prob).select(
         "doc_id", "rid", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-        "n_words", "segments")
+        "n_words", "segments", spans.alias("spans"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

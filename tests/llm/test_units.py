@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,6 @@ import pytest
 import tiktoken
 
 from strata.llm import byte_bpe, jaccard_join, mixing, pii, token_counts, topk, toxicity
-from strata.llm.common import byte_views
 from strata.llm.components import components
 from strata.llm.run_index import RunIndex
 from tests.llm.data import base_pii
@@ -199,18 +200,6 @@ def test_best_against_all_products():
             assert [(-int(s), int(j)) for j, s in zip(got, score)] == want
 
 
-def test_packed_gaps_come_back():
-    rng = np.random.default_rng(0)
-    for trial in range(60):
-        rows = [np.unique(rng.integers(0, toxicity.BUCKETS, rng.integers(0, rng.integers(1, 400)))) for _ in range(rng.integers(1, 9))]
-        if trial % 3 == 0:
-            rows[0] = np.array([0, 65535, 131070, toxicity.BUCKETS - 1])
-        cut = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-        once = np.concatenate(rows).astype(np.int64)
-        row, back = toxicity.unpack(*byte_views(pa.array(toxicity.pack(once, cut), pa.binary())))
-        assert (back == once).all() and (row == np.repeat(np.arange(len(rows)), [len(r) for r in rows])).all()
-
-
 def test_words_keep_their_own_scores_whatever_tasks_hold(spark, tmp_path):
     rng = random.Random(11)
     clean, bad = [f"{a}{b}o" for a in "bcdfg" for b in "aeiou"], [f"{a}{b}x" for a in "klmnp" for b in "aeiou"]
@@ -232,7 +221,8 @@ def test_words_keep_their_own_scores_whatever_tasks_hold(spark, tmp_path):
     for i in few:
         for other in (none[i], all_held[i]):
             assert few[i].score == pytest.approx(other.score, abs=1e-6) and few[i].n_words == other.n_words
-            assert few[i].segments == pytest.approx(other.segments, abs=1e-5)
+            assert [x[:2] for x in few[i].segments] == [x[:2] for x in other.segments]
+            assert [x.score for x in few[i].segments] == pytest.approx([x.score for x in other.segments], abs=1e-5)
     counts, n = toxicity.lexicon(docs, labels)
     trained = [(set(t.split()), toxic) for i, t, toxic in data if toxic is not None and zlib.crc32(str(i).encode()) % 3 != 1]
     seen = Counter((w, toxic) for ws, toxic in trained for w in ws)
@@ -240,6 +230,108 @@ def test_words_keep_their_own_scores_whatever_tasks_hold(spark, tmp_path):
     assert got == Counter((seen[w, 0], seen[w, 1]) for w in {w for w, _ in seen}) and n.sum() == len(trained)
 
 
+def test_scores_and_passages_against_plain_python(spark, tmp_path):
+    """Every document's score and significant passages, from the counts up, word by word."""
+    rng = random.Random(21)
+    clean = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("n", "r", "\u00e9")]
+    bad = [f"{a}{b}x" for a in "klmnp" for b in "aeiou"]
+    data = []
+    for i in range(500):
+        toxic = int(i % 4 == 0)
+        ws = rng.choices(clean, k=rng.randrange(8, 30)) + rng.choices(bad, k=rng.choice([0, 0, 0, 1, 1, 2]))
+        rng.shuffle(ws)
+        for _ in range(toxic * rng.randrange(1, 3)):
+            at = rng.randrange(len(ws))
+            ws[at:at] = rng.choices(bad, k=rng.randrange(3, 6))
+        data.append((i, rng.choice(["", "\u4e2d\U0001f600 ", "1. "]) + rng.choice([" ", ", ", "  "]).join(ws).title(), toxic))
+    data += [(600, "", None), (601, "K\u00c9x 12", None), (602, None, None)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(data, "doc_id long, text string, toxic int").repartition(3).write.parquet(path)
+    rows = spark.read.parquet(path)
+    got = {r.doc_id: r for r in toxicity.score(rows.drop("toxic"), rows.select("doc_id", "toxic"), held=20).collect()}
+
+    fold = {i: zlib.crc32(str(i).encode()) % 3 for i, _, _ in data}
+    found = {i: [(m.start(), m.end(), m.group().lower()) for m in re.finditer("[A-Za-z\u0080-\U0010ffff]+", t or "")] for i, t, _ in data}
+    train = [(i, toxic) for i, _, toxic in data if toxic is not None and fold[i] != 1]
+
+    def lexicon(folds):
+        mine = [(i, t) for i, t in train if fold[i] in folds]
+        seen, n = Counter((w, t) for i, t in mine for w in {x[2] for x in found[i]}), Counter(t for _, t in mine)
+        share = n[1] / (n[0] + n[1])
+
+        def odds(w):
+            prior = toxicity.PRIOR + toxicity.SHARE * (seen[w, 0] + seen[w, 1])
+            rate = [(seen[w, t] + prior * p) / (n[t] + prior * p) for t, p in ((0, 1 - share), (1, share))]
+            return math.log(rate[1]) - math.log(rate[0]) - toxicity.DRIFT
+        return odds
+
+    def segments(i, odds):
+        total = np.concatenate([[0], np.cumsum([odds(w) for _, _, w in found[i]])])
+        out = []
+
+        def split(lo, hi):
+            best = max(((total[b] - total[a], a - b, -a, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)), default=(0,))
+            if best[0] > 0:
+                split(lo, best[3])
+                out.append((found[i][best[3]][0], found[i][best[4] - 1][1], best[0]))
+                split(best[4], hi)
+        split(0, len(found[i]))
+        return out
+
+    whole = lexicon((0, 2))
+    full = {i: segments(i, whole) for i, _, _ in data}
+    other = {0: lexicon((2,)), 2: lexicon((0,))}
+    cross = {i: [s for _, _, s in segments(i, other[fold[i]])] for i, _ in train}
+    top = {i: max(s, default=0.0) for i, s in cross.items()}
+    plain = [i for i, t in train if not t]
+    ranked = sorted(top[i] for i in plain)
+    at = ranked[math.ceil(0.98 * len(ranked)) - 1]
+    cut = math.exp((math.floor(math.log(at) * toxicity.FINE) + 1) / toxicity.FINE)
+    size = {i: math.log(len(found[i]) + 1) for i, _, _ in data}
+    cells = defaultdict(list)
+    for i in plain:
+        cells[min(math.floor(top[i] / (cut / toxicity.CELLS)), toxicity.CELLS), math.floor(8 * size[i])].append(size[i])
+    keys = sorted(cells)
+    lam, ln_k = toxicity.gumbel(np.array([float(k[0]) for k in keys]), np.array([np.mean(cells[k]) for k in keys]),
+                                np.array([float(len(cells[k])) for k in keys]), cut / toxicity.CELLS)
+
+    def value(i, scores):
+        base = ln_k + size[i]
+        v = lam * max(scores, default=0.0) - base
+        if v > 0:
+            v = sum(max(lam * s - base, 0) for s in scores)
+        return min(max(v, toxicity.LOW), toxicity.HIGH)
+
+    bins = defaultdict(lambda: [0, 0])
+    for i, t in train:
+        b = bins[math.floor(value(i, cross[i]) / toxicity.STEP)]
+        b[0] += t
+        b[1] += 1
+    a, b = toxicity.logistic((np.array(list(bins), float) + 0.5) * toxicity.STEP, *np.array(list(bins.values()), float).T)
+    marked = 0
+    for i, _, _ in data:
+        assert got[i].n_words == len(found[i])
+        assert [(x.start, x.end) for x in got[i].segments] == [x[:2] for x in full[i]]
+        assert got[i].score == pytest.approx(1 / (1 + math.exp(-(a + b * value(i, [s for _, _, s in full[i]])))), abs=1e-3)
+        want = [(x, y, lam * s - ln_k - size[i]) for x, y, s in full[i] if abs(lam * s - ln_k - size[i]) > 1e-3]
+        spans = [x for x in got[i].spans if x.value > 1e-3]
+        assert [(x.start, x.end) for x in spans] == [x[:2] for x in want if x[2] > 0]
+        assert [x.value for x in spans] == pytest.approx([x[2] for x in want if x[2] > 0], abs=1e-2)
+        marked += len(spans)
+    assert marked > 50
+
+
+def test_cut_is_exact_whatever_the_partitions(spark):
+    rng = random.Random(4)
+    scores = [0.0] * 30 + [rng.expovariate(0.3) for _ in range(970)]
+    df = spark.createDataFrame([(s,) for s in scores], "s float")
+    cuts = {toxicity.upper_cut(df.repartition(n), "s") for n in (1, 5, 13)}
+    assert len(cuts) == 1
+    cut, at = cuts.pop(), sorted(scores)[979]
+    assert at < cut <= at * math.exp(1.01 / toxicity.FINE)
+    assert toxicity.upper_cut(df.limit(0), "s") == toxicity.upper_cut(df.where("s = 0"), "s") == 1.0
+
+
 def test_gumbel_fit_counts_the_best_documents():
     rng = np.random.default_rng(12)
     lam, ln_k = 2.5, -5.5
