@@ -22,7 +22,7 @@ from strata.plans.registry import query
 from strata.plans.views import view, with_views
 from strata.session import scratch_path, staged
 from strata.sources.readers import read_csv_strings, read_table
-from strata.sources.sinks import write_overwrite
+from strata.sources.sinks import create_table, write_overwrite
 
 # fixed values of the source models
 RESPONSE_QUALITY = [(95, "VERY GOOD"), (80, "GOOD"), (60, "FAIR")]
@@ -153,12 +153,15 @@ def _latest(cte: str, key: str) -> str:
             f"FROM {cte}) r WHERE rn = 1")
 
 
-@query("obt_metadata", with_views(f"""
+SQL_OBT = with_views(f"""
 SELECT b.*, {", ".join("l." + c for c in LISTING_COLS)}, {", ".join("h." + c for c in HOST_COLS)}
 FROM (SELECT * EXCLUDE (rn) FROM ({_ranked('DESC', 'LAST')}) r WHERE rn = 1) b
 LEFT JOIN ({_latest('sl', 'listing_id')}) l ON b.listing_id = l.listing_id
 LEFT JOIN ({_latest('sh', 'host_id')}) h ON l.host_id = h.host_id
-""", *_ALL, extra=_SILVER))
+""", *_ALL, extra=_SILVER)
+
+
+@query("obt_metadata", SQL_OBT)
 def q_obt_metadata(spark, sf):
     """Two runs (rows before 2000, then everything), bronze to silver to gold on the merged silver."""
     root = scratch_path(spark, "rentals")
@@ -169,6 +172,23 @@ def q_obt_metadata(spark, sf):
     return obt(silver["bookings"], silver["listings"], silver["hosts"])
 
 
+@query("gold_table", SQL_OBT)
+def q_gold_table(spark, sf):
+    """Gold as a table of the catalog, created from the early rows and replaced by the second run, then read by name."""
+    root = scratch_path(spark, "rentals_gold")
+    name = "rentals_obt_" + root.rsplit("-", 1)[-1]
+    whole = {n: view(spark, sf, v) for n, (v, _, _) in LAYERS.items()}
+    early = {n: df.where(F.col("created_at") < F.expr(f"TIMESTAMP_NTZ'{CUT}'")) for n, df in whole.items()}
+    try:
+        for run, sources in enumerate((early, whole), 1):
+            silver = run_layers(spark, sources, root, run)
+            create_table(obt(silver["bookings"], silver["listings"], silver["hosts"]), name, f"{root}/gold")
+        folder = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+        return spark.read.schema(spark.table(name).schema).parquet(folder)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the catalog entry is this run's; the files stay
+
+
 @query("upsert_latest", with_views(
     f"SELECT * EXCLUDE (rn) FROM ({_ranked('DESC', 'LAST')}) r WHERE rn = 1", *_ALL, extra=_SILVER))
 def q_upsert_latest(spark, sf):

@@ -8,6 +8,7 @@ so its part files follow the order.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,3 +82,22 @@ def publish_csv_dated(df: DataFrame, base: str, name: str, run_date: str, stem:
 def truncate(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
     """Empty the table at ``path`` but keep its schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").format(fmt).save(path)
+
+
+def create_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> None:
+    """Create the catalog table ``name`` with the rows of ``df``, or replace it.
+
+    Each run writes a new folder below ``path`` and then points the table at it, so a run that dies leaves
+    the table as it was, readers of the old rows keep their files, and ``df`` may read the table itself.
+    A table of other columns is dropped and created anew; its old files stay.
+    """
+    spark = df.sparkSession
+    folder = f"{path.rstrip('/')}/{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).save(folder)
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema == spark.read.format(fmt).load(folder).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    spark.catalog.createTable(name, path=folder, source=fmt)

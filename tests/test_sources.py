@@ -5,12 +5,13 @@ from __future__ import annotations
 import glob
 import os
 
+import pytest
 from pyspark.sql import types as T
 
 from strata.functions.rules import bucketize, cast_by_spec
 from strata.session import local_path, scratch_path
 from strata.sources.readers import bulk_load_csv, file_manifest, read_by_path_regex
-from strata.sources.sinks import publish_csv, write_overwrite
+from strata.sources.sinks import create_table, publish_csv, write_overwrite
 
 
 def test_strict_and_lenient_integer_casts(spark):
@@ -83,3 +84,20 @@ def test_overwrite_of_an_input_is_refused(spark):
     with pytest.raises(ValueError):
         write_overwrite(spark.read.parquet(path).where("id > 0"), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_created_table_is_replaced_whole(spark, tmp_path):
+    name, path = "created_" + tmp_path.name.replace("-", "_"), str(tmp_path / "t")
+    try:
+        create_table(spark.range(5), name, path)
+        old = spark.table(name)
+        create_table(spark.table(name).where("id > 2"), name, path)       # reads the table that it replaces
+        assert sorted(r.id for r in spark.table(name).collect()) == [3, 4]
+        assert old.count() == 5 or old.count() == 2                       # either state is whole, no file is missing
+        create_table(spark.range(2).selectExpr("id", "'x' AS v"), name, path)
+        assert spark.table(name).columns == ["id", "v"] and spark.table(name).count() == 2
+        with pytest.raises(Exception):
+            create_table(spark.range(3).selectExpr("id", "raise_error('dies') AS v"), name, path)
+        assert spark.table(name).count() == 2                             # a run that dies leaves the table as it was
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
