@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 import tiktoken
@@ -210,3 +211,28 @@ def test_chat_format(spark):
         3: (False, [("assistant", "no")], "no"),
     }
     assert chat_format.format_chats(rows.limit(0)).count() == 0
+
+
+def landed(docs, labels, path):
+    docs.write.parquet(f"{path}/documents.parquet")
+    labels.write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_pipeline(spark, docs, rows, tik, tmp_path):
+    """Null, empty, long, repeated texts, null and repeated ids, clashing columns: one row of each class of near copies
+    reaches the mix, and what the mix keeps is encoded whole."""
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(24)] + [(None, 0, 1), (5, 0, None)], "doc_id long, quality int, toxic int")
+    out = corpus_pipeline.run(spark, landed(docs, labels, tmp_path)).collect()
+    distinct = sorted({r["text"] or "" for r in rows})
+    classes = similar_components([shingles(t) for t in distinct])
+    class_of = {hashlib.sha256(t.encode()).hexdigest(): c for t, c in zip(distinct, classes)}
+    ids = {(r["doc_id"], hashlib.sha256((r["text"] or "").encode()).hexdigest()): r["text"] or "" for r in rows}
+    assert out and len({class_of[r.decoded_sha256] for r in out}) == len(out)
+    for r in out:
+        assert list(r.ids) == tik.encode_ordinary(ids[r.doc_id, r.decoded_sha256])
+
+
+def test_pipeline_of_nothing(spark, none, tmp_path):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert corpus_pipeline.run(spark, landed(none, labels, tmp_path)).count() == 0
