@@ -326,7 +326,7 @@ def q_incremental_text_source(spark, sf):
     export = scratch_path(spark, "source_db_csv")
     view(spark, sf, "v_source_text").write.option("header", True).csv(export)
     source = read_csv_strings(spark, export, ["id", "data", "updated_at"]).withColumn("id", F.col("id").cast("bigint"))
-    good, _ = typed_source(source, "updated_at", on_bad="reject")
+    good = staged(typed_source(source, "updated_at", on_bad="reject")[0], "text-bronze")  # the text is parsed once
     target = scratch_path(spark, "history_text")
     write_overwrite(good.where(F.col("updated_at") < F.expr("TIMESTAMP_NTZ'2000-01-01 00:00:00'")), target)
     return new_rows(good, spark.read.parquet(target), "updated_at")

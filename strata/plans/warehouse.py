@@ -206,15 +206,21 @@ def q_write_overwrite_schema(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("file_manifest", """
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, 1 AS files FROM events GROUP BY 1
+#: events in a file of a day's folder at most: a hot day is many files, written by many tasks
+FILE_EVENTS = 5000
+
+
+@query("file_manifest", f"""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(count(DISTINCT event_id // {FILE_EVENTS}) AS INTEGER) AS files
+FROM events GROUP BY 1
 """)
 def q_file_manifest(spark, sf):
-    """Events land as one file in each day's folder; the report counts files by folder, from a listing
+    """Events land in day folders, a file for each range of ids; the report counts a day's files, from a listing
     alone (contents never read)."""
     path = scratch_path(spark, "events_by_day")
-    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
-    events.repartition("day").write.partitionBy("day").parquet(path)
+    events = table(spark, sf, "events").withColumns({
+        "day": F.to_date("ts"), "slice": F.floor(F.col("event_id") / FILE_EVENTS).cast("int")})
+    events.repartition("day", "slice").write.partitionBy("day", "slice").parquet(path)
     folder = F.regexp_extract("path", "/day=([0-9-]+)/", 1)
     return file_manifest(spark, path).where(folder != "").groupBy(folder.alias("day")) \
         .agg(F.count(F.lit(1)).cast("int").alias("files"))
