@@ -55,12 +55,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
