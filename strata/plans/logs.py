@@ -10,6 +10,8 @@ from strata.plans.views import view, with_views
 from strata.session import scratch_path
 from strata.sources.readers import read_csv_typed, read_numbered_lines, read_text_lines
 from strata.sources.sinks import publish_sorted_csv
+from strata.streaming import hourly as H
+from strata.streaming.ingest import read_ingested
 
 _STRIP = "' ' || chr(9)"  # the white space in the stand-in lines
 
@@ -94,3 +96,39 @@ SELECT (SELECT count(*) FROM ok) AS total_errors,
 def q_log_summary(spark, sf):
     return L.summary(view(spark, sf, "v_logs")).select(
         "total_errors", "error_days", "rejected_lines", "peak_hour", F.col("peak_count"))
+
+
+#: error lines in three arrivals, by number; of every 23 lines one comes an arrival later
+_ARRIVAL = "least(2, CAST(floor(3 * line_no / ({n})) AS INT) + CASE WHEN line_no % 23 = 0 THEN 1 ELSE 0 END)"
+_ARRIVED = {**_EXTRA,
+            "arrived": f"SELECT value, ts, {_ARRIVAL.format(n='SELECT max(line_no) + 1 FROM v_logs')} AS arrival FROM ok",
+            "judged": """SELECT value, ts, coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark, false) AS late FROM arrived
+                         JOIN (SELECT b.arrival, max(a.ts) - INTERVAL 2 HOUR AS mark FROM (SELECT DISTINCT arrival FROM arrived) b
+                               LEFT JOIN arrived a ON a.arrival < b.arrival GROUP BY 1) m USING (arrival)"""}
+
+
+def _three_arrivals(spark, sf) -> tuple[str, str]:
+    """Runs the hourly count over the arrivals; returns its two tables."""
+    root = scratch_path(spark, "errors_hourly")
+    lines = view(spark, sf, "v_logs").where(F.col("value").contains(L.MARKER))
+    n = view(spark, sf, "v_logs").agg(F.max("line_no") + 1).first()[0]
+    arrival = F.expr(_ARRIVAL.format(n=n))
+    for k in range(3):
+        lines.where(arrival == k).select("value").write.mode("append").text(f"{root}/inbox")
+        H.count_windows(spark, f"{root}/inbox", f"{root}/taken", f"{root}/counts", f"{root}/_checkpoint", L.error_lines)
+    return f"{root}/taken", f"{root}/counts"
+
+
+@query("stream_errors_hourly", with_views("""
+SELECT date_trunc('hour', ts) AS window_start, count(*) AS errors FROM judged WHERE NOT late
+GROUP BY 1 HAVING date_trunc('hour', min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM arrived)
+""", "v_logs", extra=_ARRIVED))
+def q_stream_errors_hourly(spark, sf):
+    """Errors per hour in event time, each hour once, when the watermark has passed it."""
+    return read_ingested(spark, _three_arrivals(spark, sf)[1]).withColumnRenamed("n", "errors")
+
+
+@query("stream_errors_late", with_views("SELECT ts, value FROM judged WHERE late", "v_logs", extra=_ARRIVED))
+def q_stream_errors_late(spark, sf):
+    """Lines that came after their hour was closed."""
+    return H.late_rows(spark, _three_arrivals(spark, sf)[0]).select("ts", "value")
