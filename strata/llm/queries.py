@@ -225,14 +225,25 @@ def clean_up_edits():
         lambda e: e.isNotNull())
 
 
+def second_edits():
+    """A later edit of what the clean-up left: the first ``<num>`` becomes ``<n>``; other texts are not touched."""
+    at = F.instr("text", "<num>")
+    return F.when(at > 0, F.array(F.struct((at - 1).alias("start"), (at + 4).alias("end"), F.lit("<n>").alias("text"))))
+
+
 @_query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees are loaded and stored, edited and stored, and edited again."""
     import public_tokenizers
 
-    from strata.llm.token_counts import count_edited
+    from strata.llm.token_counts import edit_trees, load_trees, stored
 
-    docs = _table(spark, sf_dir, "documents").withColumn("edits", clean_up_edits())
-    return count_edited(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    trees = stored(load_trees(_table(spark, sf_dir, "documents"), *vocabulary, also=["lang"]), "op7-trees")
+    trees = trees.withColumns({"n_tokens_before": F.col("n_tokens"), "edits": clean_up_edits()})
+    trees = stored(edit_trees(trees, *vocabulary), "op7-edited")
+    return edit_trees(trees.withColumn("edits", second_edits()), *vocabulary).select(
+        "doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_reencoded", "n_chars")
 
 
 @_query("op11_alignment")

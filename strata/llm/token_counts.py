@@ -8,8 +8,14 @@ the first border that the old split also had.  From there on the old pre-tokens
 because the pattern reads forward only and looks at most ``AHEAD`` characters past a match.
 The changed leaves' sums are then carried up.  Nothing else of the document is read.
 
+Trees are kept as a table: ``load_trees`` makes one row per document with the text, the pre-tokens'
+lengths and the leaves' sums; ``edit_trees`` takes such a table and a list of edits for each row
+and returns the table as it is afterwards.  A stored tree is not split or encoded again: only leaves that an edit
+touches are read as pre-tokens, and rows without edits pass as they are.  ``stored`` writes the table below
+``spark.checkpoint.dir``; ``count_edited`` does load and edits in one pass when no state is wanted.
+
 Defined cases: null texts and null or empty edit lists count as empty; an edit's ends are
-moved into the text and its start before its end; a null replacement is empty;
+moved into the text and its start before its end; a null replacement is empty, a null edit none;
 edits of a document apply in the order of the list; rows are independent, so
 null ids, repeated rows and ties need no rule; an empty table gives an empty result; other
 columns are ignored.
@@ -17,16 +23,22 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.byte_bpe import KEEP_BYTES, Codec, codec, read_file
-from strata.llm.common import few_rows, tidied
+from strata.llm.common import few_rows, staged, tidied
 
 LEAF = 32
 AHEAD = 2
 MAX_COUNTS = 200_000
+#: trees in memory at a time
+ROWS = 256
 EDITS = "array<struct<start:int,end:int,text:string>>"
 
 
@@ -60,22 +72,63 @@ class PretokenTree:
         self.encoded = 0
         self._build(counter.split(text))
 
+    @classmethod
+    def restored(cls, counter: Counter, text: str, pieces: np.ndarray, leaf_pieces: np.ndarray,
+                 leaf_tokens: np.ndarray) -> PretokenTree:
+        """The tree that ``state`` gave; a leaf's pre-tokens are cut from the text when an edit comes to it."""
+        tree = cls.__new__(cls)
+        tree.counter, tree.encoded = counter, 0
+        tree._text, tree._pieces = text, pieces
+        tree._first = np.concatenate([[0], np.cumsum(leaf_pieces)]).tolist()
+        ends = np.concatenate([[0], np.cumsum(pieces)])[tree._first].tolist()
+        tree._at = ends
+        tree.leaves = [None] * len(leaf_pieces) or [[]]
+        tree._sum_up([b - a for a, b in zip(ends, ends[1:])], leaf_tokens.tolist())
+        return tree
+
     def _build(self, pieces: list[str]) -> None:
         self.leaves = [pieces[i:i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
+        known, count = self.counter.known, self.counter.tokens
+        self._sum_up([sum(map(len, leaf)) for leaf in self.leaves],
+                     [sum([known.get(p) or count(p) for p in leaf]) for leaf in self.leaves])
+
+    def _sum_up(self, chars: list[int], tokens: list[int]) -> None:
         size = 1
         while size < len(self.leaves):
             size *= 2
         self.size = size
-        self.chars = [0] * (2 * size)
-        self.tokens = [0] * (2 * size)
-        known, count = self.counter.known, self.counter.tokens
-        for i, leaf in enumerate(self.leaves):
-            self.chars[size + i] = sum(map(len, leaf))
-            self.tokens[size + i] = sum([known.get(p) or count(p) for p in leaf])
+        self.chars = [0] * size + chars + [0] * (size - len(chars))
+        self.tokens = [0] * size + tokens + [0] * (size - len(tokens))
         for i in range(size - 1, 0, -1):
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    def _leaf(self, i: int) -> list[str]:
+        leaf = self.leaves[i]
+        if leaf is None:
+            at, leaf = self._at[i], []
+            for n in self._pieces[self._first[i]:self._first[i + 1]].tolist():
+                leaf.append(self._text[at:at + n])
+                at += n
+            self.leaves[i] = leaf
+        return leaf
+
+    def state(self) -> tuple[str, np.ndarray, list[int], list[int]]:
+        """The text, the lengths of its pre-tokens, and for each leaf its pre-tokens and tokens."""
+        text, pieces, counts, tokens = [], [], [], []
+        for i, leaf in enumerate(self.leaves):
+            if leaf is None:
+                text.append(self._text[self._at[i]:self._at[i + 1]])
+                pieces.append(self._pieces[self._first[i]:self._first[i + 1]])
+            elif leaf:
+                text += leaf
+                pieces.append(np.fromiter(map(len, leaf), np.int32, len(leaf)))
+            else:
+                continue
+            counts.append(len(pieces[-1]))
+            tokens.append(self.tokens[self.size + i])
+        return "".join(text), np.concatenate(pieces) if pieces else np.zeros(0, np.int32), counts, tokens
+
     @property
     def total(self) -> int:
         return self.tokens[1]
@@ -85,7 +138,7 @@ class PretokenTree:
         return self.chars[1]
 
     def text(self) -> str:
-        return "".join(p for leaf in self.leaves for p in leaf)
+        return self.state()[0]
 
     def _leaf_at(self, place: int) -> tuple[int, int]:
         """The leaf that holds a character place (the last one for the end), and where the leaf starts."""
@@ -115,10 +168,11 @@ class PretokenTree:
         # back to the first pre-token that ends within AHEAD characters of the edit, or after it
         i, base = self._leaf_at(max(0, start - AHEAD))
         first, k, at = i, 0, base
-        while k < len(self.leaves[i]) and at + len(self.leaves[i][k]) <= start - AHEAD:
-            at += len(self.leaves[i][k])
+        leaf = self._leaf(i)
+        while k < len(leaf) and at + len(leaf[k]) <= start - AHEAD:
+            at += len(leaf[k])
             k += 1
-        head = self.leaves[i][:k]
+        head = leaf[:k]
         # old text from there on, leaf by leaf, and its borders after the edit
         old, borders, last, pos = [], set(), i, at
         fresh: list[str] = []
@@ -131,11 +185,11 @@ class PretokenTree:
                     borders.add(pos)
                 pos += len(p)
 
-        take(self.leaves[i], k)
+        take(leaf, k)
         while True:
             while pos < end and last + 1 < len(self.leaves):
                 last += 1
-                take(self.leaves[last], 0)
+                take(self._leaf(last), 0)
             whole = last + 1 >= len(self.leaves)
             buffer = "".join(old)
             new = buffer[:start - at] + text + buffer[end - at:]
@@ -152,7 +206,7 @@ class PretokenTree:
             if met is not None or whole:
                 break
             last += 1
-            take(self.leaves[last], 0)
+            take(self._leaf(last), 0)
         tail: list[str] = []
         if met is not None:
             p0 = at
@@ -165,25 +219,34 @@ class PretokenTree:
         for j in range(first + 1, last + 1):
             self._set(j, [])
         if len(self.leaves[first]) > 16 * LEAF:
-            self._build([p for leaf in self.leaves for p in leaf])
+            self._build([p for j in range(len(self.leaves)) for p in self._leaf(j)])
+
+
+def _counter(raw: bytes, pattern: str) -> Counter:
+    c = codec(raw, pattern)
+    if not hasattr(c, "counter"):
+        c.counter = Counter(c)
+    return c.counter
+
+
+def _edited(tree: PretokenTree, edits) -> int:
+    """Apply a document's edits; their number."""
+    edits = [e for e in edits or () if e is not None]
+    for e in edits:
+        tree.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
+    return len(edits)
 
 
 def _apply(raw, pattern: str):
     def run(batches):
-        c = codec(raw.value, pattern)
-        if not hasattr(c, "counter"):
-            c.counter = Counter(c)
-        counter = c.counter
+        counter = _counter(raw.value, pattern)
         for b in few_rows(batches):
             out = [[], [], [], [], []]
             for text, edits in zip(b.column("_text").to_pylist(), b.column("edits").to_pylist()):
                 tree = PretokenTree(counter, text)
                 out[0].append(tree.total)
-                for e in edits or ():
-                    if e is not None:
-                        tree.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
+                out[2].append(_edited(tree, edits))
                 out[1].append(tree.total)
-                out[2].append(len([e for e in edits or () if e is not None]))
                 out[3].append(tree.encoded)
                 out[4].append(tree.length)
             yield pa.record_batch([b.column("doc_id")] + [pa.array(x, pa.int64()) for x in out],
@@ -191,6 +254,82 @@ def _apply(raw, pattern: str):
     return run
 
 
+#: a stored tree's columns
+STATE = {"text": "string", "pieces": "array<int>", "leaf_pieces": "array<int>", "leaf_tokens": "array<int>",
+         "n_tokens": "long", "n_chars": "long", "n_edits": "long", "n_reencoded": "long"}
+
+
+def _lists(parts: list) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    flat = np.concatenate([np.asarray(x, dtype=np.int32) for x in parts]) if parts else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+
+
+def _columns(trees: list[PretokenTree], n_edits: list[int], n_reencoded: list[int]) -> dict[str, pa.Array]:
+    states = [t.state() for t in trees]
+    counts = ([t.total for t in trees], [t.length for t in trees], n_edits, n_reencoded)
+    return {"text": pa.array([x[0] for x in states], pa.string()), **{n: _lists([x[k] for x in states]) for k, n in
+            enumerate(("pieces", "leaf_pieces", "leaf_tokens"), 1)},
+            **{n: pa.array(c, pa.int64()) for n, c in zip(("n_tokens", "n_chars", "n_edits", "n_reencoded"), counts)}}
+
+
+def _load(raw, pattern: str):
+    def run(batches):
+        counter = _counter(raw.value, pattern)
+        for b in few_rows(batches, ROWS):
+            trees = [PretokenTree(counter, x) for x in b.column("text").to_pylist()]
+            made = _columns(trees, [0] * len(trees), [0] * len(trees))
+            yield pa.record_batch([made[n] if n in made else b.column(n) for n in (*b.schema.names, *list(STATE)[1:])],
+                                  names=[*b.schema.names, *list(STATE)[1:]])
+    return run
+
+
+def _edit(raw, pattern: str, edits_col: str):
+    def run(batches):
+        counter = _counter(raw.value, pattern)
+        for b in few_rows(batches, ROWS):
+            col = {n: b.column(n) for n in b.schema.names}
+            todo = [(i, e) for i, e in enumerate(col.pop(edits_col).to_pylist()) if e and any(x is not None for x in e)]
+            if todo:
+                trees, edits, redone = [], [], []
+                for i, e in todo:
+                    tree = PretokenTree.restored(counter, col["text"][i].as_py(), *(
+                        col[n][i].values.to_numpy(zero_copy_only=False) for n in ("pieces", "leaf_pieces", "leaf_tokens")))
+                    edits.append(col["n_edits"][i].as_py() + _edited(tree, e))
+                    redone.append(col["n_reencoded"][i].as_py() + tree.encoded)
+                    trees.append(tree)
+                place = np.arange(b.num_rows)
+                place[[i for i, _ in todo]] = b.num_rows + np.arange(len(todo))
+                for n, new in _columns(trees, edits, redone).items():
+                    col[n] = pa.concat_arrays([col[n], new.cast(col[n].type)]).take(pa.array(place))
+            yield pa.record_batch(list(col.values()), names=list(col))
+    return run
+
+
+def load_trees(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+               also: Sequence[str] = ()) -> DataFrame:
+    """One row per document: ``doc_id``, the columns named in ``also`` (none named as those that follow), and ``STATE``."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), *also, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    raw = docs.sparkSession.sparkContext.broadcast(read_file(vocab))
+    rest = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in list(STATE.items())[1:]))
+    return rows.mapInArrow(tidied(_load(raw, pattern)), T.StructType(rows.schema.fields + rest.fields))
+
+
+def edit_trees(trees: DataFrame, vocab: str, pattern: str, edits_col: str = "edits") -> DataFrame:
+    """The table of trees after each row's edits, a list of (start, end, text) that is dropped; other columns stay.
+
+    ``n_edits`` and ``n_reencoded`` (pre-tokens) count on from what the table held.
+    """
+    rows = trees.withColumn(edits_col, F.col(edits_col).cast(EDITS))
+    raw = trees.sparkSession.sparkContext.broadcast(read_file(vocab))
+    return rows.mapInArrow(tidied(_edit(raw, pattern, edits_col)), trees.drop(edits_col).schema)
+
+
+def stored(trees: DataFrame, name: str) -> DataFrame:
+    """The table written below ``spark.checkpoint.dir`` and read again."""
+    return staged(trees, name, "zstd")
+
+
 def count_edited(docs: DataFrame, vocab: str, pattern: str, edits_col: str = "edits", id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_tokens_before, n_tokens, n_edits, n_reencoded`` (pre-tokens), ``n_chars``.

@@ -7,6 +7,7 @@ import hashlib
 import corpus_pipeline
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -145,6 +146,23 @@ def test_token_counts(docs, rows, none, tik):
     assert token_counts.count_edited(none.withColumn("edits", clean_up_edits()), VOCAB, PATTERN).count() == 0
 
 
+def test_stored_trees(docs, rows, none, tik):
+    """Rows without edits stay as they were; edits of nothing, null edits and wild ranges are as for texts."""
+    trees = token_counts.stored(token_counts.load_trees(docs, VOCAB, PATTERN), "test-trees")
+    assert token_counts.load_trees(none, VOCAB, PATTERN).count() == 0
+    assert {(r.doc_id, r.text, r.n_tokens, sum(r.pieces), sum(r.leaf_pieces), sum(r.leaf_tokens)) for r in trees.collect()} == {
+        (r["doc_id"], t, n, len(t), len(regex.findall(PATTERN, t)), n)
+        for r in rows for t in [r["text"] or ""] for n in [len(tik.encode_ordinary(t))]}
+    odd = F.when(F.length("text") % 2 == 1, F.expr("array(struct(-5, 3, 'x '), null, struct(10, 1000000000, cast(null as string)))"))
+    once = token_counts.stored(token_counts.edit_trees(trees.withColumn("edits", odd), VOCAB, PATTERN), "test-trees-once")
+    twice = token_counts.edit_trees(once.withColumn("edits", F.expr("array(struct(0, 0, text))")), VOCAB, PATTERN)
+    want = sorted((("x " + t[3:])[:10] if len(t) % 2 else t) for t in ((r["text"] or "") for r in rows))
+    assert sorted(r.text for r in once.collect()) == want and once.columns == trees.columns
+    assert sorted((r.text, r.n_tokens) for r in twice.collect()) == sorted((t + t, len(tik.encode_ordinary(t + t))) for t in want)
+    empty = token_counts.load_trees(none, VOCAB, PATTERN).withColumn("edits", F.lit(None).cast(token_counts.EDITS))
+    assert token_counts.edit_trees(empty, VOCAB, PATTERN).count() == 0
+
+
 def test_edit_table_with_nulls_and_wild_ranges(spark, docs, rows, tik):
     edits = spark.createDataFrame([(6, 2, -5, 3, "x "), (6, 1, 10, 10 ** 6, None), (7, 1, 5, 2, " new"), (999, 1, 0, 0, "gone")],
                                   "doc_id long, seq int, start int, end int, text string")

@@ -13,7 +13,7 @@ import tiktoken
 
 import corpus_pipeline
 from strata.llm import byte_bpe, pii, toxicity
-from strata.llm.queries import ORACLES, QUERIES, mix_oracle
+from strata.llm.queries import ORACLES, QUERIES, clean_up_edits, mix_oracle
 from tests.conftest import SF_SMALL
 from tests.llm.data import base_pii, covered, shingles, similar_components
 from tests.oracle_check import compare, duck
@@ -115,6 +115,16 @@ def test_jaccard_join(spark, texts):
 def test_token_counts(spark, texts, tik):
     rows = QUERIES["op7_token_counts"](spark, SF_SMALL).collect()
     assert {r.doc_id: r.n_tokens_before for r in rows} == {i: len(tik.encode_ordinary(t)) for i, t in texts.items()}
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn("edits", clean_up_edits())
+    after, n_edits = dict(texts), {}
+    for r in docs.collect():
+        for e in r.edits:
+            after[r.doc_id] = after[r.doc_id][:e.start] + e.text + after[r.doc_id][e.end:]
+        n_edits[r.doc_id] = len(r.edits) + ("<num>" in after[r.doc_id])
+    after = {i: t.replace("<num>", "<n>", 1) for i, t in after.items()}
+    assert {r.doc_id: (r.n_tokens, r.n_chars, r.n_edits) for r in rows} == {
+        i: (len(tik.encode_ordinary(t)), len(t), n_edits[i]) for i, t in after.items()}
+    assert len(rows) == len(texts)
 
 
 def test_suffix_dedup(spark, texts):

@@ -116,7 +116,15 @@ def test_edits_keep_the_tree_equal_to_a_new_split(codec):
             new = "".join(rng.choice(bits) for _ in range(rng.choice([0, 0, 1, 3, 30])))
             tree.edit(a, b, new)
             text = text[:a] + new + text[b:]
-            assert [p for leaf in tree.leaves for p in leaf] == codec.split(text)
+            if rng.random() < 0.3:  # stored and read again: not split, not encoded
+                before = dict(counter.known)
+                body, pieces, counts, tokens = tree.state()
+                assert max(counts, default=1) > 0 and body == text
+                tree = token_counts.PretokenTree.restored(counter, body, pieces, np.array(counts, int), np.array(tokens, int))
+                assert counter.known == before and tree.state()[0] == text
+                assert (tree.total, tree.length) == (len(codec.encode(text)), len(text))
+                continue
+            assert [p for j in range(len(tree.leaves)) for p in tree._leaf(j)] == codec.split(text)
             assert (tree.total, tree.length) == (len(codec.encode(text)), len(text))
 
 
