@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.byte_bpe import KEEP_BYTES, Codec, codec, read_file
+from strata.llm.byte_bpe import KEEP_BYTES, MAX_STEPS, Codec, codec, read_file
 from strata.llm.common import few_rows, staged, tidied
 
 LEAF = 32
 AHEAD = 2
 MAX_COUNTS = 200_000
+#: the encoder's table while stored trees are edited: little is encoded, and two calls in one plan run side by side
+EDIT_STEPS = 50_000
 #: trees in memory at a time
 ROWS = 256
 EDITS = "array<struct<start:int,end:int,text:string>>"
@@ -70,7 +72,7 @@ class PretokenTree:
     def __init__(self, counter: Counter, text: str):
         self.counter = counter
         self.encoded = 0
-        self._build(counter.split(text))
+        self._build(text, counter.split(text))
 
     @classmethod
     def restored(cls, counter: Counter, text: str, pieces: np.ndarray, leaf_pieces: np.ndarray,
@@ -78,26 +80,30 @@ class PretokenTree:
         """The tree that ``state`` gave; a leaf's pre-tokens are cut from the text when an edit comes to it."""
         tree = cls.__new__(cls)
         tree.counter, tree.encoded = counter, 0
-        tree._text, tree._pieces = text, pieces
-        tree._first = np.concatenate([[0], np.cumsum(leaf_pieces)]).tolist()
-        ends = np.concatenate([[0], np.cumsum(pieces)])[tree._first].tolist()
-        tree._at = ends
         tree.leaves = [None] * len(leaf_pieces) or [[]]
-        tree._sum_up([b - a for a, b in zip(ends, ends[1:])], leaf_tokens.tolist())
+        tree._place(text, pieces, np.concatenate([[0], np.cumsum(leaf_pieces)]), leaf_tokens.tolist())
         return tree
 
-    def _build(self, pieces: list[str]) -> None:
+    def _build(self, text: str, pieces: list[str]) -> None:
         self.leaves = [pieces[i:i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
         known, count = self.counter.known, self.counter.tokens
-        self._sum_up([sum(map(len, leaf)) for leaf in self.leaves],
-                     [sum([known.get(p) or count(p) for p in leaf]) for leaf in self.leaves])
-
-    def _sum_up(self, chars: list[int], tokens: list[int]) -> None:
+        first = np.minimum(np.arange(0, len(pieces) + LEAF, LEAF), len(pieces))
+        self._place(text, np.fromiter(map(len, pieces), np.int32, len(pieces)), first,
+                    [sum([known.get(p) or count(p) for p in leaf]) for leaf in self.leaves])
+
+    def _place(self, text: str, pieces: np.ndarray, first: np.ndarray, tokens: list[int]) -> None:
+        """Where each leaf's pre-tokens lie, and the sums over the leaves; no leaf has changed yet."""
+        if len(first) == 1:  # no pre-token: one leaf without any
+            first, tokens = np.zeros(2, int), [0]
+        self._text, self._pieces, self._first = text, pieces, first.tolist()
+        ends = np.concatenate([[0], np.cumsum(pieces)])[first]
+        self._at, self.changed = ends.tolist(), set()
         size = 1
         while size < len(self.leaves):
             size *= 2
         self.size = size
-        self.chars = [0] * size + chars + [0] * (size - len(chars))
+        self.chars = [0] * size + np.diff(ends).tolist()
+        self.chars += [0] * (2 * size - len(self.chars))
         self.tokens = [0] * size + tokens + [0] * (size - len(tokens))
         for i in range(size - 1, 0, -1):
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
@@ -115,18 +121,20 @@ class PretokenTree:
 
     def state(self) -> tuple[str, np.ndarray, list[int], list[int]]:
         """The text, the lengths of its pre-tokens, and for each leaf its pre-tokens and tokens."""
-        text, pieces, counts, tokens = [], [], [], []
-        for i, leaf in enumerate(self.leaves):
-            if leaf is None:
-                text.append(self._text[self._at[i]:self._at[i + 1]])
-                pieces.append(self._pieces[self._first[i]:self._first[i + 1]])
-            elif leaf:
-                text += leaf
-                pieces.append(np.fromiter(map(len, leaf), np.int32, len(leaf)))
-            else:
-                continue
-            counts.append(len(pieces[-1]))
-            tokens.append(self.tokens[self.size + i])
+        text, pieces, counts, tokens, done = [], [], [], [], 0
+        first, at = self._first, self._at
+        for i in (*sorted(self.changed), len(self.leaves)):
+            if first[i] > first[done]:  # leaves as they were
+                text.append(self._text[at[done]:at[i]])
+                pieces.append(self._pieces[first[done]:first[i]])
+                counts += map(int.__sub__, first[done + 1:i + 1], first[done:i])
+                tokens += self.tokens[self.size + done:self.size + i]
+            done = i + 1
+            if i in self.changed and self.leaves[i]:
+                text += self.leaves[i]
+                pieces.append(np.fromiter(map(len, self.leaves[i]), np.int32, len(self.leaves[i])))
+                counts.append(len(self.leaves[i]))
+                tokens.append(self.tokens[self.size + i])
         return "".join(text), np.concatenate(pieces) if pieces else np.zeros(0, np.int32), counts, tokens
 
     @property
@@ -153,6 +161,7 @@ class PretokenTree:
 
     def _set(self, i: int, leaf: list[str]) -> None:
         self.leaves[i] = leaf
+        self.changed.add(i)
         node = self.size + i
         self.chars[node] = sum(map(len, leaf))
         self.tokens[node] = sum(map(self.counter.tokens, leaf))
@@ -219,11 +228,12 @@ class PretokenTree:
         for j in range(first + 1, last + 1):
             self._set(j, [])
         if len(self.leaves[first]) > 16 * LEAF:
-            self._build([p for j in range(len(self.leaves)) for p in self._leaf(j)])
+            pieces = [p for j in range(len(self.leaves)) for p in self._leaf(j)]
+            self._build("".join(pieces), pieces)
 
 
-def _counter(raw: bytes, pattern: str) -> Counter:
-    c = codec(raw, pattern)
+def _counter(raw: bytes, pattern: str, max_steps: int = MAX_STEPS) -> Counter:
+    c = codec(raw, pattern, max_steps)
     if not hasattr(c, "counter"):
         c.counter = Counter(c)
     return c.counter
@@ -286,7 +296,7 @@ def _load(raw, pattern: str):
 
 def _edit(raw, pattern: str, edits_col: str):
     def run(batches):
-        counter = _counter(raw.value, pattern)
+        counter = _counter(raw.value, pattern, EDIT_STEPS)
         for b in few_rows(batches, ROWS):
             col = {n: b.column(n) for n in b.schema.names}
             todo = [(i, e) for i, e in enumerate(col.pop(edits_col).to_pylist()) if e and any(x is not None for x in e)]
