@@ -159,12 +159,12 @@ class PretokenTree:
         i = min(node - self.size, len(self.leaves) - 1)
         return i, start
 
-    def _set(self, i: int, leaf: list[str]) -> None:
+    def _set(self, i: int, leaf: list[str], tokens: int) -> None:
         self.leaves[i] = leaf
         self.changed.add(i)
         node = self.size + i
         self.chars[node] = sum(map(len, leaf))
-        self.tokens[node] = sum(map(self.counter.tokens, leaf))
+        self.tokens[node] = tokens
         node //= 2
         while node:
             self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
@@ -216,17 +216,19 @@ class PretokenTree:
                 break
             last += 1
             take(self._leaf(last), 0)
-        tail: list[str] = []
+        gone = len(old)
         if met is not None:
-            p0 = at
-            for p in old:
-                if p0 >= met:
-                    tail.append(p)
-                p0 += len(p)
+            gone, p0 = 0, at
+            while p0 < met:
+                p0 += len(old[gone])
+                gone += 1
+        # what stays in these leaves keeps its count: only the pre-tokens that go and come are counted
+        count = self.counter.tokens
+        tokens = sum(self.tokens[self.size + first:self.size + last + 1]) - sum(map(count, old[:gone])) + sum(map(count, fresh))
         self.encoded += len(fresh)
-        self._set(first, head + fresh + tail)
+        self._set(first, head + fresh + old[gone:], tokens)
         for j in range(first + 1, last + 1):
-            self._set(j, [])
+            self._set(j, [], 0)
         if len(self.leaves[first]) > 16 * LEAF:
             pieces = [p for j in range(len(self.leaves)) for p in self._leaf(j)]
             self._build("".join(pieces), pieces)
