@@ -37,11 +37,12 @@ PATTERNS = {"album": ".*album_transformed.*.csv", "artist": ".*artist_transforme
 def publish_playlist(spark: SparkSession, sf: str, tables=("album", "artist", "songs")) -> str:
     """albums / artists / songs as CSV under ``<root>/<table>/<name>_transformed_<date>/``."""
     root = scratch_path(spark, "transformed_data")
-    docs = P.load_docs(spark, sf, bronze=len(tables) > 2)
-    builders = {"album": (P.albums, "album_transformed"), "artist": (P.artists, "artist_transformed"),
-                "songs": (P.songs, "song_transformed")}
+    builders = {"album": (P.albums, "album_transformed", P.ALBUM_SCHEMA), "artist": (P.artists, "artist_transformed", P.ARTIST_SCHEMA),
+                "songs": (P.songs, "song_transformed", P.PLAYLIST_SCHEMA)}
+    # one table takes its part of the documents alone; several share what is parsed once
+    docs = P.load_docs(spark, sf, bronze=len(tables) > 1, schema=P.PLAYLIST_SCHEMA if len(tables) > 1 else builders[tables[0]][2])
     for name in tables:
-        build, stem = builders[name]
+        build, stem, _ = builders[name]
         publish_csv_dated(build(docs), root, name, RUN_DATE, stem=stem)
     return root
 
@@ -232,7 +233,7 @@ SELECT *, 'album_transformed_{RUN_DATE}' AS source_file FROM ({P.SQL_ALBUMS[P.SQ
 def q_publish_provenance(spark, sf):
     """Published rows carry the dated file they belong to, so a load can be traced to its publication."""
     root = scratch_path(spark, "provenance")
-    albums = P.albums(P.load_docs(spark, sf))
+    albums = P.albums(P.load_docs(spark, sf, schema=P.ALBUM_SCHEMA))
     stamped = albums.withColumn("source_file", F.lit(f"album_transformed_{RUN_DATE}"))
     publish_csv_dated(stamped, root, "album", RUN_DATE, stem="album_transformed")
     return bulk_load_csv(spark, root, "album_id STRING, name STRING, release_date DATE, total_tracks BIGINT, url STRING, "
