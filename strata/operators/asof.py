@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 _B = "_bucket"
 
 
-def both_times(left: DataFrame, right: DataFrame, left_at: str, right_at: str) -> DataFrame:
-    """The times of both sides as one column ``at``, for ``ranges``."""
-    return left.select(F.col(left_at).alias("at")).unionAll(right.select(F.col(right_at).alias("at")))
+def both_times(left: DataFrame, right: DataFrame, left_at: str, right_at: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The times of both sides as one column ``at``, for ``ranges``; with ``keys`` also these, as ``_k0``, ... for ``hot_ranges``."""
+    key = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    return left.select(*key, F.col(left_at).alias("at")).unionAll(right.select(*key, F.col(right_at).alias("at")))
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str,
@@ -27,7 +28,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: s
 
     Every left row comes back once.  Of right rows with one key and time the greatest by the values, in
     their order, counts (NULL least).  A row with a NULL key or time matches nothing; an unmatched left row has NULLs.
-    ``bucket`` is an expression over a column ``at``, monotone in it, the same for both sides.
+    ``bucket`` is an expression over a column ``at`` (and the keys as ``_k0``, ...), for each key monotone in
+    ``at``, the same for both sides.
     """
     key = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]

@@ -3,8 +3,8 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a key
 holding a third of the table makes that task a third of the job.  The
 operators here take an optional ``bucket`` column, a monotone function of the
-leading order column (``ranges`` makes one from its quantiles), and work in two
-levels:
+leading order column (``ranges`` makes one from its quantiles, ``hot_ranges`` one
+that leaves small keys whole), and work in two levels:
 
 1. the window runs per ``(key, bucket)``, spreading a hot key over many tasks;
 2. a per-key window over *bucket summaries* (one row per bucket, taken from the
@@ -57,6 +57,21 @@ def ranges(df: DataFrame, column: str, rows: int = 1_000_000) -> Column:
     return F.when(F.col(column).isNull(), -1).otherwise(at)
 
 
+def hot_ranges(df: DataFrame, keys: Sequence[str], column: str, rows: int = 1_000_000) -> Column | None:
+    """``ranges`` of ``column`` for the keys with more than ``rows`` rows of ``df``; one bucket for a key with fewer.
+
+    None if no key has as many: the plain windows serve.  Cut into ranges, small keys would become about as many
+    buckets as rows, and the more so the larger the table is.  ``MAX_RANGES`` keys at most are
+    spread, the largest; they are known by a hash, and a small key that shares it is spread as well.
+    """
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+    found = large.orderBy(F.desc("_n")).limit(MAX_RANGES).select(F.xxhash64(*keys).alias("_hash")).collect()
+    if not found:
+        return None
+    hot = F.xxhash64(*keys).isin([r["_hash"] for r in found])
+    return F.when(hot, ranges(df.where(hot), column, rows)).otherwise(F.lit(0))
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, out: str,
                 bucket: Column | None = None) -> DataFrame:
     """``sum(value) over (partition by keys order by order rows unbounded preceding)``."""

@@ -9,7 +9,7 @@ from strata.functions.parse import iso_date
 from strata.functions.rules import round_half_up
 from strata.operators.sketches import merged_count, sketches_by
 from strata.operators.validate import audit
-from strata.operators.windows import moving_avg, neighbours, ranges, row_number, running_sum, top_k_per_group
+from strata.operators.windows import hot_ranges, moving_avg, neighbours, ranges, row_number, running_sum, top_k_per_group
 from strata.plans.registry import query
 from strata.plans.views import DUCK, VIEWS, register_tables, table, view, with_views
 from strata.session import staged
@@ -90,7 +90,8 @@ FROM orders
 def q_curr_running_total(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate",
                                           F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
-    out = running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "amount", "running_total", bucket=ranges(o, "o_orderdate"))
+    out = running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "amount", "running_total",
+                      bucket=hot_ranges(o, ["o_custkey"], "o_orderdate"))
     return out.select("o_custkey", "o_orderkey", "o_orderdate", F.col("running_total").cast("double"))
 
 
@@ -102,7 +103,7 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 def q_curr_lag_lead(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     return neighbours(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate",
-                      "prev_order_date", "next_order_date", bucket=ranges(o, "o_orderdate"))
+                      "prev_order_date", "next_order_date", bucket=hot_ranges(o, ["o_custkey"], "o_orderdate"))
 
 
 @query("curr_moving_avg", """
@@ -115,7 +116,7 @@ def q_curr_moving_avg(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate",
                                           F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
     return moving_avg(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "amount", 7, "moving_avg",
-                      bucket=ranges(o, "o_orderdate")).drop("amount")
+                      bucket=hot_ranges(o, ["o_custkey"], "o_orderdate")).drop("amount")
 
 
 @query("curr_row_number", """

@@ -17,7 +17,7 @@ from strata.operators.dedup import keep_one
 from strata.operators.incremental import (append_new, new_rows, read_if_exists, scd2, scd2_merge, typed_source, upsert_in_place,
                                           upsert_latest)
 from strata.operators.obt import JoinSpec, metadata_chain
-from strata.operators.windows import ranges
+from strata.operators.windows import hot_ranges
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
 from strata.session import scratch_path, staged
@@ -234,8 +234,8 @@ SELECT *, n = versions AS is_current FROM (
     {", ".join(f"{c} ASC NULLS FIRST" for c in ["created_at"] + _BOOKING_REST.split(", "))})) t
 """, *_ALL, extra=_SILVER).replace("SELECT *, n = versions AS is_current FROM", "SELECT * EXCLUDE (n, versions), n = versions AS is_current FROM"))
 def q_scd2_history(spark, sf):
-    return scd2(undated(bookings_silver(view(spark, sf, "v_bookings"))), ["booking_id"], "created_at", bucket=ranges(
-        view(spark, sf, "v_bookings"), "created_at"))
+    return scd2(undated(bookings_silver(view(spark, sf, "v_bookings"))), ["booking_id"], "created_at", bucket=hot_ranges(
+        undated(view(spark, sf, "v_bookings")), ["booking_id"], "created_at"))
 
 
 _VERSIONS = "listing_id, created_at, booking_status, total_amount"
@@ -254,7 +254,8 @@ def q_scd2_merge(spark, sf):
     states = bookings_silver(view(spark, sf, "v_bookings")).select(*_VERSIONS.split(", "))
     pending, cancelled = F.col("booking_status") == "pending", F.col("booking_status") == "cancelled"
     early = (F.col("created_at") < F.expr(f"TIMESTAMP_NTZ'{CUT}'")) & ~pending
-    keys, spread = ["listing_id"], ranges(states, "created_at")
+    keys = ["listing_id"]
+    spread = hot_ranges(states, keys, "created_at")
     history = staged(scd2(states.where(early).distinct(), keys, "created_at", bucket=spread), "history")
     return scd2_merge(history, states.where(~early | cancelled), keys, "created_at", bucket=spread)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.asof import asof_join, both_times
 from strata.operators.dimensions import at_version, load_dimension
-from strata.operators.windows import ranges
+from strata.operators.windows import hot_ranges
 from strata.plans.rentals import _ALL, _SILVER, bookings_silver, hosts_silver, listings_silver
 from strata.plans.registry import query
 from strata.plans.views import view, with_views
@@ -74,4 +74,4 @@ def q_booking_price_asof(spark, sf):
         bookings.select("listing_id", (F.col("created_at") + day).alias("price_at"), F.col("booking_amount").cast("decimal(18,4)").alias("price")))
     asked = bookings.select("booking_id", "listing_id", "created_at")
     return asof_join(asked, prices, ["listing_id"], "created_at", "price_at", {"price": "price", "price_at": "price_at"},
-                     bucket=ranges(both_times(asked, prices, "created_at", "price_at"), "at"))
+                     bucket=hot_ranges(both_times(asked, prices, "created_at", "price_at", ["listing_id"]), ["_k0"], "at"))
