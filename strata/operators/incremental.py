@@ -24,6 +24,8 @@ from strata.session import staged
 from strata.sources.sinks import write_append, write_overwrite
 
 FIRST_MARK = "1900-01-01 00:00:00"
+#: touched partitions that ``upsert_latest`` lists for the scan at most
+LISTED = 1024
 
 
 def _typed_literal(value, dtype: T.DataType):
@@ -108,12 +110,20 @@ def upsert_latest(target: DataFrame | None, batch: DataFrame, keys: Sequence[str
 
     With ``part``, a column whose value never changes for a key and by which ``target``
     is partitioned, only the partitions that the batch has rows for are merged; the others
-    are passed on as they are.  ``upsert_in_place`` leaves the others where they are.
+    are passed on as they are, without a shuffle.  Up to ``LISTED`` touched partitions become a filter on the
+    scan, more of them a join.  ``upsert_in_place`` leaves the others where they are.
     """
     if target is None:
         return latest_per_key(batch, keys, order)
     if part is None:
         return latest_per_key(target.unionByName(batch), keys, order)
+    listed = [r[0] for r in batch.select(part).distinct().limit(LISTED + 1).collect()]
+    if len(listed) <= LISTED:
+        hit = F.col(part).isin([v for v in listed if v is not None])
+        if None in listed:
+            hit = hit | F.col(part).isNull()
+        hit = F.coalesce(hit, F.lit(False))
+        return latest_per_key(target.where(hit).unionByName(batch), keys, order).unionByName(target.where(~hit))
     merged = latest_per_key(touched_rows(target, batch, part).unionByName(batch), keys, order)
     parts = batch.select(F.col(part).alias("_part")).distinct()
     return merged.unionByName(target.join(parts, F.col(part).eqNullSafe(F.col("_part")), "left_anti"))

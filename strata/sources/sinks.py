@@ -45,9 +45,14 @@ def _reads_from(df: DataFrame, path: str) -> bool:
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
                     partition_by: Sequence[str] | None = None, **options) -> None:
     """Replace the whole table at ``path``, all its partitions too.  A job may not overwrite
-    a table it reads (the old files would vanish mid-read): write to a new path for that."""
+    a table it reads (the old files would vanish mid-read): write to a new path for that.
+
+    With ``partition_by`` the rows of a partition are brought together first, and a large one is dealt to several tasks:
+    the files are about as many as the partitions, not partitions times tasks."""
     if _reads_from(df, path):
         raise ValueError(f"{path} is an input of this write; write to a new path instead")
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode("overwrite").format(fmt).options(**{"partitionOverwriteMode": "static", **options})
     if partition_by:
         w = w.partitionBy(*partition_by)
