@@ -156,15 +156,22 @@ def upsert_in_place(spark: SparkSession, path: str, batch: DataFrame, keys: Sequ
     written whole to ``staging`` (a folder of this batch alone, with a ``done`` table at its
     end), then from there into the table.  A run that died before ``done`` merges again, since it
     has changed nothing; one that died while it replaced partitions only repeats the second
-    step, from files that do not depend on the table any more.
+    step, from files that do not depend on the table any more.  Partitions whose merged rows are all the
+    table's own (a repeated batch) keep their files.
     """
     rows = f"{staging}/rows"
     if read_if_exists(spark, f"{staging}/done") is None:
         target = read_if_exists(spark, path)
-        kept = batch if target is None else touched_rows(target, batch, part).select(*batch.columns).unionByName(batch)
-        write_overwrite(latest_per_key(kept, keys, order), rows)
+        kept = batch.withColumn("_held", F.lit(False))
+        if target is not None:
+            held = touched_rows(target, batch, part).select(*batch.columns)
+            kept = kept.unionByName(held.withColumn("_held", F.lit(True)))
+        # the last column decides last: of equal rows the table's own stays
+        write_overwrite(latest_per_key(kept, keys, order), rows, compression="zstd")
         spark.range(1).write.mode("overwrite").parquet(f"{staging}/done")
-    publish_partitions(spark.read.schema(batch.schema).parquet(rows), path, part)
+    merged = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("_held", T.BooleanType())])).parquet(rows)
+    changed = merged.where(~F.col("_held")).select(F.col(part).alias("_part")).distinct()
+    publish_partitions(merged.join(changed, F.col(part).eqNullSafe(F.col("_part")), "left_semi").drop("_held"), path, part)
 
 
 def scd2(history: DataFrame, keys: Sequence[str], valid_from: str,
