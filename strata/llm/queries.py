@@ -233,7 +233,7 @@ def second_edits():
 
 @_query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trees are loaded and stored; the stored ones are edited, and what that leaves is edited again."""
+    """Trees are loaded and stored; the stored ones are edited and stored, and what that leaves is edited again."""
     import public_tokenizers
 
     from strata.llm.token_counts import edit_trees, load_trees, stored
@@ -241,7 +241,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     trees = stored(load_trees(_table(spark, sf_dir, "documents"), *vocabulary, also=["lang"]), "op7-trees")
     trees = trees.withColumns({"n_tokens_before": F.col("n_tokens"), "edits": clean_up_edits()})
-    once = edit_trees(trees, *vocabulary)
+    once = stored(edit_trees(trees, *vocabulary), "op7-edited")  # one Python worker for a core, not two side by side
     return edit_trees(once.withColumn("edits", second_edits()), *vocabulary).select(
         "doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_reencoded", "n_chars")
 

@@ -37,7 +37,7 @@ from strata.llm.common import few_rows, staged, tidied
 LEAF = 32
 AHEAD = 2
 MAX_COUNTS = 200_000
-#: the encoder's table while stored trees are edited: little is encoded, and two calls in one plan run side by side
+#: the encoder's table while stored trees are edited: little is encoded
 EDIT_STEPS = 50_000
 #: trees in memory at a time
 ROWS = 256
