@@ -316,7 +316,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     about = staged(rows.mapInArrow(tidied(_describe), f"doc_id {kind}, rid long, n_shingles long, node long, sketch binary, "
-                                   + ", ".join(f"{s} long" for s in SKETCH)), "sets")
+                                   + ", ".join(f"{s} long" for s in SKETCH)), "sets", "zstd")
     filled = about.where("n_shingles > 0")
     total = filled.agg(F.sum("n_shingles")).first()[0] or 0
     groups = 1 << max(6, int(total * 0.3 / GROUP_KEYS)).bit_length()
@@ -390,7 +390,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tried = reduce(DataFrame.unionByName, tried).unionByName(across(joined))
     wanted = staged(tried.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
     texts = staged(rows.select("rid", "_text").join(nodes.select("rid", "node").join(wanted, "node", "left_semi"), "rid")
-                   .select("node", "_text"), "texts")
+                   .select("node", "_text"), "texts", "zstd")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Texts meet their pairs once; then the two texts of a pair meet."""
