@@ -209,6 +209,65 @@ class Transducer:
         return out + list(key[2:key.index(END, 2)])
 
 
+class ManyPieces:
+    """Numbers of tokens of many short pieces at once, for pieces that are seldom seen twice.
+
+    Plain merging, lowest rank first and leftmost of equals, one merge in every piece at a time; the pieces lie
+    in the rows of an array that loses a column with each merge, and a piece leaves it when nothing joins any more.
+    """
+
+    NONE = np.iinfo(np.int32).max
+    ROWS = 4096
+
+    def __init__(self, merges: Merges):
+        self.rank = rank = merges.rank
+        self.byte = np.array([rank.get(bytes([i]), -1) for i in range(256)], np.int32)
+        found = [(rank[t[:k]] << 32 | rank[t[k:]], r) for t, r in rank.items() for k in range(1, len(t))
+                 if t[:k] in rank and t[k:] in rank]
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+        self.pair, self.joined = np.append(pairs[:, 0], np.iinfo(np.int64).max), np.append(pairs[:, 1], 0).astype(np.int32)
+        self.first = np.array([rank.get(bytes([i >> 8, i & 255]), self.NONE) for i in range(1 << 16)], np.int32)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What two tokens each join to; ``NONE`` where they do not, as with the -1 past a piece's end."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pair, key)
+        return np.where(self.pair[at] == key, self.joined[at], self.NONE)
+
+    def counts(self, pieces: list[bytes]) -> np.ndarray:
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        out, order = size.copy(), np.argsort(size, kind="stable")
+        for k in range(0, len(pieces), self.ROWS):
+            rows = order[k:k + self.ROWS]
+            out[rows] -= self._merges([pieces[i] for i in rows.tolist()], size[rows])
+        out[np.fromiter(map(self.rank.__contains__, pieces), bool, len(pieces))] = 1
+        return out
+
+    def _merges(self, pieces: list[bytes], size: np.ndarray) -> np.ndarray:
+        """How many merges each piece takes."""
+        done, live, width = np.zeros(len(pieces), np.int64), np.arange(len(pieces)), int(size.max(initial=0))
+        inside = np.arange(width) < size[:, None]
+        raw = np.zeros(inside.shape, np.int32)
+        raw[inside] = np.frombuffer(b"".join(pieces), np.uint8)
+        tokens = np.where(inside, self.byte[raw], np.int32(-1))
+        ranks = np.where(inside[:, 1:], self.first[raw[:, :-1] << 8 | raw[:, 1:]], self.NONE)
+        while ranks.shape[1] and len(live):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(live)), at]
+            go = best < self.NONE
+            if not go.all():
+                live, tokens, ranks, at, best = live[go], tokens[go], ranks[go], at[go], best[go]
+            done[live] += 1
+            stay = np.arange(ranks.shape[1]) <= at[:, None]
+            tokens = np.where(stay, tokens[:, :-1], tokens[:, 1:])
+            ranks = np.where(stay[:, :-1], ranks[:, :-1], ranks[:, 1:])
+            row = np.arange(len(live))
+            tokens[row, at] = best
+            for r, a in ((row[at > 0], at[at > 0] - 1), (row[at < ranks.shape[1]], at[at < ranks.shape[1]])):
+                ranks[r, a] = self._rank(tokens[r, a], tokens[r, a + 1])
+        return done
+
+
 class Utf8Stream:
     """Incremental UTF-8: bytes in, text out as soon as its characters are complete.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from strata.session import scratch_path
 
 
-def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
     Cuts lineage with a table that every executor can read, so a lost executor
@@ -19,7 +19,7 @@ def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options or {}).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

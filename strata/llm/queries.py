@@ -239,7 +239,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.token_counts import edit_trees, load_trees, stored
 
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    trees = stored(load_trees(_table(spark, sf_dir, "documents"), *vocabulary, also=["lang"]), "op7-trees")
+    docs = _table(spark, sf_dir, "documents").sortWithinPartitions("lang")  # one language's texts pack better together
+    trees = stored(load_trees(docs, *vocabulary, also=["lang"]), "op7-trees")
     trees = trees.withColumns({"n_tokens_before": F.col("n_tokens"), "edits": clean_up_edits()})
     once = stored(edit_trees(trees, *vocabulary), "op7-edited")  # one Python worker for a core, not two side by side
     return edit_trees(once.withColumn("edits", second_edits()), *vocabulary).select(

@@ -9,7 +9,7 @@ because the pattern reads forward only and looks at most ``AHEAD`` characters pa
 The changed leaves' sums are then carried up.  Nothing else of the document is read.
 
 Trees are kept as a table: ``load_trees`` makes one row per document with the text, the pre-tokens'
-lengths and the leaves' sums; ``edit_trees`` takes such a table and a list of edits for each row
+lengths (a byte each, see ``_lengths``) and the leaves' sums; ``edit_trees`` takes such a table and a list of edits for each row
 and returns the table as it is afterwards.  A stored tree is not split or encoded again: only leaves that an edit
 touches are read as pre-tokens, and rows without edits pass as they are.  ``stored`` writes the table below
 ``spark.checkpoint.dir``; ``count_edited`` does load and edits in one pass when no state is wanted.
@@ -23,7 +23,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.byte_bpe import KEEP_BYTES, MAX_STEPS, Codec, codec, read_file
+from strata.llm.byte_bpe import KEEP_BYTES, Codec, ManyPieces, codec, read_file
 from strata.llm.common import few_rows, staged, tidied
 
 LEAF = 32
 AHEAD = 2
-MAX_COUNTS = 200_000
-#: the encoder's table while stored trees are edited: little is encoded
-EDIT_STEPS = 50_000
+MAX_COUNTS = 400_000
 #: trees in memory at a time
 ROWS = 256
+#: how trees are written: a higher level and larger pages than Spark's for texts and lengths
+PACKED = {"parquet.compression.codec.zstd.level": "5", "parquet.page.size": str(8 << 20)}
 EDITS = "array<struct<start:int,end:int,text:string>>"
 
 
@@ -50,6 +52,7 @@ class Counter:
     def __init__(self, c: Codec):
         self.split = c.split
         self._encode = c.machine.encode
+        self._many = ManyPieces(c.merges)
         self.known: dict[str, int] = {}
         self.older: dict[str, int] = {}
 
@@ -66,13 +69,47 @@ class Counter:
         return n
 
 
+    def learn(self, pieces: set[str]) -> None:
+        """Count many new pieces at once; long ones wait for ``tokens``."""
+        if len(self.known) >= MAX_COUNTS:
+            self.older, self.known = self.known, {}
+        older = self.older
+        self.known.update([(p, older[p]) for p in pieces if p in older])
+        short = {p: b for p in pieces if p not in older and len(b := p.encode("utf-8")) <= KEEP_BYTES}
+        self.known.update(zip(short, self._many.counts(list(short.values())).tolist()))
+
+
+def _sizes(pieces: list[str]) -> np.ndarray:
+    return np.fromiter(map(len, pieces), np.int32, len(pieces))
+
+
 class PretokenTree:
     """The tree over one text; ``total`` is its number of tokens."""
 
     def __init__(self, counter: Counter, text: str):
         self.counter = counter
         self.encoded = 0
-        self._build(text, counter.split(text))
+        pieces = counter.split(text)
+        self._build(text, _sizes(pieces), list(map(counter.tokens, pieces)))
+
+    @classmethod
+    def of_texts(cls, counter: Counter, texts: list[str]) -> list[PretokenTree]:
+        """The trees over many texts, whose new pre-tokens are counted together."""
+        known, rows, out = counter.known, [], []
+        for text in texts:  # of the pre-tokens only new ones are held
+            pieces = counter.split(text)
+            counts = list(map(known.get, pieces))
+            new = [(i, pieces[i]) for i, n in enumerate(counts) if n is None]
+            rows.append((text, _sizes(pieces), counts, new))
+        counter.learn({p for *_, new in rows for _, p in new})
+        for text, sizes, counts, new in rows:
+            for i, p in new:
+                counts[i] = counter.tokens(p)
+            tree = cls.__new__(cls)
+            tree.counter, tree.encoded = counter, 0
+            tree._build(text, sizes, counts)
+            out.append(tree)
+        return out
 
     @classmethod
     def restored(cls, counter: Counter, text: str, pieces: np.ndarray, leaf_pieces: np.ndarray,
@@ -84,12 +121,10 @@ class PretokenTree:
         tree._place(text, pieces, np.concatenate([[0], np.cumsum(leaf_pieces)]), leaf_tokens.tolist())
         return tree
 
-    def _build(self, text: str, pieces: list[str]) -> None:
-        self.leaves = [pieces[i:i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
-        known, count = self.counter.known, self.counter.tokens
-        first = np.minimum(np.arange(0, len(pieces) + LEAF, LEAF), len(pieces))
-        self._place(text, np.fromiter(map(len, pieces), np.int32, len(pieces)), first,
-                    [sum([known.get(p) or count(p) for p in leaf]) for leaf in self.leaves])
+    def _build(self, text: str, sizes: np.ndarray, counts: list[int]) -> None:
+        n = len(sizes)
+        self.leaves = [None] * (-(-n // LEAF)) or [[]]
+        self._place(text, sizes, np.minimum(np.arange(0, n + LEAF, LEAF), n), [sum(counts[i:i + LEAF]) for i in range(0, n, LEAF)])
 
     def _place(self, text: str, pieces: np.ndarray, first: np.ndarray, tokens: list[int]) -> None:
         """Where each leaf's pre-tokens lie, and the sums over the leaves; no leaf has changed yet."""
@@ -112,11 +147,8 @@ class PretokenTree:
     def _leaf(self, i: int) -> list[str]:
         leaf = self.leaves[i]
         if leaf is None:
-            at, leaf = self._at[i], []
-            for n in self._pieces[self._first[i]:self._first[i + 1]].tolist():
-                leaf.append(self._text[at:at + n])
-                at += n
-            self.leaves[i] = leaf
+            ends = list(accumulate(self._pieces[self._first[i]:self._first[i + 1]].tolist(), initial=self._at[i]))
+            leaf = self.leaves[i] = list(map(self._text.__getitem__, map(slice, ends, ends[1:])))
         return leaf
 
     def state(self) -> tuple[str, np.ndarray, list[int], list[int]]:
@@ -132,7 +164,7 @@ class PretokenTree:
             done = i + 1
             if i in self.changed and self.leaves[i]:
                 text += self.leaves[i]
-                pieces.append(np.fromiter(map(len, self.leaves[i]), np.int32, len(self.leaves[i])))
+                pieces.append(_sizes(self.leaves[i]))
                 counts.append(len(self.leaves[i]))
                 tokens.append(self.tokens[self.size + i])
         return "".join(text), np.concatenate(pieces) if pieces else np.zeros(0, np.int32), counts, tokens
@@ -188,11 +220,11 @@ class PretokenTree:
 
         def take(leaf: list[str], skip: int) -> None:
             nonlocal pos
-            for p in leaf[skip:]:
-                old.append(p)
-                if pos >= end:
-                    borders.add(pos)
-                pos += len(p)
+            places = list(accumulate(map(len, leaf[skip:]), initial=pos))
+            old.extend(leaf[skip:])
+            pos = places.pop()
+            if pos > end:
+                borders.update(places[bisect_left(places, end):])
 
         take(leaf, k)
         while True:
@@ -231,11 +263,11 @@ class PretokenTree:
             self._set(j, [], 0)
         if len(self.leaves[first]) > 16 * LEAF:
             pieces = [p for j in range(len(self.leaves)) for p in self._leaf(j)]
-            self._build("".join(pieces), pieces)
+            self._build("".join(pieces), _sizes(pieces), list(map(count, pieces)))
 
 
-def _counter(raw: bytes, pattern: str, max_steps: int = MAX_STEPS) -> Counter:
-    c = codec(raw, pattern, max_steps)
+def _counter(raw: bytes, pattern: str) -> Counter:
+    c = codec(raw, pattern)
     if not hasattr(c, "counter"):
         c.counter = Counter(c)
     return c.counter
@@ -267,7 +299,7 @@ def _apply(raw, pattern: str):
 
 
 #: a stored tree's columns
-STATE = {"text": "string", "pieces": "array<int>", "leaf_pieces": "array<int>", "leaf_tokens": "array<int>",
+STATE = {"text": "string", "pieces": "binary", "leaf_pieces": "array<int>", "leaf_tokens": "array<int>",
          "n_tokens": "long", "n_chars": "long", "n_edits": "long", "n_reencoded": "long"}
 
 
@@ -277,11 +309,32 @@ def _lists(parts: list) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
 
 
+def _lengths(parts: list[np.ndarray]) -> pa.Array:
+    """Lists of lengths as bytes: 255 is carried on by the next byte, so a row's bytes add up to its characters."""
+    n = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
+    if len(n) and n.max() >= 255:
+        last = np.cumsum(n // 255 + 1)  # bytes up to each length's last
+        flat = np.full(last[-1], 255, np.uint8)
+        flat[last - 1] = n % 255
+        ends = np.concatenate([[0], last])[ends]
+    else:
+        flat = n.astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
+
+
+def _from_lengths(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8)
+    if not (b == 255).any():
+        return b.astype(np.int32)
+    return np.diff(np.cumsum(b, dtype=np.int32)[b != 255], prepend=np.int32(0))
+
+
 def _columns(trees: list[PretokenTree], n_edits: list[int], n_reencoded: list[int]) -> dict[str, pa.Array]:
     states = [t.state() for t in trees]
     counts = ([t.total for t in trees], [t.length for t in trees], n_edits, n_reencoded)
-    return {"text": pa.array([x[0] for x in states], pa.string()), **{n: _lists([x[k] for x in states]) for k, n in
-            enumerate(("pieces", "leaf_pieces", "leaf_tokens"), 1)},
+    return {"text": pa.array([x[0] for x in states], pa.string()), "pieces": _lengths([x[1] for x in states]),
+            **{n: _lists([x[k] for x in states]) for k, n in enumerate(("leaf_pieces", "leaf_tokens"), 2)},
             **{n: pa.array(c, pa.int64()) for n, c in zip(("n_tokens", "n_chars", "n_edits", "n_reencoded"), counts)}}
 
 
@@ -289,7 +342,7 @@ def _load(raw, pattern: str):
     def run(batches):
         counter = _counter(raw.value, pattern)
         for b in few_rows(batches, ROWS):
-            trees = [PretokenTree(counter, x) for x in b.column("text").to_pylist()]
+            trees = PretokenTree.of_texts(counter, b.column("text").to_pylist())
             made = _columns(trees, [0] * len(trees), [0] * len(trees))
             yield pa.record_batch([made[n] if n in made else b.column(n) for n in (*b.schema.names, *list(STATE)[1:])],
                                   names=[*b.schema.names, *list(STATE)[1:]])
@@ -298,15 +351,15 @@ def _load(raw, pattern: str):
 
 def _edit(raw, pattern: str, edits_col: str):
     def run(batches):
-        counter = _counter(raw.value, pattern, EDIT_STEPS)
+        counter = _counter(raw.value, pattern)
         for b in few_rows(batches, ROWS):
             col = {n: b.column(n) for n in b.schema.names}
             todo = [(i, e) for i, e in enumerate(col.pop(edits_col).to_pylist()) if e and any(x is not None for x in e)]
             if todo:
                 trees, edits, redone = [], [], []
                 for i, e in todo:
-                    tree = PretokenTree.restored(counter, col["text"][i].as_py(), *(
-                        col[n][i].values.to_numpy(zero_copy_only=False) for n in ("pieces", "leaf_pieces", "leaf_tokens")))
+                    tree = PretokenTree.restored(counter, col["text"][i].as_py(), _from_lengths(col["pieces"][i].as_py()), *(
+                        col[n][i].values.to_numpy(zero_copy_only=False) for n in ("leaf_pieces", "leaf_tokens")))
                     edits.append(col["n_edits"][i].as_py() + _edited(tree, e))
                     redone.append(col["n_reencoded"][i].as_py() + tree.encoded)
                     trees.append(tree)
@@ -339,7 +392,7 @@ def edit_trees(trees: DataFrame, vocab: str, pattern: str, edits_col: str = "edi
 
 def stored(trees: DataFrame, name: str) -> DataFrame:
     """The table written below ``spark.checkpoint.dir`` and read again."""
-    return staged(trees, name, "zstd")
+    return staged(trees, name, "zstd", PACKED)
 
 
 def count_edited(docs: DataFrame, vocab: str, pattern: str, edits_col: str = "edits", id_col: str = "doc_id",

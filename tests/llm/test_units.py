@@ -128,6 +128,35 @@ def test_edits_keep_the_tree_equal_to_a_new_split(codec):
             assert (tree.total, tree.length) == (len(codec.encode(text)), len(text))
 
 
+def test_many_pieces_are_counted_as_one_by_one(codec):
+    rng = random.Random(11)
+    bits = ["a", "the", " ", "  ", "ou", "tion", "é", "漢", "!", "12", "aaaa", "\n", "zq", "ing", "S"]
+    pieces = ["".join(rng.choice(bits) for _ in range(rng.choice([1, 2, 3, 5, 9, 30]))).encode() for _ in range(9000)]
+    many = byte_bpe.ManyPieces(codec.merges)
+    assert many.counts(pieces).tolist() == [len(codec.machine.encode(p)) for p in pieces]
+    assert many.counts([]).tolist() == []
+
+
+def test_new_pretokens_of_many_texts_are_counted_together(codec):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["qua", "xi", "the ", "zor ", "ñu", "1", "\n", "k" * 70]) for _ in range(n)) for n in (0, 1, 40, 900)]
+    c = byte_bpe.Codec(codec.merges.rank, PATTERN)
+    trees = token_counts.PretokenTree.of_texts(token_counts.Counter(c), texts)
+    assert [(t.total, t.length, t.text()) for t in trees] == [(len(codec.encode(x)), len(x), x) for x in texts]
+    c = byte_bpe.Codec(codec.merges.rank, PATTERN)
+    token_counts.PretokenTree.of_texts(token_counts.Counter(c), [x.replace("k", "") for x in texts])
+    assert not c.machine.steps  # none of them went through the machine
+
+
+def test_lengths_as_bytes():
+    rows = [[], [1, 254, 255, 256, 510, 3], [7], [], [100_000, 1]]
+    packed = token_counts._lengths([np.array(x, np.int32) for x in rows])
+    assert [sum(x) for x in packed.to_pylist()] == list(map(sum, rows))
+    assert [token_counts._from_lengths(x).tolist() for x in packed.to_pylist()] == rows
+    short = token_counts._lengths([np.array(x, np.int32) for x in ([3, 4], [], [254])])
+    assert short.to_pylist() == [bytes([3, 4]), b"", bytes([254])]
+
+
 def test_an_edit_reads_little(codec):
     rng = random.Random(5)
     tree = token_counts.PretokenTree(token_counts.Counter(codec), " ".join(rng.choice(["alpha", "beta"]) for _ in range(50_000)))
